@@ -9,7 +9,7 @@ from textloom.functions.text import col_of
 
 __all__ = [
     "IGNORE_INDEX", "windows_of", "causal_inputs", "causal_targets", "mask_ids",
-    "shift_right", "with_specials", "special_mask", "truncate_pad", "attention_mask",
+    "shift_right", "with_specials", "special_mask", "added_specials_mask", "truncate_pad", "attention_mask",
     "argmax", "log_softmax_at", "mean_neg_log_softmax", "hashed_unit",
 ]
 
@@ -22,8 +22,8 @@ def windows_of(ids, length) -> Column:
     ids = col_of(ids)
     L = length if isinstance(length, Column) else F.lit(int(length))
     n_full = F.floor(F.size(ids) / L).cast("int")
-    return F.when(n_full <= 0, F.array().cast("array<int>")).otherwise(
-        F.transform(F.sequence(F.lit(0), n_full - 1), lambda i: F.slice(ids, i * L + 1, L)))
+    starts = F.sequence(F.lit(0), F.greatest(n_full - 1, F.lit(0)))
+    return F.slice(F.transform(starts, lambda i: F.slice(ids, i * L + 1, L)), 1, n_full)
 
 
 def causal_inputs(ids) -> Column:
@@ -56,6 +56,12 @@ def with_specials(ids, cls_id: int, sep_id: int) -> Column:
     return F.concat(F.array(F.lit(cls_id)), col_of(ids), F.array(F.lit(sep_id)))
 
 
+def added_specials_mask(ids) -> Column:
+    """1 at the first and last position (the added CLS/SEP), 0 elsewhere."""
+    n = F.size(col_of(ids))
+    return F.transform(col_of(ids), lambda x, i: F.when((i == 0) | (i == n - 1), 1).otherwise(0))
+
+
 def special_mask(ids, special_ids: list[int]) -> Column:
     """1 where the id is a special token, else 0."""
     specials = F.array(*[F.lit(int(s)) for s in special_ids])

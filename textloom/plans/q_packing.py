@@ -1 +1,152 @@
-"""Registered queries."""
+"""Registered queries: packing and label shaping over word-level ids."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from textloom.operators import encode as enc
+from textloom.operators import packing as pk
+from textloom.plans.q_tokens import arr_str, word_ids
+from textloom.plans.registry import query
+from textloom.plans.sql import WORD_IDS, ids_str
+
+
+def _chunks_sql(src: str, L: int, batch: int | None, with_mask: bool) -> str:
+    stream = f"(row_number() OVER (PARTITION BY split ORDER BY doc_id) - 1) // {batch}" if batch \
+        else "0"
+    mask = (", string_agg(CAST(m AS VARCHAR), ' ' ORDER BY gpos) AS special_tokens_mask"
+            if with_mask else "")
+    return f"""
+r AS (SELECT doc_id, split, ids, len(ids) AS n, {stream} AS b FROM {src}),
+o AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY split, b ORDER BY doc_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s,
+        sum(n) OVER (PARTITION BY split, b) AS t FROM r),
+e AS (SELECT split, b, s, t, n, ids, unnest(range(n)) AS k FROM o),
+c AS (SELECT split, b, (s + k) // {L} AS chunk, s + k AS gpos, ids[k + 1] AS id,
+        CASE WHEN k = 0 OR k = n - 1 THEN 1 ELSE 0 END AS m,
+        CASE WHEN t >= {L} THEN t // {L} ELSE 1 END AS nch FROM e),
+packed AS (SELECT split, CAST(b AS BIGINT) AS stream_id, CAST(chunk AS BIGINT) AS chunk_id,
+        list(id ORDER BY gpos) AS ids{mask}
+        FROM c WHERE chunk < nch GROUP BY split, b, chunk)"""
+
+
+@query("group_texts", f"""
+WITH {WORD_IDS},
+x AS (SELECT doc_id, split, list_concat([2], ids, [3]) AS ids FROM ids),
+{_chunks_sql('x', 64, 50, True)}
+SELECT split, stream_id, chunk_id, {ids_str('ids')} AS input_ids, special_tokens_mask FROM packed
+""")
+def q_group_texts(spark, sf):
+    tok, ids = word_ids(spark, sf)
+    withs = enc.add_special_tokens(ids, tok)
+    out = pk.group_texts(withs, 64, 50, ["input_ids", "special_tokens_mask"], "doc_id", ["split"])
+    return out.select("split", "stream_id", "chunk_id", arr_str("input_ids").alias("input_ids"),
+                      arr_str("special_tokens_mask").alias("special_tokens_mask"))
+
+
+_EOS = f"""
+x AS (SELECT doc_id, split, list_concat(ids, [3]) AS ids FROM ids),
+{_chunks_sql('x', 128, None, False)}"""
+
+
+def _packed(spark, sf):
+    tok, ids = word_ids(spark, sf)
+    return pk.pack_eos(ids, 127, tok.special_id("<|endoftext|>"), "input_ids", "doc_id",
+                       None, ["split"])
+
+
+@query("pack_eos", f"""
+WITH {WORD_IDS}, {_EOS}
+SELECT split, stream_id, chunk_id, {ids_str('ids')} AS input_ids FROM packed
+""")
+def q_pack_eos(spark, sf):
+    return _packed(spark, sf).select("split", "stream_id", "chunk_id",
+                                     arr_str("input_ids").alias("input_ids"))
+
+
+@query("pack_eos_batched", f"""
+WITH {WORD_IDS},
+x AS (SELECT doc_id, split, list_concat(ids, [3]) AS ids FROM ids),
+{_chunks_sql('x', 257, 3, False)}
+SELECT split, stream_id, chunk_id, {ids_str('ids')} AS input_ids FROM packed
+""")
+def q_pack_eos_batched(spark, sf):
+    tok, ids = word_ids(spark, sf)
+    out = pk.pack_eos(ids, 256, 3, "input_ids", "doc_id", 3, ["split"])
+    return out.select("split", "stream_id", "chunk_id", arr_str("input_ids").alias("input_ids"))
+
+
+@query("overflow_windows", f"""
+WITH {WORD_IDS},
+e AS (SELECT doc_id, ids, len(ids) AS n, unnest(range(len(ids))) AS k FROM ids)
+SELECT doc_id, CAST(k // 128 AS BIGINT) AS window_id,
+       string_agg(CAST(ids[k + 1] AS VARCHAR), ' ' ORDER BY k) AS input_ids
+FROM e WHERE k // 128 < n // 128 GROUP BY doc_id, k // 128
+""")
+def q_overflow(spark, sf):
+    _, ids = word_ids(spark, sf)
+    out = pk.overflow_windows(ids.select("doc_id", "input_ids"), 128)
+    return out.select("doc_id", "window_id", arr_str("input_ids").alias("input_ids"))
+
+
+@query("pack_sweep", f"""
+WITH {WORD_IDS},
+e AS (SELECT doc_id, ids, len(ids) AS n, unnest(range(len(ids))) AS k FROM ids),
+L AS (SELECT CAST(unnest(range(128, 1281, 128)) AS INTEGER) AS seq_len)
+SELECT seq_len, doc_id, CAST(k // seq_len AS BIGINT) AS window_id,
+       string_agg(CAST(ids[k + 1] AS VARCHAR), ' ' ORDER BY k) AS input_ids
+FROM e, L WHERE k // seq_len < n // seq_len GROUP BY seq_len, doc_id, k // seq_len
+""")
+def q_sweep(spark, sf):
+    _, ids = word_ids(spark, sf)
+    out = pk.pack_sweep(ids.select("doc_id", "input_ids"))
+    return out.select("seq_len", "doc_id", "window_id", arr_str("input_ids").alias("input_ids"))
+
+
+@query("causal_shift", f"""
+WITH {WORD_IDS}, {_EOS}
+SELECT split, stream_id, chunk_id, {ids_str('list_slice(ids, 1, len(ids) - 1)')} AS input_ids,
+       {ids_str('list_slice(ids, 2, len(ids))')} AS labels FROM packed
+""")
+def q_causal_shift(spark, sf):
+    out = pk.causal_shift(_packed(spark, sf))
+    return out.select("split", "stream_id", "chunk_id", arr_str("input_ids").alias("input_ids"),
+                      arr_str("labels").alias("labels"))
+
+
+@query("causal_labels_masked", f"""
+WITH {WORD_IDS}, {_EOS}
+SELECT split, stream_id, chunk_id,
+       {ids_str('list_transform(ids, lambda x: CASE WHEN x = 3 THEN -100 ELSE x END)')} AS labels
+FROM packed
+""")
+def q_causal_masked(spark, sf):
+    out = pk.causal_labels_masked(_packed(spark, sf), 3)
+    return out.select("split", "stream_id", "chunk_id", arr_str("labels").alias("labels"))
+
+
+_LAB = ("list_concat(list_slice(ids, 1, 128), "
+        "list_transform(range(greatest(128 - len(ids), 0)), lambda x: -100))")
+
+
+@query("seq2seq_labels", f"""
+WITH {WORD_IDS}, l AS (SELECT doc_id, {_LAB} AS lab FROM ids)
+SELECT doc_id, {ids_str('lab')} AS labels,
+  {ids_str('list_transform(list_concat([1], list_slice(lab, 1, len(lab) - 1)), lambda x: CASE WHEN x = -100 THEN 1 ELSE x END)')} AS decoder_input_ids
+FROM l
+""")
+def q_seq2seq(spark, sf):
+    _, ids = word_ids(spark, sf)
+    out = pk.seq2seq_labels(ids.select("doc_id", F.col("input_ids").alias("labels")), 1, 1,
+                            "labels", 128)
+    return out.select("doc_id", arr_str("labels").alias("labels"),
+                      arr_str("decoder_input_ids").alias("decoder_input_ids"))
+
+
+@query("mlm_mask")
+def q_mlm(spark, sf):
+    tok, ids = word_ids(spark, sf)
+    withs = enc.add_special_tokens(ids, tok)
+    out = pk.mlm_mask(withs, tok.special_id("<|mask|>"), 5000, seed=42, epoch=0)
+    return out.select("doc_id", F.size(F.filter("labels", lambda x: x != -100)).alias("n_masked"),
+                      F.size("labels").alias("n_tokens"))

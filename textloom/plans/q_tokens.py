@@ -1 +1,169 @@
-"""Registered queries."""
+"""Registered queries: tokenizer training, encoding, decoding."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from textloom.functions.text import SPECIAL_TOKENS
+from textloom.operators import bpe, encode as enc
+from textloom.operators.pretokenize import word_counts
+from textloom.plans.registry import query
+from textloom.plans.sql import DOCS, WORD_IDS, WP, ids_str
+from textloom.plans.tables import documents, table
+
+
+def arr_str(c):
+    return F.array_join(F.col(c).cast("array<string>"), " ")
+
+
+def word_tokenizer(spark, sf):
+    train = documents(spark, sf).filter(F.col("split") == "train")
+    vocab = enc.word_level_vocab(word_counts(train, "text"))
+    return enc.Tokenizer("word", vocab)
+
+
+def word_ids(spark, sf):
+    """Every document's word-level ids (vocabulary from the train split)."""
+    tok = word_tokenizer(spark, sf)
+    docs = documents(spark, sf).select("doc_id", "split", "text")
+    ids = enc.encode(docs, tok, "text", ["doc_id", "split"])
+    return tok, ids
+
+
+@query("word_vocab", f"""
+WITH {WORD_IDS}
+SELECT id, word AS piece FROM v
+UNION ALL SELECT * FROM (VALUES (0, '<|unknown|>'), (1, '<|pad|>'), (2, '<|cls|>'),
+  (3, '<|endoftext|>'), (4, '<|mask|>')) t(id, piece)
+""")
+def q_word_vocab(spark, sf):
+    return word_tokenizer(spark, sf).vocab.select("id", "piece")
+
+
+@query("encode_wordlevel", f"""
+WITH {WORD_IDS}
+SELECT doc_id, split, {ids_str('ids')} AS input_ids, CAST(len(ids) AS BIGINT) AS num_tokens FROM ids
+""")
+def q_encode_word(spark, sf):
+    _, ids = word_ids(spark, sf)
+    return ids.select("doc_id", "split", arr_str("input_ids").alias("input_ids"), "num_tokens")
+
+
+@query("token_totals", f"""
+WITH {WORD_IDS}
+SELECT split, CAST(sum(len(ids)) AS BIGINT) AS total_tokens, CAST(count(*) AS BIGINT) AS n_rows
+FROM ids GROUP BY split
+""")
+def q_token_totals(spark, sf):
+    _, ids = word_ids(spark, sf)
+    return enc.token_totals(ids, ["split"])
+
+
+@query("add_special_tokens", f"""
+WITH {WORD_IDS}
+SELECT doc_id, {ids_str('list_concat([2], ids, [3])')} AS input_ids,
+       {ids_str('list_concat([1], list_transform(ids, lambda x: 0), [1])')} AS special_tokens_mask
+FROM ids
+""")
+def q_add_special(spark, sf):
+    tok, ids = word_ids(spark, sf)
+    out = enc.add_special_tokens(ids, tok)
+    return out.select("doc_id", arr_str("input_ids").alias("input_ids"),
+                      arr_str("special_tokens_mask").alias("special_tokens_mask"))
+
+
+@query("pad_truncate", f"""
+WITH {WORD_IDS}
+SELECT doc_id,
+  {ids_str('list_concat(list_slice(ids, 1, 256), list_transform(range(greatest(256 - len(ids), 0)), lambda x: 1))')} AS input_ids,
+  {ids_str('list_concat(list_transform(range(least(len(ids), 256)), lambda x: 1), list_transform(range(greatest(256 - len(ids), 0)), lambda x: 0))')} AS attention_mask
+FROM ids
+""")
+def q_pad_truncate(spark, sf):
+    tok, ids = word_ids(spark, sf)
+    out = enc.pad_truncate(ids, 256, tok.special_id("<|pad|>"))
+    return out.select("doc_id", arr_str("input_ids").alias("input_ids"),
+                      arr_str("attention_mask").alias("attention_mask"))
+
+
+@query("decode_wordlevel", f"""
+WITH {WORD_IDS}
+SELECT doc_id, coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE id >= 5), '') AS text
+FROM tok GROUP BY doc_id
+""")
+def q_decode_word(spark, sf):
+    tok, ids = word_ids(spark, sf)
+    return enc.decode(ids, tok, "input_ids", ["doc_id"])
+
+
+@query("wordpiece_pair_counts", f"""
+WITH w AS (SELECT unnest(regexp_extract_all(strip_accents(lower(text)), '{WP}')) AS word
+           FROM {DOCS} WHERE split = 'train'),
+c AS (SELECT string_split(word, '') AS ch FROM w),
+p AS (SELECT ch, unnest(range(1, len(ch))) AS i FROM c WHERE len(ch) > 1)
+SELECT CASE WHEN i = 1 THEN '' ELSE '_' END || lower(hex(encode(ch[i]))) AS "left",
+       '_' || lower(hex(encode(ch[i + 1]))) AS "right", CAST(count(*) AS BIGINT) AS count
+FROM p GROUP BY 1, 2
+""")
+def q_wp_pairs(spark, sf):
+    train = documents(spark, sf).filter(F.col("split") == "train")
+    from textloom.functions.text import normalize_text_col, word_tokens
+    words = (train.select(F.explode(word_tokens(normalize_text_col(F.col("text")))).alias("w"))
+             .groupBy("w").agg(F.count(F.lit(1)).cast("long").alias("freq"))
+             .select(bpe.char_symbols(F.col("w")).alias("syms"), "freq"))
+    return bpe.pair_counts(words)
+
+
+def _train_docs(spark, sf):
+    return documents(spark, sf).filter(F.col("split") == "train").select("doc_id", "text")
+
+
+@query("train_bpe")
+def q_train_bpe(spark, sf):
+    vocab, merges = bpe.train_bpe(_train_docs(spark, sf), vocab_size=300)
+    return merges
+
+
+@query("train_wordpiece")
+def q_train_wordpiece(spark, sf):
+    vocab, merges = bpe.train_wordpiece(_train_docs(spark, sf), vocab_size=400)
+    return vocab
+
+
+@query("encode_bpe")
+def q_encode_bpe(spark, sf):
+    vocab, merges = bpe.train_bpe(_train_docs(spark, sf), vocab_size=300)
+    tok = enc.Tokenizer("bytebpe", vocab, merges, specials=tuple(SPECIAL_TOKENS[1:]))
+    docs = documents(spark, sf).select("doc_id", "split", "text")
+    ids = enc.encode(docs, tok, "text", ["doc_id", "split"])
+    back = enc.decode(ids, tok, "input_ids", ["doc_id"], out_col="decoded")
+    return (ids.join(back, "doc_id").join(docs.select("doc_id", "text"), "doc_id")
+            .select("doc_id", "split", "num_tokens",
+                    (F.col("decoded") == F.col("text")).alias("roundtrip_ok")))
+
+
+@query("encode_wordpiece")
+def q_encode_wordpiece(spark, sf):
+    vocab, merges = bpe.train_wordpiece(_train_docs(spark, sf), vocab_size=400)
+    tok = enc.Tokenizer("wordpiece", vocab, merges)
+    docs = documents(spark, sf).select("doc_id", "split", "text")
+    return enc.encode(docs, tok, "text", ["doc_id", "split"]).select("doc_id", "split",
+                                                                      "num_tokens")
+
+
+@query("encode_pair")
+def q_encode_pair(spark, sf):
+    tok = word_tokenizer(spark, sf)
+    conv = table(spark, sf, "conversations")
+    pairs = _turn_pairs(conv)
+    out = enc.encode_pair(pairs, tok, "src", "tgt", ["conv_id", "turn"], 768, 128)
+    return out.select("conv_id", "turn", F.size("input_ids").alias("n_in"),
+                      F.size("labels").alias("n_labels"))
+
+
+def _turn_pairs(conv):
+    """user turn -> the next assistant turn of the same conversation."""
+    u = conv.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("src"))
+    a = conv.filter(F.col("role") == "assistant").select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("tgt"))
+    return u.join(a, ["conv_id", "turn"])
