@@ -37,3 +37,96 @@ def dedup_report(df: DataFrame, text_col: str = "text", partition_by=("split",))
         F.sum("_tl_c").cast("long").alias("n_rows"),
         F.count(F.lit(1)).cast("long").alias("n_unique"),
         (F.sum("_tl_c") - F.count(F.lit(1))).cast("long").alias("n_removed"))
+
+
+# ---------------------------------------------------------------- near duplicates (D3)
+def shingle_hashes(tokens, k: int = 5):
+    """Distinct 64-bit hashes of word k-grams of a token-array *column* (a
+    text shorter than k words is one shingle).  Pass a column, not an
+    expression: a lambda would re-evaluate an expression once per shingle."""
+    toks = col_of(tokens)
+    n = F.greatest(F.size(toks) - k + 1, F.lit(1))
+    grams = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(toks, i, k), " "))
+    return F.array_distinct(F.transform(grams, lambda g: F.xxhash64(g)))
+
+
+def minhash_columns(df: DataFrame, id_col: str, hashes: str, num_perm: int = 128,
+                    seed: int = 1) -> DataFrame:
+    """MinHash signature as ``num_perm`` long columns ``m0..``: explode the
+    shingle hashes, re-hash each with every permutation seed and take the
+    minimum per id.  Plain expressions (whole-stage codegen) in a partial
+    aggregate: a text's shingles collapse map-side."""
+    ex = df.select(F.col(id_col).alias("id"), F.explode(hashes).alias("h"))
+    return ex.groupBy("id").agg(*[F.min(F.xxhash64("h", F.lit(j), F.lit(seed))).alias(f"m{j}")
+                                  for j in range(num_perm)])
+
+
+def _components(edges: DataFrame, nodes: DataFrame, max_iter: int = 50) -> DataFrame:
+    """Connected components by min-label propagation over undirected edges.
+
+    Each round is a many-to-one lookup join (hub ids are hot keys: AQE's skew
+    join splits them) plus a partial ``min`` aggregate; labels are
+    checkpointed every round so lineage stays short and lost executors
+    recompute from the checkpoint."""
+    und = edges.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(
+        edges.select(F.col("b").alias("src"), F.col("a").alias("dst")))
+    labels = nodes.select(F.col("id"), F.col("id").alias("label")).checkpoint(eager=True)
+    for _ in range(max_iter):
+        prop = und.join(labels.withColumnRenamed("id", "src"), "src").select(
+            F.col("dst").alias("id"), "label")
+        new = labels.unionByName(prop).groupBy("id").agg(F.min("label").alias("label"))
+        new = new.checkpoint(eager=True)
+        changed = new.alias("n").join(labels.alias("o"), "id").filter(
+            F.col("n.label") != F.col("o.label")).limit(1).count()
+        labels = new
+        if changed == 0:
+            break
+    return labels
+
+
+def dedup_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               threshold: float = 0.8, num_perm: int = 128, bands: int = 16, k: int = 5,
+               seed: int = 1, keep_all: bool = False) -> DataFrame:
+    """D3: MinHash-LSH near-duplicate removal.
+
+    1. shingle hashes and a ``num_perm`` MinHash signature per text;
+    2. ``bands`` band keys per text; texts sharing a band key form a bucket;
+    3. every bucket yields *star* edges (member -> smallest id of the bucket):
+       linear in bucket size, never all pairs;
+    4. each edge is kept only if the exact Jaccard similarity of the two
+       shingle sets reaches ``threshold``;
+    5. connected components of the kept edges; the smallest id of a
+       component survives.
+
+    Returns the surviving rows, or (``keep_all``) every row with its
+    ``cluster`` id and a ``duplicate`` flag."""
+    if num_perm % bands:
+        raise ValueError("num_perm must be a multiple of bands")
+    r = num_perm // bands
+    from textloom.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    from textloom.functions.text import word_tokens
+
+    toks = df.select(F.col(id_col).alias("id"), word_tokens(F.lower(F.col(text_col))).alias("t"))
+    sh = toks.select("id", shingle_hashes("t", k).alias("sh"))
+    sh = sh.checkpoint(eager=True)
+    sig = minhash_columns(sh, "id", "sh", num_perm, seed)
+    band_keys = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{b * r + i}") for i in range(r)])
+                          for b in range(bands)])
+    keyed = sig.select("id", F.posexplode(band_keys).alias("band", "bkey")).checkpoint(eager=True)
+    reps = keyed.groupBy("band", "bkey").agg(F.min("id").alias("rep"))
+    edges = (keyed.join(reps, ["band", "bkey"]).filter(F.col("id") != F.col("rep"))
+             .select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct())
+    scored = (edges.join(sh.withColumnRenamed("id", "a").withColumnRenamed("sh", "sa"), "a")
+              .join(sh.withColumnRenamed("id", "b").withColumnRenamed("sh", "sb"), "b"))
+    inter = F.size(F.array_intersect("sa", "sb"))
+    union = F.size(F.array_union("sa", "sb"))
+    kept = scored.filter(inter >= F.lit(threshold) * union).select("a", "b")
+    labels = _components(kept, sh.select("id"))
+    out = df.join(labels.withColumnRenamed("id", id_col).withColumnRenamed("label", "cluster"),
+                  id_col)
+    out = out.withColumn("duplicate", F.col(id_col) != F.col("cluster"))
+    if keep_all:
+        return out
+    return out.filter(~F.col("duplicate")).drop("duplicate")

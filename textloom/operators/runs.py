@@ -23,6 +23,13 @@ from pyspark.sql import functions as F
 from textloom.operators.order import with_row_index
 
 
+def micros(c) -> Column:
+    """Microseconds since the epoch for TIMESTAMP or TIMESTAMP_NTZ columns
+    (NTZ wall clock read in the session time zone, pinned to UTC)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.unix_micros(c.cast("timestamp"))
+
+
 def _list(x):
     return [x] if isinstance(x, str) else list(x)
 
@@ -30,7 +37,7 @@ def _list(x):
 def run_steps(df: DataFrame, run_cols, ts_col: str = "ts", tiebreak: str = "event_id",
               step_col: str = "step") -> DataFrame:
     """Dense 0-based step per run in (ts, tiebreak) order."""
-    keyed = df.withColumn("_tl_ts", F.unix_micros(F.col(ts_col)))
+    keyed = df.withColumn("_tl_ts", micros(ts_col))
     return with_row_index(keyed, ["_tl_ts", tiebreak], step_col,
                           partition_by=_list(run_cols)).drop("_tl_ts")
 
@@ -80,14 +87,14 @@ def throughput(df: DataFrame, run_cols, window: int = 25, batch_size: int | None
     run_cols = _list(run_cols)
     base = df
     if samples_col is not None:
-        base = with_row_index(base.withColumn("_tl_tsu", F.unix_micros(F.col(ts_col))),
+        base = with_row_index(base.withColumn("_tl_tsu", micros(ts_col)),
                               [step_col], "_tl_ri", {"_tl_cum": samples_col},
                               partition_by=run_cols).drop("_tl_ri", "_tl_tsu")
         base = base.withColumn("_tl_cum", F.col("_tl_cum") + F.col(samples_col))
     else:
         base = base.withColumn("_tl_cum", (F.col(step_col) + 1) * F.lit(batch_size or 1))
     both, w = _blocked(base, run_cols, step_col, window, bucket_rows)
-    secs = F.unix_micros(F.col(ts_col)) / 1e6
+    secs = micros(ts_col) / 1e6
     both = both.withColumn("_tl_secs", secs)
     dn = F.col("_tl_cum") - F.lag("_tl_cum", window).over(w)
     dt = F.col("_tl_secs") - F.lag("_tl_secs", window).over(w)
@@ -97,7 +104,7 @@ def throughput(df: DataFrame, run_cols, window: int = 25, batch_size: int | None
 
 def run_duration(df: DataFrame, run_cols, ts_col: str = "ts") -> DataFrame:
     """Wall time per run, in seconds."""
-    us = F.unix_micros(F.col(ts_col))
+    us = micros(ts_col)
     return df.groupBy(*_list(run_cols)).agg(((F.max(us) - F.min(us)) / 1e6).alias("seconds"))
 
 

@@ -367,3 +367,27 @@ def q_micro_batches(spark, sf):
     idx = _train_eval_index(spark, sf)
     return bt.micro_batches(bt.assign_batches(idx, 56), 56, 8).select(
         "doc_id", "split", "batch_id", "micro_id")
+
+
+# ---------------------------------------------------------------- streaming dedup
+@query("dedup_stream", f"SELECT DISTINCT {TRIM} AS text FROM documents WHERE length({TRIM}) > 0")
+def q_dedup_stream(spark, sf):
+    from textloom import streaming
+
+    src_dir = scratch_path(spark, "stream-in")
+    docs = table(spark, sf, "documents")
+    src.write_delimited(docs.select(F.concat(F.lit(" "), "text", F.lit("\n")).alias("text"))
+                        .repartition(4), src_dir)
+    stream = streaming.read_delimited_stream(spark, src_dir, repair_bytes=False,
+                                             max_files_per_trigger=1)
+    out = streaming.dedup_stream(stream, "text")
+    sink, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    streaming.run_available_now(out.select("text", "text_md5"), sink, ckpt)
+    return spark.read.parquet(sink).select("text")
+
+
+@query("dedup_near")
+def q_dedup_near(spark, sf):
+    docs = documents(spark, sf).select("doc_id", "split", "text")
+    out = dedup.dedup_near(docs, "doc_id", "text", threshold=0.8, keep_all=True)
+    return out.select("doc_id", "split", "cluster", "duplicate")
