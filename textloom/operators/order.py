@@ -48,6 +48,8 @@ def _bucketize(df: DataFrame, order_by: list[str], n: int) -> DataFrame:
         probs = [i / n for i in range(1, n)]
         bounds = df.approxQuantile(key, probs, 1.0 / (4 * n)) if n > 1 else []
         splits = [float("-inf")] + sorted({float(b) for b in bounds}) + [float("inf")]
+        if len(splits) < 3:
+            return df.withColumn("_tl_bucket", F.lit(0))
         dbl = df.withColumn("_tl_key", F.col(key).cast("double"))
         out = Bucketizer(splits=splits, inputCol="_tl_key", outputCol="_tl_b",
                          handleInvalid="keep").transform(dbl)
