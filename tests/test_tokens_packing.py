@@ -172,3 +172,20 @@ def test_word_level_vocab_and_decode(spark):
     ids = enc.encode(df, tok).first()
     assert ids.input_ids == [5, 7, 0, 6] and ids.num_tokens == 4
     assert enc.decode(enc.encode(df, tok), tok).first().text == "a c b"
+
+
+def test_unigram_train_and_roundtrip(spark):
+    from textloom.operators.unigram import train_unigram
+    texts = ["the cat sat on the mat", "the cat ate the rat", "a mat for the cat"] * 3
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    vocab = train_unigram(df, vocab_size=30, max_piece_len=6)
+    rows = vocab.orderBy("id").collect()
+    assert [r.piece for r in rows[:5]] == list(SPECIAL_TOKENS)
+    assert len(rows) <= 30
+    pieces = {r.piece for r in rows}
+    assert {"▁", "t", "h", "e"} <= pieces  # single characters are never pruned
+    tok = enc.Tokenizer("unigram", vocab)
+    back = {r.doc_id: r.text for r in enc.decode(enc.encode(df, tok), tok).collect()}
+    assert back == dict(enumerate(texts))
+    f = tok.piece_encoder()
+    assert f("▁q") == [f("▁")[0], 0]  # unknown character -> unknown id

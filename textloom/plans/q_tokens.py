@@ -167,3 +167,21 @@ def _turn_pairs(conv):
     a = conv.filter(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("tgt"))
     return u.join(a, ["conv_id", "turn"])
+
+
+@query("train_unigram")
+def q_train_unigram(spark, sf):
+    from textloom.operators.unigram import train_unigram
+    return train_unigram(_train_docs(spark, sf), vocab_size=400, max_piece_len=8)
+
+
+@query("encode_unigram")
+def q_encode_unigram(spark, sf):
+    from textloom.operators.unigram import train_unigram
+    vocab = train_unigram(_train_docs(spark, sf), vocab_size=400, max_piece_len=8)
+    tok = enc.Tokenizer("unigram", vocab)
+    docs = documents(spark, sf).select("doc_id", "split", "text")
+    ids = enc.encode(docs, tok, "text", ["doc_id", "split"])
+    back = enc.decode(ids, tok, "input_ids", ["doc_id"], out_col="decoded")
+    return (ids.join(back, "doc_id").join(docs.select("doc_id", "text"), "doc_id")
+            .select("doc_id", "split", "num_tokens", "decoded"))
