@@ -172,6 +172,19 @@ def test_word_level_vocab_and_decode(spark):
     ids = enc.encode(df, tok).first()
     assert ids.input_ids == [5, 7, 0, 6] and ids.num_tokens == 4
     assert enc.decode(enc.encode(df, tok), tok).first().text == "a c b"
+    # the hot/cold path (dictionary above the broadcast bound) gives the same ids
+    hc = enc.encode(df, tok, hot_words=1, broadcast_rows=1).first()
+    assert hc.input_ids == [5, 7, 0, 6]
+
+
+def test_bpe_hot_cold_path(spark):
+    texts = ["the cat sat on the mat", "the dog sat", "héllo wörld, the end!"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    vocab, merges = bpe.train_bpe(df, vocab_size=270, min_frequency=1)
+    tok = enc.Tokenizer("bytebpe", vocab, merges, specials=tuple(SPECIAL_TOKENS[1:]))
+    a = {r.doc_id: r.input_ids for r in enc.encode(df, tok).collect()}
+    b = {r.doc_id: r.input_ids for r in enc.encode(df, tok, hot_words=2, broadcast_rows=1).collect()}
+    assert a == b
 
 
 def test_unigram_train_and_roundtrip(spark):

@@ -208,23 +208,51 @@ def encode_dictionary(words: DataFrame, tok: Tokenizer) -> DataFrame:
 
 
 def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", id_cols=("doc_id",),
-           out_col: str = "input_ids", hot_words: int = 10000) -> DataFrame:
-    """T7 + T8: ``input_ids`` and ``num_tokens`` for every row of ``df``."""
+           out_col: str = "input_ids", hot_words: int = 10000,
+           broadcast_rows: int = 1_000_000) -> DataFrame:
+    """T7 + T8: ``input_ids`` and ``num_tokens`` for every row of ``df``.
+
+    One pass over the token stream.  When the dictionary (distinct pieces)
+    passes a checked bound of ``broadcast_rows`` it is broadcast whole and the
+    join is narrow.  Beyond the bound, the ``hot_words`` most frequent pieces
+    (a bounded top-k) join by broadcast and every other piece joins the
+    dictionary by shuffle; hot rows carry a salted key that matches nothing,
+    so they spread evenly instead of piling onto one reducer."""
     id_cols = list(id_cols)
+    spark = df.sparkSession
     occ = df.select(*id_cols, F.posexplode_outer(tok.pieces(F.col(text_col))).alias("pos", "word"))
-    words = occ.filter(F.col("word").isNotNull()).groupBy("word").agg(
-        F.count(F.lit(1)).cast("long").alias("n"))
-    enc = encode_dictionary(words, tok)
-    # the hottest pieces: a bounded top-k, broadcast
-    hot = F.broadcast(enc.orderBy(F.desc("n"), "word").limit(hot_words).select(
-        "word", F.col("ids").alias("hot_ids")))
-    tagged = occ.join(hot, "word", "left")
-    done = tagged.filter(F.col("hot_ids").isNotNull() | F.col("word").isNull()).select(
-        *id_cols, "pos", F.col("hot_ids").alias("ids"))
-    rest = (tagged.filter(F.col("hot_ids").isNull() & F.col("word").isNotNull())
-            .select(*id_cols, "pos", "word")
-            .join(enc.select("word", "ids"), "word").select(*id_cols, "pos", "ids"))
-    tokens = done.unionByName(rest)
+    if tok.model == "word":
+        # the vocabulary is the dictionary; ids are frequency ranks
+        k = len(tok.specials)
+        body = tok.vocab.filter(~F.col("special"))
+        hot = bounded_broadcast(body.filter(F.col("id") < k + hot_words).select(
+            F.col("piece").alias("word"),
+            F.array("id").alias("hot_ids")), hot_words, "hot words")
+        cold = body.select(F.col("piece").alias("_tl_jk"), F.array("id").alias("cold_ids"))
+        unk = tok.special_id(UNK)
+    else:
+        words = occ.filter(F.col("word").isNotNull()).groupBy("word").agg(
+            F.count(F.lit(1)).cast("long").alias("n"))
+        from textloom.session import checkpoint_dir
+        checkpoint_dir(spark)
+        # distinct pieces encoded once; checkpointed so the Python encoder never reruns
+        enc = encode_dictionary(words, tok).checkpoint(eager=True)
+        hot = F.broadcast(enc.orderBy(F.desc("n"), "word").limit(hot_words).select(
+            "word", F.col("ids").alias("hot_ids")))
+        cold = enc.select(F.col("word").alias("_tl_jk"), F.col("ids").alias("cold_ids"))
+        unk = None
+    small = cold.limit(broadcast_rows + 1).count() <= broadcast_rows
+    if small:
+        whole = F.broadcast(cold.select(F.col("_tl_jk").alias("word"),
+                                        F.col("cold_ids").alias("hot_ids")))
+        joined = occ.join(whole, "word", "left").withColumn("cold_ids", F.lit(None))
+    else:
+        joined = _hot_cold_join(occ, hot, cold, id_cols)
+    ids = F.coalesce(F.col("hot_ids"), F.col("cold_ids"))
+    if unk is not None:
+        ids = F.when(F.col("word").isNull(), F.lit(None)).otherwise(
+            F.coalesce(ids, F.array(F.lit(unk))))
+    tokens = joined.select(*id_cols, "pos", ids.alias("ids"))
     ordered = F.array_sort(F.collect_list(F.struct("pos", "ids")))
     out = tokens.groupBy(*id_cols).agg(ordered.alias("_tl_p")).select(
         *id_cols, F.flatten(F.filter(F.transform("_tl_p", lambda s: s["ids"]),
@@ -232,6 +260,15 @@ def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", id_cols=("doc_
     return out.withColumn("num_tokens", F.size(out_col).cast("long"))
 
 
+def _hot_cold_join(occ: DataFrame, hot: DataFrame, cold: DataFrame, id_cols) -> DataFrame:
+    tagged = occ.join(hot, "word", "left")
+    is_hot = F.col("hot_ids").isNotNull()
+    salt = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*id_cols, "pos"), F.lit(4096)).cast("string"))
+    keyed = (tagged.withColumn("_tl_jk", F.when(is_hot, salt).otherwise(F.col("word")))
+             .withColumn("_tl_hot", is_hot))
+    return keyed.join(cold.withColumn("_tl_hot", F.lit(False)), ["_tl_jk", "_tl_hot"], "left")
+
+
 def token_totals(df: DataFrame, group_cols=("split",), n_col: str = "num_tokens") -> DataFrame:
     """Total tokens per group."""
     return df.groupBy(*group_cols).agg(F.sum(n_col).cast("long").alias("total_tokens"),
@@ -315,4 +352,5 @@ def word_level_vocab(counts: DataFrame, word_col: str = "word", count_col: str =
                          F.col("piece").alias("text"), F.lit(False).alias("special"))
     spec = spark.createDataFrame([(i, s, s, True) for i, s in enumerate(special_tokens)],
                                  "id int, piece string, text string, special boolean")
-    return spec.unionByName(body)
+    # a trained artifact, read several times by encode/decode: checkpoint it
+    return spec.unionByName(body).checkpoint(eager=True)

@@ -47,13 +47,24 @@ def _bucketize(df: DataFrame, order_by: list[str], n: int) -> DataFrame:
 
         probs = [i / n for i in range(1, n)]
         bounds = df.approxQuantile(key, probs, 1.0 / (4 * n)) if n > 1 else []
-        splits = [float("-inf")] + sorted({float(b) for b in bounds}) + [float("inf")]
+        distinct = sorted({float(b) for b in bounds})
+        if n > 1 and len(order_by) > 1 and len(distinct) < 0.75 * (n - 1):
+            # the leading key is heavily tied: a tie group would become one
+            # huge bucket, so range-partition on the whole key instead
+            return _range_buckets(df, order_by, n)
+        splits = [float("-inf")] + distinct + [float("inf")]
         if len(splits) < 3:
             return df.withColumn("_tl_bucket", F.lit(0))
         dbl = df.withColumn("_tl_key", F.col(key).cast("double"))
         out = Bucketizer(splits=splits, inputCol="_tl_key", outputCol="_tl_b",
                          handleInvalid="keep").transform(dbl)
         return out.withColumn("_tl_bucket", F.col("_tl_b").cast("int")).drop("_tl_key", "_tl_b")
+    return _range_buckets(df, order_by, n)
+
+
+def _range_buckets(df: DataFrame, order_by: list[str], n: int) -> DataFrame:
+    """Range partitions on the full key, checkpointed so that the size pass
+    and the position pass see the same partitioning."""
     checkpoint_dir(df.sparkSession)
     ranged = df.repartitionByRange(n, *order_by).checkpoint(eager=True)
     return ranged.withColumn("_tl_bucket", F.spark_partition_id())
@@ -61,11 +72,17 @@ def _bucketize(df: DataFrame, order_by: list[str], n: int) -> DataFrame:
 
 def with_row_index(df: DataFrame, order_by, index_col: str = "row_index",
                    prefix_sums: dict[str, str] | None = None, num_buckets: int | None = None,
-                   partition_by=None) -> DataFrame:
+                   partition_by=None, checkpoint_input: bool = False) -> DataFrame:
     """Dense 0-based ``index_col`` in ``order_by`` order (within each
     ``partition_by`` group when given); ``prefix_sums`` maps an output column
-    to a numeric column whose exclusive running total it holds."""
+    to a numeric column whose exclusive running total it holds.
+
+    The input is read up to three times (bounds, sizes, positions); pass
+    ``checkpoint_input=True`` when it is expensive to recompute."""
     order_by = _names(order_by)
+    if checkpoint_input:
+        checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     prefix_sums = dict(prefix_sums or {})
     groups = _names(partition_by) if partition_by else []
     spark = df.sparkSession

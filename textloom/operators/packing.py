@@ -17,17 +17,20 @@ from pyspark.sql import functions as F
 from textloom.functions.arrays import (IGNORE_INDEX, causal_inputs, causal_targets, hashed_unit,
                                        mask_ids, shift_right, windows_of)
 from textloom.operators.order import with_row_index
+from textloom.session import checkpoint_dir
 
 TALE_LENGTHS = tuple(range(128, 1281, 128))
 
 
 def _pack(df: DataFrame, L: int, cols: list[str], order_by, batch_size: int | None,
           group_cols: list[str]) -> DataFrame:
+    checkpoint_dir(df.sparkSession)
     zipped = F.arrays_zip(*[F.col(c) for c in cols]) if len(cols) > 1 else F.col(cols[0])
     base = df.select(*group_cols, *(order_by if isinstance(order_by, list) else [order_by]),
                      zipped.alias("_tl_z")).withColumn("_tl_n", F.size("_tl_z").cast("long"))
     if batch_size:
-        idx = with_row_index(base, order_by, "_tl_ri", partition_by=group_cols or None)
+        idx = with_row_index(base, order_by, "_tl_ri", partition_by=group_cols or None,
+                             checkpoint_input=True)
         idx = idx.withColumn("_tl_stream", F.floor(F.col("_tl_ri") / batch_size).cast("long"))
         w = Window.partitionBy(*group_cols, "_tl_stream").orderBy("_tl_ri")
         idx = (idx.withColumn("_tl_s", F.coalesce(F.sum("_tl_n").over(
@@ -36,6 +39,7 @@ def _pack(df: DataFrame, L: int, cols: list[str], order_by, batch_size: int | No
                    Window.partitionBy(*group_cols, "_tl_stream")).cast("long")))
         # windows above: a batch holds batch_size rows, a bounded group
     else:
+        base = base.checkpoint(eager=True)
         idx = with_row_index(base, order_by, "_tl_ri", {"_tl_s": "_tl_n"},
                              partition_by=group_cols or None)
         idx = idx.withColumn("_tl_stream", F.lit(0).cast("long"))
