@@ -202,3 +202,11 @@ def test_unigram_train_and_roundtrip(spark):
     assert back == dict(enumerate(texts))
     f = tok.piece_encoder()
     assert f("▁q") == [f("▁")[0], 0]  # unknown character -> unknown id
+
+
+def test_bpe_approximate_mode_runs(spark):
+    texts = ["the cat sat on the mat", "the dog sat on a log", "a cat and a dog"] * 2
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    vocab, merges = bpe.train_bpe(df, vocab_size=4 + 256 + 12, min_frequency=1, merges_per_round=4)
+    m = [(r.left, r.right) for r in merges.orderBy("rank").collect()]
+    assert 0 < len(m) <= 12 and len(set(m)) == len(m)

@@ -87,16 +87,27 @@ def pair_counts(words: DataFrame) -> DataFrame:
 
 
 def choose_merges(top: list[tuple[str, str, int]], limit: int, min_frequency: int,
-                  complete_above: int) -> list[tuple[str, str, int]]:
+                  complete_above: int, approx_per_round: int = 1) -> list[tuple[str, str, int]]:
     """Greedy-exact selection from the sorted top pairs (see module doc).
 
     ``complete_above``: every pair with a count above this value is in ``top``.
+    ``approx_per_round > 1`` switches to the APPROXIMATE mode: up to that many
+    symbol-disjoint pairs from the top of the list, without the exactness
+    bound (pairs a merge would create or weaken are not re-ranked).
     """
     chosen: list[tuple[str, str, int]] = []
     touched: set[str] = set()
     for l, r, c in top:
         if len(chosen) >= limit or c < max(min_frequency, 1):
             break
+        if approx_per_round > 1:
+            if len(chosen) >= approx_per_round:
+                break
+            if l in touched or r in touched:
+                continue
+            chosen.append((l, r, c))
+            touched.update((l, r))
+            continue
         if chosen:
             if c <= complete_above or l in touched or r in touched:
                 break
@@ -111,7 +122,8 @@ def choose_merges(top: list[tuple[str, str, int]], limit: int, min_frequency: in
 
 
 def _merge_loop(spark: SparkSession, words: DataFrame, n_merges: int, min_frequency: int,
-                top_k: int, checkpoint_every: int) -> list[tuple[str, str, int]]:
+                top_k: int, checkpoint_every: int, merges_per_round: int = 1
+                ) -> list[tuple[str, str, int]]:
     checkpoint_dir(spark)
     n_parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     words = words.repartition(n_parts).checkpoint(eager=True)
@@ -125,7 +137,8 @@ def _merge_loop(spark: SparkSession, words: DataFrame, n_merges: int, min_freque
             break
         top = [(r["left"], r["right"], int(r["count"])) for r in top_rows]
         complete_above = top[top_k][2] if len(top) > top_k else -1
-        chosen = choose_merges(top[:top_k], n_merges - len(merges), min_frequency, complete_above)
+        chosen = choose_merges(top[:top_k], n_merges - len(merges), min_frequency, complete_above,
+                               merges_per_round)
         if not chosen:
             break
         merges.extend(chosen)
@@ -160,9 +173,14 @@ def _tables(spark, specials, alphabet, merges):
 
 def train_bpe(texts: DataFrame, vocab_size: int = 8000, text_col: str = "text",
               special_tokens=tuple(SPECIAL_TOKENS[1:]), min_frequency: int = 2,
-              top_k: int = 64, checkpoint_every: int = 10) -> tuple[DataFrame, DataFrame]:
+              top_k: int = 64, checkpoint_every: int = 10, merges_per_round: int = 1
+              ) -> tuple[DataFrame, DataFrame]:
     """T4: byte-level BPE.  Returns ``(vocab, merges)``.
 
+    ``merges_per_round=1`` (default) is exact greedy BPE.  A larger value is
+    an APPROXIMATE mode for big vocabularies: one Spark job takes that many
+    symbol-disjoint top pairs.
+
     Vocabulary: special tokens, then the 256 byte symbols, then one symbol
     per merge in merge order.  Pre-tokenisation is the byte-level split."""
     spark = texts.sparkSession
@@ -171,14 +189,15 @@ def train_bpe(texts: DataFrame, vocab_size: int = 8000, text_col: str = "text",
              .select(byte_symbols(F.col("w")).alias("syms"), "freq"))
     alphabet = [f"{b:02x}" for b in range(256)]
     n_merges = max(0, vocab_size - len(special_tokens) - len(alphabet))
-    merges = _merge_loop(spark, words, n_merges, min_frequency, top_k, checkpoint_every)
+    merges = _merge_loop(spark, words, n_merges, min_frequency, max(top_k, merges_per_round),
+                         checkpoint_every, merges_per_round)
     return _tables(spark, list(special_tokens), alphabet, merges)
 
 
 def train_wordpiece(texts: DataFrame, vocab_size: int = 8000, text_col: str = "text",
                     lower_case: bool = True, special_tokens=tuple(SPECIAL_TOKENS),
-                    min_frequency: int = 0, top_k: int = 64, checkpoint_every: int = 10
-                    ) -> tuple[DataFrame, DataFrame]:
+                    min_frequency: int = 0, top_k: int = 64, checkpoint_every: int = 10,
+                    merges_per_round: int = 1) -> tuple[DataFrame, DataFrame]:
     """T5: the same merge loop on characters with a ``##`` continuation prefix,
     after NFD / optional lower-case / accent stripping and the whitespace
     pre-tokenizer.  Vocabulary: specials, the sorted alphabet (plain and
@@ -194,5 +213,6 @@ def train_wordpiece(texts: DataFrame, vocab_size: int = 8000, text_col: str = "t
     alphabet = sorted(r["s"] for r in words.select(F.explode(F.split("syms", " ")).alias("s"))
                       .distinct().collect())
     n_merges = max(0, vocab_size - len(special_tokens) - len(alphabet))
-    merges = _merge_loop(spark, words, n_merges, min_frequency, top_k, checkpoint_every)
+    merges = _merge_loop(spark, words, n_merges, min_frequency, max(top_k, merges_per_round),
+                         checkpoint_every, merges_per_round)
     return _tables(spark, list(special_tokens), alphabet, merges)

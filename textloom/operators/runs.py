@@ -56,10 +56,14 @@ def _blocked(df: DataFrame, run_cols, step_col: str, halo: int, bucket_rows: int
     if halo >= bucket_rows:
         raise ValueError("bucket_rows must exceed the window")
     blk = F.floor(F.col(step_col) / bucket_rows).cast("long")
-    main = df.withColumn("_tl_blk", blk).withColumn("_tl_halo", F.lit(False))
-    tail = (df.filter(F.pmod(F.col(step_col), F.lit(bucket_rows)) >= bucket_rows - halo)
-            .withColumn("_tl_blk", blk + 1).withColumn("_tl_halo", F.lit(True)))
-    both = main.unionByName(tail)
+    in_tail = F.pmod(F.col(step_col), F.lit(bucket_rows)) >= bucket_rows - halo
+    own = F.struct(blk.alias("b"), F.lit(False).alias("h"))
+    copy = F.struct((blk + 1).alias("b"), F.lit(True).alias("h"))
+    # one pass: every row once, plus one halo copy of each block's tail
+    tags = F.when(in_tail, F.array(own, copy)).otherwise(F.array(own))
+    both = (df.withColumn("_tl_tag", F.explode(tags))
+            .withColumn("_tl_blk", F.col("_tl_tag.b")).withColumn("_tl_halo", F.col("_tl_tag.h"))
+            .drop("_tl_tag"))
     w = Window.partitionBy(*run_cols, "_tl_blk").orderBy(step_col)
     return both, w
 
