@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,12 +85,64 @@ def _components(edges: DataFrame, nodes: DataFrame, max_iter: int = 50) -> DataF
     return labels
 
 
+_SIG_SCHEMA = "id long, sh array<long>, sig array<long>"
+
+
+def _minhash_batches(k: int, num_perm: int, seed: int):
+    """Per text, vectorised with numpy: k-gram hashes from the token hashes
+    (rolling polynomial, uint64 wrap), their distinct set, and a MinHash
+    signature under ``num_perm`` multiply-add permutations of the 64-bit
+    space (odd multipliers: each map is a bijection)."""
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    a = (rng.integers(0, 2**63, num_perm, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
+    b = rng.integers(0, 2**63, num_perm, dtype=np.uint64)
+    base = np.uint64(1099511628211)
+
+    def run(it):
+        for pdf in it:
+            shs, sigs = [], []
+            for th in pdf["th"]:
+                t = np.asarray(th, dtype=np.int64).view(np.uint64)
+                n = len(t)
+                if n == 0:
+                    t, n = np.zeros(1, dtype=np.uint64), 1
+                m = max(n - k + 1, 1)
+                kk = min(k, n)
+                h = np.zeros(m, dtype=np.uint64)
+                with np.errstate(over="ignore"):
+                    for j in range(kk):
+                        h = h * base + t[j:j + m]
+                    h = np.unique(h)
+                    mins = np.full(num_perm, np.iinfo(np.uint64).max, dtype=np.uint64)
+                    for lo in range(0, len(h), 4096):
+                        blk = h[lo:lo + 4096, None] * a[None, :] + b[None, :]
+                        mins = np.minimum(mins, blk.min(axis=0))
+                shs.append(h.view(np.int64))
+                sigs.append(mins.view(np.int64))
+            yield pd.DataFrame({"id": pdf["id"], "sh": shs, "sig": sigs})
+    return run
+
+
+def minhash_signatures(df: DataFrame, id_col: str, text_col: str, k: int = 5,
+                       num_perm: int = 128, seed: int = 1) -> DataFrame:
+    """``(id, sh, sig)``: distinct shingle hashes and MinHash signature per text.
+    Tokenising and token hashing are Spark expressions; the per-text
+    signature arithmetic is numpy in ``mapInPandas``."""
+    from textloom.functions.text import word_tokens
+
+    toks = df.select(F.col(id_col).alias("id"), word_tokens(F.lower(F.col(text_col))).alias("t"))
+    th = toks.select("id", F.transform("t", lambda w: F.xxhash64(w)).alias("th"))
+    return th.mapInPandas(_minhash_batches(k, num_perm, seed), _SIG_SCHEMA)
+
+
 def dedup_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                threshold: float = 0.8, num_perm: int = 128, bands: int = 16, k: int = 5,
                seed: int = 1, keep_all: bool = False) -> DataFrame:
     """D3: MinHash-LSH near-duplicate removal.
 
-    1. shingle hashes and a ``num_perm`` MinHash signature per text;
+    1. distinct word k-gram hashes and a ``num_perm`` MinHash signature per text;
     2. ``bands`` band keys per text; texts sharing a band key form a bucket;
     3. every bucket yields *star* edges (member -> smallest id of the bucket):
        linear in bucket size, never all pairs;
@@ -106,18 +159,14 @@ def dedup_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     from textloom.session import checkpoint_dir
 
     checkpoint_dir(df.sparkSession)
-    from textloom.functions.text import word_tokens
-
-    toks = df.select(F.col(id_col).alias("id"), word_tokens(F.lower(F.col(text_col))).alias("t"))
-    sh = toks.select("id", shingle_hashes("t", k).alias("sh"))
-    sh = sh.checkpoint(eager=True)
-    sig = minhash_columns(sh, "id", "sh", num_perm, seed)
-    band_keys = F.array(*[F.xxhash64(F.lit(b), *[F.col(f"m{b * r + i}") for i in range(r)])
+    sig = minhash_signatures(df, id_col, text_col, k, num_perm, seed).checkpoint(eager=True)
+    band_keys = F.array(*[F.xxhash64(F.lit(b), F.slice("sig", b * r + 1, r))
                           for b in range(bands)])
-    keyed = sig.select("id", F.posexplode(band_keys).alias("band", "bkey")).checkpoint(eager=True)
+    keyed = sig.select("id", F.posexplode(band_keys).alias("band", "bkey"))
     reps = keyed.groupBy("band", "bkey").agg(F.min("id").alias("rep"))
     edges = (keyed.join(reps, ["band", "bkey"]).filter(F.col("id") != F.col("rep"))
              .select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct())
+    sh = sig.select("id", "sh")
     scored = (edges.join(sh.withColumnRenamed("id", "a").withColumnRenamed("sh", "sa"), "a")
               .join(sh.withColumnRenamed("id", "b").withColumnRenamed("sh", "sb"), "b"))
     inter = F.size(F.array_intersect("sa", "sb"))
