@@ -8,7 +8,7 @@ from textloom.functions.text import SPECIAL_TOKENS
 from textloom.operators import bpe, encode as enc
 from textloom.operators.pretokenize import word_counts
 from textloom.plans.registry import query
-from textloom.plans.sql import DOCS, WORD_IDS, WP, ids_str
+from textloom.plans.sql import DOCS, WORD_IDS, WORD_VOCAB, WP, ids_of, ids_str
 from textloom.plans.tables import documents, table
 
 
@@ -151,14 +151,32 @@ def q_encode_wordpiece(spark, sf):
                                                                       "num_tokens")
 
 
-@query("encode_pair")
+_PAIRS = """
+pr AS (SELECT u.conv_id, u.turn, u.text AS src, a.text AS tgt FROM conversations u
+       JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+       WHERE u.role = 'user' AND a.role = 'assistant')"""
+_SRC = "coalesce(s.ids, CAST([] AS INTEGER[]))"
+_TGT = "coalesce(t.ids, CAST([] AS INTEGER[]))"
+
+
+@query("encode_pair", f"""
+WITH {WORD_VOCAB}, {_PAIRS},
+{ids_of('s', 'pr', 'src', 'conv_id, turn')},
+{ids_of('t', 'pr', 'tgt', 'conv_id, turn')}
+SELECT pr.conv_id, pr.turn,
+  {ids_str(f'list_concat(list_slice({_SRC}, 1, 768), list_transform(range(greatest(768 - len({_SRC}), 0)), lambda x: 1))')} AS input_ids,
+  {ids_str(f'list_concat(list_transform(range(least(len({_SRC}), 768)), lambda x: 1), list_transform(range(greatest(768 - len({_SRC}), 0)), lambda x: 0))')} AS attention_mask,
+  {ids_str(f'list_slice({_TGT}, 1, 128)')} AS labels
+FROM pr LEFT JOIN s USING (conv_id, turn) LEFT JOIN t USING (conv_id, turn)
+""")
 def q_encode_pair(spark, sf):
     tok = word_tokenizer(spark, sf)
     conv = table(spark, sf, "conversations")
     pairs = _turn_pairs(conv)
     out = enc.encode_pair(pairs, tok, "src", "tgt", ["conv_id", "turn"], 768, 128)
-    return out.select("conv_id", "turn", F.size("input_ids").alias("n_in"),
-                      F.size("labels").alias("n_labels"))
+    return out.select("conv_id", "turn", arr_str("input_ids").alias("input_ids"),
+                      arr_str("attention_mask").alias("attention_mask"),
+                      arr_str("labels").alias("labels"))
 
 
 def _turn_pairs(conv):
