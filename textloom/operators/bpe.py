@@ -128,11 +128,15 @@ def _merge_loop(spark: SparkSession, words: DataFrame, n_merges: int, min_freque
     n_parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     words = words.repartition(n_parts).checkpoint(eager=True)
     merges: list[tuple[str, str, int]] = []
+    stale: list[DataFrame] = []
     rounds = 0
     while len(merges) < n_merges:
         top_rows = (pair_counts(words)
                     .orderBy(F.desc("count"), F.asc("left"), F.asc("right"))
                     .limit(top_k + 1).collect())
+        for old in stale:  # the current table is materialised now
+            old.unpersist()
+        stale = []
         if not top_rows:
             break
         top = [(r["left"], r["right"], int(r["count"])) for r in top_rows]
@@ -142,10 +146,17 @@ def _merge_loop(spark: SparkSession, words: DataFrame, n_merges: int, min_freque
         if not chosen:
             break
         merges.extend(chosen)
+        prev = words
         words = words.withColumn("syms", apply_merges(F.col("syms"), [(l, r) for l, r, _ in chosen]))
         rounds += 1
         if rounds % checkpoint_every == 0:
             words = words.repartition(n_parts).checkpoint(eager=True)
+        else:
+            # cache the merged table so the next round does not re-apply every
+            # earlier round's merges (lineage is kept: a lost block recomputes)
+            words = words.persist()
+        if prev.storageLevel.useMemory:
+            stale.append(prev)
     return merges
 
 

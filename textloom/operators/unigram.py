@@ -119,7 +119,10 @@ def train_unigram(texts: DataFrame, vocab_size: int = 8000, text_col: str = "tex
     chunks = F.regexp_extract_all(F.col(text_col), F.lit(f"[^{WHITESPACE_CLASS}]+"), F.lit(0))
     words = (texts.select(F.explode(chunks).alias("c"))
              .groupBy(F.concat(F.lit(METASPACE), "c").alias("word"))
-             .agg(F.count(F.lit(1)).cast("long").alias("freq"))).checkpoint(eager=True)
+             .agg(F.count(F.lit(1)).cast("long").alias("freq")))
+    # spread the distinct words over all cores before the Python E-steps
+    n_parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    words = words.repartition(n_parts).checkpoint(eager=True)
     target = vocab_size - len(special_tokens)
     seed_size = seed_size or max(4 * target, 1000)
     L = max_piece_len

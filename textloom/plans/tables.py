@@ -7,8 +7,24 @@ from pyspark.sql import DataFrame, SparkSession
 from textloom.sources.splits import with_split
 
 
+TEXT_TABLES = ("documents", "conversations", "pages", "benchmark")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over every core when it has fewer partitions than the
+    default parallelism (a single-row-group file is one task).  Large inputs
+    already have many splits and are returned untouched: no extra shuffle."""
+    sc = df.sparkSession.sparkContext
+    want = sc.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    # text rows are CPU-heavy (regex, hashing, Python encoders): use all cores
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
