@@ -90,23 +90,18 @@ def with_row_index(df: DataFrame, order_by, index_col: str = "row_index",
     b = _bucketize(df, order_by, n)
     aggs = [F.count(F.lit(1)).alias("_tl_n")] + [
         F.sum(F.col(v)).alias(f"_tl_s_{i}") for i, v in enumerate(prefix_sums.values())]
-    # one row per (group, bucket): the size and sums of every bucket
-    sizes = b.groupBy(*groups, "_tl_bucket").agg(*aggs).collect()
-    running: dict[tuple, list] = {}
-    rows = []
-    for r in sorted(sizes, key=lambda r: tuple(r[g] for g in groups) + (r["_tl_bucket"],)):
-        g = tuple(r[x] for x in groups)
-        acc = running.setdefault(g, [0] * (1 + len(prefix_sums)))
-        rows.append(g + (r["_tl_bucket"], *acc))
-        acc[0] += r["_tl_n"]
-        for i in range(len(prefix_sums)):
-            acc[i + 1] += r[f"_tl_s_{i}"] or 0
-    fields = [b.schema[g] for g in groups] + [
-        T.StructField("_tl_bucket", T.IntegerType()), T.StructField("_tl_off", T.LongType())] + [
-        T.StructField(f"_tl_o_{i}", T.LongType()) for i in range(len(prefix_sums))]
-    offsets = spark.createDataFrame(rows, T.StructType(fields))
-    # bounded: one row per (group, bucket)
-    joined = b.join(F.broadcast(offsets), [*groups, "_tl_bucket"], "left")
+    # one row per (group, bucket); offsets are exclusive running sums over the
+    # buckets of a group -- computed in Spark, windowed per group
+    sizes = b.groupBy(*groups, "_tl_bucket").agg(*aggs)
+    wb = Window.partitionBy(*groups).orderBy("_tl_bucket").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        *groups, "_tl_bucket",
+        F.coalesce(F.sum("_tl_n").over(wb), F.lit(0)).cast("long").alias("_tl_off"),
+        *[F.coalesce(F.sum(f"_tl_s_{i}").over(wb), F.lit(0)).cast("long").alias(f"_tl_o_{i}")
+          for i in range(len(prefix_sums))])
+    # at most groups x buckets rows; AQE broadcasts it when small
+    joined = b.join(offsets, [*groups, "_tl_bucket"], "left")
     w = Window.partitionBy(*groups, "_tl_bucket").orderBy(*order_by)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     out = joined.withColumn(index_col, (F.col("_tl_off") + F.row_number().over(w) - 1).cast("long"))
