@@ -40,12 +40,21 @@ def q_read_delimited(spark, sf):
     return out.select("text", F.length("text").cast("long").alias("n_chars"))
 
 
-@query("decode_repair")
+def _cp1252_sql() -> str:
+    src_chars, dst_chars = tx._CP1252_FROM, tx._CP1252_TO
+    frm = " || ".join(f"chr({ord(c)})" for c in src_chars)
+    to = " || ".join(f"chr({ord(c)})" for c in dst_chars)
+    return f"""
+SELECT doc_id, translate(array_to_string(list_transform(range(length(h) // 2),
+         lambda i: chr(CAST('0x' || substr(h, 2 * i + 1, 2) AS INTEGER))), ''), {frm}, {to}) AS text
+FROM (SELECT doc_id, hex(encode(text)) AS h FROM documents)"""
+
+
+@query("decode_repair", _cp1252_sql())
 def q_decode_repair(spark, sf):
     # UTF-8 bytes read back as windows-1252: the repairing decoder never fails
     docs = table(spark, sf, "documents").select("doc_id", F.encode("text", "UTF-8").alias("raw"))
-    out = src.decode_repair(docs, "raw", "text")
-    return out.select("doc_id", F.length("text").cast("long").alias("n_chars"))
+    return src.decode_repair(docs, "raw", "text").select("doc_id", "text")
 
 
 @query("read_whole_docs", """
