@@ -76,3 +76,10 @@ def test_grid_parse_warmup_lr(spark):
     lr = spark.range(0, 11).select(rn.lr_at(F.col("id"), 10, 1.0, 2).alias("lr")).collect()
     vals = [r.lr for r in lr]
     assert vals[0] == 0 and vals[1] == 0.5 and abs(vals[2] - 1.0) < 1e-12 and abs(vals[10]) < 1e-12
+
+
+def test_zero_denominators_give_null_not_errors(spark):
+    one = spark.createDataFrame([("r", 0)], "run string, step long")
+    assert rn.train_pct(one, ["run"]).first().train_pct is None
+    short = spark.createDataFrame([(0, "a b", "a b")], "k long, p string, r string")
+    assert sc.bleu(short, "k", "p", "r").first().bleu == 0.0

@@ -125,7 +125,7 @@ def _merge_loop(spark: SparkSession, words: DataFrame, n_merges: int, min_freque
                 top_k: int, checkpoint_every: int, merges_per_round: int = 1
                 ) -> list[tuple[str, str, int]]:
     checkpoint_dir(spark)
-    n_parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n_parts = max(1, spark.sparkContext.defaultParallelism)  # small table: one slice per core
     words = words.repartition(n_parts).checkpoint(eager=True)
     merges: list[tuple[str, str, int]] = []
     stale: list[DataFrame] = []

@@ -199,7 +199,7 @@ def encode_dictionary(words: DataFrame, tok: Tokenizer) -> DataFrame:
     bc = spark.sparkContext.broadcast(tok.encoder_spec())
     # the distinct-word table is small next to the corpus; spread it over all
     # cores before the Python encoder
-    words = words.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    words = words.repartition(max(1, spark.sparkContext.defaultParallelism))
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = build_encoder(bc.value)

@@ -48,7 +48,7 @@ def train_pct(df: DataFrame, run_cols, step_col: str = "step", out_col: str = "t
     run_cols = _list(run_cols)
     last = df.groupBy(*run_cols).agg(F.max(step_col).alias("_tl_last"))
     return df.join(last, run_cols).withColumn(
-        out_col, F.col(step_col) / F.col("_tl_last")).drop("_tl_last")
+        out_col, F.try_divide(F.col(step_col), F.col("_tl_last"))).drop("_tl_last")
 
 
 def _blocked(df: DataFrame, run_cols, step_col: str, halo: int, bucket_rows: int):
@@ -102,7 +102,7 @@ def throughput(df: DataFrame, run_cols, window: int = 25, batch_size: int | None
     both = both.withColumn("_tl_secs", secs)
     dn = F.col("_tl_cum") - F.lag("_tl_cum", window).over(w)
     dt = F.col("_tl_secs") - F.lag("_tl_secs", window).over(w)
-    res = both.withColumn(out_col, dn / dt)
+    res = both.withColumn(out_col, F.try_divide(dn, dt))  # null, not an error, when dt = 0
     return res.filter(~F.col("_tl_halo")).drop("_tl_blk", "_tl_halo", "_tl_cum", "_tl_secs")
 
 

@@ -100,14 +100,14 @@ def bleu(df: DataFrame, key, pred: str, ref: str, max_order: int = 4) -> DataFra
     per_n = ov.groupBy("n").agg(F.sum("m").alias("m"), F.sum("tp").alias("t"),
                                 F.sum("tr").alias("tr"))
     # unigram totals are the corpus lengths
-    out = per_n.agg(*[F.max(F.when(F.col("n") == n, F.col("m") / F.col("t"))).alias(f"p{n}")
+    out = per_n.agg(*[F.max(F.when(F.col("n") == n, F.try_divide(F.col("m"), F.col("t")))).alias(f"p{n}")
                       for n in range(1, max_order + 1)],
                     F.min("m").alias("min_m"),
-                    F.avg(F.log(F.col("m") / F.col("t"))).alias("log_mean"),
+                    F.avg(F.log(F.try_divide(F.col("m"), F.col("t")))).alias("log_mean"),
                     F.max(F.when(F.col("n") == 1, F.col("t"))).alias("c"),
                     F.max(F.when(F.col("n") == 1, F.col("tr"))).alias("r"))
     bp = F.when(F.col("c") > F.col("r"), F.lit(1.0)).otherwise(
-        F.exp(1 - F.col("r") / F.col("c")))
+        F.exp(1 - F.try_divide(F.col("r"), F.col("c"))))
     score = F.when(F.col("min_m") > 0, bp * F.exp("log_mean")).otherwise(F.lit(0.0))
     return out.select(score.alias("bleu"), bp.alias("brevity_penalty"),
                       *[f"p{n}" for n in range(1, max_order + 1)])

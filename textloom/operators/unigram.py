@@ -121,7 +121,7 @@ def train_unigram(texts: DataFrame, vocab_size: int = 8000, text_col: str = "tex
              .groupBy(F.concat(F.lit(METASPACE), "c").alias("word"))
              .agg(F.count(F.lit(1)).cast("long").alias("freq")))
     # spread the distinct words over all cores before the Python E-steps
-    n_parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n_parts = max(1, spark.sparkContext.defaultParallelism)  # small table: one slice per core
     words = words.repartition(n_parts).checkpoint(eager=True)
     target = vocab_size - len(special_tokens)
     seed_size = seed_size or max(4 * target, 1000)

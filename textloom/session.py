@@ -31,6 +31,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     active = SparkSession.getActiveSession()
     if active is not None:
         checkpoint_dir(active)
+        ship_package(active)
         return active
     b = SparkSession.builder.appName(app_name)
     if master:
@@ -45,9 +46,35 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``textloom`` importable in Python workers (``addPyFile`` of a zip
+    built once per SparkContext), as ``--py-files`` would."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="textloom-pyfiles-"), "textloom.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, names in os.walk(pkg):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(d, n)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; created locally only when unset."""
     sc = spark.sparkContext
