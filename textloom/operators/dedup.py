@@ -62,19 +62,25 @@ def minhash_columns(df: DataFrame, id_col: str, hashes: str, num_perm: int = 128
                                   for j in range(num_perm)])
 
 
-def _components(edges: DataFrame, nodes: DataFrame, max_iter: int = 50) -> DataFrame:
+def _components(edges: DataFrame, nodes: DataFrame, max_iter: int = 50, hot_k: int = 1000
+                ) -> DataFrame:
     """Connected components by min-label propagation over undirected edges.
 
-    Each round is a many-to-one lookup join (hub ids are hot keys: AQE's skew
-    join splits them) plus a partial ``min`` aggregate; labels are
-    checkpointed every round so lineage stays short and lost executors
-    recompute from the checkpoint."""
+    Each round looks up the label of every edge's source -- a many-to-one
+    lookup where hub ids are hot keys, so the heaviest sources (a bounded
+    top-k by degree) come from a broadcast and the rest from a salted shuffle
+    join -- then takes a partial ``min`` per node.  Labels are checkpointed
+    every round (short lineage; lost executors recompute from the
+    checkpoint)."""
+    from textloom.operators.bounded import skew_safe_lookup
+
     und = edges.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(
-        edges.select(F.col("b").alias("src"), F.col("a").alias("dst")))
+        edges.select(F.col("b").alias("src"), F.col("a").alias("dst"))).checkpoint(eager=True)
+    degree = und.groupBy("src").agg(F.count(F.lit(1)).alias("w")).checkpoint(eager=True)
     labels = nodes.select(F.col("id"), F.col("id").alias("label")).checkpoint(eager=True)
     for _ in range(max_iter):
-        prop = und.join(labels.withColumnRenamed("id", "src"), "src").select(
-            F.col("dst").alias("id"), "label")
+        prop = skew_safe_lookup(und, labels.withColumnRenamed("id", "src"), ["src"], degree,
+                                hot_k, how="inner").select(F.col("dst").alias("id"), "label")
         new = labels.unionByName(prop).groupBy("id").agg(F.min("label").alias("label"))
         new = new.checkpoint(eager=True)
         changed = new.alias("n").join(labels.alias("o"), "id").filter(
@@ -162,13 +168,25 @@ def dedup_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sig = minhash_signatures(df, id_col, text_col, k, num_perm, seed).checkpoint(eager=True)
     band_keys = F.array(*[F.xxhash64(F.lit(b), F.slice("sig", b * r + 1, r))
                           for b in range(bands)])
-    keyed = sig.select("id", F.posexplode(band_keys).alias("band", "bkey"))
-    reps = keyed.groupBy("band", "bkey").agg(F.min("id").alias("rep"))
-    edges = (keyed.join(reps, ["band", "bkey"]).filter(F.col("id") != F.col("rep"))
-             .select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct())
+    from textloom.operators.bounded import skew_safe_lookup
+
+    keyed = sig.select("id", F.posexplode(band_keys).alias("band", "bkey")).checkpoint(eager=True)
+    buckets = keyed.groupBy("band", "bkey").agg(F.min("id").alias("rep"),
+                                               F.count(F.lit(1)).alias("w")).checkpoint(eager=True)
+    # bucket -> smallest member: a big bucket is a hot key, looked up via broadcast
+    edges = (skew_safe_lookup(keyed, buckets.select("band", "bkey", "rep"), ["band", "bkey"],
+                              buckets.select("band", "bkey", "w"))
+             .filter(F.col("id") != F.col("rep"))
+             .select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()
+             ).checkpoint(eager=True)
     sh = sig.select("id", "sh")
-    scored = (edges.join(sh.withColumnRenamed("id", "a").withColumnRenamed("sh", "sa"), "a")
-              .join(sh.withColumnRenamed("id", "b").withColumnRenamed("sh", "sb"), "b"))
+    # a member is in at most `bands` edges; a representative may be in very
+    # many, so its shingle set is a hot lookup (few hubs broadcast: arrays are big)
+    hub_w = edges.groupBy(F.col("b")).agg(F.count(F.lit(1)).alias("w"))
+    scored = skew_safe_lookup(
+        edges.join(sh.withColumnRenamed("id", "a").withColumnRenamed("sh", "sa"), "a"),
+        sh.withColumnRenamed("id", "b").withColumnRenamed("sh", "sb"), ["b"], hub_w, hot_k=64,
+        how="inner")
     inter = F.size(F.array_intersect("sa", "sb"))
     union = F.size(F.array_union("sa", "sb"))
     kept = scored.filter(inter >= F.lit(threshold) * union).select("a", "b")

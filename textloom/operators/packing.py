@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.arrays import (IGNORE_INDEX, causal_inputs, causal_targets, hashed_unit,
                                        mask_ids, shift_right, windows_of)
+from textloom.operators.bounded import skew_safe_lookup
 from textloom.operators.order import with_row_index
 from textloom.session import checkpoint_dir
 
@@ -43,9 +44,11 @@ def _pack(df: DataFrame, L: int, cols: list[str], order_by, batch_size: int | No
         idx = with_row_index(base, order_by, "_tl_ri", {"_tl_s": "_tl_n"},
                              partition_by=group_cols or None)
         idx = idx.withColumn("_tl_stream", F.lit(0).cast("long"))
-        totals = base.groupBy(*group_cols).agg(F.sum("_tl_n").cast("long").alias("_tl_total"))
-        # one row per group: bounded by the number of groups
-        idx = idx.join(F.broadcast(totals), group_cols, "left") if group_cols else \
+        totals = base.groupBy(*group_cols).agg(F.sum("_tl_n").cast("long").alias("_tl_total"),
+                                               F.count(F.lit(1)).alias("w"))
+        # one row per group; a group (the train split) may hold most rows
+        idx = skew_safe_lookup(idx, totals.select(*group_cols, "_tl_total"), group_cols,
+                               totals.select(*group_cols, "w")) if group_cols else \
             idx.withColumn("_tl_total", F.lit(totals.first()["_tl_total"] or 0).cast("long"))
     T_ = F.col("_tl_total")
     n_chunks = F.when(T_ >= L, F.floor(T_ / L)).otherwise(F.when(T_ > 0, 1).otherwise(0))

@@ -45,9 +45,15 @@ def run_steps(df: DataFrame, run_cols, ts_col: str = "ts", tiebreak: str = "even
 def train_pct(df: DataFrame, run_cols, step_col: str = "step", out_col: str = "train_pct"
               ) -> DataFrame:
     """Step / last step of the run (partial aggregate joined back)."""
+    from textloom.operators.bounded import skew_safe_lookup
+
     run_cols = _list(run_cols)
-    last = df.groupBy(*run_cols).agg(F.max(step_col).alias("_tl_last"))
-    return df.join(last, run_cols).withColumn(
+    stats = df.groupBy(*run_cols).agg(F.max(step_col).alias("_tl_last"),
+                                      F.count(F.lit(1)).alias("w"))
+    # a run may hold a third of all rows: hot runs are looked up by broadcast
+    joined = skew_safe_lookup(df, stats.select(*run_cols, "_tl_last"), run_cols,
+                              stats.select(*run_cols, "w"))
+    return joined.withColumn(
         out_col, F.try_divide(F.col(step_col), F.col("_tl_last"))).drop("_tl_last")
 
 

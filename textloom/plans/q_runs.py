@@ -142,7 +142,10 @@ SELECT run, step, round(CASE WHEN step < wu THEN step / wu
 """)
 def q_lr(spark, sf):
     log = run_log(spark, sf)
-    totals = log.groupBy("run").agg((F.max("step") + 1).alias("total"))
-    j = log.join(totals, "run").withColumn("wu", F.floor(F.col("total") * 0.06).cast("long"))
+    from textloom.operators.bounded import skew_safe_lookup
+    totals = log.groupBy("run").agg((F.max("step") + 1).alias("total"),
+                                    F.count(F.lit(1)).alias("w"))
+    j = skew_safe_lookup(log, totals.select("run", "total"), ["run"], totals.select("run", "w"))
+    j = j.withColumn("wu", F.floor(F.col("total") * 0.06).cast("long"))
     return j.select("run", "step", F.round(rn.lr_at(F.col("step"), F.col("total"), 1.0,
                                                     F.col("wu")), 9).alias("lr"))
