@@ -25,6 +25,12 @@ def test_delimiter_framing(spark):
     assert _texts(src.read_delimited_docs(spark, p)) == ["one\ntwo", "three", "tail"]
 
 
+def test_drop_unterminated_matches_reference(spark):
+    p = _write_bytes(b"one\ntwo\n<|endoftext|>\nthree<|endoftext|>tail")
+    got = _texts(src.read_delimited_docs(spark, p, drop_unterminated=True))
+    assert got == ["one\ntwo", "three"]
+
+
 def test_two_delimiters_on_one_line(spark):
     p = _write_bytes(b"a<|endoftext|>b<|endoftext|>c\n<|endoftext|>")
     assert _texts(src.read_delimited_docs(spark, p)) == ["a", "b", "c"]

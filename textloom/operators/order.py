@@ -120,14 +120,19 @@ def running_total(df: DataFrame, value_col: str, order_by, out_col: str = "start
 
 
 def shuffle_key(seed: int, epoch: int, id_col: str):
-    return F.xxhash64(F.lit(int(seed)), F.lit(int(epoch)), F.col(id_col))
+    """60 bits of md5("seed:epoch:id") as a non-negative long: a stable,
+    engine-independent pseudo-random rank (SQL engines can recompute it)."""
+    text = F.concat_ws(":", F.lit(str(int(seed))), F.lit(str(int(epoch))),
+                       F.col(id_col).cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
 def seeded_shuffle(df: DataFrame, seed: int, epoch: int = 0, id_col: str = "doc_id",
                    index_col: str = "row_index", partition_by=None,
                    num_buckets: int | None = None) -> DataFrame:
-    """B2: reproducible permutation; position = rank of ``xxhash64(seed, epoch, id)``
-    (ties broken by id).  Same seed and epoch -> same order on any cluster."""
+    """B2: reproducible permutation; position = rank of ``shuffle_key(seed,
+    epoch, id)`` (ties broken by id).  Same seed and epoch -> same order on
+    any cluster and any partitioning."""
     keyed = df.withColumn("_tl_shuf", shuffle_key(seed, epoch, id_col))
     out = with_row_index(keyed, ["_tl_shuf", id_col], index_col, None, num_buckets, partition_by)
     return out.drop("_tl_shuf")

@@ -322,7 +322,13 @@ def q_row_index_split(spark, sf):
     return out.select("doc_id", "split", "row_index")
 
 
-@query("seeded_shuffle")
+@query("seeded_shuffle", f"""
+SELECT doc_id, split,
+       CAST(row_number() OVER (PARTITION BY split ORDER BY k, doc_id) - 1 AS BIGINT) AS row_index
+FROM (SELECT doc_id, split,
+        CAST('0x' || substr(md5('42:0:' || CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT) AS k
+      FROM {DOCS})
+""")
 def q_seeded_shuffle(spark, sf):
     docs = documents(spark, sf).select("doc_id", "split")
     return order.seeded_shuffle(docs, seed=42, epoch=0, partition_by=["split"])

@@ -14,7 +14,8 @@ RECORD_ORDER = ["src_file", "src_block", "src_seq"]
 
 
 def read_delimited_docs(spark: SparkSession, paths, delim: str = EOT, repair_bytes: bool = True,
-                        trim: str = " \n", drop_empty: bool = True) -> DataFrame:
+                        trim: str = " \n", drop_empty: bool = True,
+                        drop_unterminated: bool = False) -> DataFrame:
     """Records end at ``delim`` wherever it sits in a line.
 
     Uses the text source's multi-character ``lineSep``, so files stay
@@ -28,6 +29,8 @@ def read_delimited_docs(spark: SparkSession, paths, delim: str = EOT, repair_byt
     """
     if isinstance(paths, str):
         paths = [paths]
+    if drop_unterminated:
+        return _read_terminated_only(spark, paths, delim, repair_bytes, trim, drop_empty)
     raw = (spark.read.text(paths, lineSep=delim)
            .select(F.col("value"),
                    F.col("_metadata.file_path").alias("src_file"),
@@ -43,6 +46,29 @@ def read_delimited_docs(spark: SparkSession, paths, delim: str = EOT, repair_byt
     return out
 
 
+def _read_terminated_only(spark, paths, delim, repair_bytes, trim, drop_empty) -> DataFrame:
+    """The reference's behaviour: text after a file's last delimiter is never
+    emitted.  Needs whole files (one row per file), so it is opt-in."""
+    import re
+
+    raw = spark.read.text(paths, wholetext=True).select(
+        F.col("value"), F.col("_metadata.file_path").alias("src_file"))
+    text = F.col("value")
+    if repair_bytes:
+        text = decode_cp1252(text.cast("binary"))
+    parts = raw.select("src_file", F.split(universal_newlines(text), re.escape(delim), -1)
+                       .alias("_tl_parts"))
+    # the last piece follows the last delimiter: drop it
+    body = F.slice("_tl_parts", 1, F.greatest(F.size("_tl_parts") - 1, F.lit(0)))
+    out = parts.select("src_file", F.lit(0).cast("long").alias("src_block"),
+                       F.posexplode(body).alias("src_seq", "text"))
+    out = out.select(trim_chars(F.col("text"), trim).alias("text"), "src_file", "src_block",
+                     F.col("src_seq").cast("long").alias("src_seq"))
+    if drop_empty:
+        out = out.filter(F.length("text") > 0)
+    return out
+
+
 def write_delimited(df: DataFrame, path: str, text_col: str = "text", delim: str = EOT,
                     mode: str = "overwrite") -> None:
     """Sink counterpart of S1: one record per row, each followed by ``delim``."""
