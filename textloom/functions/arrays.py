@@ -10,7 +10,7 @@ from textloom.functions.text import col_of
 __all__ = [
     "IGNORE_INDEX", "windows_of", "causal_inputs", "causal_targets", "mask_ids",
     "shift_right", "with_specials", "special_mask", "added_specials_mask", "truncate_pad", "attention_mask",
-    "argmax", "log_softmax_at", "mean_neg_log_softmax", "hashed_unit",
+    "argmax", "log_softmax_at", "mean_neg_log_softmax", "hashed_unit", "hashed_key",
 ]
 
 # fixed value: label id ignored by the loss
@@ -113,6 +113,13 @@ def mean_neg_log_softmax(arr) -> Column:
     return total / F.size(arr)
 
 
+def hashed_key(*cols) -> Column:
+    """60 bits of md5 of the ':'-joined values, as a non-negative long
+    (engine-independent, so SQL can recompute it)."""
+    text = F.concat_ws(":", *[col_of(c).cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
 def hashed_unit(*cols) -> Column:
     """Deterministic pseudo-uniform value in [0, 1) from a hash of ``cols``."""
-    return F.pmod(F.xxhash64(*[col_of(c) for c in cols]), F.lit(1 << 30)) / float(1 << 30)
+    return hashed_key(*cols) / float(1 << 60)

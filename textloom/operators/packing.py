@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.functions.arrays import (IGNORE_INDEX, causal_inputs, causal_targets, hashed_unit,
-                                       mask_ids, shift_right, windows_of)
+from textloom.functions.arrays import (IGNORE_INDEX, causal_inputs, causal_targets, hashed_key,
+                                       hashed_unit, mask_ids, shift_right, windows_of)
 from textloom.operators.bounded import skew_safe_lookup
 from textloom.operators.order import with_row_index
 from textloom.session import checkpoint_dir
@@ -158,7 +158,7 @@ def mlm_mask(df: DataFrame, mask_id: int, vocab_size: int, seed: int, epoch: int
 
     def new_id(e, i):
         v = hashed_unit(F.lit(seed), F.lit(epoch), rid, i, F.lit(1))
-        rnd = F.pmod(F.xxhash64(F.lit(seed), F.lit(epoch), rid, i, F.lit(2)), F.lit(vocab_size))
+        rnd = F.pmod(hashed_key(F.lit(seed), F.lit(epoch), rid, i, F.lit(2)), F.lit(vocab_size))
         return (F.when(~chosen(e, i), e["x"]).when(v < 0.8, F.lit(mask_id))
                 .when(v < 0.9, rnd.cast("int")).otherwise(e["x"]))
 

@@ -143,10 +143,31 @@ def q_seq2seq(spark, sf):
                       arr_str("decoder_input_ids").alias("decoder_input_ids"))
 
 
-@query("mlm_mask")
+def _u(salt: int) -> str:
+    return (f"CAST('0x' || substr(md5('42:0:' || CAST(doc_id AS VARCHAR) || ':' || CAST(i - 1 AS "
+            f"VARCHAR) || ':{salt}'), 1, 15) AS BIGINT)")
+
+
+_MLM = f"""
+WITH {WORD_IDS},
+x AS (SELECT doc_id, list_concat([2], ids, [3]) AS ids,
+        list_concat([1], list_transform(ids, lambda v: 0), [1]) AS sp FROM ids),
+z AS (SELECT doc_id, list_transform(ids, lambda v, i: struct_pack(
+        x := v, s := sp[i],
+        c := sp[i] = 0 AND {_u(0)} / 1152921504606846976.0 < 0.15,
+        v1 := {_u(1)} / 1152921504606846976.0,
+        r := CAST({_u(2)} % 5000 AS INTEGER))) AS e FROM x)
+SELECT doc_id,
+  {ids_str("list_transform(e, lambda t: CASE WHEN NOT t.c THEN t.x WHEN t.v1 < 0.8 THEN 4 WHEN t.v1 < 0.9 THEN t.r ELSE t.x END)")} AS input_ids,
+  {ids_str("list_transform(e, lambda t: CASE WHEN t.c THEN t.x ELSE -100 END)")} AS labels
+FROM z
+"""
+
+
+@query("mlm_mask", _MLM)
 def q_mlm(spark, sf):
     tok, ids = word_ids(spark, sf)
     withs = enc.add_special_tokens(ids, tok)
     out = pk.mlm_mask(withs, tok.special_id("<|mask|>"), 5000, seed=42, epoch=0)
-    return out.select("doc_id", F.size(F.filter("labels", lambda x: x != -100)).alias("n_masked"),
-                      F.size("labels").alias("n_tokens"))
+    return out.select("doc_id", arr_str("input_ids").alias("input_ids"),
+                      arr_str("labels").alias("labels"))
