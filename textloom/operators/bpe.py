@@ -150,7 +150,9 @@ def _merge_loop(spark: SparkSession, words: DataFrame, n_merges: int, min_freque
         words = words.withColumn("syms", apply_merges(F.col("syms"), [(l, r) for l, r, _ in chosen]))
         rounds += 1
         if rounds % checkpoint_every == 0:
-            words = words.repartition(n_parts).checkpoint(eager=True)
+            # a word merged into one symbol can never form a pair again
+            words = (words.filter(F.instr(F.col("syms"), " ") > 0)
+                     .repartition(n_parts).checkpoint(eager=True))
         else:
             # cache the merged table so the next round does not re-apply every
             # earlier round's merges (lineage is kept: a lost block recomputes)
