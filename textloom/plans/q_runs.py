@@ -18,9 +18,11 @@ EV = """ev AS (SELECT event_id, ts, user_id, event_type AS run, value, dayofyear
 
 
 def run_log(spark, sf):
+    """The step-numbered log, written once (reliable checkpoint): every run
+    analysis reads it several times (big side, per-run stats, hot keys)."""
     ev = table(spark, sf, "events").withColumnRenamed("event_type", "run")
     ev = ev.withColumn("epoch", F.dayofyear("ts"))
-    return rn.run_steps(ev, ["run"], "ts", "event_id")
+    return rn.run_steps(ev, ["run"], "ts", "event_id").checkpoint(eager=True)
 
 
 @query("run_steps", f"WITH {EV} SELECT event_id, run, step FROM ev")
