@@ -9,6 +9,8 @@ import pytest
 from oracle_check import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "float": "FLOAT", "timestamp_ntz": "TIMESTAMP"}
 
 
 @pytest.fixture(scope="module")
@@ -34,6 +36,10 @@ def test_query_matches_oracle(spark, con, name):
     res = con.execute(E.oracle_sql()[name])
     dcols, drows = [d[0] for d in res.description], res.fetchall()
     assert sorted(scols) == sorted(dcols)
+    dtypes = {d[0]: str(d[1]) for d in res.description}
+    for f in df.schema.fields:
+        st = f.dataType.simpleString()
+        assert SPARK_TO_DUCK.get(st, st) == dtypes[f.name], (f.name, st, dtypes[f.name])
     assert len(srows) == len(drows)
     assert digest(scols, srows)[0] == digest(dcols, drows)[0]
 

@@ -12,7 +12,8 @@ from textloom.operators import runs as rn
 from textloom.plans.registry import query
 from textloom.plans.tables import table
 
-EV = """ev AS (SELECT event_id, ts, user_id, event_type AS run, value, dayofyear(ts) AS epoch,
+EV = """ev AS (SELECT event_id, ts, user_id, event_type AS run, value,
+  CAST(dayofyear(ts) AS INTEGER) AS epoch,
   CAST(row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS BIGINT) AS step
   FROM events)"""
 

@@ -45,10 +45,10 @@ t AS (SELECT lse - x[label + 1] AS nll, lse - list_avg(x) AS smooth FROM s)"""
 
 @query("cross_entropy", f"""
 WITH {_CE}
-SELECT 0.1 AS label_smoothing, round(avg(0.9 * nll + 0.1 * smooth), 9) AS loss,
+SELECT CAST(0.1 AS DOUBLE) AS label_smoothing, round(avg(0.9 * nll + 0.1 * smooth), 9) AS loss,
        CAST(count(*) AS BIGINT) AS n_tokens FROM t
 UNION ALL
-SELECT 0.0, round(avg(nll), 9), CAST(count(*) AS BIGINT) FROM t
+SELECT CAST(0.0 AS DOUBLE), round(avg(nll), 9), CAST(count(*) AS BIGINT) FROM t
 """)
 def q_cross_entropy(spark, sf):
     e = table(spark, sf, "embeddings").withColumn("logits", F.slice("embedding", 1, 10))
