@@ -66,7 +66,7 @@ def test_early_stop(spark):
 def test_grid_parse_warmup_lr(spark):
     g = rn.sweep_grid(spark, {"lr": [1e-4, 8e-5], "opt": ["adamw"]}, seeds=[42, 314, 1618])
     assert g.count() == 6 and g.select("group").distinct().count() == 2
-    p = rn.parse_runs(spark.createDataFrame([("python imdb.py --epochs 2 --lr 8e-5 --group x",)],
+    p = rn.parse_runs(spark.createDataFrame([("python train.py --epochs 2 --lr 8e-5 --group x",)],
                                             "line string"), "line",
                       {"epochs": "int", "lr": "double"}).first()
     assert p.epochs == 2 and abs(p.lr - 8e-5) < 1e-18 and p.options["group"] == "x"
