@@ -53,3 +53,17 @@ def test_drop_last_and_budget(spark):
     assert bt.take_batches(ev, -1).count() == 10
     mb = bt.micro_batches(ev, 4, 2).filter("batch_id = 0").select("micro_id").collect()
     assert sorted(r.micro_id for r in mb) == [0, 0, 1, 1]
+
+
+def test_row_index_heavy_ties_in_leading_key(spark):
+    # a third of the rows share one leading value: must not become one bucket,
+    # and the index must follow (lead, tiebreak) for every bucket count
+    df = spark.range(0, 900).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(-(F.col("id") % 17)).alias("lead"),
+        F.format_string("w%05d", F.col("id")).alias("word"))
+    expected = sorted(((r.lead, r.word) for r in df.collect()))
+    for n in (2, 5, 9):
+        out = order.with_row_index(df, ["lead", "word"], "ri", num_buckets=n)
+        got = [(r.lead, r.word) for r in out.orderBy("ri").collect()]
+        assert got == expected
+        assert sorted(r.ri for r in out.collect()) == list(range(900))
