@@ -142,3 +142,14 @@ def test_materialize_builds_once(spark):
     import pytest
     with pytest.raises(FileNotFoundError):
         artifacts.materialize(spark, base, "x", {"a": 2}, None)
+
+
+def test_map_batches_exact_batch_size(spark):
+    import pandas as pd
+    df = spark.range(0, 25).coalesce(1)
+
+    def sizes(pdf):
+        return pd.DataFrame({"n": [len(pdf)]})
+
+    got = sorted(r.n for r in clean.map_batches(df, sizes, "n long", batch_size=10).collect())
+    assert got == [5, 10, 10]

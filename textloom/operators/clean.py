@@ -75,14 +75,28 @@ def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schem
                 batch_size: int | None = None) -> DataFrame:
     """Apply ``fn`` to pandas batches; it may return any number of rows.
 
+    With ``batch_size`` the Arrow batches of a task are re-cut into exactly
+    ``batch_size`` rows (the last one shorter); the session is not touched.
     Spark batches end at partition boundaries, so results that depend on the
     batch limits must use ``with_row_index`` batches instead."""
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if not batch_size:
+            for pdf in it:
+                yield fn(pdf)
+            return
+        buf: list[pd.DataFrame] = []
+        held = 0
         for pdf in it:
-            yield fn(pdf)
+            buf.append(pdf)
+            held += len(pdf)
+            while held >= batch_size:
+                whole = pd.concat(buf, ignore_index=True)
+                yield fn(whole.iloc[:batch_size].reset_index(drop=True))
+                rest = whole.iloc[batch_size:].reset_index(drop=True)
+                buf, held = [rest], len(rest)
+        if held:
+            yield fn(pd.concat(buf, ignore_index=True))
 
-    if batch_size:
-        df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_size))
     return df.mapInPandas(run, schema)
 
 
