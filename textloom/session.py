@@ -22,6 +22,9 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # iterative jobs (BPE rounds, label propagation) checkpoint often: let the
+    # context cleaner delete checkpoint files once nothing references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
