@@ -7,9 +7,10 @@ Encoding is a dictionary job, not a per-row library call:
 3. encode each distinct piece once (``mapInPandas``; the vocabulary and
    merges are bounded by the vocabulary size and shipped as a broadcast
    variable);
-4. join the piece ids back: the most frequent pieces (a bounded top-k) by
-   broadcast join, the rest by shuffle join -- so a word that holds a third of
-   all tokens never lands on one reducer;
+4. join the piece ids back: the whole dictionary by broadcast when it passes
+   a checked row bound, otherwise the most frequent pieces (a bounded top-k)
+   by broadcast and the rest by a salted shuffle join -- so a word that holds
+   a third of all tokens never lands on one reducer;
 5. rebuild each row's ids in position order (per-row groups).
 """
 
@@ -20,7 +21,7 @@ from dataclasses import dataclass, field
 from typing import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +30,6 @@ from textloom.functions.arrays import (added_specials_mask, attention_mask, trun
 from textloom.functions.text import (SPECIAL_TOKENS, WHITESPACE_CLASS, byte_level_tokens,
                                      normalize_text_col, word_tokens)
 from textloom.operators.bounded import bounded_broadcast
-from textloom.operators.bpe import CONT
 
 UNK, PAD, CLS, EOS, MASK = SPECIAL_TOKENS
 METASPACE = "▁"
