@@ -86,6 +86,11 @@ def test_dedup_order_and_report(spark):
                                "doc_id long, text string, split string")
     kept = sorted(r.doc_id for r in dedup.dedup_exact(df).collect())
     assert kept == [0, 1]
+    # several order columns compare left to right
+    df2 = spark.createDataFrame([("f2", 0, "x"), ("f1", 9, "x"), ("f1", 3, "x")],
+                                "f string, pos long, text string").withColumn("split", F.lit("t"))
+    first = dedup.dedup_exact(df2, order_by=["f", "pos"]).first()
+    assert (first.f, first.pos) == ("f1", 3)
     rep = dedup.dedup_report(df).first()
     assert (rep.n_rows, rep.n_unique, rep.n_removed) == (3, 2, 1)
     # idempotent

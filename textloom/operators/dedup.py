@@ -15,17 +15,19 @@ def content_hash(c):
 
 
 def dedup_exact(df: DataFrame, text_col: str = "text", partition_by=("split",),
-                order_by: str = "doc_id") -> DataFrame:
-    """Keep the first row (smallest ``order_by``) per (partition, md5(text)).
+                order_by="doc_id") -> DataFrame:
+    """Keep the first row (smallest ``order_by``, one column or several
+    compared left to right) per (partition, md5(text)).
 
     ``min_by`` over a struct of the row is a partial aggregate: duplicates
     collapse map-side before the shuffle, so a text repeated in a third of all
     rows costs one row per task, not a hot reducer."""
     partition_by = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     cols = df.columns
+    first = F.col(order_by) if isinstance(order_by, str) else F.struct(*order_by)
     kept = (df.withColumn("_tl_h", content_hash(text_col))
             .groupBy(*partition_by, "_tl_h")
-            .agg(F.min_by(F.struct(*cols), F.col(order_by)).alias("_tl_r")))
+            .agg(F.min_by(F.struct(*cols), first).alias("_tl_r")))
     return kept.select("_tl_r.*")
 
 
