@@ -203,3 +203,21 @@ def q_encode_unigram(spark, sf):
     back = enc.decode(ids, tok, "input_ids", ["doc_id"], out_col="decoded")
     return (ids.join(back, "doc_id").join(docs.select("doc_id", "text"), "doc_id")
             .select("doc_id", "split", "num_tokens", "decoded"))
+
+
+@query("story_flow_totals")
+def q_story_flow(spark, sf):
+    """The whole story flow over ``documents``: each split written as
+    delimiter-framed text files (validation under a ``valid`` folder), then
+    routing, per-split exact dedup, BPE training on train, encoding, totals."""
+    from textloom.plans.flows import packed_story_corpus
+    from textloom.session import scratch_path
+    from textloom.sources.text import write_delimited
+
+    base = scratch_path(spark, "stories")
+    docs = documents(spark, sf)
+    write_delimited(docs.filter(F.col("split") == "train"), f"{base}/train")
+    write_delimited(docs.filter(F.col("split") == "validation"), f"{base}/valid")
+    totals, _ = packed_story_corpus(spark, [f"{base}/train", f"{base}/valid"], vocab_size=300,
+                                    sequence_len=None)
+    return totals
