@@ -71,7 +71,8 @@ def tale_windows(spark: SparkSession, path: str, tok: enc.Tokenizer,
     tales = clean.split_docs(whole, "text")
     tales = tales.withColumn("text", tx.affix(tx.collapse_blank_lines(
         tx.strip_one_leading_space("text")), "# ", ""))
-    ids = enc.encode(tales, tok, "text", ["src_file", "piece_idx"])
+    # encoded once, read by every length of the sweep
+    ids = enc.encode(tales, tok, "text", ["src_file", "piece_idx"]).checkpoint(eager=True)
     eos_id = tok.special_id(eos)
     out = None
     for L in lengths:
