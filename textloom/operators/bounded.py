@@ -22,35 +22,27 @@ def bounded_broadcast(df: DataFrame, max_rows: int, what: str = "table") -> Data
 
 
 def skew_safe_lookup(big: DataFrame, small: DataFrame, keys: list[str], weight: DataFrame,
-                     hot_k: int = 1000, salt_buckets: int = 4096, how: str = "left"
+                     hot_k: int = 1000, salt_buckets: int = 64, how: str = "left"
                      ) -> DataFrame:
     """Many-to-one lookup of ``small`` (unique on ``keys``) for every row of
     ``big``, safe when a few keys carry a large share of ``big``.
 
     ``weight(keys..., w)`` ranks keys by how many ``big`` rows they have; the
-    ``hot_k`` heaviest (a bounded top-k) are looked up through a broadcast of
-    their ``small`` rows.  All other rows shuffle-join ``small``; hot rows take
-    part in that join with a salt column that spreads them evenly and matches
-    nothing.  Value columns of ``small`` must not clash with ``big``."""
-    vals = [c for c in small.columns if c not in keys]
-    hot_keys = weight.orderBy(F.desc("w"), *keys).limit(hot_k).select(*keys)
-    hot_small = small.join(hot_keys, keys, "left_semi")
-    hot_b = F.broadcast(hot_small.select(*keys, *[F.col(v).alias(f"_tl_h_{v}") for v in vals],
-                                         F.lit(True).alias("_tl_is_hot")))
-    tagged = big.join(hot_b, keys, "left")
+    ``hot_k`` heaviest are salted: their ``big`` rows spread over
+    ``salt_buckets`` salts and their ``small`` rows are replicated once per
+    salt, so one hot key is joined by ``salt_buckets`` tasks.  Only the hot
+    *keys* are broadcast (``hot_k`` scalar rows), never the looked-up values,
+    whose size is not bounded.  Value columns of ``small`` must not clash
+    with ``big``."""
+    hot_keys = F.broadcast(weight.orderBy(F.desc("w"), *keys).limit(hot_k).select(
+        *keys, F.lit(True).alias("_tl_is_hot")))
     is_hot = F.coalesce(F.col("_tl_is_hot"), F.lit(False))
     salt = F.when(is_hot, F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]),
-                                 F.lit(salt_buckets))).otherwise(F.lit(-1))
-    keyed = tagged.withColumn("_tl_salt", salt.cast("long"))
-    cold = small.select(*keys, *[F.col(v).alias(f"_tl_c_{v}") for v in vals],
-                        F.lit(-1).cast("long").alias("_tl_salt"))
-    joined = keyed.join(cold, [*keys, "_tl_salt"], "left")
-    out = joined.select(*big.columns, *[F.coalesce(F.col(f"_tl_h_{v}"), F.col(f"_tl_c_{v}"))
-                                        .alias(v) for v in vals])
-    if how == "inner":
-        cond = None
-        for v in vals:
-            c = F.col(v).isNotNull()
-            cond = c if cond is None else cond | c
-        out = out.filter(cond)
-    return out
+                                 F.lit(salt_buckets))).otherwise(F.lit(0))
+    big_s = (big.join(hot_keys, keys, "left").withColumn("_tl_salt", salt.cast("long"))
+             .drop("_tl_is_hot"))
+    copies = F.when(is_hot, F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))
+                    ).otherwise(F.array(F.lit(0).cast("long")))
+    small_s = (small.join(hot_keys, keys, "left").withColumn("_tl_salt", F.explode(copies))
+               .drop("_tl_is_hot"))
+    return big_s.join(small_s, [*keys, "_tl_salt"], how).drop("_tl_salt")

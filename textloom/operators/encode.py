@@ -212,12 +212,12 @@ def encode_dictionary(words: DataFrame, tok: Tokenizer) -> DataFrame:
 
 def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", id_cols=("doc_id",),
            out_col: str = "input_ids", hot_words: int = 10000,
-           broadcast_rows: int = 1_000_000) -> DataFrame:
+           broadcast_rows: int = 1_000_000, broadcast_bytes: int = 256 << 20) -> DataFrame:
     """T7 + T8: ``input_ids`` and ``num_tokens`` for every row of ``df``.
 
     One pass over the token stream.  When the dictionary (distinct pieces)
-    passes a checked bound of ``broadcast_rows`` it is broadcast whole and the
-    join is narrow.  Beyond the bound, the ``hot_words`` most frequent pieces
+    passes a checked bound of ``broadcast_rows`` rows and ``broadcast_bytes``
+    bytes it is broadcast whole and the join is narrow.  Beyond the bound, the ``hot_words`` most frequent pieces
     (a bounded top-k) join by broadcast and every other piece joins the
     dictionary by shuffle; hot rows carry a salted key that matches nothing,
     so they spread evenly instead of piling onto one reducer."""
@@ -228,7 +228,8 @@ def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", id_cols=("doc_
         # the vocabulary is the dictionary; ids are frequency ranks
         k = len(tok.specials)
         body = tok.vocab.filter(~F.col("special"))
-        hot = bounded_broadcast(body.filter(F.col("id") < k + hot_words).select(
+        hot = bounded_broadcast(body.filter((F.col("id") < k + hot_words)
+                                            & (F.length("piece") <= 256)).select(
             F.col("piece").alias("word"),
             F.array("id").alias("hot_ids")), hot_words, "hot words")
         cold = body.select(F.col("piece").alias("_tl_jk"), F.array("id").alias("cold_ids"))
@@ -240,11 +241,15 @@ def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", id_cols=("doc_
         checkpoint_dir(spark)
         # distinct pieces encoded once; checkpointed so the Python encoder never reruns
         enc = encode_dictionary(words, tok).checkpoint(eager=True)
-        hot = F.broadcast(enc.orderBy(F.desc("n"), "word").limit(hot_words).select(
-            "word", F.col("ids").alias("hot_ids")))
+        # top-k by frequency among pieces of bounded length: bounded bytes
+        hot = F.broadcast(enc.filter(F.length("word") <= 256).orderBy(F.desc("n"), "word")
+                          .limit(hot_words).select("word", F.col("ids").alias("hot_ids")))
         cold = enc.select(F.col("word").alias("_tl_jk"), F.col("ids").alias("cold_ids"))
         unk = None
-    small = cold.limit(broadcast_rows + 1).count() <= broadcast_rows
+    probe = cold.limit(broadcast_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.length("_tl_jk") + 4 * F.size("cold_ids") + 32).alias("b")).first()
+    small = probe["n"] <= broadcast_rows and (probe["b"] or 0) <= broadcast_bytes
     if small:
         whole = F.broadcast(cold.select(F.col("_tl_jk").alias("word"),
                                         F.col("cold_ids").alias("hot_ids")))
