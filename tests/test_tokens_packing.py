@@ -210,3 +210,11 @@ def test_bpe_approximate_mode_runs(spark):
     vocab, merges = bpe.train_bpe(df, vocab_size=4 + 256 + 12, min_frequency=1, merges_per_round=4)
     m = [(r.left, r.right) for r in merges.orderBy("rank").collect()]
     assert 0 < len(m) <= 12 and len(set(m)) == len(m)
+
+
+def test_wordpiece_approximate_mode_runs(spark):
+    texts = ["the cat sat on the mat", "the dog sat on a log"] * 3
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    vocab, merges = bpe.train_wordpiece(df, vocab_size=40, merges_per_round=3)
+    m = [(r.left, r.right) for r in merges.orderBy("rank").collect()]
+    assert len(m) == len(set(m)) and vocab.count() <= 40
