@@ -21,24 +21,41 @@ def bounded_broadcast(df: DataFrame, max_rows: int, what: str = "table") -> Data
     return F.broadcast(df)
 
 
+# atomic types that can be hashed to choose a salt (maps cannot, arrays cost too much)
+_SALT_TYPES = ("string", "bigint", "int", "smallint", "tinyint", "boolean", "date", "timestamp",
+               "timestamp_ntz", "double", "float")
+
+
+def _salt_columns(df: DataFrame, keys: list[str]) -> list[str]:
+    return [c for c, t in df.dtypes if c not in keys and (t in _SALT_TYPES or t.startswith("decimal"))]
+
+
 def skew_safe_lookup(big: DataFrame, small: DataFrame, keys: list[str], weight: DataFrame,
-                     hot_k: int = 1000, salt_buckets: int = 64, how: str = "left"
-                     ) -> DataFrame:
+                     hot_k: int = 1000, salt_buckets: int = 64, how: str = "left",
+                     salt_by: list[str] | None = None, broadcast_rows: int = 10_000) -> DataFrame:
     """Many-to-one lookup of ``small`` (unique on ``keys``) for every row of
     ``big``, safe when a few keys carry a large share of ``big``.
 
-    ``weight(keys..., w)`` ranks keys by how many ``big`` rows they have; the
-    ``hot_k`` heaviest are salted: their ``big`` rows spread over
-    ``salt_buckets`` salts and their ``small`` rows are replicated once per
-    salt, so one hot key is joined by ``salt_buckets`` tasks.  Only the hot
-    *keys* are broadcast (``hot_k`` scalar rows), never the looked-up values,
-    whose size is not bounded.  Value columns of ``small`` must not clash
-    with ``big``."""
+    A ``small`` side of at most ``broadcast_rows`` rows (counted, not guessed)
+    is broadcast, so ``big`` does not move at all.  Beyond the bound both sides
+    are shuffled: ``weight(keys..., w)`` ranks keys by how many ``big`` rows
+    they have; the ``hot_k`` heaviest, and rows whose key is null (they match
+    nothing), are salted by a hash of ``salt_by`` (default: the atomic
+    non-key columns).  Only the hot *keys* are broadcast, never the looked-up
+    values, whose size is not bounded.  Value columns of ``small`` must not
+    clash with ``big``."""
+    if small.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return big.join(F.broadcast(small), keys, how)
     hot_keys = F.broadcast(weight.orderBy(F.desc("w"), *keys).limit(hot_k).select(
         *keys, F.lit(True).alias("_tl_is_hot")))
     is_hot = F.coalesce(F.col("_tl_is_hot"), F.lit(False))
-    salt = F.when(is_hot, F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]),
-                                 F.lit(salt_buckets))).otherwise(F.lit(0))
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    salt_cols = salt_by if salt_by is not None else _salt_columns(big, keys)
+    salted = (F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(salt_buckets))
+              if salt_cols else F.pmod(F.monotonically_increasing_id(), F.lit(salt_buckets)))
+    salt = F.when(is_hot | no_key, salted).otherwise(F.lit(0))
     big_s = (big.join(hot_keys, keys, "left").withColumn("_tl_salt", salt.cast("long"))
              .drop("_tl_is_hot"))
     copies = F.when(is_hot, F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))
