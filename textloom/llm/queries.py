@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import decontam
+from textloom.llm import decontam, packing, simhash
 from textloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,23 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"))
+
+
+# ---------------------------------------------------------------- 10: SimHash near-duplicates
+@_query("op10_simhash_near_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = simhash.simhash_groups(read_table(spark, sf_dir, "documents"), shingle=4, radius=4)
+    return g.select(F.col("id").alias("doc_id"),
+                    F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# ---------------------------------------------------------------- 8: best-fit packing
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@_query("op8_best_fit_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit_pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
