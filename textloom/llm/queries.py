@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import decontam, packing, simhash
+from textloom.llm import decontam, langid, packing, quality, simhash
 from textloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,27 @@ def tokenizer_path() -> str:
 @_query("op8_best_fit_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+# ---------------------------------------------------------------- 9: quality rules
+@_query("op9_quality_rules")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.quality(docs, quality.model(docs, read_table(spark, sf_dir, "labels")))
+
+
+# ---------------------------------------------------------------- 1: language identification
+def held_out(id_col: str = "doc_id"):
+    """The fold that training never sees; a null id is held out too."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(True))
+
+
+def language_model(docs: DataFrame) -> langid.Model:
+    return langid.fit(docs.filter(~held_out()))
+
+
+@_query("op1_language_id")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = langid.identify(docs, language_model(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
