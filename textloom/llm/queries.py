@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import decontam, langid, packing, quality, simhash
-from textloom.llm.common import read_table
+from textloom.llm import decontam, langid, lmscore, packing, quality, simhash, urlfilter, warc
+from textloom.llm.common import checkpointed, read_table
+from textloom.operators.bounded import skew_safe_lookup
+from textloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -104,3 +106,108 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = langid.identify(docs, language_model(docs))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+# ---------------------------------------------------------------- 3: WARC
+_B32 = "".join(f"to_base(('0x' || substr(h, {1 + 5 * i}, 5))::INTEGER, 32, 4){' || ' if i < 7 else ''}"
+               for i in range(8))
+
+
+@_query("op3_warc", f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS h FROM pages),
+k AS (SELECT page_id, octet_length(b) AS n, max(page_id) OVER (PARTITION BY h) AS keep,
+      translate({_B32}, '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS d FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+       CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = keep THEN NULL ELSE keep END AS refers_to FROM k
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_warc(read_table(spark, sf_dir, "pages"), path)
+    return warc_summary(warc.read_warc(spark, path))
+
+
+def warc_summary(found: DataFrame) -> DataFrame:
+    """What the archives say of every page; a revisit has the full payload's
+    length from the response that it refers to."""
+    s = checkpointed(found.select(
+        warc.page_of(F.col("record_id")).cast("long").alias("page_id"), F.col("type").alias("record_type"),
+        warc.page_of(F.col("refers_to")).cast("long").alias("refers_to"),
+        F.regexp_replace("digest", "^sha1:", "").alias("claimed"),
+        F.length("payload").cast("long").alias("payload_bytes"),
+        warc.base32_sha1(F.col("payload")).alias("payload_digest"), "ok"))
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    broken = F.when(~F.col("ok") | (F.col("payload_digest") != F.col("claimed")),
+                    F.raise_error(F.concat(F.lit("damaged record of page "), F.col("page_id").cast("string"))))
+    whole = s.filter("record_type = 'response'").withColumn("page_id", F.coalesce(broken.cast("long"), "page_id"))
+    again = s.filter("record_type = 'revisit'")
+    of = whole.select(F.col("page_id").alias("refers_to"), "payload_digest", "payload_bytes").distinct()
+    linked = skew_safe_lookup(
+        again.select("page_id", "record_type", "refers_to", F.col("claimed").alias("payload_digest")),
+        of, ["refers_to", "payload_digest"],
+        again.groupBy("refers_to", F.col("claimed").alias("payload_digest")).agg(F.count("*").alias("w")))
+    return whole.select(*names).unionByName(linked.select(*names))
+
+
+# ---------------------------------------------------------------- 6: URL filters
+RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+         ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+#: a page's path names the document that it shows
+_DOC_PATH = r"^/[a-z]+/([0-9]+)"
+
+
+@_query("op6_url_filters", rf"""
+WITH p AS (SELECT page_id, url, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), {_AZ}), '') AS host,
+           coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+r(verdict, h, pre) AS (VALUES {', '.join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)}),
+m AS (SELECT page_id, arg_max(h || pre, length(h || pre)) AS rule, arg_max(verdict, length(h || pre)) AS verdict
+      FROM p JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, pre) GROUP BY page_id),
+listed AS (SELECT DISTINCT host || path AS k FROM p JOIN labels
+           ON toxic = 1 AND doc_id = TRY_CAST(regexp_extract(path, '{_DOC_PATH}', 1) AS BIGINT))
+SELECT p.page_id, host, path, m.rule, coalesce(m.verdict,
+       CASE WHEN host || path IN (SELECT k FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN m USING (page_id)
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    found = urlfilter.filter_urls(pages, toxic_pages(pages, read_table(spark, sf_dir, "labels")), RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
+def toxic_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """The block list: keys of pages whose document is labelled toxic."""
+    path = urlfilter.url_path(F.col("url"))
+    at = pages.select(F.concat(urlfilter.url_host(F.col("url")), path).alias("key"),
+                      F.regexp_extract(path, _DOC_PATH, 1).try_cast("bigint").alias("doc_id")).distinct()
+    return at.join(labels.filter("toxic = 1").select("doc_id").distinct(), "doc_id").select("key")
+
+
+# ---------------------------------------------------------------- 2: LM scoring
+@_query("op2_lm_scoring", rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x20\x09-\x0D]+') AS w
+           FROM documents),
+t AS (SELECT doc_id, i, w[i] AS b, CASE WHEN i > 1 THEN w[i - 1] END AS a
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+n AS (SELECT count(*) AS n FROM t),
+c1 AS (SELECT b AS g, count(*) AS c FROM t GROUP BY b),
+d1 AS (SELECT doc_id, b AS g, count(*) AS c FROM t GROUP BY doc_id, b),
+c2 AS (SELECT a, b, count(*) AS c FROM t WHERE a IS NOT NULL GROUP BY a, b),
+d2 AS (SELECT doc_id, a, b, count(*) AS c FROM t WHERE a IS NOT NULL GROUP BY doc_id, a, b),
+s1 AS (SELECT d1.doc_id, d1.g, c1.c - d1.c AS c FROM d1 JOIN c1 USING (g)),
+s2 AS (SELECT d2.doc_id, d2.a, d2.b, c2.c - d2.c AS c FROM d2 JOIN c2 USING (a, b)),
+tok AS (SELECT t.doc_id, t.i, s2.c AS pair, x.c AS word, y.c AS before,
+        greatest((SELECT n FROM n) - len(d.w), 1) AS rest
+        FROM t JOIN d USING (doc_id) JOIN s1 x ON x.doc_id = t.doc_id AND x.g = t.b
+        LEFT JOIN s1 y ON y.doc_id = t.doc_id AND y.g = t.a
+        LEFT JOIN s2 ON s2.doc_id = t.doc_id AND s2.a = t.a AND s2.b = t.b),
+s AS (SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE pair > 0) AS seen, avg(CASE
+      WHEN pair > 0 THEN ln(pair / before)
+      WHEN i = 1 THEN ln(CASE WHEN word > 0 THEN word ELSE {lmscore.UNSEEN} END / rest)
+      ELSE ln({lmscore.BACKOFF}) + ln(CASE WHEN word > 0 THEN word ELSE {lmscore.UNSEEN} END / rest) END) AS m
+      FROM tok GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_tokens, CAST(coalesce(s.seen, 0) AS BIGINT) AS n_pairs_seen,
+       round(s.m, 6) AS log_score FROM d LEFT JOIN s USING (doc_id)
+""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = lmscore.backoff_scores(read_table(spark, sf_dir, "documents"))
+    return s.withColumn("log_score", F.round("log_score", 6))
