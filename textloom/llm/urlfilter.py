@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from textloom.llm.common import checkpointed
 
@@ -169,7 +170,7 @@ def listed(rows: DataFrame, key_col: str, filters: DataFrame, out: str = "listed
     if not size:  # nothing is listed
         return rows.withColumn(out, F.lit(False))
     d = rows.select("*", *_hashes(F.col(key_col)))
-    schema = rows.schema.add(out, "boolean")
+    schema = StructType([*rows.schema.fields, StructField(out, BooleanType())])
     names = rows.columns
 
     def judge(b: pa.RecordBatch | pa.Table, found: dict[int, list[Bloom]]):
