@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import decontam, langid, lmscore, packing, quality, simhash, urlfilter, warc
+from textloom.llm import decontam, langid, license, lmscore, packing, quality, simhash, urlfilter, warc
 from textloom.llm.common import checkpointed, read_table
 from textloom.operators.bounded import skew_safe_lookup
 from textloom.session import scratch_path
@@ -211,3 +211,58 @@ SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_tokens, CAST(coalesce(s.s
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = lmscore.backoff_scores(read_table(spark, sf_dir, "documents"))
     return s.withColumn("log_score", F.round("log_score", 6))
+
+
+# ---------------------------------------------------------------- 4: licence scans
+def document_path():
+    """A file path for every document: source, language and a folder of 512
+    ids; some documents are their folder's, language's or source's LICENSE."""
+    source, lang = F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none"))
+    folder = F.floor(F.col("doc_id") / 512).cast("string")
+    return (F.when(F.col("doc_id") % 960 == 0, F.concat_ws("/", source, F.lit("LICENSE")))
+            .when(F.col("doc_id") % 320 == 0, F.concat_ws("/", source, lang, F.lit("LICENSE")))
+            .when(F.col("doc_id") % 64 == 0, F.concat_ws("/", source, lang, folder, F.lit("LICENSE")))
+            .otherwise(F.concat_ws("/", source, lang, folder, F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))))
+
+
+_TEMPLATE_ROWS = ", ".join(f"('{n}', {i}, '{t}')" for n, xs in sorted(license.TEMPLATES.items())
+                           for i, t in enumerate(xs))
+
+
+@_query("op4_license_scan", rf"""
+WITH tpl(name, i, t) AS (VALUES {_TEMPLATE_ROWS}),
+tt AS (SELECT name, i, w, count(*) AS tf FROM (SELECT name, i,
+       unnest(regexp_extract_all(lower(t), '[a-z0-9]+(?:[.-][a-z0-9]+)*')) AS w FROM tpl) GROUP BY ALL),
+ln AS (SELECT doc_id, l, p FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS p,
+       generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS l FROM documents)),
+ps AS (SELECT * FROM ln UNION ALL SELECT doc_id, 0, text FROM documents WHERE contains(text, chr(10))),
+pt AS (SELECT doc_id, l, w, count(*) AS tf FROM (SELECT doc_id, l,
+       unnest(regexp_extract_all(lower(p), '[a-z0-9]+(?:[.-][a-z0-9]+)*')) AS w FROM ps) GROUP BY ALL),
+n AS (SELECT count(*) AS n FROM (SELECT DISTINCT doc_id, l FROM pt WHERE l > 0)),
+voc AS (SELECT w, count(doc_id) AS df FROM (SELECT DISTINCT w FROM tt) LEFT JOIN (SELECT doc_id, w FROM pt WHERE l > 0) USING (w)
+        GROUP BY w),
+idf AS (SELECT w, floor(1000 * (ln((1 + n) / (1 + df)) + 1))::BIGINT AS x FROM voc, n),
+rare AS (SELECT floor(1000 * (ln((1 + n) / 1) + 1))::BIGINT AS x FROM n),
+nt AS (SELECT name, i, sum((tf * x) * (tf * x)) AS s FROM tt JOIN idf USING (w) GROUP BY ALL),
+np AS (SELECT doc_id, l, sum((tf * coalesce(idf.x, rare.x)) * (tf * coalesce(idf.x, rare.x))) AS s
+       FROM pt LEFT JOIN idf USING (w), rare GROUP BY ALL),
+dot AS (SELECT doc_id, l, name, i, sum(pt.tf * x * tt.tf * x) AS s FROM pt JOIN tt USING (w) JOIN idf USING (w) GROUP BY ALL),
+sc AS (SELECT doc_id, name, dot.s::DOUBLE / (sqrt(np.s::DOUBLE) * sqrt(nt.s::DOUBLE)) AS c
+       FROM dot JOIN np USING (doc_id, l) JOIN nt USING (name, i)),
+own AS (SELECT doc_id, c, name FROM sc WHERE c >= {license.THRESHOLD}
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY c DESC, name) = 1),
+f AS (SELECT doc_id, coalesce(source, 'none') AS a, coalesce(lang, 'none') AS b, CAST(doc_id // 512 AS VARCHAR) AS c FROM documents),
+pth AS (SELECT doc_id, CASE WHEN doc_id % 960 = 0 THEN a || '/LICENSE' WHEN doc_id % 320 = 0 THEN a || '/' || b || '/LICENSE'
+        WHEN doc_id % 64 = 0 THEN a || '/' || b || '/' || c || '/LICENSE'
+        ELSE a || '/' || b || '/' || c || '/' || doc_id || '.txt' END AS path FROM f),
+x AS (SELECT doc_id, path, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir, name, own.c FROM pth LEFT JOIN own USING (doc_id)),
+held AS (SELECT dir, arg_min(name, (-c, name)) AS name FROM x WHERE name IS NOT NULL AND ends_with(path, '/LICENSE') GROUP BY dir),
+near AS (SELECT x.doc_id, arg_max(held.dir, length(held.dir)) AS from_dir, arg_max(held.name, length(held.dir)) AS name
+         FROM x JOIN held ON x.dir = held.dir OR starts_with(x.dir, held.dir || '/') WHERE x.name IS NULL GROUP BY x.doc_id)
+SELECT x.doc_id, path, coalesce(x.name, near.name) AS license, round(x.c, 6) AS score,
+       CASE WHEN x.name IS NOT NULL THEN 'own' WHEN near.name IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+       near.from_dir FROM x LEFT JOIN near USING (doc_id)
+""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license.license_scan(read_table(spark, sf_dir, "documents"), document_path())
+    return found.withColumn("score", F.round("score", 6))
