@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import decontam, langid, license, lmscore, packing, quality, simhash, urlfilter, warc
+from textloom.llm import decontam, langid, license, lmscore, packing, quality, quotes, simhash, urlfilter, warc
 from textloom.llm.common import checkpointed, read_table
 from textloom.operators.bounded import skew_safe_lookup
 from textloom.session import scratch_path
@@ -266,3 +266,47 @@ SELECT x.doc_id, path, coalesce(x.name, near.name) AS license, round(x.c, 6) AS
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license.license_scan(read_table(spark, sf_dir, "documents"), document_path())
     return found.withColumn("score", F.round("score", 6))
+
+
+# ---------------------------------------------------------------- 7: chat formatting
+def as_mail(conversations: DataFrame) -> DataFrame:
+    """The messages as mail writes them: what the turn before said is quoted
+    once, what the one before that said twice."""
+    c = conversations.select("conv_id", "turn", "text")
+    said = c.groupBy("conv_id", "turn").agg(F.min("text").alias("_text"))
+    back = lambda k: said.select("conv_id", (F.col("turn") + k).alias("turn"), F.col("_text").alias(f"_b{k}"))
+    quoted = lambda k, mark: F.concat(F.lit(mark), F.replace(F.col(f"_b{k}"), F.lit("\n"), F.lit("\n" + mark)))
+    d = c.join(back(1), ["conv_id", "turn"], "left").join(back(2), ["conv_id", "turn"], "left")
+    return d.select("conv_id", "turn", F.concat_ws(
+        "\n", F.when(F.col("_b1").isNotNull(), F.lit("On the list, someone wrote:")), quoted(2, ">> "),
+        quoted(1, "> "), F.coalesce("text", F.lit(""))).alias("text"))
+
+
+@_query("op7_quotation_linking", r"""
+WITH RECURSIVE said AS (SELECT conv_id, turn, min(text) AS t FROM conversations GROUP BY ALL),
+q AS (SELECT a.conv_id, a.turn, 1 AS level, b.t FROM said a JOIN said b ON a.conv_id = b.conv_id AND a.turn = b.turn + 1
+      UNION ALL SELECT a.conv_id, a.turn, 2, b.t FROM said a JOIN said b ON a.conv_id = b.conv_id AND a.turn = b.turn + 2
+      UNION ALL SELECT conv_id, turn, 0, text FROM conversations),
+l AS (SELECT conv_id, turn, level, trim(regexp_replace(lower(x), '\s+', ' ', 'g')) AS s
+      FROM (SELECT conv_id, turn, level, unnest(string_split(t, chr(10))) AS x FROM q)),
+n AS (SELECT conv_id, turn, level, s, count(*) AS n FROM l WHERE s <> '' GROUP BY ALL),
+k AS (SELECT a.conv_id, a.turn, a.level, a.n, max(b.turn) AS source FROM n a LEFT JOIN n b
+      ON a.conv_id = b.conv_id AND a.s = b.s AND b.level = 0 AND b.turn < a.turn WHERE a.level > 0
+      GROUP BY a.conv_id, a.turn, a.level, a.s, a.n),
+v AS (SELECT conv_id, turn, level, source, sum(n) AS votes FROM k WHERE source IS NOT NULL GROUP BY ALL),
+best AS (SELECT conv_id, turn, level, source FROM v QUALIFY row_number() OVER (
+         PARTITION BY conv_id, turn, level ORDER BY votes DESC, source DESC) = 1),
+r AS (SELECT s.conv_id, s.turn, arg_min(source, level) AS reply_to FROM said s LEFT JOIN best b USING (conv_id, turn)
+      GROUP BY s.conv_id, s.turn),
+th AS (SELECT conv_id, turn, turn AS thread, CAST(0 AS BIGINT) AS depth FROM r WHERE reply_to IS NULL
+       UNION ALL SELECT r.conv_id, r.turn, th.thread, th.depth + 1 FROM r JOIN th
+       ON r.conv_id = th.conv_id AND r.reply_to = th.turn),
+c AS (SELECT conv_id, turn, sum(n) AS n_quoted, sum(n) FILTER (WHERE source IS NOT NULL) AS n_linked FROM k GROUP BY ALL)
+SELECT m.conv_id, m.turn, r.reply_to, th.thread, th.depth, CAST(coalesce(n_quoted, 0) AS BIGINT) AS n_quoted,
+       CAST(coalesce(n_linked, 0) AS BIGINT) AS n_linked, md5(coalesce(m.text, '')) AS clean_md5
+FROM conversations m LEFT JOIN r USING (conv_id, turn) LEFT JOIN th USING (conv_id, turn) LEFT JOIN c USING (conv_id, turn)
+""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quotes.link_quotes(as_mail(read_table(spark, sf_dir, "conversations")))
+    return found.select("conv_id", "turn", "reply_to", "thread", "depth", "n_quoted", "n_linked",
+                        F.md5(F.col("clean_text")).alias("clean_md5"))
