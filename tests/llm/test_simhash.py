@@ -120,7 +120,7 @@ def test_groups_match_brute_force(spark):
 
 def test_one_row_of_each_group_stays(spark):
     data = rows()
-    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(data)], "doc_id long, text string, id int")
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(data)], "doc_id long, text string, _key int")
     got = drop_near_duplicates(df).collect()
     fps, comp, least = expected(data)
     assert len(got) == len({comp[f] for f in fps})

@@ -40,6 +40,17 @@ def maybe_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if small_enough(df, rows) else df
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added until no column of ``df`` has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+        taken.add(n.lower())
+    return out
+
+
 def word_blocks(data: bytes, keep: int = 0, block: int = 1 << 20) -> Iterator[tuple[list[bytes], bool]]:
     """Words (runs without ASCII white space) of a text in bounded blocks.
 

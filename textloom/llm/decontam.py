@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import checkpointed, maybe_broadcast
+from textloom.llm.common import checkpointed, free_names, maybe_broadcast
 
 WINDOW = 10
 #: (window, item) pairs up to which the window table is broadcast
@@ -116,18 +116,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "document",
     if mode not in ("document", "span"):
         raise ValueError(f"unknown mode {mode}")
     found = contamination(docs, benchmark, n, id_col, text_col, item_col, item_text_col)
+    row, key, cut = free_names(docs, "_id", "_key", "_spans")
     found = found.filter(F.size("spans") > 0).select(
-        F.col(id_col).alias("_id"), F.col("text_key").alias("_key"),
-        *([F.col("spans").alias("_spans")] if mode == "span" else []))
-    found = checkpointed(found.dropDuplicates(["_id", "_key"]))
+        F.col(id_col).alias(row), F.col("text_key").alias(key),
+        *([F.col("spans").alias(cut)] if mode == "span" else []))
+    found = checkpointed(found.dropDuplicates([row, key]))
     lookup = maybe_broadcast(found)
-    on = docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text_col]) == F.col("_key"))
+    on = docs[id_col].eqNullSafe(F.col(row)) & (F.xxhash64(docs[text_col]) == F.col(key))
     if mode == "document":
         return docs.join(lookup, on, "left_anti")
     j = docs.join(lookup, on, "left")
-    cut = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(
-        without_words(F.col(text_col), F.col("_spans")))
-    return j.select(*[cut.alias(c) if c == text_col else docs[c] for c in docs.columns])
+    text = F.when(F.col(cut).isNull(), docs[text_col]).otherwise(without_words(docs[text_col], F.col(cut)))
+    return j.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns])
 
 
 # fixed value: a run of word characters of either case, or a run of breaks

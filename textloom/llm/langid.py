@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import maybe_broadcast
+from textloom.llm.common import free_names, maybe_broadcast
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -247,9 +247,7 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text",
     """Rows whose language is known with ``min_score`` at least, with all their
     columns; nothing moves.  A model without languages keeps every row that has
     a letter."""
-    name = "_tl_letters"
-    while name in docs.columns:
-        name += "_"
+    name, = free_names(docs, "_letters")
     d = docs.withColumn(name, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))).filter(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -136,13 +136,13 @@ def inherit(files: DataFrame) -> DataFrame:
     """``files(id, path, license, score)`` with ``origin`` (``own``,
     ``inherited`` or ``none``) and ``from_dir``.
 
-    A directory's licence is that of the licence files in it: the best score,
-    then the first name.  Files without a licence take that of the nearest
+    A directory's licence is that of the licence files in it: the best score
+    (to nine digits), then the first name.  Files without a licence take that of the nearest
     directory at or above theirs that has one.  Null paths inherit nothing."""
     d = files.withColumn("dir", directory(F.col("path")))
     name = F.regexp_extract("path", r"(?s)([^/]*)$", 1)
     held = d.filter(F.col("license").isNotNull() & name.rlike(LICENSE_NAMES)).groupBy("dir").agg(
-        F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("_best"))
+        F.min(F.struct((-F.round("score", 9)).alias("s"), "license")).alias("_best"))
     held = checkpointed(held.select(F.col("dir").alias("from_dir"), F.col("_best.license").alias("_license")))
     dirs = checkpointed(d.filter("license IS NULL AND path IS NOT NULL").groupBy("dir").agg(F.count("*").alias("w")))
     parts = F.split("dir", "/")

@@ -256,7 +256,7 @@ pth AS (SELECT doc_id, CASE WHEN doc_id % 960 = 0 THEN a || '/LICENSE' WHEN doc_
         WHEN doc_id % 64 = 0 THEN a || '/' || b || '/' || c || '/LICENSE'
         ELSE a || '/' || b || '/' || c || '/' || doc_id || '.txt' END AS path FROM f),
 x AS (SELECT doc_id, path, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir, name, own.c FROM pth LEFT JOIN own USING (doc_id)),
-held AS (SELECT dir, arg_min(name, (-c, name)) AS name FROM x WHERE name IS NOT NULL AND ends_with(path, '/LICENSE') GROUP BY dir),
+held AS (SELECT dir, arg_min(name, (-round(c, 9), name)) AS name FROM x WHERE name IS NOT NULL AND ends_with(path, '/LICENSE') GROUP BY dir),
 near AS (SELECT x.doc_id, arg_max(held.dir, length(held.dir)) AS from_dir, arg_max(held.name, length(held.dir)) AS name
          FROM x JOIN held ON x.dir = held.dir OR starts_with(x.dir, held.dir || '/') WHERE x.name IS NULL GROUP BY x.doc_id)
 SELECT x.doc_id, path, coalesce(x.name, near.name) AS license, round(x.c, 6) AS score,

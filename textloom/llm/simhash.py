@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import checkpointed, maybe_broadcast, word_blocks
+from textloom.llm.common import checkpointed, free_names, maybe_broadcast, word_blocks
 from textloom.operators.bounded import skew_safe_lookup
 from textloom.operators.graph import connected_components
 
@@ -218,12 +218,14 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     best = checkpointed(best)
     flagged = skew_safe_lookup(keyed, best.select("root", "best"), ["root"], best.select("root", "w"))
     is_best = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("text_key") == F.col("best.text_key"))
-    gone = checkpointed(flagged.filter(~is_best).select(F.col("id").alias("_id"), F.col("text_key").alias("_key")))
-    repeated = best.filter("best.n > 1").select(F.col("best.id").alias("_id"), F.col("best.text_key").alias("_key"))
-    on = docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text_col]) == F.col("_key"))
+    row, key = free_names(docs, "_id", "_key")
+    named = lambda d, i, k: d.select(F.col(i).alias(row), F.col(k).alias(key))
+    gone = checkpointed(named(flagged.filter(~is_best), "id", "text_key"))
+    repeated = named(best.filter("best.n > 1"), "best.id", "best.text_key")
+    on = docs[id_col].eqNullSafe(F.col(row)) & (F.xxhash64(docs[text_col]) == F.col(key))
     kept = docs.join(maybe_broadcast(gone), on, "left_anti")
     if repeated.isEmpty():
         return kept
     again = maybe_broadcast(repeated)
-    one = docs.join(again, on, "left_semi").withColumn("_key", F.xxhash64(text_col))
-    return kept.join(again, on, "left_anti").unionByName(one.dropDuplicates([id_col, "_key"]).drop("_key"))
+    one = docs.join(again, on, "left_semi").withColumn(key, F.xxhash64(text_col))
+    return kept.join(again, on, "left_anti").unionByName(one.dropDuplicates([id_col, key]).drop(key))

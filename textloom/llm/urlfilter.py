@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from textloom.llm.common import checkpointed
+from textloom.llm.common import checkpointed, free_names
 
 SHARD_KEYS = 500_000
 FALSE_POSITIVES = 0.01
@@ -127,17 +127,17 @@ def in_cascade(levels: list[Bloom], a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 # ------------------------------------------------------------------ over tables
-def _hashes(key: Column) -> list[Column]:
+def _hashes(key: Column, names: list[str]) -> list[Column]:
     """128 bits of a key; null is a key of its own."""
     k = F.coalesce(F.concat(F.lit("k"), key), F.lit(""))
-    return [F.xxhash64(F.lit(1), k).alias("_a"), F.xxhash64(F.lit(2), k).alias("_b")]
+    return [F.xxhash64(F.lit(i), k).alias(n) for i, n in enumerate(names)]
 
 
 def cascades(universe: DataFrame, key_col: str, listed_col: str, shard_keys: int = SHARD_KEYS,
              rate: float = FALSE_POSITIVES) -> DataFrame:
     """``(shard, shards, level, data)`` of the cascades over all keys of
     ``universe``; a key is listed if any of its rows says so (null: not)."""
-    keys = universe.select(*_hashes(F.col(key_col)), F.coalesce(F.col(listed_col), F.lit(False)).alias("_l"))
+    keys = universe.select(*_hashes(F.col(key_col), ["_a", "_b"]), F.coalesce(F.col(listed_col), F.lit(False)).alias("_l"))
     keys = checkpointed(keys.groupBy("_a", "_b").agg(F.max("_l").alias("_l")))
     shards = max(1, -(-keys.count() // shard_keys))
     sharded = keys.withColumn("shard", F.pmod(F.col("_a"), F.lit(shards)).cast("int"))
@@ -169,12 +169,13 @@ def listed(rows: DataFrame, key_col: str, filters: DataFrame, out: str = "listed
     size, shards = filters.agg(F.sum(F.length("data")), F.max("shards")).first()
     if not size:  # nothing is listed
         return rows.withColumn(out, F.lit(False))
-    d = rows.select("*", *_hashes(F.col(key_col)))
+    one, two, deal, copy = free_names(rows, "_a", "_b", "_shard", "_copy")
+    d = rows.select("*", *_hashes(F.col(key_col), [one, two]))
     schema = StructType([*rows.schema.fields, StructField(out, BooleanType())])
     names = rows.columns
 
     def judge(b: pa.RecordBatch | pa.Table, found: dict[int, list[Bloom]]):
-        a, h = (np.asarray(b.column(c)).view(np.uint64) for c in ("_a", "_b"))
+        a, h = (np.asarray(b.column(c)).view(np.uint64) for c in (one, two))
         shard = (a.view(np.int64) % shards).astype(np.int64)
         yes = np.zeros(len(a), bool)
         for s in np.unique(shard):
@@ -197,12 +198,11 @@ def listed(rows: DataFrame, key_col: str, filters: DataFrame, out: str = "listed
         found = _levels(zip(*(right.column(c).to_pylist() for c in ("shard", "level", "data"))))
         return pa.table(judge(left, found), [*names, out])
 
-    spread = d.select("*", F.pmod(F.col("_a"), F.lit(shards)).cast("int").alias("_shard"),
-                      F.pmod(F.monotonically_increasing_id(), F.lit(COPIES)).cast("int").alias("_copy"))
-    copies = filters.select(F.col("shard").alias("_shard"), "shard", "level", "data", F.explode(
-        F.array(*[F.lit(i) for i in range(COPIES)])).alias("_copy"))
-    return spread.groupBy("_shard", "_copy").cogroup(copies.groupBy("_shard", "_copy")).applyInArrow(
-        join, schema)
+    spread = d.select("*", F.pmod(F.col(one), F.lit(shards)).cast("int").alias(deal),
+                      F.pmod(F.monotonically_increasing_id(), F.lit(COPIES)).cast("int").alias(copy))
+    copies = filters.select(F.col("shard").alias(deal), "shard", "level", "data", F.explode(
+        F.array(*[F.lit(i) for i in range(COPIES)])).alias(copy))
+    return spread.groupBy(deal, copy).cogroup(copies.groupBy(deal, copy)).applyInArrow(join, schema)
 
 
 def filter_urls(pages: DataFrame, block_list: DataFrame, rules: list[Rule], url_col: str = "url",
@@ -222,8 +222,8 @@ def filter_urls(pages: DataFrame, block_list: DataFrame, rules: list[Rule], url_
     universe = d.select(key.alias("_key"), F.lit(False).alias("_in")).unionByName(
         block_list.select(F.col(key_col).alias("_key"), F.lit(True).alias("_in")))
     filters = cascades(universe, "_key", "_in", shard_keys, rate)
-    judged = listed(d.withColumn("_key", key), "_key", filters, "_listed", max_broadcast)
-    best = longest_rule(F.col("host"), F.col("path"), rules)
-    judged = judged.withColumn("_best", best)
-    return judged.select(*d.columns, F.col("_best.rule").alias("rule"), F.coalesce(
-        F.col("_best.verdict"), F.when(F.col("_listed"), "block").otherwise("allow")).alias("verdict"))
+    name, answer, best = free_names(d, "_key", "_listed", "_best")
+    judged = listed(d.withColumn(name, key), name, filters, answer, max_broadcast)
+    judged = judged.withColumn(best, longest_rule(F.col("host"), F.col("path"), rules))
+    return judged.select(*d.columns, F.col(f"{best}.rule").alias("rule"), F.coalesce(
+        F.col(f"{best}.verdict"), F.when(F.col(answer), "block").otherwise("allow")).alias("verdict"))
