@@ -9,7 +9,8 @@ from textloom.functions.text import col_of
 
 __all__ = [
     "IGNORE_INDEX", "windows_of", "causal_inputs", "causal_targets", "mask_ids",
-    "shift_right", "with_specials", "special_mask", "added_specials_mask", "truncate_pad", "attention_mask",
+    "shift_right", "with_specials", "added_specials_mask", "truncate_pad", "truncate_pad_special",
+    "attention_mask",
     "argmax", "log_softmax_at", "mean_neg_log_softmax", "hashed_unit", "hashed_key",
 ]
 
@@ -62,12 +63,6 @@ def added_specials_mask(ids) -> Column:
     return F.transform(col_of(ids), lambda x, i: F.when((i == 0) | (i == n - 1), 1).otherwise(0))
 
 
-def special_mask(ids, special_ids: list[int]) -> Column:
-    """1 where the id is a special token, else 0."""
-    specials = F.array(*[F.lit(int(s)) for s in special_ids])
-    return F.transform(col_of(ids), lambda x: F.array_contains(specials, x).cast("int"))
-
-
 def truncate_pad(ids, max_length: int, pad_id: int, keep_last: int | None = None) -> Column:
     """Truncate to ``max_length`` (optionally re-appending the trailing special
     ``keep_last``) and right-pad with ``pad_id``."""
@@ -81,6 +76,19 @@ def truncate_pad(ids, max_length: int, pad_id: int, keep_last: int | None = None
     return F.concat(cut, pad)
 
 
+def truncate_pad_special(values, special, max_length: int, pad_value: int) -> Column:
+    """``truncate_pad`` of an aligned column that keeps the row's own last
+    value when ``special`` marks the last position."""
+    values, special = col_of(values), col_of(special)
+    ends_special = (F.size(special) > 0) & (F.element_at(special, -1) == 1)
+    cut = F.when(F.size(values) <= max_length, values).when(
+        F.coalesce(ends_special, F.lit(False)),
+        F.concat(F.slice(values, 1, max_length - 1), F.slice(values, -1, 1))).otherwise(
+        F.slice(values, 1, max_length))
+    return F.concat(cut, F.array_repeat(F.lit(pad_value), F.greatest(
+        F.lit(max_length) - F.size(values), F.lit(0))))
+
+
 def attention_mask(ids, max_length: int) -> Column:
     n = F.least(F.size(col_of(ids)), F.lit(max_length))
     return F.concat(F.array_repeat(F.lit(1), n),

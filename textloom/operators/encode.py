@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.functions.arrays import (added_specials_mask, attention_mask, truncate_pad,
+from textloom.functions.arrays import (added_specials_mask, attention_mask, truncate_pad, truncate_pad_special,
                                        with_specials)
 from textloom.functions.text import (SPECIAL_TOKENS, WHITESPACE_CLASS, byte_level_tokens,
                                      normalize_text_col, word_tokens)
@@ -33,6 +33,9 @@ from textloom.operators.bounded import bounded_broadcast
 
 UNK, PAD, CLS, EOS, MASK = SPECIAL_TOKENS
 METASPACE = "▁"
+# fixed values: spaces that a WordPiece decoder takes out again
+CLEAN_UP = ((" .", "."), (" ?", "?"), (" !", "!"), (" ,", ","), (" ' ", "'"), (" n't", "n't"), (" 'm", "'m"),
+            (" do not", " don't"), (" 's", "'s"), (" 've", "'ve"), (" 're", "'re"))
 
 
 @dataclass
@@ -45,6 +48,7 @@ class Tokenizer:
     lower_case: bool = True
     specials: tuple = tuple(SPECIAL_TOKENS)
     max_vocab: int = 1 << 20
+    max_word_chars: int = 100  # WordPiece: longer words are unknown (the library's default)
     _local: dict = field(default_factory=dict, repr=False)
 
     # -- pre-tokenisation -------------------------------------------------
@@ -84,7 +88,7 @@ class Tokenizer:
             return ("bytebpe", t["merges"], {r["piece"]: int(r["id"]) for r in t["vocab"]})
         if self.model == "wordpiece":
             return ("wordpiece", {r["text"]: int(r["id"]) for r in t["vocab"] if not r["special"]},
-                    self.special_id(UNK))
+                    self.special_id(UNK), self.max_word_chars)
         if self.model == "unigram":
             return ("unigram", {r["piece"]: (int(r["id"]), float(r["score"])) for r in t["vocab"]
                                 if not r["special"]}, self.special_id(UNK))
@@ -101,7 +105,7 @@ def build_encoder(spec: tuple):
     if kind == "bytebpe":
         return _bpe_encoder(spec[1], spec[2])
     if kind == "wordpiece":
-        return _wordpiece_encoder(spec[1], spec[2])
+        return _wordpiece_encoder(*spec[1:])
     return _unigram_encoder(spec[1], spec[2])
 
 
@@ -152,10 +156,11 @@ def _wordpiece_encoder(text_id, unk_id, max_chars: int = 100):
     return encode
 
 
-def _unigram_encoder(scores, unk_id, max_len: int = 16):
+def _unigram_encoder(scores, unk_id):
     """Viterbi best segmentation by summed log-probabilities; a character no
     piece covers becomes the unknown id (runs of unknowns collapse to one)."""
     unk_score = min((s for _, s in scores.values()), default=0.0) - 10.0
+    max_len = max(map(len, scores), default=1)
 
     def encode(word: str) -> list[int]:
         n = len(word)
@@ -199,7 +204,7 @@ def encode_dictionary(words: DataFrame, tok: Tokenizer) -> DataFrame:
     bc = spark.sparkContext.broadcast(tok.encoder_spec())
     # the distinct-word table is small next to the corpus; spread it over all
     # cores before the Python encoder
-    words = words.repartition(max(1, spark.sparkContext.defaultParallelism))
+    words = words.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = build_encoder(bc.value)
@@ -222,40 +227,41 @@ def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", id_cols=("doc_
     dictionary by shuffle; hot rows carry a salted key that matches nothing,
     so they spread evenly instead of piling onto one reducer."""
     id_cols = list(id_cols)
-    spark = df.sparkSession
-    occ = df.select(*id_cols, F.posexplode_outer(tok.pieces(F.col(text_col))).alias("pos", "word"))
+    pieces = F.posexplode_outer(tok.pieces(F.col(text_col))).alias("pos", "word")
     if tok.model == "word":
         # the vocabulary is the dictionary; ids are frequency ranks
         k = len(tok.specials)
         body = tok.vocab.filter(~F.col("special"))
-        hot = bounded_broadcast(body.filter((F.col("id") < k + hot_words)
-                                            & (F.length("piece") <= 256)).select(
-            F.col("piece").alias("word"),
-            F.array("id").alias("hot_ids")), hot_words, "hot words")
+        hot = body.filter((F.col("id") < k + hot_words) & (F.length("piece") <= 256)).select(
+            F.col("piece").alias("word"), F.array("id").alias("hot_ids"))
         cold = body.select(F.col("piece").alias("_tl_jk"), F.array("id").alias("cold_ids"))
         unk = tok.special_id(UNK)
     else:
-        words = occ.filter(F.col("word").isNotNull()).groupBy("word").agg(
+        words = df.select(F.explode(tok.pieces(F.col(text_col))).alias("word")).groupBy("word").agg(
             F.count(F.lit(1)).cast("long").alias("n"))
         from textloom.session import checkpoint_dir
-        checkpoint_dir(spark)
+        checkpoint_dir(df.sparkSession)
         # distinct pieces encoded once; checkpointed so the Python encoder never reruns
         enc = encode_dictionary(words, tok).checkpoint(eager=True)
         # top-k by frequency among pieces of bounded length: bounded bytes
-        hot = F.broadcast(enc.filter(F.length("word") <= 256).orderBy(F.desc("n"), "word")
-                          .limit(hot_words).select("word", F.col("ids").alias("hot_ids")))
+        hot = enc.filter(F.length("word") <= 256).orderBy(F.desc("n"), "word").limit(
+            hot_words).select("word", F.col("ids").alias("hot_ids"))
         cold = enc.select(F.col("word").alias("_tl_jk"), F.col("ids").alias("cold_ids"))
         unk = None
     probe = cold.limit(broadcast_rows + 1).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.length("_tl_jk") + 4 * F.size("cold_ids") + 32).alias("b")).first()
-    small = probe["n"] <= broadcast_rows and (probe["b"] or 0) <= broadcast_bytes
-    if small:
+        F.sum(F.octet_length("_tl_jk") + 4 * F.size("cold_ids") + 32).alias("b")).first()
+    if probe["n"] <= broadcast_rows and (probe["b"] or 0) <= broadcast_bytes:
+        # texts are dealt by row key before they are exploded: the broadcast
+        # join and the regrouping below keep that partitioning, so one shuffle
+        # of text replaces one of every token
+        occ = df.repartition(*id_cols).select(*id_cols, pieces)
         whole = F.broadcast(cold.select(F.col("_tl_jk").alias("word"),
                                         F.col("cold_ids").alias("hot_ids")))
         joined = occ.join(whole, "word", "left").withColumn("cold_ids", F.lit(None))
     else:
-        joined = _hot_cold_join(occ, hot, cold, id_cols)
+        joined = _hot_cold_join(df.select(*id_cols, pieces), bounded_broadcast(hot, hot_words, "hot words"),
+                                cold, id_cols)
     ids = F.coalesce(F.col("hot_ids"), F.col("cold_ids"))
     if unk is not None:
         ids = F.when(F.col("word").isNull(), F.lit(None)).otherwise(
@@ -270,7 +276,8 @@ def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", id_cols=("doc_
 
 def _hot_cold_join(occ: DataFrame, hot: DataFrame, cold: DataFrame, id_cols) -> DataFrame:
     tagged = occ.join(hot, "word", "left")
-    is_hot = F.col("hot_ids").isNotNull()
+    # rows that need no lookup, and texts without a piece, spread over salts
+    is_hot = F.col("hot_ids").isNotNull() | F.col("word").isNull()
     salt = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*id_cols, "pos"), F.lit(4096)).cast("string"))
     keyed = (tagged.withColumn("_tl_jk", F.when(is_hot, salt).otherwise(F.col("word")))
              .withColumn("_tl_hot", is_hot))
@@ -293,38 +300,64 @@ def add_special_tokens(df: DataFrame, tok: Tokenizer, ids_col: str = "input_ids"
 
 
 def pad_truncate(df: DataFrame, max_length: int, pad_id: int, ids_col: str = "input_ids",
-                 keep_last: int | None = None) -> DataFrame:
-    """Truncate (keeping a trailing special if given) and right-pad;
-    ``attention_mask`` marks the real tokens."""
-    raw = F.col(ids_col)
-    return (df.withColumn("attention_mask", attention_mask(raw, max_length))
-            .withColumn(ids_col, truncate_pad(raw, max_length, pad_id, keep_last)))
+                 keep_last: int | None = None, aligned: dict[str, int] | None = None) -> DataFrame:
+    """Truncate and right-pad to ``max_length``; ``attention_mask`` marks
+    the real tokens.
+
+    ``aligned`` columns (name -> pad value) are cut and padded in step;
+    ``special_tokens_mask`` (pads count as special) always is when it is there,
+    and then a row that ends in a special token keeps it.  ``keep_last`` keeps
+    that id at the end of every cut row instead."""
+    masked = "special_tokens_mask"
+    aligned = dict(aligned or {})
+    if masked in df.columns:
+        aligned.setdefault(masked, 1)
+    out = {"attention_mask": attention_mask(F.col(ids_col), max_length)}
+    for c, pad in {ids_col: pad_id, **aligned}.items():
+        if keep_last is not None:
+            last = keep_last if c == ids_col else 1 if c == masked else pad
+            out[c] = truncate_pad(c, max_length, pad, last)
+        elif masked in df.columns:
+            out[c] = truncate_pad_special(c, masked, max_length, pad)
+        else:
+            out[c] = truncate_pad(c, max_length, pad)
+    return df.withColumns(out)
 
 
 def encode_pair(df: DataFrame, tok: Tokenizer, src_col: str, tgt_col: str, id_cols=("pair_id",),
                 max_length: int = 768, max_target_length: int = 128) -> DataFrame:
-    """Source ids padded to ``max_length`` with mask; target ids truncated
-    to ``max_target_length`` become ``labels``; raw text columns removed."""
+    """Source ids padded to ``max_length`` with mask; target ids cut and
+    padded to ``max_target_length`` become ``labels``; raw text columns removed."""
     pad = tok.special_id(PAD)
     src = encode(df, tok, src_col, id_cols).drop("num_tokens")
     tgt = encode(df, tok, tgt_col, id_cols, out_col="labels").drop("num_tokens")
     src = pad_truncate(src, max_length, pad)
-    tgt = tgt.withColumn("labels", F.slice("labels", 1, max_target_length))
+    tgt = tgt.withColumn("labels", truncate_pad("labels", max_target_length, pad))
     return src.join(tgt, list(id_cols))
 
 
 def decode(df: DataFrame, tok: Tokenizer, ids_col: str = "input_ids", id_cols=("doc_id",),
-           out_col: str = "text", skip_special: bool = True) -> DataFrame:
+           out_col: str = "text", skip_special: bool = True, hot_words: int = 10000,
+           broadcast_rows: int = 1_000_000, clean_up: bool = True) -> DataFrame:
     """Ids back to text (special tokens dropped by default).
 
-    The vocabulary is bounded by the vocabulary size, so it is broadcast
-    after a row-count check."""
+    The vocabulary is broadcast behind a counted bound; a larger word-level
+    one joins its most frequent ids by broadcast and the rest by shuffle."""
     id_cols = list(id_cols)
     vocab = tok.vocab.select("id", "piece", "text", "special")
+    exploded = F.posexplode_outer(ids_col).alias("pos", "id")
     if tok.model != "word":  # trained vocabularies are bounded by their size
         vocab = bounded_broadcast(vocab, tok.max_vocab, "vocabulary")
-    exp = df.select(*id_cols, F.posexplode_outer(ids_col).alias("pos", "id"))
-    j = exp.join(vocab, "id", "left")
+    if tok.model != "word" or vocab.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        # dealt by row key first, so that regrouping moves no token
+        j = df.repartition(*id_cols).select(*id_cols, exploded).join(F.broadcast(vocab), "id", "left")
+    else:
+        # word ids are frequency ranks: the first hot_words are the hot ones
+        exp = df.select(*id_cols, exploded)
+        hot = F.coalesce(F.col("id") < len(tok.specials) + hot_words, F.lit(True))
+        top = bounded_broadcast(vocab.filter(F.col("id") < len(tok.specials) + hot_words),
+                                len(tok.specials) + hot_words, "hot words")
+        j = exp.filter(hot).join(top, "id", "left").unionByName(exp.filter(~hot).join(vocab, "id", "left"))
     if skip_special:
         j = j.filter(~F.coalesce(F.col("special"), F.lit(False)) | F.col("id").isNull())
     unit = F.col("piece") if tok.model == "bytebpe" else F.col("text")
@@ -335,6 +368,9 @@ def decode(df: DataFrame, tok: Tokenizer, ids_col: str = "input_ids", id_cols=("
         text = F.decode(F.unhex(F.array_join(parts, "")), "UTF-8")
     elif tok.model == "wordpiece":
         text = F.replace(F.array_join(parts, " "), F.lit(" ##"), F.lit(""))
+        if clean_up:
+            for found, put in CLEAN_UP:
+                text = F.replace(text, F.lit(found), F.lit(put))
     elif tok.model == "unigram":
         text = F.regexp_replace(F.replace(F.array_join(parts, ""), F.lit(METASPACE), F.lit(" ")),
                                 "^ ", "")

@@ -172,14 +172,21 @@ def sweep_grid(spark: SparkSession, axes: dict, seeds=None) -> DataFrame:
     return df.withColumn("group", F.concat_ws("-", *[F.col(a).cast("string") for a in axes]))
 
 
-OPTION = r"--([A-Za-z_][\w-]*)[ =]([^ ]+)"
+# an option, and its value unless the next word is an option too
+OPTION = r"(?<!\S)--([A-Za-z_][\w-]*)(?:[ =]+(?!--)([^ ]+))?"
 
 
 def parse_runs(df: DataFrame, line_col: str = "line", types: dict | None = None) -> DataFrame:
-    """``--key value`` options of a command line -> a map and typed columns."""
+    """``--key value`` options of a command line -> a map and typed columns.
+
+    A flag without a value is ``true``; of a repeated option the last counts."""
     keys = F.regexp_extract_all(F.col(line_col), F.lit(OPTION), F.lit(1))
     vals = F.regexp_extract_all(F.col(line_col), F.lit(OPTION), F.lit(2))
-    out = df.withColumn("options", F.map_from_arrays(keys, vals))
+    out = df.withColumn("_tl_k", keys).withColumn("_tl_v", vals)
+    last = F.filter(F.arrays_zip("_tl_k", "_tl_v"), lambda e, i: ~F.array_contains(
+        F.slice("_tl_k", i + 2, F.size("_tl_k")), e["_tl_k"]))
+    pairs = F.transform(last, lambda e: F.struct(e["_tl_k"], F.when(e["_tl_v"] == "", "true").otherwise(e["_tl_v"])))
+    out = out.withColumn("options", F.map_from_entries(pairs)).drop("_tl_k", "_tl_v")
     for k, t in (types or {}).items():
         out = out.withColumn(k.replace("-", "_"), F.col("options")[k].cast(t))
     return out

@@ -148,15 +148,15 @@ def _u(salt: int) -> str:
             f"VARCHAR) || ':{salt}'), 1, 15) AS BIGINT)")
 
 
-_MLM = f"""
+def _mlm_sql(rows: str) -> str:
+    return f"""
 WITH {WORD_IDS},
-x AS (SELECT doc_id, list_concat([2], ids, [3]) AS ids,
-        list_concat([1], list_transform(ids, lambda v: 0), [1]) AS sp FROM ids),
+{rows},
 z AS (SELECT doc_id, list_transform(ids, lambda v, i: struct_pack(
         x := v, s := sp[i],
         c := sp[i] = 0 AND {_u(0)} / 1152921504606846976.0 < 0.15,
         v1 := {_u(1)} / 1152921504606846976.0,
-        r := CAST({_u(2)} % 5000 AS INTEGER))) AS e FROM x)
+        r := CAST({_u(2)} % vs AS INTEGER))) AS e FROM x, (SELECT count(*) + 5 AS vs FROM v))
 SELECT doc_id,
   {ids_str("list_transform(e, lambda t: CASE WHEN NOT t.c THEN t.x WHEN t.v1 < 0.8 THEN 4 WHEN t.v1 < 0.9 THEN t.r ELSE t.x END)")} AS input_ids,
   {ids_str("list_transform(e, lambda t: CASE WHEN t.c THEN t.x ELSE -100 END)")} AS labels
@@ -164,10 +164,31 @@ FROM z
 """
 
 
-@query("mlm_mask", _MLM)
+_WITH_SPECIALS = """x AS (SELECT doc_id, list_concat([2], ids, [3]) AS ids,
+        list_concat([1], list_transform(ids, lambda v: 0), [1]) AS sp FROM ids)"""
+
+
+@query("mlm_mask", _mlm_sql(_WITH_SPECIALS))
 def q_mlm(spark, sf):
     tok, ids = word_ids(spark, sf)
     withs = enc.add_special_tokens(ids, tok)
-    out = pk.mlm_mask(withs, tok.special_id("<|mask|>"), 5000, seed=42, epoch=0)
+    out = pk.mlm_mask(withs, tok.special_id("<|mask|>"), tok.vocab.count(), seed=42, epoch=0)
+    return out.select("doc_id", arr_str("input_ids").alias("input_ids"),
+                      arr_str("labels").alias("labels"))
+
+
+def _cut(col: str, pad: int) -> str:
+    """An aligned list cut to 128 with its last value kept, or padded."""
+    return (f"CASE WHEN len({col}) > 128 THEN list_concat(list_slice({col}, 1, 127), list_slice({col}, len({col}), len({col}))) "
+            f"ELSE list_concat({col}, list_transform(range(128 - len({col})), lambda q: {pad})) END")
+
+
+@query("mlm_mask_padded", _mlm_sql(f"""{_WITH_SPECIALS.replace('x AS', 'x0 AS')},
+x AS (SELECT doc_id, {_cut('ids', 1)} AS ids, {_cut('sp', 1)} AS sp FROM x0)"""))
+def q_mlm_padded(spark, sf):
+    """Specials, then cut and padded to 128, then masked."""
+    tok, ids = word_ids(spark, sf)
+    padded = enc.pad_truncate(enc.add_special_tokens(ids, tok), 128, tok.special_id("<|pad|>"))
+    out = pk.mlm_mask(padded, tok.special_id("<|mask|>"), tok.vocab.count(), seed=42, epoch=0)
     return out.select("doc_id", arr_str("input_ids").alias("input_ids"),
                       arr_str("labels").alias("labels"))

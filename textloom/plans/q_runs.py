@@ -72,14 +72,12 @@ def q_duration(spark, sf):
 
 @query("overlay_runs", f"""
 WITH {EV}
-SELECT 'baseline' AS label, step, value FROM ev WHERE run = 'click'
-UNION ALL SELECT 'variant', step, value FROM ev WHERE run = 'view'
+SELECT run AS label, step, value FROM ev
 """)
 def q_overlay(spark, sf):
     log = run_log(spark, sf).select("run", "step", "value")
-    a = log.filter(F.col("run") == "click").drop("run")
-    b = log.filter(F.col("run") == "view").drop("run")
-    return rn.overlay_runs([a, b], ["baseline", "variant"])
+    runs = sorted(r.run for r in log.select("run").distinct().collect())  # a handful of run names
+    return rn.overlay_runs([log.filter(F.col("run") == r).drop("run") for r in runs], runs)
 
 
 _EPOCHS = f"""{EV},
@@ -110,16 +108,18 @@ def q_early_stop(spark, sf):
 
 
 @query("parse_runs", """
-SELECT event_id, event_type AS run, user_id AS user, value FROM events
+SELECT event_id, event_type AS run, user_id AS user, value, true AS no_early_stopping, true AS wandb FROM events
 """)
 def q_parse_runs(spark, sf):
     ev = table(spark, sf, "events")
-    line = F.concat_ws(" ", F.lit("python train.py --run"), "event_type", F.lit("--user"),
-                       F.col("user_id").cast("string"), F.lit("--value"),
-                       F.col("value").cast("string"))
+    # bare flags in the middle and at the end, a repeated option, runs of spaces
+    line = F.concat_ws(" ", F.lit("python train.py --user 0 --run"), "event_type", F.lit("--no-early-stopping --user"),
+                       F.col("user_id").cast("string"), F.lit("  --value"),
+                       F.col("value").cast("string"), F.lit("--wandb"))
     out = rn.parse_runs(ev.select("event_id", line.alias("line")), "line",
-                        {"run": "string", "user": "long", "value": "double"})
-    return out.select("event_id", "run", "user", "value")
+                        {"run": "string", "user": "long", "value": "double",
+                         "no-early-stopping": "boolean", "wandb": "boolean"})
+    return out.select("event_id", "run", "user", "value", "no_early_stopping", "wandb")
 
 
 @query("seed_summary", f"""

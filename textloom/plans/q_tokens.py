@@ -166,7 +166,7 @@ WITH {WORD_VOCAB}, {_PAIRS},
 SELECT pr.conv_id, pr.turn,
   {ids_str(f'list_concat(list_slice({_SRC}, 1, 768), list_transform(range(greatest(768 - len({_SRC}), 0)), lambda x: 1))')} AS input_ids,
   {ids_str(f'list_concat(list_transform(range(least(len({_SRC}), 768)), lambda x: 1), list_transform(range(greatest(768 - len({_SRC}), 0)), lambda x: 0))')} AS attention_mask,
-  {ids_str(f'list_slice({_TGT}, 1, 128)')} AS labels
+  {ids_str(f'list_concat(list_slice({_TGT}, 1, 128), list_transform(range(greatest(128 - len({_TGT}), 0)), lambda x: 1))')} AS labels
 FROM pr LEFT JOIN s USING (conv_id, turn) LEFT JOIN t USING (conv_id, turn)
 """)
 def q_encode_pair(spark, sf):
