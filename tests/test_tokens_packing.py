@@ -1,5 +1,6 @@
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from textloom.functions import arrays as ar
@@ -87,8 +88,10 @@ def test_mlm_mask_rates(spark):
 
 
 def test_bpe_merge_is_left_to_right(spark):
-    df = spark.createDataFrame([("a a a b",)], "syms string")
-    assert df.select(bpe.apply_merges(F.col("syms"), [("a", "a")])).first()[0] == "aa a b"
+    df = spark.createDataFrame([("a a a b", 1)], "syms string, freq long")
+    assert bpe.apply_merges(df, [("a", "a")]).first()[0] == "aa a b"
+    # a pair that only a later merge makes is not merged by an earlier one
+    assert bpe.apply_merges(df, [("aa", "a"), ("a", "a")]).first()[0] == "aa a b"
 
 
 def _python_bpe(words: Counter, n_merges: int, min_frequency: int):
@@ -150,7 +153,9 @@ def test_bpe_roundtrip_and_wordpiece(spark):
     wt = enc.Tokenizer("wordpiece", wv, wm)
     dec = {r.doc_id: r.text for r in enc.decode(enc.encode(df, wt), wt).collect()}
     assert dec[0] == "the cat sat on the mat"
-    assert dec[2] == "hello world , the end !"
+    assert dec[2] == "hello world, the end!"
+    raw = {r.doc_id: r.text for r in enc.decode(enc.encode(df, wt), wt, clean_up=False).collect()}
+    assert raw[2] == "hello world , the end !"
 
 
 def test_wordpiece_unknown_word(spark):
@@ -204,17 +209,18 @@ def test_unigram_train_and_roundtrip(spark):
     assert f("▁q") == [f("▁")[0], 0]  # unknown character -> unknown id
 
 
-def test_bpe_approximate_mode_runs(spark):
-    texts = ["the cat sat on the mat", "the dog sat on a log", "a cat and a dog"] * 2
-    df = spark.createDataFrame([(t,) for t in texts], "text string")
-    vocab, merges = bpe.train_bpe(df, vocab_size=4 + 256 + 12, min_frequency=1, merges_per_round=4)
-    m = [(r.left, r.right) for r in merges.orderBy("rank").collect()]
-    assert 0 < len(m) <= 12 and len(set(m)) == len(m)
+@pytest.mark.parametrize("max_pairs,rebase", [(200_000, 400), (200_000, 3), (5, 400), (1, 2)])
+def test_bpe_is_sequential_whatever_the_bounds(spark, max_pairs, rebase):
+    counts = {"abababab": 5, "banana": 7, "aaaaa": 3, "aaaa": 4, "cabcab": 6, "bcabc": 2, "xyxyx": 1, "nanb": 9}
+    df = spark.createDataFrame(list(counts.items()), "w string, freq long").select(
+        bpe.byte_symbols(F.col("w")).alias("syms"), "freq")
+    got = bpe._merge_loop(spark, df, 60, 1, max_pairs, rebase)
+    assert [m[:2] for m in got] == _python_bpe(counts, 60, 1)
 
 
-def test_wordpiece_approximate_mode_runs(spark):
+def test_wordpiece_stops_at_its_size(spark):
     texts = ["the cat sat on the mat", "the dog sat on a log"] * 3
     df = spark.createDataFrame([(t,) for t in texts], "text string")
-    vocab, merges = bpe.train_wordpiece(df, vocab_size=40, merges_per_round=3)
+    vocab, merges = bpe.train_wordpiece(df, vocab_size=40)
     m = [(r.left, r.right) for r in merges.orderBy("rank").collect()]
-    assert len(m) == len(set(m)) and vocab.count() <= 40
+    assert 0 < len(m) == len(set(m)) and vocab.count() <= 40

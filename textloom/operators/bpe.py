@@ -7,23 +7,33 @@ lower-case hex of their UTF-8 bytes, so merges can be applied with plain
 ``regexp_replace`` without escaping; a WordPiece continuation symbol carries
 a leading ``_`` (shown as ``##``).
 
-Each round is one Spark job: explode adjacent pairs, ``groupBy(pair)
-.sum(freq)``, take the top pairs ordered by (count desc, left asc, right asc)
--- a bounded top-k -- and apply the chosen merges as look-around regex
-replacements (left to right, non-overlapping: ``a a a`` + (a, a) ->
-``aa a``).
-
-Several merges are applied in one round only when that provably equals the
-one-at-a-time greedy result: a later pair is taken only if it shares no
-symbol with the pairs taken before it in this round, and its count is
-strictly above every other pair touching those symbols (the only pairs whose
-counts a merge can change or create).  So the output is exact; the rounds are
-just fewer.  The word table is checkpointed (reliable checkpoint in the
-shared folder) every few rounds to keep the plan short.
+Greedy training takes one merge at a time; a Spark job per merge would spend
+its time starting jobs.  So each job tries many merges and the driver takes
+those that greedy training would have taken:
+
+* the driver holds the exact pair counts (the ``max_pairs`` most frequent, and
+  a bound on all others) and lists the pairs that come next if nothing changed;
+* one job replays them in that order on the distinct words and returns, per
+  merge, how much it changes which pair counts;
+* the driver walks down the list: as long as the next pair is the true
+  maximum of the counts updated so far, its merge is taken and its changes are
+  applied; at the first that is not, the rest is thrown away.
+
+The first pair of a list is always right, so every job makes progress; later in
+training, where a merge seldom lifts another pair over the next in line, a job
+takes tens of merges.  The output is that of sequential training, ties by
+(count desc, left asc, right asc).  Merges are left to right, non-overlapping:
+``a a a`` + (a, a) -> ``aa a``.  Counts are recounted in full only if a pair
+below the bound could come next.
 """
 
 from __future__ import annotations
 
+import heapq
+from collections import Counter
+from typing import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,19 +70,79 @@ def merged_symbol(left: str, right: str) -> str:
     return left + (right[1:] if right.startswith(CONT) else right)
 
 
-def _merge_regex(left: str, right: str) -> tuple[str, str]:
-    return f"(?<![^ ]){left} {right}(?![^ ])", merged_symbol(left, right)
+def _merge(syms: list[str], left: str, right: str) -> list[str]:
+    new, out, i = merged_symbol(left, right), [], 0
+    while i < len(syms):
+        if i + 1 < len(syms) and syms[i] == left and syms[i + 1] == right:
+            out.append(new)
+            i += 2
+        else:
+            out.append(syms[i])
+            i += 1
+    return out
 
 
-def apply_merges(syms, merges) -> F.Column:
-    """Apply ``[(left, right), ...]`` in order to a symbol-string column."""
-    out = syms
-    for l, r in merges:
-        pat, rep = _merge_regex(l, r)
-        out = F.regexp_replace(out, F.lit(pat), F.lit(rep))
+def replay(syms: list[str], places: dict[tuple[str, str], list[int]], merges: list[tuple[str, str]]
+           ) -> Iterator[tuple[int, list[str], list[str]]]:
+    """Apply ``merges`` in order to one word; yields ``(merge, before, after)``
+    for every merge that changes it.  ``places`` has the positions of each pair."""
+    at = -1
+    while len(syms) > 1:
+        coming = [i for p in set(zip(syms, syms[1:])) for i in places.get(p, ()) if i > at]
+        if not coming:
+            return
+        at = min(coming)
+        after = _merge(syms, *merges[at])
+        yield at, syms, after
+        syms = after
+
+
+def _places(merges: list[tuple[str, str]]) -> dict[tuple[str, str], list[int]]:
+    out: dict[tuple[str, str], list[int]] = {}
+    for i, m in enumerate(merges):
+        out.setdefault(m, []).append(i)
     return out
 
 
+def apply_merges(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
+    """``(syms, freq)`` after ``merges`` in order."""
+    places = _places(merges)
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            out = []
+            for w in pdf["syms"]:
+                syms = w.split(" ")
+                for _, _, syms in replay(syms, places, merges):
+                    pass
+                out.append(" ".join(syms))
+            yield pd.DataFrame({"syms": out, "freq": pdf["freq"]})
+    return words.mapInPandas(run, "syms string, freq long")
+
+
+def merge_effects(words: DataFrame, done: list[tuple[str, str]], tried: list[tuple[str, str]]) -> DataFrame:
+    """``(step, left, right, delta)``: by how much each of ``tried``, applied in
+    order after ``done``, changes the count of a pair."""
+    merges, n_done = done + tried, len(done)
+    places = _places(merges)
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: Counter = Counter()
+        for pdf in it:
+            for w, freq in zip(pdf["syms"], pdf["freq"]):
+                for at, before, after in replay(w.split(" "), places, merges):
+                    if at >= n_done:
+                        for p in zip(before, before[1:]):
+                            total[at - n_done, p] -= freq
+                        for p in zip(after, after[1:]):
+                            total[at - n_done, p] += freq
+        rows = [(i, x, y, d) for (i, (x, y)), d in total.items() if d]
+        yield pd.DataFrame(rows, columns=["step", "left", "right", "delta"])
+
+    return (words.mapInPandas(run, "step int, left string, right string, delta long")
+            .groupBy("step", "left", "right").agg(F.sum("delta").alias("delta")).filter("delta <> 0"))
+
+
 def pair_counts(words: DataFrame) -> DataFrame:
     """Adjacent symbol pairs weighted by word frequency."""
     # split once into a column: a lambda would re-evaluate the split per element
@@ -86,82 +156,101 @@ def pair_counts(words: DataFrame) -> DataFrame:
             .agg(F.sum("freq").cast("long").alias("count")))
 
 
-def choose_merges(top: list[tuple[str, str, int]], limit: int, min_frequency: int,
-                  complete_above: int, approx_per_round: int = 1) -> list[tuple[str, str, int]]:
-    """Greedy-exact selection from the sorted top pairs (see module doc).
-
-    ``complete_above``: every pair with a count above this value is in ``top``.
-    ``approx_per_round > 1`` switches to the APPROXIMATE mode: up to that many
-    symbol-disjoint pairs from the top of the list, without the exactness
-    bound (pairs a merge would create or weaken are not re-ranked).
-    """
-    chosen: list[tuple[str, str, int]] = []
-    touched: set[str] = set()
-    for l, r, c in top:
-        if len(chosen) >= limit or c < max(min_frequency, 1):
-            break
-        if approx_per_round > 1:
-            if len(chosen) >= approx_per_round:
-                break
-            if l in touched or r in touched:
-                continue
-            chosen.append((l, r, c))
-            touched.update((l, r))
-            continue
-        if chosen:
-            if c <= complete_above or l in touched or r in touched:
-                break
-            if any((x in touched or y in touched) and (x, y) not in {(a, b) for a, b, _ in chosen}
-                   and cnt >= c for x, y, cnt in top):
-                break
-        chosen.append((l, r, c))
-        touched.update((l, r))
-        if l == r:  # a self-pair can create pairs as frequent as itself
-            break
-    return chosen
+class PairTable:
+    """Exact counts of the most frequent pairs; ``floor`` bounds all others."""
+
+    def __init__(self, words: DataFrame, max_pairs: int):
+        rows = pair_counts(words).orderBy(F.desc("count"), "left", "right").limit(max_pairs + 1).collect()
+        self.floor = int(rows[max_pairs]["count"]) if len(rows) > max_pairs else 0
+        self.counts = {(r["left"], r["right"]): int(r["count"]) for r in rows[:max_pairs]}
+        self.heap = [(-c, *p) for p, c in self.counts.items()]
+        heapq.heapify(self.heap)
+
+    def best(self) -> tuple[tuple[str, str], int] | None:
+        """The most frequent pair, if it is surely above all that are not held."""
+        while self.heap:
+            c, x, y = self.heap[0]
+            if self.counts.get((x, y)) == -c:
+                return ((x, y), -c) if -c > self.floor else None
+            heapq.heappop(self.heap)
+        return None
+
+    def next_in_line(self, n: int, least: int) -> list[tuple[str, str]]:
+        least = max(least, self.floor + 1)
+        return [p for p, _ in heapq.nsmallest(n, ((p, c) for p, c in self.counts.items() if c >= least),
+                                              key=lambda x: (-x[1], x[0]))]
+
+    def change(self, effects: list[tuple[str, str, int]], new_symbol: str | None) -> bool:
+        """Apply a merge's effects; false if a pair's count is no longer known.
+        ``new_symbol`` is the merge's result if no earlier merge made it: its
+        pairs had no count before."""
+        sure = True
+        for x, y, d in effects:
+            if (x, y) in self.counts or self.floor == 0 or new_symbol in (x, y):
+                c = self.counts.get((x, y), 0) + d
+                if c:
+                    self.counts[x, y] = c
+                    heapq.heappush(self.heap, (-c, x, y))
+                else:
+                    self.counts.pop((x, y), None)
+            elif d > 0:
+                sure = False
+        return sure
 
 
 def _merge_loop(spark: SparkSession, words: DataFrame, n_merges: int, min_frequency: int,
-                top_k: int, checkpoint_every: int, merges_per_round: int = 1
-                ) -> list[tuple[str, str, int]]:
+                max_pairs: int, rebase_every: int = 400) -> list[tuple[str, str, int]]:
     checkpoint_dir(spark)
-    n_parts = max(1, spark.sparkContext.defaultParallelism)  # small table: one slice per core
-    words = words.repartition(n_parts).checkpoint(eager=True)
+    least = max(min_frequency, 1)
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    words = words.filter(F.instr("syms", " ") > 0).repartition(n_parts).checkpoint(eager=True)
+    pairs = PairTable(words, max_pairs)
     merges: list[tuple[str, str, int]] = []
-    stale: list[DataFrame] = []
-    rounds = 0
+    made: set[str] = set()
+    pending: list[tuple[str, str]] = []  # taken, not yet in the word table
+    n_try = 8
     while len(merges) < n_merges:
-        top_rows = (pair_counts(words)
-                    .orderBy(F.desc("count"), F.asc("left"), F.asc("right"))
-                    .limit(top_k + 1).collect())
-        for old in stale:  # the current table is materialised now
-            old.unpersist()
-        stale = []
-        if not top_rows:
-            break
-        top = [(r["left"], r["right"], int(r["count"])) for r in top_rows]
-        complete_above = top[top_k][2] if len(top) > top_k else -1
-        chosen = choose_merges(top[:top_k], n_merges - len(merges), min_frequency, complete_above,
-                               merges_per_round)
-        if not chosen:
-            break
-        merges.extend(chosen)
-        prev = words
-        words = words.withColumn("syms", apply_merges(F.col("syms"), [(l, r) for l, r, _ in chosen]))
-        rounds += 1
-        if rounds % checkpoint_every == 0:
-            # a word merged into one symbol can never form a pair again
-            words = (words.filter(F.instr(F.col("syms"), " ") > 0)
-                     .repartition(n_parts).checkpoint(eager=True))
-        else:
-            # cache the merged table so the next round does not re-apply every
-            # earlier round's merges (lineage is kept: a lost block recomputes)
-            words = words.persist()
-        if prev.storageLevel.useMemory:
-            stale.append(prev)
+        best = pairs.best()
+        if best is None or best[1] < least:
+            if pairs.floor < least:  # nothing frequent enough is left anywhere
+                break
+            words, pending = _rebased(words, pending, n_parts), []
+            pairs = PairTable(words, max_pairs)
+            if pairs.best() is None:
+                # all of the held pairs are as frequent as the first left out: hold more
+                max_pairs *= 2
+                pairs = PairTable(words, max_pairs)
+            continue
+        tried = pairs.next_in_line(min(n_try, n_merges - len(merges)), least)
+        effects: dict[int, list] = {}
+        for r in merge_effects(words, pending, tried).collect():  # the neighbours of `tried`
+            effects.setdefault(r["step"], []).append((r["left"], r["right"], int(r["delta"])))
+        taken, sure = 0, True
+        for i, pair in enumerate(tried):
+            best = pairs.best()
+            if not sure or best is None or best[0] != pair or best[1] < least:
+                break
+            symbol = merged_symbol(*pair)
+            merges.append((*pair, best[1]))
+            pending.append(pair)
+            sure = pairs.change(effects.get(i, []), symbol if symbol not in made else None)
+            made.add(symbol)
+            taken += 1
+        n_try = min(512, max(8, 2 * taken))
+        if len(pending) >= rebase_every or not sure:
+            words, pending = _rebased(words, pending, n_parts), []
+            if not sure:
+                pairs = PairTable(words, max_pairs)
     return merges
 
 
+def _rebased(words: DataFrame, pending: list[tuple[str, str]], n_parts: int) -> DataFrame:
+    """The word table with ``pending`` applied; a word of one symbol never
+    forms a pair again."""
+    out = apply_merges(words, pending).filter(F.instr("syms", " ") > 0)
+    return out.repartition(n_parts).checkpoint(eager=True)
+
+
 MERGES_SCHEMA = T.StructType([T.StructField("rank", T.IntegerType()),
                               T.StructField("left", T.StringType()),
                               T.StructField("right", T.StringType()),
@@ -186,13 +275,11 @@ def _tables(spark, specials, alphabet, merges):
 
 def train_bpe(texts: DataFrame, vocab_size: int = 8000, text_col: str = "text",
               special_tokens=tuple(SPECIAL_TOKENS[1:]), min_frequency: int = 2,
-              top_k: int = 64, checkpoint_every: int = 10, merges_per_round: int = 1
-              ) -> tuple[DataFrame, DataFrame]:
+              max_pairs: int = 200_000) -> tuple[DataFrame, DataFrame]:
     """T4: byte-level BPE.  Returns ``(vocab, merges)``.
 
-    ``merges_per_round=1`` (default) is exact greedy BPE.  A larger value is
-    an APPROXIMATE mode for big vocabularies: one Spark job takes that many
-    symbol-disjoint top pairs.
+    ``max_pairs`` bounds the pair counts that the driver holds; it changes how
+    often they are recounted, not the result.
 
     Vocabulary: special tokens, then the 256 byte symbols, then one symbol
     per merge in merge order.  Pre-tokenisation is the byte-level split."""
@@ -202,15 +289,13 @@ def train_bpe(texts: DataFrame, vocab_size: int = 8000, text_col: str = "text",
              .select(byte_symbols(F.col("w")).alias("syms"), "freq"))
     alphabet = [f"{b:02x}" for b in range(256)]
     n_merges = max(0, vocab_size - len(special_tokens) - len(alphabet))
-    merges = _merge_loop(spark, words, n_merges, min_frequency, max(top_k, merges_per_round),
-                         checkpoint_every, merges_per_round)
+    merges = _merge_loop(spark, words, n_merges, min_frequency, max_pairs)
     return _tables(spark, list(special_tokens), alphabet, merges)
 
 
 def train_wordpiece(texts: DataFrame, vocab_size: int = 8000, text_col: str = "text",
                     lower_case: bool = True, special_tokens=tuple(SPECIAL_TOKENS),
-                    min_frequency: int = 0, top_k: int = 64, checkpoint_every: int = 10,
-                    merges_per_round: int = 1) -> tuple[DataFrame, DataFrame]:
+                    min_frequency: int = 0, max_pairs: int = 200_000) -> tuple[DataFrame, DataFrame]:
     """T5: the same merge loop on characters with a ``##`` continuation prefix,
     after NFD / optional lower-case / accent stripping and the whitespace
     pre-tokenizer.  Vocabulary: specials, the sorted alphabet (plain and
@@ -226,6 +311,5 @@ def train_wordpiece(texts: DataFrame, vocab_size: int = 8000, text_col: str = "t
     alphabet = sorted(r["s"] for r in words.select(F.explode(F.split("syms", " ")).alias("s"))
                       .distinct().collect())
     n_merges = max(0, vocab_size - len(special_tokens) - len(alphabet))
-    merges = _merge_loop(spark, words, n_merges, min_frequency, max(top_k, merges_per_round),
-                         checkpoint_every, merges_per_round)
+    merges = _merge_loop(spark, words, n_merges, min_frequency, max_pairs)
     return _tables(spark, list(special_tokens), alphabet, merges)
