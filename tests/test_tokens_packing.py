@@ -224,3 +224,57 @@ def test_wordpiece_stops_at_its_size(spark):
     vocab, merges = bpe.train_wordpiece(df, vocab_size=40)
     m = [(r.left, r.right) for r in merges.orderBy("rank").collect()]
     assert 0 < len(m) == len(set(m)) and vocab.count() <= 40
+
+
+def test_unigram_ends_and_keeps_every_character(spark):
+    from textloom.operators.unigram import train_unigram
+    df = spark.createDataFrame([(0, "abcdefghij klmnop"), (1, "qrstu abc")], "doc_id long, text string")
+    vocab = train_unigram(df, vocab_size=15).collect()
+    pieces = {r.piece for r in vocab if not r.special}
+    assert pieces == set("abcdefghijklmnopqrstu") | {"▁"}
+    assert train_unigram(df.limit(0)).filter("NOT special").count() == 0
+    tok = enc.Tokenizer("unigram", train_unigram(df, vocab_size=40))
+    assert {r.text for r in enc.decode(enc.encode(df, tok), tok).collect()} == {"abcdefghij klmnop", "qrstu abc"}
+
+
+def test_unigram_expected_uses_by_enumeration():
+    import math
+    from textloom.operators.unigram import best_path, expected_uses, lattice
+    logp = {p: math.log(x) for p, x in {"a": .2, "b": .1, "ab": .3, "ba": .15, "aba": .05, "bab": .2}.items()}
+
+    def paths(w):
+        if not w:
+            yield ()
+        for p in logp:
+            if w.startswith(p):
+                yield from ((p, *rest) for rest in paths(w[len(p):]))
+
+    for w in ("ab", "abab", "ababa", "bbab"):
+        edges = lattice(w, logp, 3)
+        prob = {x: math.exp(sum(logp[p] for p in x)) for x in paths(w)}
+        want = Counter()
+        for x, v in prob.items():
+            for p in x:
+                want[p] += v / sum(prob.values())
+        got = Counter()
+        for (_, _, p, _), u in zip(edges, expected_uses(len(w), edges)):
+            got[p] += u
+        assert all(math.isclose(got[p], want[p], abs_tol=1e-12) for p in logp)
+        assert math.isclose(sum(logp[p] for p in best_path(len(w), edges)), math.log(max(prob.values())))
+    n = 3000  # below the range of doubles: the logarithms take over
+    uses = expected_uses(n, lattice("ab" * (n // 2), logp, 3))
+    assert all(0 <= u <= 1 + 1e-9 for u in uses) and expected_uses(1, []) is None
+
+
+def test_encoder_takes_the_longest_piece_of_the_vocabulary():
+    long = "▁abcdefghijklmnopqrst"
+    f = enc.build_encoder(("unigram", {long: (7, -1.0), "▁": (5, -9.0), "a": (6, -9.0)}, 0))
+    assert f(long) == [7]
+    g = enc.build_encoder(("wordpiece", {"a": 1, "##a": 2}, 0, 5))
+    assert g("aaaaa") == [1, 2, 2, 2, 2] and g("aaaaaa") == [0]
+
+
+def test_unigram_reads_compatibility_forms(spark):
+    from textloom.functions.text import nfkc
+    df = spark.createDataFrame([("ﬁne ½",), ("plain  x",), (None,)], "s string")
+    assert [r[0] for r in df.select(nfkc("s")).collect()] == ["fine 1⁄2", "plain  x", None]

@@ -118,6 +118,18 @@ def nfd(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFD")
 
 
+@F.pandas_udf(T.StringType())
+def _nfkc(s: pd.Series) -> pd.Series:
+    """Unicode compatibility composition (NFKC), vectorised over an Arrow batch."""
+    return s.str.normalize("NFKC")
+
+
+def nfkc(c) -> Column:
+    """NFKC; plain ASCII, which it does not change, stays out of Python."""
+    other = F.when(col_of(c).rlike(r"[^\x00-\x7F]"), col_of(c))
+    return F.coalesce(_nfkc(other), col_of(c))
+
+
 def strip_marks(c) -> Column:
     """Drop combining marks (general category M)."""
     return F.regexp_replace(col_of(c), F.lit(r"\p{M}+"), F.lit(""))

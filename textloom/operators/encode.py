@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from textloom.functions.arrays import (added_specials_mask, attention_mask, truncate_pad, truncate_pad_special,
                                        with_specials)
 from textloom.functions.text import (SPECIAL_TOKENS, WHITESPACE_CLASS, byte_level_tokens,
-                                     normalize_text_col, word_tokens)
+                                     nfkc, normalize_text_col, word_tokens)
 from textloom.operators.bounded import bounded_broadcast
 
 UNK, PAD, CLS, EOS, MASK = SPECIAL_TOKENS
@@ -58,7 +58,7 @@ class Tokenizer:
         if self.model == "wordpiece":
             return word_tokens(normalize_text_col(text, self.lower_case, True))
         if self.model == "unigram":
-            chunks = F.regexp_extract_all(text, F.lit(f"[^{WHITESPACE_CLASS}]+"), F.lit(0))
+            chunks = F.regexp_extract_all(nfkc(text), F.lit(f"[^{WHITESPACE_CLASS}]+"), F.lit(0))
             return F.transform(chunks, lambda w: F.concat(F.lit(METASPACE), w))
         return word_tokens(text)
 

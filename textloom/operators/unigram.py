@@ -1,15 +1,19 @@
 """Unigram-LM vocabulary trained by EM as Spark jobs.
 
+* normalisation: NFKC and runs of white space to one, as the library's default;
 * seeds: every substring of at most ``max_piece_len`` characters of the
-  distinct words, weighted by word frequency (``explode`` + ``groupBy``),
-  keeping the ``seed_size`` best by frequency x length plus every character;
+  distinct words, weighted by word frequency (``explode`` + ``groupBy``): every
+  character, and the ``seed_size`` longer ones best by frequency x length (the
+  method's bound on the model that training starts from);
 * E-step: forward-backward over each distinct word's piece lattice in
-  ``mapInPandas`` (piece log-probabilities shipped as a broadcast variable,
-  bounded by the seed size) emitting expected piece counts;
+  ``mapInPandas`` (piece log-probabilities as a broadcast variable, bounded by
+  the seed size) emitting expected piece counts;
 * M-step: ``groupBy(piece).sum`` and renormalise;
 * prune: loss of removing a piece = its Viterbi usage x (its log-prob - the
   log-prob of the best segmentation of the piece without it); keep the
-  highest-loss share each round, never single characters.
+  highest-loss share each round.  Characters are never pruned, so every word
+  keeps a path; with more characters than ``vocab_size`` allows, the vocabulary
+  is the special tokens and all characters.
 
 Words are whitespace-separated chunks with a leading ``▁`` (metaspace).
 """
@@ -24,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.functions.text import SPECIAL_TOKENS, WHITESPACE_CLASS
+from textloom.functions.text import SPECIAL_TOKENS, WHITESPACE_CLASS, nfkc
 from textloom.session import checkpoint_dir
 
 METASPACE = "▁"
@@ -42,55 +46,69 @@ def _lse(a: float, b: float) -> float:
     return m + math.log(math.exp(a - m) + math.exp(b - m))
 
 
-def _estep(logp: dict, max_len: int):
+def lattice(word: str, logp: dict, max_len: int) -> list[tuple[int, int, str, float]]:
+    """``(from, to, piece, log-prob)`` of every piece in a word, by their end."""
+    return [(s, e, p, logp[p]) for e in range(1, len(word) + 1) for s in range(max(0, e - max_len), e)
+            if (p := word[s:e]) in logp]
+
+
+def expected_uses(n: int, edges: list[tuple[int, int, str, float]]) -> list[float] | None:
+    """Posterior probability of every edge; None if no path covers the word."""
+    alpha, beta = [1.0] + [0.0] * n, [0.0] * n + [1.0]
+    probs = [math.exp(lp) for *_, lp in edges]
+    for (s, e, _, _), p in zip(edges, probs):
+        alpha[e] += alpha[s] * p
+    if 1e-280 < alpha[n] < math.inf:
+        for (s, e, _, _), p in sorted(zip(edges, probs), key=lambda x: -x[0][0]):
+            beta[s] += p * beta[e]
+        return [alpha[s] * p * beta[e] / alpha[n] for (s, e, _, _), p in zip(edges, probs)]
+    # a long word leaves the range of doubles: the same in logarithms
+    alpha, beta = [0.0] + [-math.inf] * n, [-math.inf] * n + [0.0]
+    for s, e, _, lp in edges:
+        alpha[e] = _lse(alpha[e], alpha[s] + lp)
+    if alpha[n] == -math.inf:
+        return None
+    for s, e, _, lp in sorted(edges, key=lambda x: -x[0]):
+        beta[s] = _lse(beta[s], lp + beta[e])
+    return [math.exp(alpha[s] + lp + beta[e] - alpha[n]) for s, e, _, lp in edges]
+
+
+def best_path(n: int, edges: list[tuple[int, int, str, float]]) -> list[str]:
+    """Pieces of the most probable segmentation; of equal ones the first found."""
+    best, back = [0.0] + [-math.inf] * n, [(0, "")] * (n + 1)
+    for s, e, p, lp in edges:
+        if best[s] + lp > best[e]:
+            best[e], back[e] = best[s] + lp, (s, p)
+    out, at = [], n
+    while at > 0:
+        at, p = back[at]
+        out.append(p)
+    return out
+
+
+def _estep(model, max_len: int):
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        logp = model.value
+        ex: dict[str, float] = {}
+        vit: dict[str, float] = {}
         for pdf in it:
-            ex: dict[str, float] = {}
-            vit: dict[str, float] = {}
             for w, f in zip(pdf["word"], pdf["freq"]):
-                n = len(w)
-                alpha = [0.0] + [-math.inf] * n
-                best = [0.0] + [-math.inf] * n
-                back = [(0, "")] * (n + 1)
-                for e in range(1, n + 1):
-                    for s in range(max(0, e - max_len), e):
-                        lp = logp.get(w[s:e])
-                        if lp is None or alpha[s] == -math.inf:
-                            continue
-                        alpha[e] = _lse(alpha[e], alpha[s] + lp)
-                        if best[s] + lp > best[e]:
-                            best[e], back[e] = best[s] + lp, (s, w[s:e])
-                z = alpha[n]
-                if z == -math.inf:
-                    continue
-                beta = [-math.inf] * n + [0.0]
-                for s in range(n - 1, -1, -1):
-                    for e in range(s + 1, min(n, s + max_len) + 1):
-                        lp = logp.get(w[s:e])
-                        if lp is not None and beta[e] != -math.inf:
-                            beta[s] = _lse(beta[s], lp + beta[e])
-                for s in range(n):
-                    if alpha[s] == -math.inf:
-                        continue
-                    for e in range(s + 1, min(n, s + max_len) + 1):
-                        p = w[s:e]
-                        lp = logp.get(p)
-                        if lp is not None and beta[e] != -math.inf:
-                            ex[p] = ex.get(p, 0.0) + f * math.exp(alpha[s] + lp + beta[e] - z)
-                pos = n
-                while pos > 0:
-                    s, p = back[pos]
+                edges = lattice(w, logp, max_len)
+                uses = expected_uses(len(w), edges)
+                if uses is None:
+                    raise ValueError(f"no pieces cover {w!r}")  # characters are always kept
+                for (_, _, p, _), u in zip(edges, uses):
+                    ex[p] = ex.get(p, 0.0) + f * u
+                for p in best_path(len(w), edges):
                     vit[p] = vit.get(p, 0.0) + f
-                    pos = s
-            keys = list(ex)
-            yield pd.DataFrame({"piece": keys, "ex": [ex[k] for k in keys],
-                                "vit": [vit.get(k, 0.0) for k in keys]})
+        yield pd.DataFrame({"piece": list(ex), "ex": list(ex.values()), "vit": [vit.get(k, 0.0) for k in ex]})
     return run
 
 
-def _alt_score(logp: dict, max_len: int):
+def _alt_score(model, max_len: int):
     """Best log-prob of a piece segmented without using the piece itself."""
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        logp = model.value
         for pdf in it:
             alts = []
             for w in pdf["piece"]:
@@ -110,57 +128,57 @@ def _alt_score(logp: dict, max_len: int):
 
 def train_unigram(texts: DataFrame, vocab_size: int = 8000, text_col: str = "text",
                   special_tokens=tuple(SPECIAL_TOKENS), max_piece_len: int = 16,
-                  seed_size: int | None = None, shrink: float = 0.75, em_iters: int = 2
-                  ) -> DataFrame:
+                  seed_size: int = 200_000, shrink: float = 0.75, em_iters: int = 2) -> DataFrame:
     """Returns the vocabulary ``(id, piece, text, special, score)``: specials
     first, then pieces by log-probability (desc) and piece (asc)."""
     spark = texts.sparkSession
     checkpoint_dir(spark)
-    chunks = F.regexp_extract_all(F.col(text_col), F.lit(f"[^{WHITESPACE_CLASS}]+"), F.lit(0))
+    chunks = F.regexp_extract_all(nfkc(F.col(text_col)), F.lit(f"[^{WHITESPACE_CLASS}]+"), F.lit(0))
     words = (texts.select(F.explode(chunks).alias("c"))
              .groupBy(F.concat(F.lit(METASPACE), "c").alias("word"))
              .agg(F.count(F.lit(1)).cast("long").alias("freq")))
-    # spread the distinct words over all cores before the Python E-steps
-    n_parts = max(1, spark.sparkContext.defaultParallelism)  # small table: one slice per core
-    words = words.repartition(n_parts).checkpoint(eager=True)
-    target = vocab_size - len(special_tokens)
-    seed_size = seed_size or max(4 * target, 1000)
+    # the distinct words in as many slices as shuffles have, for the Python E-steps
+    words = words.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).checkpoint(eager=True)
+    target = max(0, vocab_size - len(special_tokens))
     L = max_piece_len
     subs = F.transform(F.sequence(F.lit(1), F.size(F.col("ch"))), lambda i: F.transform(
         F.sequence(F.lit(1), F.least(F.lit(L), F.size(F.col("ch")) - i + 1)),
         lambda k: F.array_join(F.slice(F.col("ch"), i, k), "")))
     seeds = (words.select(F.split("word", "(?<=.)(?=.)", -1).alias("ch"), "freq")
              .select(F.explode(F.flatten(subs)).alias("piece"), "freq")
-             .groupBy("piece").agg(F.sum("freq").cast("double").alias("c")))
-    chars = [r.piece for r in seeds.filter(F.length("piece") == 1).collect()]
-    top = (seeds.filter(F.length("piece") > 1)
-           .orderBy(F.desc(F.col("c") * F.length("piece")), "piece").limit(seed_size).collect())
-    counts = {r.piece: r.c for r in top}
-    char_counts = seeds.filter(F.length("piece") == 1).collect()
-    counts.update({r.piece: r.c for r in char_counts})
-    keep_chars = set(chars)
+             .groupBy("piece").agg(F.sum("freq").cast("double").alias("c"))).checkpoint(eager=True)
+    one = F.length("piece") == 1
+    counts = {r.piece: r.c for r in seeds.filter(one).collect()}  # the characters in use
+    chars = set(counts)
+    counts.update({r.piece: r.c for r in seeds.filter(~one).orderBy(
+        F.desc(F.col("c") * F.length("piece")), "piece").limit(seed_size).collect()})
     total = sum(counts.values())
     logp = {p: math.log(c / total) for p, c in counts.items()}
-    while True:
-        vit = {}
+    while counts:
+        vit: dict[str, float] = {}
         for _ in range(em_iters):
-            bc = spark.sparkContext.broadcast(logp)
-            stats = (words.mapInPandas(_estep(bc.value, L), _COUNTS)
+            model = spark.sparkContext.broadcast(logp)
+            stats = (words.mapInPandas(_estep(model, L), _COUNTS)
                      .groupBy("piece").agg(F.sum("ex").alias("ex"), F.sum("vit").alias("vit"))
                      .collect())
-            ex = {r.piece: r.ex for r in stats if r.ex > 0 or r.piece in keep_chars}
+            ex = {c: 0.0 for c in chars} | {r.piece: r.ex for r in stats if r.ex > 0 or r.piece in chars}
             vit = {r.piece: r.vit for r in stats}
             tot = sum(ex.values())
             logp = {p: math.log(max(c, 1e-12) / tot) for p, c in ex.items()}
-        if len(logp) <= target:
+            model.destroy()
+        longer = [p for p in logp if p not in chars]
+        room = max(0, target - len(chars))
+        if len(longer) <= room:
             break
-        pieces = spark.createDataFrame([(p,) for p in logp if p not in keep_chars], "piece string")
-        alts = pieces.mapInPandas(_alt_score(logp, L), "piece string, alt double").collect()
+        model = spark.sparkContext.broadcast(logp)
+        alts = spark.createDataFrame([(p,) for p in longer], "piece string").mapInPandas(
+            _alt_score(model, L), "piece string, alt double").collect()
+        model.destroy()
         loss = {r.piece: vit.get(r.piece, 0.0) * (logp[r.piece] - r.alt) for r in alts}
-        n_keep = max(target - len(keep_chars & logp.keys()), int(len(loss) * shrink))
-        kept = sorted(loss, key=lambda p: (-loss[p], p))[:n_keep]
-        logp = {p: logp[p] for p in list(kept) + [c for c in keep_chars if c in logp]}
-    ordered = sorted(logp.items(), key=lambda kv: (-kv[1], kv[0]))[:max(target, 0)]
+        n_keep = min(max(room, int(len(longer) * shrink)), len(longer) - 1)  # one at least goes
+        kept = set(sorted(loss, key=lambda p: (-loss[p], p))[:n_keep])
+        logp = {p: lp for p, lp in logp.items() if p in chars or p in kept}
+    ordered = sorted(logp.items(), key=lambda kv: (-kv[1], kv[0]))
     rows = [(i, s, s, True, 0.0) for i, s in enumerate(special_tokens)]
     rows += [(len(special_tokens) + i, p, p, False, float(lp)) for i, (p, lp) in enumerate(ordered)]
     return spark.createDataFrame(rows, "id int, piece string, text string, special boolean, "
