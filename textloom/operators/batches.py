@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 
 def assign_batches(df: DataFrame, batch_size: int, drop_last: bool = False,
                    index_col: str = "row_index", batch_col: str = "batch_id",
-                   total: int | None = None) -> DataFrame:
+                   total: int | str | None = None) -> DataFrame:
     """``batch_id = row_index // batch_size``; ``drop_last`` removes the
-    short final batch (train), otherwise it is kept (eval)."""
+    short final batch (train), otherwise it is kept (eval).  ``total`` is the
+    number of rows, or the column that holds it (``with_row_index`` makes one);
+    without it the rows are counted first."""
     out = df.withColumn(batch_col, F.floor(F.col(index_col) / F.lit(batch_size)).cast("long"))
     if drop_last:
         if total is None:
             total = df.agg(F.count(F.lit(1))).first()[0]
-        out = out.filter(F.col(batch_col) < F.lit(total // batch_size))
+        size = F.col(total) if isinstance(total, str) else F.lit(total)
+        out = out.filter(F.col(batch_col) < F.floor(size / batch_size))
     return out
 
 

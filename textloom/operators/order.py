@@ -72,10 +72,12 @@ def _range_buckets(df: DataFrame, order_by: list[str], n: int) -> DataFrame:
 
 def with_row_index(df: DataFrame, order_by, index_col: str = "row_index",
                    prefix_sums: dict[str, str] | None = None, num_buckets: int | None = None,
-                   partition_by=None, checkpoint_input: bool = False) -> DataFrame:
+                   partition_by=None, checkpoint_input: bool = False,
+                   size_col: str | None = None) -> DataFrame:
     """Dense 0-based ``index_col`` in ``order_by`` order (within each
     ``partition_by`` group when given); ``prefix_sums`` maps an output column
-    to a numeric column whose exclusive running total it holds.
+    to a numeric column whose exclusive running total it holds; ``size_col``
+    names a column for the number of rows of the group.
 
     The input is read up to three times (bounds, sizes, positions); pass
     ``checkpoint_input=True`` when it is expensive to recompute."""
@@ -99,7 +101,8 @@ def with_row_index(df: DataFrame, order_by, index_col: str = "row_index",
         *groups, "_tl_bucket",
         F.coalesce(F.sum("_tl_n").over(wb), F.lit(0)).cast("long").alias("_tl_off"),
         *[F.coalesce(F.sum(f"_tl_s_{i}").over(wb), F.lit(0)).cast("long").alias(f"_tl_o_{i}")
-          for i in range(len(prefix_sums))])
+          for i in range(len(prefix_sums))],
+        *([F.sum("_tl_n").over(Window.partitionBy(*groups)).cast("long").alias(size_col)] if size_col else []))
     # at most groups x buckets rows; AQE broadcasts it when small
     joined = b.join(offsets, [*groups, "_tl_bucket"], "left")
     w = Window.partitionBy(*groups, "_tl_bucket").orderBy(*order_by)

@@ -146,22 +146,29 @@ def lcs_length(a: list, b: list) -> int:
     return len(a) - bin(v).count("1")
 
 
-def _lcs_table(a: list, b: list) -> list[list[int]]:
-    t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(1, len(a) + 1):
-        for j in range(1, len(b) + 1):
-            t[i][j] = t[i - 1][j - 1] + 1 if a[i - 1] == b[j - 1] else max(t[i - 1][j], t[i][j - 1])
-    return t
-
-
 def _lcs_positions(a: list, b: list) -> set[int]:
-    t = _lcs_table(a, b)
+    """Positions of ``a`` in one longest common subsequence.
+
+    Keeps one bit row per token of ``b`` (a zero bit: the LCS grows at that
+    token of ``a``), a 64th of the cells of a table of numbers."""
+    if not a or not b:
+        return set()
+    masks: dict = {}
+    for i, t in enumerate(a):
+        masks[t] = masks.get(t, 0) | (1 << i)
+    full = (1 << len(a)) - 1
+    rows = [full]
+    for t in b:
+        u = rows[-1] & masks.get(t, 0)
+        rows.append(((rows[-1] + u) | (rows[-1] - u)) & full)
+    length = lambda i, j: i - (rows[j] & ((1 << i) - 1)).bit_count()
     i, j, hits = len(a), len(b), set()
     while i > 0 and j > 0:
         if a[i - 1] == b[j - 1]:
             hits.add(i - 1)
             i, j = i - 1, j - 1
-        elif t[i - 1][j] >= t[i][j - 1]:
+        # one shorter in `a` is as good, or losing either costs the same
+        elif rows[j] >> (i - 1) & 1 or length(i, j) > length(i, j - 1):
             i -= 1
         else:
             j -= 1

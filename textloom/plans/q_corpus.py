@@ -73,6 +73,18 @@ PAGE_RULES = (files.Rule("split", "page=2", "validation", "train"),
               files.Rule("version", ".org", "version2", "original"))
 
 
+@query("read_tales", """
+SELECT text FROM documents WHERE length(text) > 0
+UNION ALL SELECT 'second of ' || doc_id FROM documents
+""")
+def q_read_tales(spark, sf):
+    path = scratch_path(spark, "tales")
+    docs = table(spark, sf, "documents")
+    docs.select(F.concat("text", F.lit("\n\n\n\n\nsecond of "), F.col("doc_id").cast("string"),
+                         F.lit("\n\n\n")).alias("value")).write.text(path)
+    return src.read_tales(spark, path).select("text")
+
+
 @query("route_files", """
 SELECT page_id,
        CASE WHEN contains(lower(url), 'page=2') THEN 'validation' ELSE 'train' END AS split,
@@ -106,12 +118,13 @@ def q_read_labelled(spark, sf):
 
 
 @query("save_load_splits", f"""
-SELECT doc_id, lang, split FROM {DOCS} WHERE split = 'validation'
+SELECT doc_id, lang, split FROM {DOCS}
 """)
 def q_save_load(spark, sf):
     path = scratch_path(spark, "splits")
     splits.save_splits(documents(spark, sf).select("doc_id", "lang", "split"), path)
-    return splits.load_splits(spark, path, "validation").select("doc_id", "lang", "split")
+    parts = [splits.load_splits(spark, path, x).select("doc_id", "lang", "split") for x in ("validation", "train")]
+    return parts[0].unionByName(parts[1])
 
 
 @query("materialize", """
@@ -152,9 +165,13 @@ def q_select_drop(spark, sf):
     return clean.drop_columns(docs, ["source"])
 
 
-@query("reshard", "SELECT doc_id, lang FROM documents")
+@query("reshard", """
+SELECT doc_id, lang, 7 AS n_shards, 0 AS outside FROM documents
+""")
 def q_reshard(spark, sf):
-    return clean.reshard(table(spark, sf, "documents").select("doc_id", "lang"), 7, "lang")
+    out = clean.reshard(table(spark, sf, "documents").select("doc_id", "lang"), 7, "doc_id")
+    return out.select("doc_id", "lang", F.lit(out.rdd.getNumPartitions()).alias("n_shards"),
+                      F.floor(F.spark_partition_id() / 7).cast("int").alias("outside"))
 
 
 # ---------------------------------------------------------------- cleaning
@@ -168,30 +185,40 @@ regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regex
  '([^\\n])\\n\\n$', '\\1' || chr(10))"""
 
 
-@query("reflow_newlines", f"SELECT doc_id, {_REFLOW} AS text FROM documents")
+# every rule has something to do in every row: double newlines inside, single ones at the end
+@query("reflow_newlines", f"""
+WITH documents AS (SELECT doc_id, replace(text, '. ', '.' || chr(10) || chr(10)) || chr(10) AS text FROM documents)
+SELECT doc_id, {_REFLOW} AS text FROM documents
+""")
 def q_reflow(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.reflow_newlines("text").alias("text"))
+    raw = F.concat(F.replace("text", F.lit(". "), F.lit(".\n\n")), F.lit("\n"))
+    return table(spark, sf, "documents").select("doc_id", raw.alias("text")).select(
+        "doc_id", tx.reflow_newlines("text").alias("text"))
 
 
 @query("collapse_blank_lines",
-       r"SELECT doc_id, regexp_replace(text, '\n{2,}', chr(10), 'g') AS text FROM documents")
+       r"SELECT doc_id, regexp_replace(replace(text, ' ', repeat(chr(10), 3)), '\n{2,}', chr(10), 'g') AS text FROM documents")
 def q_collapse(spark, sf):
-    return table(spark, sf, "documents").select(
+    return table(spark, sf, "documents").select("doc_id", F.replace("text", F.lit(" "), F.lit("\n\n\n")).alias("text")).select(
         "doc_id", tx.collapse_blank_lines("text").alias("text"))
 
 
 @query("trim_chars", f"""
+WITH documents AS (SELECT doc_id, '  ' || chr(10) || text || chr(10) || ' ' AS text FROM documents)
 SELECT doc_id, {TRIM} AS text, regexp_replace(text, '^ ', '') AS text_lstrip1 FROM documents
 """)
 def q_trim(spark, sf):
-    return table(spark, sf, "documents").select(
+    raw = F.concat(F.lit("  \n"), "text", F.lit("\n "))
+    return table(spark, sf, "documents").select("doc_id", raw.alias("text")).select(
         "doc_id", tx.trim_chars("text").alias("text"),
         tx.strip_one_leading_space("text").alias("text_lstrip1"))
 
 
-@query("drop_cr", "SELECT doc_id, replace(text, chr(13), '') AS text FROM documents")
+@query("drop_cr", "SELECT doc_id, text || chr(10) AS text FROM documents")
 def q_drop_cr(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.drop_cr("text").alias("text"))
+    raw = F.concat(F.replace("text", F.lit("\n"), F.lit("\r\n")), F.lit("\r\n"))
+    return table(spark, sf, "documents").select("doc_id", raw.alias("text")).select(
+        "doc_id", tx.drop_cr("text").alias("text"))
 
 
 @query("affix", """
@@ -215,9 +242,14 @@ def q_split_docs(spark, sf):
     return clean.split_docs(docs, "text", pattern="\n")
 
 
-@query("split_tales", "SELECT doc_id, CAST(0 AS BIGINT) AS piece_idx, text FROM documents")
+@query("split_tales", """
+SELECT doc_id, CAST(0 AS BIGINT) AS piece_idx, text FROM documents
+UNION ALL SELECT doc_id, CAST(1 AS BIGINT), 'second of ' || doc_id FROM documents
+UNION ALL SELECT doc_id, CAST(2 AS BIGINT), 'end' FROM documents
+""")
 def q_split_tales(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    raw = F.concat("text", F.lit("\n\n\n\nsecond of "), F.col("doc_id").cast("string"), F.lit("\n\n\n\n\n\nend\n\n\n\n"))
+    docs = table(spark, sf, "documents").select("doc_id", raw.alias("text"))
     return clean.split_docs(docs, "text")
 
 
@@ -336,7 +368,7 @@ def q_seeded_shuffle(spark, sf):
 
 def _train_eval_index(spark, sf):
     docs = documents(spark, sf).select("doc_id", "split")
-    return order.with_row_index(docs, ["doc_id"], "row_index", partition_by=["split"])
+    return order.with_row_index(docs, ["doc_id"], "row_index", partition_by=["split"], size_col="n_rows")
 
 
 _ROWS = f"""(SELECT doc_id, split,
@@ -354,7 +386,7 @@ def q_assign_batches(spark, sf):
     idx = _train_eval_index(spark, sf)
     tr = idx.filter(F.col("split") == "train")
     ev = idx.filter(F.col("split") == "validation")
-    a = bt.assign_batches(tr, 56, drop_last=True)
+    a = bt.assign_batches(tr, 56, drop_last=True, total="n_rows")
     b = bt.assign_batches(ev, 112, drop_last=False)
     return a.unionByName(b).select("doc_id", "split", "batch_id")
 
@@ -369,7 +401,7 @@ WHERE split = 'validation' AND ri // 16 < 5
 def q_take_batches(spark, sf):
     n_train, n_eval = bt.budget(2, 40, 8)  # -> 10 train batches, 5 eval batches
     idx = _train_eval_index(spark, sf)
-    tr = bt.take_batches(bt.assign_batches(idx.filter(F.col("split") == "train"), 8, True), n_train)
+    tr = bt.take_batches(bt.assign_batches(idx.filter(F.col("split") == "train"), 8, True, total="n_rows"), n_train)
     ev = bt.take_batches(bt.assign_batches(idx.filter(F.col("split") == "validation"), 16), n_eval)
     return tr.unionByName(ev).select("doc_id", "split", "batch_id")
 
@@ -391,10 +423,9 @@ def q_dedup_stream(spark, sf):
 
     src_dir = scratch_path(spark, "stream-in")
     docs = table(spark, sf, "documents")
-    src.write_delimited(docs.select(F.concat(F.lit(" "), "text", F.lit("\n")).alias("text"))
-                        .repartition(4), src_dir)
+    src.write_delimited(docs.select(F.concat(F.lit(" "), "text", F.lit("\n")).alias("text")), src_dir)
     stream = streaming.read_delimited_stream(spark, src_dir, repair_bytes=False,
-                                             max_files_per_trigger=1)
+                                             max_files_per_trigger=1000)
     out = streaming.dedup_stream(stream, "text")
     sink, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
     streaming.run_available_now(out.select("text", "text_md5"), sink, ckpt)

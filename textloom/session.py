@@ -9,6 +9,7 @@ tables below that folder, never with ``localCheckpoint``.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -79,7 +80,9 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; created locally only when unset."""
+    """The shared checkpoint folder.  When unset, a local master gets a folder
+    of its own; on a cluster that would differ between machines, so it is an
+    error there."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -87,6 +90,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="textloom-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

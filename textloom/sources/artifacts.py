@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,26 +16,44 @@ def artifact_path(base: str, name: str, params: dict) -> str:
     return f"{base.rstrip('/')}/{name}-{digest}"
 
 
+def _fs(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _fs(spark, path)
     return fs.exists(hpath)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote (scratch tables, failed builds)."""
+    fs, hpath = _fs(spark, path)
+    fs.delete(hpath, True)
+
+
 def materialize(spark: SparkSession, base: str, name: str, params: dict,
                 build_fn: Callable[[], DataFrame] | None, partition_by=None) -> DataFrame:
-    """Load the artifact for ``params`` if its write completed (``_SUCCESS``),
-    else build it with ``build_fn`` and write it.  The output committer only
-    writes ``_SUCCESS`` at job commit, so a half-written folder is rebuilt.
-    With ``build_fn=None`` a missing artifact is an error."""
+    """Load the artifact for ``params`` if it is there, else build it with
+    ``build_fn``, write it beside its place and rename it, so that readers and
+    other builders never see half of it; of two builders the first wins.  With
+    ``build_fn=None`` a missing artifact is an error."""
     path = artifact_path(base, name, params)
     if path_exists(spark, f"{path}/_SUCCESS"):
         return spark.read.parquet(path)
     if build_fn is None:
         raise FileNotFoundError(f"artifact {name} for {params} not built: {path}")
-    w = build_fn().write.mode("overwrite")
+    building = f"{path}.building-{uuid.uuid4().hex[:12]}"
+    w = build_fn().write
     if partition_by:
         w = w.partitionBy(partition_by)
-    w.parquet(path)
+    w.parquet(building)
+    if path_exists(spark, f"{path}/_SUCCESS"):  # another builder was faster
+        delete_path(spark, building)
+        return spark.read.parquet(path)
+    if path_exists(spark, path):  # left over from a writer that did not finish
+        delete_path(spark, path)
+    fs, source = _fs(spark, building)
+    if not fs.rename(source, _fs(spark, path)[1]):
+        delete_path(spark, building)
     return spark.read.parquet(path)

@@ -26,16 +26,25 @@ def read_delimited_docs(spark: SparkSession, paths, delim: str = EOT, repair_byt
 
     Output: ``text`` plus ``src_file, src_block, src_seq`` which order the
     records in file order (split start offset, then ordinal inside the split).
+    ``drop_unterminated`` leaves out what follows a file's last delimiter.
     """
     if isinstance(paths, str):
         paths = [paths]
-    if drop_unterminated:
-        return _read_terminated_only(spark, paths, delim, repair_bytes, trim, drop_empty)
     raw = (spark.read.text(paths, lineSep=delim)
            .select(F.col("value"),
                    F.col("_metadata.file_path").alias("src_file"),
                    F.col("_metadata.file_block_start").alias("src_block"),
-                   F.monotonically_increasing_id().alias("src_seq")))
+                   F.monotonically_increasing_id().alias("src_seq"),
+                   F.col("_metadata.file_size").alias("_tl_size")))
+    if drop_unterminated:
+        # a file whose records and delimiters add up to more than its size has
+        # no delimiter after its last record
+        n = len(delim.encode())
+        open_ended = (raw.groupBy("src_file").agg(
+            F.sum(F.octet_length("value") + n).alias("_tl_n"), F.max("_tl_size").alias("_tl_size"),
+            F.max(F.struct("src_block", "src_seq")).alias("_tl_last")).filter("_tl_n > _tl_size")
+            .select("src_file", "_tl_last.src_block", "_tl_last.src_seq"))
+        raw = raw.join(open_ended, RECORD_ORDER, "left_anti")
     text = F.col("value")
     if repair_bytes:
         text = decode_cp1252(text.cast("binary"))
@@ -46,29 +55,6 @@ def read_delimited_docs(spark: SparkSession, paths, delim: str = EOT, repair_byt
     return out
 
 
-def _read_terminated_only(spark, paths, delim, repair_bytes, trim, drop_empty) -> DataFrame:
-    """The reference's behaviour: text after a file's last delimiter is never
-    emitted.  Needs whole files (one row per file), so it is opt-in."""
-    import re
-
-    raw = spark.read.text(paths, wholetext=True).select(
-        F.col("value"), F.col("_metadata.file_path").alias("src_file"))
-    text = F.col("value")
-    if repair_bytes:
-        text = decode_cp1252(text.cast("binary"))
-    parts = raw.select("src_file", F.split(universal_newlines(text), re.escape(delim), -1)
-                       .alias("_tl_parts"))
-    # the last piece follows the last delimiter: drop it
-    body = F.slice("_tl_parts", 1, F.greatest(F.size("_tl_parts") - 1, F.lit(0)))
-    out = parts.select("src_file", F.lit(0).cast("long").alias("src_block"),
-                       F.posexplode(body).alias("src_seq", "text"))
-    out = out.select(trim_chars(F.col("text"), trim).alias("text"), "src_file", "src_block",
-                     F.col("src_seq").cast("long").alias("src_seq"))
-    if drop_empty:
-        out = out.filter(F.length("text") > 0)
-    return out
-
-
 def write_delimited(df: DataFrame, path: str, text_col: str = "text", delim: str = EOT,
                     mode: str = "overwrite") -> None:
     """Sink counterpart of S1: one record per row, each followed by ``delim``."""
@@ -89,6 +75,20 @@ def read_whole_docs(spark: SparkSession, paths) -> DataFrame:
             .select(F.col("_metadata.file_path").alias("src_file"), F.col("value").alias("text")))
 
 
+def read_tales(spark: SparkSession, paths, sep: str = "\n\n\n\n") -> DataFrame:
+    """Pieces between runs of four or more newlines, in file order: the same as
+    cutting whole files, but files stay splittable and no row holds one."""
+    if isinstance(paths, str):
+        paths = [paths]
+    raw = spark.read.text(paths, lineSep=sep).select(
+        # a run longer than the separator leaves newlines at the next piece's start
+        F.regexp_replace("value", "^\n+|\n+$", "").alias("text"),
+        F.col("_metadata.file_path").alias("src_file"),
+        F.col("_metadata.file_block_start").alias("src_block"),
+        F.monotonically_increasing_id().alias("src_seq"))
+    return raw.filter(F.length("text") > 0)
+
+
 def from_records(spark: SparkSession, columns: dict, schema: T.StructType | str | None = None
                  ) -> DataFrame:
     """Dict of equal-length column lists -> DataFrame.
