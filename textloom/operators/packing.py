@@ -23,8 +23,10 @@ from textloom.session import checkpoint_dir
 TALE_LENGTHS = tuple(range(128, 1281, 128))
 
 
-def _pack(df: DataFrame, L: int, cols: list[str], order_by, batch_size: int | None,
-          group_cols: list[str]) -> DataFrame:
+def _pack(df: DataFrame, lengths, cols: list[str], order_by, batch_size: int | None,
+          group_cols: list[str], keep_short: bool = True) -> DataFrame:
+    """Chunks of every length of ``lengths`` (``seq_len``) in one pass over the
+    offsets; ``keep_short`` keeps the one chunk of a stream under the length."""
     checkpoint_dir(df.sparkSession)
     zipped = F.arrays_zip(*[F.col(c) for c in cols]) if len(cols) > 1 else F.col(cols[0])
     base = df.select(*group_cols, *(order_by if isinstance(order_by, list) else [order_by]),
@@ -51,23 +53,26 @@ def _pack(df: DataFrame, L: int, cols: list[str], order_by, batch_size: int | No
                                totals.select(*group_cols, "w")) if group_cols else \
             idx.withColumn("_tl_total", F.lit(totals.first()["_tl_total"] or 0).cast("long"))
     T_ = F.col("_tl_total")
-    n_chunks = F.when(T_ >= L, F.floor(T_ / L)).otherwise(F.when(T_ > 0, 1).otherwise(0))
+    idx = idx.filter("_tl_n > 0").withColumn("seq_len", F.explode(F.array(*[F.lit(int(x)) for x in lengths])))
+    L = F.col("seq_len")
+    short = F.when(T_ > 0, 1).otherwise(0) if keep_short else F.lit(0)
+    n_chunks = F.when(T_ >= L, F.floor(T_ / L)).otherwise(short)
     s, n = F.col("_tl_s"), F.col("_tl_n")
     first = F.floor(s / L)
     last = F.least(F.floor((s + n - 1) / L), n_chunks - 1)
-    pieces = idx.filter(n > 0).withColumn(
+    pieces = idx.withColumn(
         "_tl_j", F.explode(F.when(last >= first, F.sequence(first, last))
                            .otherwise(F.array().cast("array<long>"))))
     j = F.col("_tl_j")
     lo = F.greatest(F.lit(0), j * L - s)
     hi = F.least(n, (j + 1) * L - s)
-    pieces = pieces.select(*group_cols, "_tl_stream", "_tl_j", s.alias("_tl_s"),
+    pieces = pieces.select(*group_cols, "_tl_stream", "seq_len", "_tl_j", s.alias("_tl_s"),
                            F.slice("_tl_z", (lo + 1).cast("int"), (hi - lo).cast("int"))
                            .alias("_tl_piece"))
-    chunks = pieces.groupBy(*group_cols, "_tl_stream", "_tl_j").agg(
+    chunks = pieces.groupBy(*group_cols, "_tl_stream", "seq_len", "_tl_j").agg(
         F.array_sort(F.collect_list(F.struct("_tl_s", "_tl_piece"))).alias("_tl_parts"))
     flat = F.flatten(F.transform("_tl_parts", lambda p: p["_tl_piece"]))
-    out = chunks.select(*group_cols, F.col("_tl_stream").alias("stream_id"),
+    out = chunks.select(*group_cols, "seq_len", F.col("_tl_stream").alias("stream_id"),
                         F.col("_tl_j").alias("chunk_id"), flat.alias("_tl_flat"))
     if len(cols) > 1:
         fields = [f for f in out.schema["_tl_flat"].dataType.elementType.fieldNames()]
@@ -88,7 +93,7 @@ def group_texts(df: DataFrame, L: int = 256, batch_size: int = 200, cols=("input
     ``L``-long chunks and drop the remainder; a batch with fewer than ``L``
     tokens keeps its one short chunk."""
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)
-    return _pack(df, L, list(cols), order_by, batch_size, list(group_cols))
+    return _pack(df, [L], list(cols), order_by, batch_size, list(group_cols)).drop("seq_len")
 
 
 def pack_eos(df: DataFrame, sequence_len: int, eos_id: int, ids_col: str = "input_ids",
@@ -98,7 +103,16 @@ def pack_eos(df: DataFrame, sequence_len: int, eos_id: int, ids_col: str = "inpu
     ``batch_size=None`` packs each group as one stream."""
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)
     withe = df.withColumn(ids_col, F.concat(F.col(ids_col), F.array(F.lit(eos_id))))
-    return _pack(withe, sequence_len + 1, [ids_col], order_by, batch_size, list(group_cols))
+    return _pack(withe, [sequence_len + 1], [ids_col], order_by, batch_size, list(group_cols)).drop("seq_len")
+
+
+def stream_windows(df: DataFrame, lengths, eos_id: int, ids_col: str = "input_ids", order_by="doc_id",
+                   group_cols=()) -> DataFrame:
+    """Each group's rows, EOS after each, as one stream cut into windows of
+    exactly ``seq_len`` for every length; what is left over is dropped."""
+    order_by = [order_by] if isinstance(order_by, str) else list(order_by)
+    withe = df.withColumn(ids_col, F.concat(F.col(ids_col), F.array(F.lit(eos_id))))
+    return _pack(withe, list(lengths), [ids_col], order_by, None, list(group_cols), keep_short=False)
 
 
 def overflow_windows(df: DataFrame, L: int, ids_col: str = "input_ids",

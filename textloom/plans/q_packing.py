@@ -8,7 +8,7 @@ from textloom.operators import encode as enc
 from textloom.operators import packing as pk
 from textloom.plans.q_tokens import arr_str, word_ids
 from textloom.plans.registry import query
-from textloom.plans.sql import WORD_IDS, ids_str
+from textloom.plans.sql import DOCS, TRIM, WORD_IDS, WP, ids_str
 
 
 def _chunks_sql(src: str, L: int, batch: int | None, with_mask: bool) -> str:
@@ -192,3 +192,76 @@ def q_mlm_padded(spark, sf):
     out = pk.mlm_mask(padded, tok.special_id("<|mask|>"), tok.vocab.count(), seed=42, epoch=0)
     return out.select("doc_id", arr_str("input_ids").alias("input_ids"),
                       arr_str("labels").alias("labels"))
+
+
+# ---------------------------------------------------------------- flows with word-level ids
+@query("story_flow_wordlevel", f"""
+WITH dd AS (SELECT split, {TRIM} AS text FROM {DOCS}),
+one AS (SELECT DISTINCT split, text FROM dd WHERE length(text) > 0)
+SELECT split, CAST(sum(len(regexp_extract_all(text, '{WP}'))) AS BIGINT) AS total_tokens,
+       CAST(count(*) AS BIGINT) AS n_rows FROM one GROUP BY split
+""")
+def q_story_word(spark, sf):
+    """The story flow end to end, read as UTF-8, with word-level ids."""
+    from textloom.plans.flows import packed_story_corpus
+    from textloom.plans.tables import documents
+    from textloom.session import scratch_path
+    from textloom.sources.text import write_delimited
+
+    base = scratch_path(spark, "stories")
+    docs = documents(spark, sf)
+    write_delimited(docs.filter(F.col("split") == "train"), f"{base}/train")
+    write_delimited(docs.filter(F.col("split") == "validation"), f"{base}/valid")
+    totals, _ = packed_story_corpus(spark, [f"{base}/train", f"{base}/valid"], kind="word",
+                                    sequence_len=None, repair_bytes=False)
+    return totals
+
+
+@query("tale_windows", f"""
+WITH d AS {DOCS},
+wc AS (SELECT word, count(*) AS freq FROM (SELECT unnest(regexp_extract_all(text, '{WP}')) AS word
+       FROM d WHERE split = 'train') GROUP BY word),
+v AS (SELECT word, row_number() OVER (ORDER BY freq DESC, word) - 1 + 5 AS id FROM wc),
+r AS (SELECT doc_id, regexp_extract_all('# ' || replace(text, chr(10), ' '), '{WP}') AS w FROM documents),
+e AS (SELECT doc_id, w, unnest(range(len(w))) AS i FROM r),
+t AS (SELECT doc_id, i, coalesce(v.id, 0) AS id FROM (SELECT doc_id, i, w[i + 1] AS word FROM e) LEFT JOIN v USING (word)
+      UNION ALL SELECT doc_id, len(w), 3 FROM r),
+s AS (SELECT row_number() OVER (ORDER BY doc_id, i) - 1 AS p, id, count(*) OVER () AS n FROM t),
+L AS (SELECT CAST(unnest(range(128, 1281, 128)) AS INTEGER) AS seq_len)
+SELECT seq_len, CAST(p // seq_len AS BIGINT) AS chunk_id, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY p) AS input_ids
+FROM s, L WHERE p // seq_len < n // seq_len GROUP BY seq_len, p // seq_len
+""")
+def q_tale_windows(spark, sf):
+    """All documents as the tales of a folder of files, in id order."""
+    from textloom.plans.flows import tale_windows
+    from textloom.plans.q_tokens import word_tokenizer
+    from textloom.plans.tables import documents
+    from textloom.session import scratch_path
+
+    path = scratch_path(spark, "tale-file")
+    docs = documents(spark, sf).select("doc_id", F.concat("text", F.lit("\n\n\n\n")).alias("value"))
+    # files are named in the order of their id ranges, and the flow packs in that order
+    docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id").select("value").write.text(path)
+    out = tale_windows(spark, path, word_tokenizer(spark, sf), one_stream=True)
+    return out.select("seq_len", "chunk_id", arr_str("input_ids").alias("input_ids"))
+
+
+@query("finetune_batches", f"""
+WITH {WORD_IDS},
+x0 AS (SELECT doc_id, split, list_concat([2], ids, [3]) AS ids FROM ids),
+x AS (SELECT doc_id, split, {_cut('ids', 1)} AS ids FROM x0 JOIN labels USING (doc_id)),
+k AS (SELECT *, CAST('0x' || substr(md5('42:0:' || CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT) AS h FROM x),
+b AS (SELECT doc_id, split, ids, CASE WHEN split = 'train' THEN row_number() OVER (PARTITION BY split ORDER BY h, doc_id)
+      ELSE row_number() OVER (PARTITION BY split ORDER BY doc_id) END - 1 AS ri, count(*) OVER (PARTITION BY split) AS n FROM k)
+SELECT doc_id, split, CAST(CASE WHEN split = 'train' THEN ri // 16 ELSE ri // 32 END AS BIGINT) AS batch_id,
+       {ids_str('ids')} AS input_ids FROM b WHERE split <> 'train' OR ri // 16 < n // 16
+""")
+def q_finetune(spark, sf):
+    from textloom.plans.flows import finetune_batches
+    from textloom.plans.q_tokens import word_tokenizer
+    from textloom.plans.tables import documents, table
+
+    labelled = documents(spark, sf).join(table(spark, sf, "labels"), "doc_id").select(
+        "doc_id", "split", "text", F.col("quality").alias("label"))
+    out = finetune_batches(labelled, word_tokenizer(spark, sf), batch_size=16, max_length=128)
+    return out.select("doc_id", "split", "batch_id", arr_str("input_ids").alias("input_ids"))

@@ -135,7 +135,8 @@ def q_encode_bpe(spark, sf):
     vocab, merges = bpe.train_bpe(_train_docs(spark, sf), vocab_size=300)
     tok = enc.Tokenizer("bytebpe", vocab, merges, specials=tuple(SPECIAL_TOKENS[1:]))
     docs = documents(spark, sf).select("doc_id", "split", "text")
-    ids = enc.encode(docs, tok, "text", ["doc_id", "split"])
+    # read twice, by the decoder and by the result
+    ids = enc.encode(docs, tok, "text", ["doc_id", "split"]).checkpoint(eager=True)
     back = enc.decode(ids, tok, "input_ids", ["doc_id"], out_col="decoded")
     return (ids.join(back, "doc_id").join(docs.select("doc_id", "text"), "doc_id")
             .select("doc_id", "split", "num_tokens",
@@ -199,7 +200,8 @@ def q_encode_unigram(spark, sf):
     vocab = train_unigram(_train_docs(spark, sf), vocab_size=400, max_piece_len=8)
     tok = enc.Tokenizer("unigram", vocab)
     docs = documents(spark, sf).select("doc_id", "split", "text")
-    ids = enc.encode(docs, tok, "text", ["doc_id", "split"])
+    # read twice, by the decoder and by the result
+    ids = enc.encode(docs, tok, "text", ["doc_id", "split"]).checkpoint(eager=True)
     back = enc.decode(ids, tok, "input_ids", ["doc_id"], out_col="decoded")
     return (ids.join(back, "doc_id").join(docs.select("doc_id", "text"), "doc_id")
             .select("doc_id", "split", "num_tokens", "decoded"))
