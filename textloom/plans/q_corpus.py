@@ -315,7 +315,18 @@ def q_pretok_words(spark, sf):
     return pretokenize.pretokenize_words(table(spark, sf, "documents"))
 
 
-@query("pretokenize_bytes")
+# RE2 has no look-ahead: a private-use mark before the last white space that a
+# non-space follows says where the piece before it ends
+BYTE_PIECES = (r"""list_transform(regexp_extract_all(regexp_replace({0}, '(\s\S)', chr(57344) || '\1', 'g'),
+  '''s|''t|''re|''ve|''m|''ll|''d|(?:\x{{E000}} )?\p{{L}}+|(?:\x{{E000}} )?\p{{N}}+|(?:\x{{E000}} )?[^\s\p{{L}}\p{{N}}\x{{E000}}]+|\x{{E000}}\s|\s+'),
+  lambda q: replace(q, chr(57344), ''))""")
+
+
+@query("pretokenize_bytes", f"""
+WITH p AS (SELECT doc_id, {BYTE_PIECES.format('text')} AS w FROM documents),
+e AS (SELECT doc_id, w, unnest(range(len(w))) AS i FROM p)
+SELECT doc_id, CAST(i AS BIGINT) AS pos, w[i + 1] AS piece, lower(hex(encode(w[i + 1]))) AS hex FROM e
+""")
 def q_pretok_bytes(spark, sf):
     return pretokenize.pretokenize_bytes(table(spark, sf, "documents"))
 
@@ -432,7 +443,19 @@ def q_dedup_stream(spark, sf):
     return spark.read.parquet(sink).select("text")
 
 
-@query("dedup_near")
+@query("dedup_near", f"""
+WITH RECURSIVE d AS (SELECT doc_id, split, regexp_extract_all(lower(text), '{WP}') AS w FROM {DOCS}),
+e AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM e),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+x AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+p AS (SELECT a, b FROM x JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE m >= 0.8 * (na.n + nb.n - m)),
+u AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT DISTINCT a AS id, a AS seen FROM u UNION SELECT r.id, u.b FROM r JOIN u ON r.seen = u.a),
+c AS (SELECT id, min(seen) AS cluster FROM r GROUP BY id)
+SELECT d.doc_id, d.split, coalesce(c.cluster, d.doc_id) AS cluster, coalesce(c.cluster, d.doc_id) <> d.doc_id AS duplicate
+FROM d LEFT JOIN c ON c.id = d.doc_id
+""")
 def q_dedup_near(spark, sf):
     docs = documents(spark, sf).select("doc_id", "split", "text")
     out = dedup.dedup_near(docs, "doc_id", "text", threshold=0.8, keep_all=True)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textloom.functions.text import SPECIAL_TOKENS
+from textloom.functions.text import SPECIAL_TOKENS, normalize_text_col, word_tokens
 from textloom.operators import bpe, encode as enc
 from textloom.operators.pretokenize import word_counts
+from textloom.plans.q_corpus import BYTE_PIECES
 from textloom.plans.registry import query
 from textloom.plans.sql import DOCS, WORD_IDS, WORD_VOCAB, WP, ids_of, ids_str
 from textloom.plans.tables import documents, table
@@ -107,7 +108,6 @@ FROM p GROUP BY 1, 2
 """)
 def q_wp_pairs(spark, sf):
     train = documents(spark, sf).filter(F.col("split") == "train")
-    from textloom.functions.text import normalize_text_col, word_tokens
     words = (train.select(F.explode(word_tokens(normalize_text_col(F.col("text")))).alias("w"))
              .groupBy("w").agg(F.count(F.lit(1)).cast("long").alias("freq"))
              .select(bpe.char_symbols(F.col("w")).alias("syms"), "freq"))
@@ -118,21 +118,105 @@ def _train_docs(spark, sf):
     return documents(spark, sf).filter(F.col("split") == "train").select("doc_id", "text")
 
 
+# ---------------------------------------------------------------- first merges, stated in SQL
+N_FIRST = 24
+
+
+def _merges_sql(n: int) -> str:
+    """CTEs ``w0 .. wn`` (words as symbols, each between two spaces) and
+    ``m1 .. mn`` (the merges), from ``w0(syms, freq)``: replacing one padded pair
+    works left to right without overlaps."""
+    out = []
+    for k in range(1, n + 1):
+        out.append(f"""
+q{k} AS MATERIALIZED (SELECT string_split(trim(syms), '  ') AS s, freq FROM w{k - 1}),
+m{k} AS MATERIALIZED (SELECT {k - 1} AS rank, l, r, sum(freq) AS c, l || ltrim(r, '_') AS sym FROM
+     (SELECT s[i] AS l, s[i + 1] AS r, freq FROM (SELECT s, freq, unnest(range(1, len(s))) AS i FROM q{k}))
+     GROUP BY l, r ORDER BY c DESC, l, r LIMIT 1),
+w{k} AS MATERIALIZED (SELECT replace(syms, ' ' || l || '  ' || r || ' ', ' ' || sym || ' ') AS syms, freq FROM w{k - 1}, m{k})""")
+    return ",".join(out)
+
+
+def _all_merges(n: int) -> str:
+    return " UNION ALL ".join(f"SELECT * FROM m{k}" for k in range(1, n + 1))
+
+
+_BYTES = "regexp_replace(lower(hex(encode({0}))), '(..)', ' \\1 ', 'g')"
+_BPE_WORDS = f"""w0 AS (SELECT {_BYTES.format('p')} AS syms, count(*) AS freq FROM
+     (SELECT unnest({BYTE_PIECES.format('text')}) AS p FROM {DOCS} WHERE split = 'train') GROUP BY p)"""
+
+
+@query("train_bpe_first", f"""
+WITH {_BPE_WORDS},{_merges_sql(N_FIRST)}
+SELECT CAST(rank AS INTEGER) AS rank, l AS "left", r AS "right", CAST(c AS BIGINT) AS count FROM ({_all_merges(N_FIRST)})
+""")
+def q_train_bpe_first(spark, sf):
+    return bpe.train_bpe(_train_docs(spark, sf), vocab_size=4 + 256 + N_FIRST)[1]
+
+
+_CHARS = "array_to_string(list_transform(string_split(p, ''), lambda ch, i: ' ' || CASE WHEN i > 1 THEN '_' ELSE '' END || lower(hex(encode(ch))) || ' '), '')"
+
+
+@query("train_wordpiece_first", f"""
+WITH w0 AS (SELECT {_CHARS} AS syms, count(*) AS freq FROM
+     (SELECT unnest(regexp_extract_all(strip_accents(lower(text)), '{WP}')) AS p FROM {DOCS} WHERE split = 'train') GROUP BY p),
+{_merges_sql(N_FIRST)},
+al AS (SELECT DISTINCT unnest(string_split(trim(syms), '  ')) AS sym FROM w0)
+SELECT piece FROM (SELECT sym AS piece FROM al UNION ALL SELECT sym FROM ({_all_merges(N_FIRST)}))
+UNION ALL SELECT * FROM (VALUES ('<|unknown|>'), ('<|pad|>'), ('<|cls|>'), ('<|endoftext|>'), ('<|mask|>')) t(piece)
+""")
+def q_train_wp_first(spark, sf):
+    train = _train_docs(spark, sf)
+    words = train.select(F.explode(word_tokens(normalize_text_col(F.col("text")))).alias("w"))
+    alphabet = words.select(F.explode(F.split(bpe.char_symbols(F.col("w")), " ")).alias("s")).distinct().count()
+    vocab, _ = bpe.train_wordpiece(train, vocab_size=len(SPECIAL_TOKENS) + alphabet + N_FIRST)
+    return vocab.select("piece")
+
+
+_ENCODED = "".join(f"""
+x{k} AS (SELECT doc_id, split, i, replace(syms, ' ' || l || '  ' || r || ' ', ' ' || sym || ' ') AS syms FROM x{k - 1}, m{k}),"""
+                   for k in range(1, N_FIRST + 1))
+
+
+@query("encode_bpe_first", f"""
+WITH {_BPE_WORDS},{_merges_sql(N_FIRST)},
+p AS (SELECT doc_id, split, {BYTE_PIECES.format('text')} AS w FROM {DOCS}),
+e AS (SELECT doc_id, split, w, unnest(range(len(w))) AS i FROM p),
+x0 AS (SELECT doc_id, split, i, {_BYTES.format('w[i + 1]')} AS syms FROM e),{_ENCODED}
+v AS (SELECT lower(lpad(hex(b), 2, '0')) AS sym, 4 + b AS id FROM (SELECT unnest(range(256)) AS b)
+      UNION ALL SELECT sym, 260 + rank FROM ({_all_merges(N_FIRST)})),
+t AS (SELECT doc_id, split, i, j, s[j] AS sym FROM (SELECT doc_id, split, i, s, unnest(range(1, len(s) + 1)) AS j FROM
+      (SELECT doc_id, split, i, string_split(trim(syms), '  ') AS s FROM x{N_FIRST})))
+SELECT doc_id, split, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY i, j) AS input_ids, CAST(count(*) AS BIGINT) AS num_tokens
+FROM t JOIN v USING (sym) GROUP BY doc_id, split
+""")
+def q_encode_bpe_first(spark, sf):
+    vocab, merges = bpe.train_bpe(_train_docs(spark, sf), vocab_size=4 + 256 + N_FIRST)
+    tok = enc.Tokenizer("bytebpe", vocab, merges, specials=tuple(SPECIAL_TOKENS[1:]))
+    docs = documents(spark, sf).select("doc_id", "split", "text")
+    ids = enc.encode(docs, tok, "text", ["doc_id", "split"])
+    return ids.select("doc_id", "split", arr_str("input_ids").alias("input_ids"), "num_tokens")
+
+
+# ---------------------------------------------------------------- trained at the usual size
+VOCAB = 8000  # fixed value: the usual vocabulary size
+
+
 @query("train_bpe")
 def q_train_bpe(spark, sf):
-    vocab, merges = bpe.train_bpe(_train_docs(spark, sf), vocab_size=300)
+    vocab, merges = bpe.train_bpe(_train_docs(spark, sf), vocab_size=VOCAB)
     return merges
 
 
 @query("train_wordpiece")
 def q_train_wordpiece(spark, sf):
-    vocab, merges = bpe.train_wordpiece(_train_docs(spark, sf), vocab_size=400)
+    vocab, merges = bpe.train_wordpiece(_train_docs(spark, sf), vocab_size=VOCAB)
     return vocab
 
 
 @query("encode_bpe")
 def q_encode_bpe(spark, sf):
-    vocab, merges = bpe.train_bpe(_train_docs(spark, sf), vocab_size=300)
+    vocab, merges = bpe.train_bpe(_train_docs(spark, sf), vocab_size=1000)
     tok = enc.Tokenizer("bytebpe", vocab, merges, specials=tuple(SPECIAL_TOKENS[1:]))
     docs = documents(spark, sf).select("doc_id", "split", "text")
     # read twice, by the decoder and by the result
@@ -145,7 +229,7 @@ def q_encode_bpe(spark, sf):
 
 @query("encode_wordpiece")
 def q_encode_wordpiece(spark, sf):
-    vocab, merges = bpe.train_wordpiece(_train_docs(spark, sf), vocab_size=400)
+    vocab, merges = bpe.train_wordpiece(_train_docs(spark, sf), vocab_size=1000)
     tok = enc.Tokenizer("wordpiece", vocab, merges)
     docs = documents(spark, sf).select("doc_id", "split", "text")
     return enc.encode(docs, tok, "text", ["doc_id", "split"]).select("doc_id", "split",
@@ -191,13 +275,13 @@ def _turn_pairs(conv):
 @query("train_unigram")
 def q_train_unigram(spark, sf):
     from textloom.operators.unigram import train_unigram
-    return train_unigram(_train_docs(spark, sf), vocab_size=400, max_piece_len=8)
+    return train_unigram(_train_docs(spark, sf), vocab_size=VOCAB)
 
 
 @query("encode_unigram")
 def q_encode_unigram(spark, sf):
     from textloom.operators.unigram import train_unigram
-    vocab = train_unigram(_train_docs(spark, sf), vocab_size=400, max_piece_len=8)
+    vocab = train_unigram(_train_docs(spark, sf), vocab_size=VOCAB)
     tok = enc.Tokenizer("unigram", vocab)
     docs = documents(spark, sf).select("doc_id", "split", "text")
     # read twice, by the decoder and by the result
@@ -220,6 +304,6 @@ def q_story_flow(spark, sf):
     docs = documents(spark, sf)
     write_delimited(docs.filter(F.col("split") == "train"), f"{base}/train")
     write_delimited(docs.filter(F.col("split") == "validation"), f"{base}/valid")
-    totals, _ = packed_story_corpus(spark, [f"{base}/train", f"{base}/valid"], vocab_size=300,
+    totals, _ = packed_story_corpus(spark, [f"{base}/train", f"{base}/valid"], vocab_size=1000,
                                     sequence_len=None)
     return totals
