@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 BACKOFF = 0.4
 UNSEEN = 0.5
-BLOCK_CHARS = 20_000_000
+BLOCK_CHARS = 10_000_000
 #: text behind one hash range of the count table
 RANGE_CHARS = 8_000_000
 
@@ -39,6 +39,17 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def planes(a: np.ndarray) -> bytes:
+    """All first bytes, then all second bytes, ...: what Spark's compression
+    then makes of sorted gaps and small counts is about their information."""
+    return np.ascontiguousarray(a.view(np.uint8).reshape(-1, a.itemsize).T).tobytes()
+
+
+def from_planes(data: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
 class Block:
     """N-grams of a block of texts: ``grams[k]`` are the sorted distinct hashes
     of order ``k + 1``, ``places[k]`` the entry of every occurrence, ``docs[k]``
@@ -46,16 +57,17 @@ class Block:
 
     def __init__(self, texts: Iterator[str | None]):
         number: dict[bytes, int] = {}
-        parts, lengths = [], []
+        parts, lengths = [np.empty(0, np.int32)], []
         for t in texts:
             w = words_of(t)
-            parts.append(np.fromiter((number.setdefault(x, len(number)) for x in w), np.int64, len(w)))
+            parts.append(np.fromiter((number.setdefault(x, len(number)) for x in w), np.int32, len(w)))
             lengths.append(len(w))
         self.lengths = np.array(lengths, np.int64)
-        doc = np.repeat(np.arange(len(lengths)), self.lengths)
+        doc = np.repeat(np.arange(len(lengths), dtype=np.int32), self.lengths)
         hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in number), np.uint64, len(number))
         del number
-        word = hashes[np.concatenate(parts)] if parts and len(hashes) else np.empty(0, np.uint64)
+        word = hashes[np.concatenate(parts)] if len(hashes) else np.empty(0, np.uint64)
+        del parts
         same = doc[1:] == doc[:-1]
         with np.errstate(over="ignore"):
             pair = word[:-1] * np.uint64(0x9E3779B97F4A7C15) + word[1:]
@@ -67,12 +79,13 @@ class Block:
         for h in (word, pair):
             g, p, c = np.unique(h, return_inverse=True, return_counts=True)
             self.grams.append(g)
-            self.places.append(p)
-            self.counts.append(c)
+            self.places.append(p.astype(np.int32))
+            self.counts.append(c.astype(np.uint32))
+            del p, h
 
     def own_counts(self, k: int) -> np.ndarray:
         """For every occurrence, how often its n-gram occurs in its document."""
-        key = self.places[k] * (len(self.lengths) + 1) + self.docs[k]
+        key = self.places[k].astype(np.int64) * (len(self.lengths) + 1) + self.docs[k]
         _, place, count = np.unique(key, return_inverse=True, return_counts=True)
         return count[place]
 
@@ -138,29 +151,27 @@ def backoff_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         at = t.column("block")[0].as_py()
         for k in (0, 1):
             for i, a, b in _ranges(block.grams[k], ranges):
-                rows.append({"block": at, "part": i, "k": k, "grams": block.grams[k][a:b].tobytes(),
-                             "counts": block.counts[k][a:b].astype("<u4").tobytes()})
+                gaps = np.diff(block.grams[k][a:b], prepend=np.uint64(0))
+                rows.append({"block": at, "part": i, "k": k, "grams": planes(gaps),
+                             "counts": planes(block.counts[k][a:b])})
         return _table(rows, "grams", "counts")
 
     def total(t: pa.Table) -> pa.Table:
         rows = t.select(["block", "part", "k"]).to_pylist()
-        grams = [np.frombuffer(x.as_py(), np.uint64) for x in t.column("grams")]
-        counts = [np.frombuffer(x.as_py(), "<u4") for x in t.column("counts")]
+        grams = [np.cumsum(from_planes(x.as_py(), "u8"), dtype=np.uint64) for x in t.column("grams")]
+        counts = [from_planes(x.as_py(), "u4") for x in t.column("counts")]
         _, place = np.unique(np.concatenate(grams), return_inverse=True)
         sums = np.bincount(place, np.concatenate(counts)).astype(np.int64)[place]  # exact below 2**53
         ends = np.cumsum([len(g) for g in grams])
         for r, a, b in zip(rows, [0, *ends[:-1].tolist()], ends.tolist()):
-            # small numbers compress well as 32 bits; larger ones keep 64
-            part = sums[a:b]
-            r["totals"] = part.astype("<u4" if part.max() < 1 << 32 else "<u8").tobytes()
-            r["wide"] = bool(part.max() >= 1 << 32)
-        return _table(rows, "totals", "wide")
+            r["totals"] = planes(sums[a:b])
+        return _table(rows, "totals")
 
     def score(texts: pa.Table, totals: pa.Table) -> pa.Table:
         block = Block(_texts(texts))
         found: list[list] = [[], []]
         for r in sorted(totals.to_pylist(), key=lambda r: r["part"]):
-            found[r["k"]].append(np.frombuffer(r["totals"], "<u8" if r["wide"] else "<u4").astype(np.int64))
+            found[r["k"]].append(from_planes(r["totals"], "i8"))
         arrays = [np.concatenate(x) if x else np.empty(0, np.int64) for x in found]
         logs, seen = score_block(block, arrays, n_tokens, backoff, unseen)
         n = block.lengths
@@ -169,7 +180,7 @@ def backoff_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                          "log_score": pa.array(mean, pa.float64())})
 
     grams = d.groupBy("block").applyInArrow(count, packed)
-    sums = grams.groupBy("part", "k").applyInArrow(total, "block long, part int, k int, totals binary, wide boolean")
+    sums = grams.groupBy("part", "k").applyInArrow(total, "block long, part int, k int, totals binary")
     kind = dict(d.dtypes)["id"]
     return d.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(
         score, f"`{id_col}` {kind}, n_tokens long, n_pairs_seen long, log_score double")
@@ -179,6 +190,6 @@ def _texts(t: pa.Table) -> Iterator[str | None]:
     return (x.as_py() for x in t.column("text"))
 
 
-def _table(rows: list[dict], x: str, y: str) -> pa.Table:
-    kinds = {"block": pa.int64(), "part": pa.int32(), "k": pa.int32(), "wide": pa.bool_()}
-    return pa.table({c: pa.array([r[c] for r in rows], kinds.get(c, pa.binary())) for c in ("block", "part", "k", x, y)})
+def _table(rows: list[dict], *binary: str) -> pa.Table:
+    kinds = {"block": pa.int64(), "part": pa.int32(), "k": pa.int32(), **{c: pa.binary() for c in binary}}
+    return pa.table({c: pa.array([r[c] for r in rows], t) for c, t in kinds.items()})
