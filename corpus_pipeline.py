@@ -13,6 +13,7 @@ from textloom.llm import decontam, langid, packing, quality, simhash
 from textloom.llm.common import read_table
 from textloom.llm.queries import language_model, tokenizer_path
 from textloom.session import checkpoint_dir, scratch_path, ship_package
+from textloom.sources.artifacts import delete_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,10 +65,14 @@ def _ready(spark: SparkSession) -> None:
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read again."""
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written as Parquet and read again; a
+    stage's table goes when the next one is written."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            delete_path(spark, before)
+        before = path
     return docs

@@ -11,6 +11,7 @@ from textloom.llm import decontam, langid, license, lmscore, packing, quality, q
 from textloom.llm.common import checkpointed, read_table
 from textloom.operators.bounded import skew_safe_lookup
 from textloom.session import scratch_path
+from textloom.sources.artifacts import delete_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -124,7 +125,9 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_warc(read_table(spark, sf_dir, "pages"), path)
-    return warc_summary(warc.read_warc(spark, path))
+    summary = warc_summary(warc.read_warc(spark, path))
+    delete_path(spark, path)  # the summary is checkpointed
+    return summary
 
 
 def warc_summary(found: DataFrame) -> DataFrame:
