@@ -90,19 +90,22 @@ def quoted_messages(links: DataFrame) -> DataFrame:
 def threads(replies: DataFrame) -> DataFrame:
     """``replies(conv, turn, reply_to)`` with ``thread`` (the first message
     reached by replies) and ``depth``.  Each round doubles the distance looked
-    back; replies point to earlier turns, so it ends."""
-    state = replies.select("conv", "turn", "reply_to", F.coalesce("reply_to", "turn").alias("up"),
-                           F.when(F.col("reply_to").isNull(), 0).otherwise(1).cast("long").alias("depth"))
-    state = checkpointed(state)
-    while True:
-        far = state.select("conv", F.col("turn").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_d"))
-        step = state.join(far, ["conv", "up"], "left")
-        new = checkpointed(step.select("conv", "turn", "reply_to", F.coalesce("_up", "up").alias("up"),
-                                       (F.col("depth") + F.coalesce("_d", F.lit(0))).alias("depth"),
-                                       F.coalesce(F.col("_up") != F.col("up"), F.lit(False)).alias("_moved")))
-        state = new.drop("_moved")
-        if new.filter("_moved").isEmpty():
-            return state.select("conv", "turn", "reply_to", F.col("up").alias("thread"), "depth")
+    back, for the messages that have not reached their first one yet; replies
+    point to earlier turns, so it ends."""
+    first = F.col("reply_to").isNull()
+    state = checkpointed(replies.select(
+        "conv", "turn", "reply_to", F.coalesce("reply_to", "turn").alias("up"),
+        F.when(first, 0).otherwise(1).cast("long").alias("depth"), first.alias("ended")))
+    done, active = state.filter("ended"), state.filter("NOT ended")
+    while not active.isEmpty():
+        far = done.unionByName(active).select("conv", F.col("turn").alias("up"), F.col("up").alias("_up"),
+                                              F.col("depth").alias("_depth"), F.col("ended").alias("_ended"))
+        step = checkpointed(active.join(far, ["conv", "up"], "left").select(
+            "conv", "turn", "reply_to", F.coalesce("_up", "up").alias("up"),
+            (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
+            F.coalesce("_ended", F.lit(True)).alias("ended")))
+        done, active = done.unionByName(step.filter("ended")), step.filter("NOT ended")
+    return done.select("conv", "turn", "reply_to", F.col("up").alias("thread"), "depth")
 
 
 def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text",
