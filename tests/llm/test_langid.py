@@ -75,6 +75,7 @@ def test_nulls_letters_and_clashes(spark):
 def test_sample_is_bounded_and_whole_corpus_small(spark):
     rows = [(i, f"text number {i}", "aa" if i % 3 else "bb") for i in range(300)] + [(900, "x", None), (901, None, "aa"), (902, "77", "cc")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    df = df.unionByName(spark.createDataFrame([(5, "text number 5", "aa")] * 400, "doc_id long, text string, lang string"))
     x, y = L.training_windows(df, per_lang=20)
     assert len(x) == len(y) == 40 and set(y) == {"aa", "bb"}
     x, y = L.training_windows(df, per_lang=20, total=10)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import free_names, maybe_broadcast
+from textloom.llm.common import free_names, maybe_broadcast, row_slices
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -151,11 +151,13 @@ def training_windows(labelled: DataFrame, id_col: str = "doc_id", text_col: str
     range_ = 1 << 30
     cut = F.least(F.lit(range_), F.ceil(F.lit(range_) * F.lit(2.0 * want + 20) / F.col("_n")))
     thin = d.join(maybe_broadcast(sizes, total), "_lang").filter(F.pmod("_h", F.lit(range_)) < cut)
-    ids = thin.groupBy("_lang").agg(F.slice(F.array_sort(F.collect_list(F.pmod("_h", F.lit(range_)))),
+    ids = thin.groupBy("_lang").agg(F.slice(F.array_sort(F.collect_set(F.pmod("_h", F.lit(range_)))),
                                             1, want).alias("_hs"))
     bound = ids.select(F.col("_lang").alias("_l"), F.element_at("_hs", -1).alias("_last"))
     picked = thin.join(F.broadcast(bound), F.col("_lang") == F.col("_l")).filter(
-        F.pmod("_h", F.lit(range_)) <= F.col("_last")).select("_lang", "_text", "_h")
+        F.pmod("_h", F.lit(range_)) <= F.col("_last"))
+    # an id that fills many rows counts once
+    picked = picked.groupBy("_lang", "_h").agg(F.min("_text").alias("_text")).select("_lang", "_text", "_h")
 
     def cut_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -251,11 +253,12 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text",
     d = docs.withColumn(name, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))).filter(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if model.langs:
-                good = [s >= min_score for _, s in _predict(model, b.column(text_col))]
-                b = b.filter(pa.array(good, pa.bool_()))
-            yield b
+        for batch in batches:
+            for b in row_slices(batch):
+                if model.langs:
+                    good = [s >= min_score for _, s in _predict(model, b.column(text_col))]
+                    b = b.filter(pa.array(good, pa.bool_()))
+                yield b
 
     return d.drop(name).mapInArrow(run, docs.schema)
 
