@@ -5,6 +5,7 @@ from __future__ import annotations
 import string
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +52,12 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def row_slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """A batch in small parts, so that what goes back to the JVM at once is small."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def word_blocks(data: bytes, keep: int = 0, block: int = 1 << 20) -> Iterator[tuple[list[bytes], bool]]:
     """Words (runs without ASCII white space) of a text in bounded blocks.
 

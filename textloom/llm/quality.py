@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.llm.common import row_slices
+
 BUCKETS = 1 << 16
 #: labelled documents that make the trusted target, picked by hash of their id
 TRUSTED_ROWS = 20_000
@@ -186,7 +188,8 @@ def keep_good(docs: DataFrame, ratios: np.ndarray, text_col: str = "text",
         return not base_failed(c[0], c[4]) and score(text, ratios) >= threshold
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array([passes(t.as_py()) for t in b.column(text_col)], pa.bool_()))
+        for batch in batches:
+            for b in row_slices(batch):
+                yield b.filter(pa.array([passes(t.as_py()) for t in b.column(text_col)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
