@@ -199,7 +199,7 @@ class PairTable:
 
 
 def _merge_loop(spark: SparkSession, words: DataFrame, n_merges: int, min_frequency: int,
-                max_pairs: int, rebase_every: int = 400) -> list[tuple[str, str, int]]:
+                max_pairs: int, rebase_every: int = 60) -> list[tuple[str, str, int]]:
     checkpoint_dir(spark)
     least = max(min_frequency, 1)
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
