@@ -237,7 +237,7 @@ def _merge_loop(spark: SparkSession, words: DataFrame, n_merges: int, min_freque
             made.add(symbol)
             taken += 1
         n_try = min(512, max(8, 2 * taken))
-        if len(pending) >= rebase_every or not sure:
+        if len(pending) >= max(rebase_every, len(merges) // 10) or not sure:
             words, pending = _rebased(words, pending, n_parts), []
             if not sure:
                 pairs = PairTable(words, max_pairs)
