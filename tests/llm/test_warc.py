@@ -95,6 +95,33 @@ def test_damage_is_seen(spark, tmp_path):
     assert not got["t"][1] and len(got) == 4
 
 
+def _plain(rid, block, length=None):
+    head = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <{rid}>\r\nContent-Length: "
+    return f"{head}{len(block) if length is None else length}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+
+def test_separators_at_every_offset_of_the_line_readers_buffer(spark, tmp_path):
+    http = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n"
+    want = {}
+    for at in range(65_536 - 24, 65_536 + 8):  # where the first record's separator starts
+        size = at - (len(_plain(f"{at}:0", http + warc.chunked(b"x" * 65_000, 100_000))) - 4) + 65_000
+        for k, payload in enumerate([b"x" * size, b"second", b"third"]):
+            want[f"{at}:{k}"] = payload
+        data = b"".join(_plain(f"{at}:{k}", http + warc.chunked(want[f"{at}:{k}"], 100_000)) for k in range(3))
+        assert data.index(warc.MARK) == at
+        (tmp_path / f"{at}.warc").write_bytes(data)
+    got = warc.read_warc(spark, f"file://{tmp_path}").collect()
+    assert len(got) == len(want) and all(r.ok for r in got)
+    assert {r.record_id: bytes(r.payload) for r in got} == want
+
+
+def test_bytes_behind_a_block_are_told(spark, tmp_path):
+    data = _plain("a", b"HTTP/1.1 200 OK\r\n\r\nbody", 20) + _plain("b", b"HTTP/1.1 200 OK\r\n\r\nbody")
+    (tmp_path / "a.warc").write_bytes(data)
+    got = {r.record_id: (bytes(r.payload), r.ok) for r in warc.read_warc(spark, f"file://{tmp_path}").collect()}
+    assert not got["a"][1] and got["b"] == (b"body", True)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     path = scratch_path(spark, "warc-empty")

@@ -6,7 +6,9 @@ file system that Spark knows will do and a large archive is read in splits.  The
 record separator is the blank line and version line that start the next record;
 the writer never lets a block hold the version string in one piece (it cuts a
 chunk inside it), and the reader glues a foreign record that does back together
-by its Content-Length.
+by its Content-Length.  Hadoop's line reader misses a separator that follows a
+block's own line ends over the edge of its buffer; such a line holds more than
+one record, and all of them are read.
 
 Only the records of segmented payloads are grouped, by their origin's id; whole
 records never move.
@@ -150,14 +152,14 @@ def _parse(line: bytes) -> tuple[dict, bytes, int]:
 
 def records(spark: SparkSession, path: str) -> DataFrame:
     """Every record of the archives under ``path`` (columns ``RECORD``).  ``ok``
-    is false when a block is shorter than its Content-Length or has none."""
+    is false when a block is shorter or longer than its Content-Length or has none."""
     lines = spark.read.option("lineSep", MARK.decode()).text(path).select(
         F.col("value").cast("binary").alias("value"), F.input_file_name().alias("file"))
     schema = pa.schema([("record_id", pa.string()), ("type", pa.string()), ("url", pa.string()),
                         ("refers_to", pa.string()), ("digest", pa.string()), ("origin", pa.string()),
                         ("segment", pa.int32()), ("total", pa.int64()), ("block", pa.binary()), ("ok", pa.bool_())])
 
-    def row(fields: dict, rest: bytes, n: int) -> dict:
+    def row(fields: dict, block: bytes, ok: bool) -> dict:
         f = lambda k: fields.get(k)
         number = lambda k: int(f(k)) if (f(k) or "").isdigit() else None
         bare = lambda v: v[1:-1] if v and v[0] == "<" else v
@@ -165,10 +167,24 @@ def records(spark: SparkSession, path: str) -> DataFrame:
         return {"record_id": rid, "type": f(b"warc-type"), "url": f(b"warc-target-uri"),
                 "refers_to": bare(f(b"warc-refers-to")), "digest": f(b"warc-payload-digest"),
                 "origin": None if seg is None else bare(f(b"warc-segment-origin-id")) or rid, "segment": seg,
-                "total": number(b"warc-segment-total-length"), "block": rest[:max(n, 0)], "ok": 0 <= n <= len(rest)}
+                "total": number(b"warc-segment-total-length"), "block": block, "ok": ok}
+
+    def cut(fields: dict, rest: bytes, n: int, out: list[dict]) -> tuple[dict, bytes, int] | None:
+        """Append the record and those behind it in ``rest``; the last one is
+        given back if its block is not complete."""
+        while n <= len(rest):
+            end = max(n, 0)
+            at = rest.find(MARK, end)
+            stray = rest[end:] if at < 0 else rest[end:at]
+            out.append(row(fields, rest[:end], n >= 0 and not stray.strip()))
+            if at < 0:
+                return None
+            fields, rest, n = _parse(rest[at + len(MARK):])
+        return fields, rest, n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_, file = None, None  # a record whose block goes on behind a separator
+        short = lambda fields, rest, n: row(fields, rest, False)
         for b in batches:
             out = []
             for v, name in zip(b.column(0), b.column(1)):
@@ -176,24 +192,17 @@ def records(spark: SparkSession, path: str) -> DataFrame:
                 if open_ is not None:
                     fields, rest, n = open_
                     if name.as_py() == file and not line.startswith(VERSION + CRLF):
-                        open_ = (fields, rest + MARK + line, n)
-                        if len(open_[1]) >= n:
-                            out.append(row(*open_))
-                            open_ = None
+                        open_ = cut(fields, rest + MARK + line, n, out)
                         continue
-                    out.append(row(*open_))
+                    out.append(short(*open_))
                     open_ = None
                 file = name.as_py()
                 if not line.strip():
                     continue
-                got = _parse(line.removeprefix(VERSION + CRLF))
-                if len(got[1]) < got[2]:
-                    open_ = got
-                else:
-                    out.append(row(*got))
+                open_ = cut(*_parse(line.removeprefix(VERSION + CRLF)), out)
             yield pa.RecordBatch.from_pylist(out, schema)
         if open_ is not None:
-            yield pa.RecordBatch.from_pylist([row(*open_)], schema)
+            yield pa.RecordBatch.from_pylist([short(*open_)], schema)
 
     return lines.mapInArrow(run, RECORD)
 
