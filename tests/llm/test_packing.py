@@ -36,6 +36,20 @@ def test_ids_of_any_text(text):
     assert our_ids(text).tolist() == library_ids(text).tolist()
 
 
+@pytest.mark.parametrize("text", [" " * 1_000_001, "\n" * 1_000_001, "a <|endoftext|>" + " " * 1_000_001 + "b é",
+                                  "x\n" + "\n \t" * 400_000 + " y", "\u3000" * 1_200_000,
+                                  " " * 1_000_001 + "<|endoftext|>" + "\r\n" * 600_000 + "don't " + "\xa0\u2028" * 600_000 + "\x1c"])
+def test_ids_of_very_long_white_space(text):
+    assert our_ids(text).tolist() == library_ids(text).tolist()
+
+
+def test_a_document_of_white_space_does_not_end_the_others(spark):
+    rows = [(1, "a b"), (2, "c" + "\n" * 1_000_001 + "d"), (3, None)]
+    got = best_fit_pack(spark.createDataFrame(rows, "doc_id long, text string"), PATH).groupBy("doc_id").agg(
+        {"length": "sum"}).collect()
+    assert {r[0]: r[1] for r in got} == {i: len(library_ids(t or "")) + 1 for i, t in rows}
+
+
 def test_only_the_first_piece_is_shorter():
     ids = np.arange(2500, dtype="<u4")
     got = list(pieces_of(ids.tobytes(), 1024))

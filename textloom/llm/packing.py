@@ -13,6 +13,7 @@ group is the price of not packing everything in one task.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -34,6 +35,9 @@ SEQUENCES = 1 << 32
 # fixed value: how byte-level BPE of this family cuts a text before merging
 SPLIT_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
+# the pattern's white space; the length is far below what the pattern can take
+_LONG_SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{100000,}")
+
 
 def byte_bpe(path: str):
     """The byte-level BPE of a ``tokenizers`` file, run by tiktoken: the same
@@ -63,10 +67,29 @@ def worker_tokenizer(path: str):
     return _TOKENIZERS[path]
 
 
+def _in_parts(tok, text: str) -> Iterator[np.ndarray]:
+    """Ids of a text by parts: a long run of white space is one piece of the
+    pattern, but for its last character if a word follows."""
+    at = 0
+    for m in _LONG_SPACE.finditer(text):
+        start, end = m.span()
+        if end < len(text) and not text.startswith(tuple(tok.special_tokens_set), end):
+            end -= 1
+        yield tok.encode_to_numpy(text[at:start], allowed_special="all")
+        yield np.array(tok._encode_single_piece(text[start:end]), "<u4")
+        at = end
+    yield tok.encode_to_numpy(text[at:], allowed_special="all")
+
+
 def encode(tok, text: str) -> bytes:
     """Ids as little-endian 32-bit bytes; a special token's string in a text is
-    that token, as in ``tokenizers``."""
-    return tok.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
+    that token, as in ``tokenizers``.  tiktoken's pattern gives up on about a
+    million characters of white space in a row; such texts go by parts."""
+    try:
+        ids = tok.encode_to_numpy(text, allowed_special="all")
+    except ValueError:
+        ids = np.concatenate(list(_in_parts(tok, text)))
+    return ids.astype("<u4", copy=False).tobytes()
 
 
 def pieces_of(ids: bytes, capacity: int = CAPACITY) -> Iterator[tuple[int, int, int, int]]:
