@@ -45,6 +45,53 @@ def test_members_that_the_first_rejects_are_still_compared(spark):
     assert got == {(3, 2), (6, 2)}
 
 
+def brute(sets, threshold=0.8):
+    ids = sorted(sets)
+    edges = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1:]
+             if len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b])]
+    found = components(edges)
+    return {(i, c) for i, c in found.items() if i != c}
+
+
+def in_one_bucket(spark, sets):
+    keyed = spark.createDataFrame([(i, 0, 7) for i in sets], "id long, band int, bkey long")
+    sh = spark.createDataFrame([(i, sorted(x)) for i, x in sets.items()], "id long, sh array<long>")
+    return {(x.a, x.b) for x in _bucket_links(keyed, sh, 0.8, all_pairs=32).collect()}
+
+
+def test_copies_meet_through_an_original_with_the_largest_id(spark):
+    base = set(range(100))
+    sets = {i: base - set(range(10 * (i % 10), 10 * (i % 10) + 10)) | set(range(1000 * i, 1000 * i + 10)) for i in range(1, 51)}
+    got = in_one_bucket(spark, sets | {999: base})
+    assert got == brute(sets | {999: base}) and len(got) == 50
+
+
+def test_large_buckets_of_mixed_members_equal_all_pairs(spark):
+    r = random.Random(4)
+    sets = {}
+    for i in r.sample(range(1000), 40):
+        kind = r.randrange(2)
+        s = set(range(1000 * kind, 1000 * kind + 40))
+        for x in r.sample(sorted(s), r.randrange(6)):
+            s.remove(x)
+            s.add(r.randrange(10_000, 10_000_000))
+        sets[i] = s
+    want = brute(sets)
+    assert in_one_bucket(spark, sets) == want and len({c for _, c in want}) > 1
+
+
+def test_near_copies_of_an_original_with_the_largest_id_are_one_cluster(spark):
+    r = random.Random(5)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(40):
+        at = 4 * i
+        rows.append((i, " ".join(base[:at] + [f"x{i}_{k}" for k in range(15)] + base[at + 15:])))
+    r.shuffle(rows)
+    df = spark.createDataFrame([*rows, (999, " ".join(base))], "doc_id long, text string")
+    assert {x.cluster for x in dedup_near(df, keep_all=True).collect()} == {0}
+
+
 def test_near_duplicates_equal_all_pairs(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = {r.doc_id: r.cluster for r in dedup_near(docs, keep_all=True).collect()}

@@ -98,44 +98,74 @@ def minhash_signatures(df: DataFrame, id_col: str, text_col: str, k: int = 5,
     return th.mapInPandas(_minhash_batches(k, num_perm, seed), _SIG_SCHEMA)
 
 
+#: buckets of up to this many members are compared pair by pair
+ALL_PAIRS = 128
+
+
 def _scored(pairs: DataFrame, shingles: DataFrame, threshold: float) -> DataFrame:
-    """``(a, b, ok)``: whether the exact Jaccard similarity of the shingle sets
-    of each pair reaches ``threshold``.  ``b`` may be in very many pairs, so its
-    set is a hot lookup."""
+    """``(a, b, sim, ok)``: the exact Jaccard similarity of the shingle sets of
+    each pair and whether it reaches ``threshold``.  ``b`` may be in very many
+    pairs, so its set is a hot lookup."""
     side = lambda c: shingles.select(F.col("id").alias(c), F.col("sh").alias(f"_s{c}"))
     hubs = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("w"))
     j = skew_safe_lookup(pairs.join(side("a"), "a"), side("b"), ["b"], hubs, hot_k=64, how="inner",
                          salt_by=["a"], broadcast_rows=64)
     inter, union = F.size(F.array_intersect("_sa", "_sb")), F.size(F.array_union("_sa", "_sb"))
-    return j.select("a", "b", (inter >= F.lit(threshold) * union).alias("ok"))
-
-
-def _bucket_links(keyed: DataFrame, shingles: DataFrame, threshold: float) -> DataFrame:
-    """Links ``(a, b)`` inside the buckets of ``keyed(id, band, bkey)``.
-
-    Every member is compared with its bucket's smallest id; those it rejects
-    with the smallest of the rejected, and so on until none is left.  Each
-    round is linear in the members left, and no bucket is expanded to pairs."""
+    return j.select("a", "b", (inter / union).alias("sim"), (inter >= F.lit(threshold) * union).alias("ok"))
+
+
+def _bucket_links(keyed: DataFrame, shingles: DataFrame, threshold: float,
+                  all_pairs: int = ALL_PAIRS) -> DataFrame:
+    """Components of all pairs that share a bucket of ``keyed(id, band, bkey)``
+    and reach ``threshold``, as links ``(a, b)`` from every other member to the
+    component's smallest id.
+
+    Every pair of a bucket is compared, or connected already, or too far apart:
+    * small buckets (up to ``all_pairs``) are compared pair by pair;
+    * in larger ones every member is compared with the smallest id.  Jaccard
+      distance is a metric, so an accepted and a rejected member can only be
+      similar if their distances to it differ by at most ``1 - threshold``;
+      those pairs are compared unless a link joins them already;
+    * the rejected go on among themselves until a link joins them all."""
     bucket = ["band", "bkey"]
+    slack = 1 - threshold + 1e-9
 
-    def with_rep(members: DataFrame) -> DataFrame:
-        reps = members.groupBy(*bucket).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("w")).filter(
-            "w > 1").checkpoint(eager=True)
-        found = skew_safe_lookup(members, reps.select(*bucket, "rep"), bucket, reps.select(*bucket, "w"),
-                                 how="inner", salt_by=["id"])
-        return found.filter("id <> rep").checkpoint(eager=True)
+    def labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+        labels = connected_components(links).select("id", "component")
+        return rows.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
-    links, left = None, with_rep(keyed)
+    def good(pairs: DataFrame) -> DataFrame:
+        return _scored(pairs.distinct(), shingles, threshold).filter("ok").select("a", "b").checkpoint(eager=True)
+
+    links, left = None, keyed
     while True:
-        pairs = left.select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()
-        scored = _scored(pairs, shingles, threshold).checkpoint(eager=True)
-        good = scored.filter("ok").select("a", "b")
-        links = good if links is None else links.unionByName(good)
-        bad = scored.filter("NOT ok")
-        if bad.isEmpty():
-            return links.distinct()
-        rejected = left.join(bad.select(F.col("a").alias("id"), F.col("b").alias("rep")), ["id", "rep"], "left_semi")
-        left = with_rep(rejected.select("id", *bucket))
+        sizes = left.groupBy(*bucket).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("w")).filter(
+            "w > 1").checkpoint(eager=True)
+        left = skew_safe_lookup(left, sizes.withColumnRenamed("w", "n"), bucket, sizes.select(*bucket, "w"),
+                                how="inner", salt_by=["id"]).checkpoint(eager=True)
+        small = left.filter(F.col("n") <= all_pairs)
+        each = good(small.select(*bucket, F.col("id").alias("a")).join(
+            small.select(*bucket, F.col("id").alias("b")), bucket).filter("a > b").select("a", "b"))
+        links = each if links is None else links.unionByName(each)
+        stars = left.filter((F.col("n") > all_pairs) & (F.col("id") != F.col("rep")))
+        if stars.isEmpty():
+            break
+        scored = _scored(stars.select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct(), shingles,
+                         threshold).checkpoint(eager=True)
+        links = links.unionByName(scored.filter("ok").select("a", "b"))
+        stars = stars.join(scored.withColumnsRenamed({"a": "id", "b": "rep"}), ["id", "rep"])
+        stars = labelled(stars, links).checkpoint(eager=True)
+        near = stars.filter("ok").select(*bucket, F.col("id").alias("x"), F.col("sim").alias("sx"),
+                                         F.col("component").alias("cx"))
+        far = stars.filter(~F.col("ok") & (F.col("sim") >= threshold - slack)).select(
+            *bucket, F.col("id").alias("y"), F.col("sim").alias("sy"), F.col("component").alias("cy"))
+        cross = near.join(far, bucket).filter((F.col("cx") != F.col("cy")) & (F.col("sx") - F.col("sy") <= slack))
+        links = links.unionByName(good(cross.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))))
+        left = labelled(stars.filter("NOT ok").select("id", *bucket), links).checkpoint(eager=True)
+        apart = left.groupBy(*bucket).agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+        left = left.join(apart, bucket, "left_semi").select("id", *bucket)
+    return connected_components(links).filter("id <> component").select(
+        F.col("id").alias("a"), F.col("component").alias("b"))
 
 
 def dedup_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -146,8 +176,8 @@ def dedup_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     1. distinct word k-gram hashes and a ``num_perm`` MinHash signature per text;
     2. ``bands`` band keys per text; texts sharing a band key form a bucket
        (30 bands of 5 miss a pair at similarity 0.8 once in 150,000);
-    3. star links inside every bucket (see ``_bucket_links``), each checked on
-       the exact Jaccard similarity of the two shingle sets;
+    3. links inside every bucket (see ``_bucket_links``), each checked on the
+       exact Jaccard similarity of the two shingle sets;
     4. connected components of the links; the smallest id of a component
        survives.
 
@@ -162,8 +192,8 @@ def dedup_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           for b in range(bands)])
     keyed = sig.select("id", F.posexplode(band_keys).alias("band", "bkey")).checkpoint(eager=True)
     links = _bucket_links(keyed, sig.select("id", "sh"), threshold)
-    # only texts with a link have a label; all others are their own cluster
-    labels = connected_components(links).select(F.col("id").alias(id_col), F.col("component").alias("cluster"))
+    # the smallest id of a component and texts without a link are their own cluster
+    labels = links.select(F.col("a").alias(id_col), F.col("b").alias("cluster"))
     out = df.join(labels, id_col, "left").withColumn("cluster", F.coalesce("cluster", id_col))
     out = out.withColumn("duplicate", F.col(id_col) != F.col("cluster"))
     if keep_all:
