@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,6 +22,27 @@ def test_notices(text, name):
         assert 0.7 <= found[1] <= 1.0000001
 
 
+CODE = "\n".join(f"int f{i}(int a) {{\n  return a + {i};\n}}" for i in range(60))
+
+
+@pytest.mark.parametrize("name", sorted(L.TEMPLATES))
+@pytest.mark.parametrize("width", [30, 50, 60, 72])
+@pytest.mark.parametrize("mark,gap", [("", "\n"), ("// ", ""), ("# ", "\n"), (" * ", "")])
+def test_wrapped_headers_before_code(name, width, mark, gap):
+    header = textwrap.fill(L.TEMPLATES[name][-1], width, initial_indent=mark, subsequent_indent=mark)
+    if mark == " * ":
+        header = "/*\n" + header + "\n */"
+    found = L.Matcher(1000, {"the": 400, "of": 300, "a": 300, "and": 300, "in": 200}).scan(f"{header}\n{gap}{CODE}")
+    assert found and found[0] == name
+
+
+@pytest.mark.parametrize("tag,name", [("MIT", "MIT"), ("GPL-3.0-or-later", "GPL-3.0"), ("GPL-3.0-only", "GPL-3.0"), ("GPL-3.0+", "GPL-3.0"),
+                                      ("apache-2.0", "Apache-2.0"), ("LGPL-3.0", None), ("MIT-0", None)])
+def test_spdx_tags(tag, name):
+    found = L.Matcher(1000, {"the": 400}).scan(f"// SPDX-License-Identifier: {tag}\n{CODE}")
+    assert (found and found[0]) == name
+
+
 def test_pruning_changes_nothing():
     m = L.Matcher(50, {"the": 40, "license": 3})
     plain = L.Matcher(50, {"the": 40, "license": 3}, threshold=0.0)

@@ -1,8 +1,9 @@
 """Licence scan: sparse TF-IDF cosine of headers and licence files to templates,
 then inheritance from the nearest ancestor directory.
 
-Every line of every text, and every text as a whole, is a candidate passage; its
-TF-IDF vector is compared with each template's.  Document frequencies of the
+Every line of every text, every block (a run of lines that are not blank or
+of comment lines, comment marks removed), and every text as a whole, is a candidate
+passage; an SPDX tag names its licence itself.  A passage's TF-IDF vector is compared with each template's.  Document frequencies of the
 template words (a fixed vocabulary) are counted over all lines of the corpus; words
 outside it weigh as much as a word never seen, so prose around a few common words
 scores low.  Weights are whole numbers, so that sums do not depend on order.
@@ -28,6 +29,10 @@ from textloom.operators.bounded import skew_safe_lookup
 
 THRESHOLD = 0.7
 LICENSE_NAMES = r"(?i)^(licen[cs]e|copying|notice)(\.[a-z]+)?$"
+# comment marks around a line: // # ; -- % * /* */ <!-- --> and """
+_OPEN = re.compile(r"\s*(?://+!?|#+!?|;+|--+|%+|/\*+!?|\*+(?!/)|<!--+|\"{3}|'{3}|(?i:rem|dnl)(?=\s|$))\s?")
+_CLOSE = re.compile(r"\s*(?:\*+/|--+>|\"{3}|'{3})\s*$")
+_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*\(?([A-Za-z0-9.+-]+)", re.I)
 _TERM = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 
 # fixed values: notices by which projects name these licences
@@ -83,6 +88,29 @@ def line_frequencies(docs: DataFrame, text_col: str = "text",
     return found.pop(None, 0), found
 
 
+def blocks(lines: list[str]) -> Iterator[str]:
+    """Runs of two or more lines that are not blank without their comment
+    marks, and runs of comment lines within or across them.  Words cut at a
+    hyphen are joined."""
+    bare, marked, inside = [], [], False
+    for line in lines:
+        x = _OPEN.sub("", line, count=1) if _OPEN.match(line) else line
+        opened = re.search(r"/\*|<!--", line)
+        marked.append(inside or x is not line)
+        shut = _CLOSE.search(line)
+        inside = (inside or bool(opened)) and not shut
+        bare.append(_CLOSE.sub("", x))
+    for kind in ([bool(x.strip()) for x in bare], [m and bool(x.strip()) for m, x in zip(marked, bare)], marked):
+        start = None
+        for i, on in enumerate([*kind, False]):
+            if on and start is None:
+                start = i
+            elif not on and start is not None:
+                if i - start > 1:
+                    yield re.sub(r"-\n\s*", "-", "\n".join(bare[start:i]))
+                start = None
+
+
 class Matcher:
     """Best template of a passage by cosine."""
 
@@ -98,6 +126,7 @@ class Matcher:
                 self.templates.append((name, {t: n * self.idf[t] for t, n in tf.items()},
                                        sum((n * self.idf[t]) ** 2 for t, n in tf.items())))
         self.vocabulary = frozenset(self.idf)
+        self.names = sorted(templates)
 
     def best(self, passage: str) -> tuple[str, float] | None:
         """Licence and cosine if at least the threshold; of equal cosines the
@@ -119,11 +148,19 @@ class Matcher:
                 top = (name, cos)
         return top
 
+    def tagged(self, text: str) -> Iterator[tuple[str, float]]:
+        """Licences with templates that SPDX tags name."""
+        for m in _SPDX.finditer(text):
+            tag = re.sub(r"(?i)(-only|-or-later|\+)$", "", m[1].rstrip(".")).lower()
+            yield from ((name, 1.0) for name in self.names if name.lower() == tag)
+
     def scan(self, text: str | None) -> tuple[str, float] | None:
-        """Best over all lines and the text as a whole."""
+        """Best over all SPDX tags, lines, blocks and the text as a whole."""
         text = text or ""
         lines = text.split("\n")
-        found = [m for x in (lines + [text] if len(lines) > 1 else lines) if (m := self.best(x))]
+        passages = [*lines, *blocks(lines), text] if len(lines) > 1 else lines
+        found = [m for x in dict.fromkeys(passages) if (m := self.best(x))]
+        found += self.tagged(text)
         return min(found, key=lambda m: (-m[1], m[0])) if found else None
 
 
