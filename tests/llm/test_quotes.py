@@ -52,3 +52,10 @@ def test_levels(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, text string")
     assert Q.link_quotes(df).collect() == []
+
+
+def test_own_sentences_that_look_like_attributions_stay(spark):
+    rows = [("On Monday she wrote:\nI come", "On Monday she wrote:\nI come"), ("On x, y wrote:\n> q\nyes", "yes"),
+            ("On x, y wrote:\r\n\n \n>> q\nyes", "\n \nyes"), ("end\nOn it he wrote:", "end\nOn it he wrote:")]
+    got = spark.createDataFrame(rows, "t string, want string").withColumn("got", Q.without_quotes(F.col("t"))).collect()
+    assert [r.got for r in got] == [r.want for r in got]

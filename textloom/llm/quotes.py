@@ -23,13 +23,19 @@ BLOCK_TURNS = 1024
 
 # fixed values: quote marks at a line's start, and the line that announces a quote
 _MARKS = r"^((?: ?>)+) ?"
-_ATTRIBUTION = r"^On .*\bwrote:$"
+# a line that announces quoted lines: these follow it, blank lines apart
+_ATTRIBUTION = r"(?md)^On [^\n]*\bwrote:\r?\n(?=(?:[ \t\r\n]*\n)? ?>)"
 
 
 def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
+def unannounced(text: Column) -> Column:
+    """The text without the lines that announce quoted ones."""
+    return F.regexp_replace(text, _ATTRIBUTION, "")
+
+
 def level_of(line: Column) -> Column:
     """Number of quote marks before a line; 0 for the author's own."""
     return F.length(F.regexp_replace(F.regexp_extract(line, _MARKS, 1), " ", ""))
@@ -46,7 +52,7 @@ def normalised(line: Column) -> Column:
 
 def without_quotes(text: Column) -> Column:
     """The author's own lines: no quoted line, no line that announces one."""
-    own = F.filter(lines_of(text), lambda x: ~x.rlike(_MARKS) & ~x.rlike(_ATTRIBUTION))
+    own = F.filter(lines_of(unannounced(text)), lambda x: ~x.rlike(_MARKS))
     return F.array_join(own, "\n")
 
 
@@ -54,8 +60,8 @@ def parsed_lines(messages: DataFrame, conv: str, turn: str, text: str) -> DataFr
     """``conv, turn, level, hash, n``: each distinct non-empty line of a message
     at each level, and how often it stands there."""
     d = messages.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"),
-                        F.explode(lines_of(F.col(text))).alias("_line"))
-    d = d.filter(~F.col("_line").rlike(_ATTRIBUTION)).select(
+                        F.explode(lines_of(unannounced(F.col(text)))).alias("_line"))
+    d = d.select(
         "conv", "turn", level_of(F.col("_line")).alias("level"), normalised(bare(F.col("_line"))).alias("_n"))
     return (d.filter("_n <> '' AND conv IS NOT NULL AND turn IS NOT NULL")
             .groupBy("conv", "turn", "level", F.xxhash64("_n").alias("hash")).agg(F.count("*").alias("n")))
