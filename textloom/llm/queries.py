@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import decontam, langid, license, lmscore, packing, quality, quotes, simhash, urlfilter, warc
+from textloom.llm import (decontam, fim, langid, license, lmscore, minhash, packing, quality, quotes, search, simhash,
+                          urlfilter, warc)
 from textloom.llm.common import checkpointed, read_table
 from textloom.operators.bounded import skew_safe_lookup
 from textloom.session import scratch_path
@@ -313,3 +314,72 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quotes.link_quotes(as_mail(read_table(spark, sf_dir, "conversations")))
     return found.select("conv_id", "turn", "reply_to", "thread", "depth", "n_quoted", "n_linked",
                         F.md5(F.col("clean_text")).alias("clean_md5"))
+
+
+# ---------------------------------------------------------------- 11: fill in the middle
+_DRAW = "CAST('0x' || substr(sha256('1:' || doc_id), {}, 8) AS BIGINT)"
+
+
+@_query("op11_fill_in_middle", rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+           {', '.join(f"{_DRAW.format(8 * i + 1)} AS h{i + 1}" for i in range(4))} FROM documents),
+c AS (SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+      CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= {fim.PLAIN_FROM}
+      THEN 'plain' WHEN h4 % 100 < {fim.SPM_BELOW} THEN 'spm' ELSE 'psm' END AS form FROM d),
+x AS (SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CAST(CASE WHEN form <> 'plain' THEN length(p) END AS BIGINT) AS prefix_chars,
+       CAST(CASE WHEN form <> 'plain' THEN length(m) END AS BIGINT) AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM x
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "frames")
+    found = fim.restore(fim.infill(fim.write_store(read_table(spark, sf_dir, "documents"), path)), keep_text=False)
+    found = checkpointed(found.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+                                      "output_sha256", "restored_sha256"))
+    delete_path(spark, path)  # the digests are checkpointed
+    return found
+
+
+# ---------------------------------------------------------------- 12: ranked lexical search
+def _terms(text: str) -> str:
+    return rf"regexp_extract_all(translate(coalesce({text}, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@_query("op12_ranked_search", rf"""
+WITH t AS (SELECT rowid_ AS r, doc_id, unnest({_terms('text')}) AS w FROM (SELECT row_number() OVER () AS rowid_, * FROM documents)),
+tf AS (SELECT r, doc_id, w, count(*) AS tf FROM t GROUP BY ALL),
+len AS (SELECT r, sum(tf) AS n FROM tf GROUP BY r),
+c AS (SELECT count(*) AS nd, sum(n) AS l FROM len),
+q AS (SELECT DISTINCT qr, item_id, w FROM (SELECT qr, item_id, unnest({_terms('text')}) AS w
+      FROM (SELECT row_number() OVER () AS qr, * FROM benchmark))),
+df AS (SELECT w, count(*) AS df FROM tf WHERE w IN (SELECT w FROM q) GROUP BY w),
+wt AS (SELECT w, CAST(floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS wt FROM df, c),
+s AS (SELECT qr, item_id, r, doc_id, CAST(sum(wt * ((1000000000 * tf) // (1000 * tf + 20 * (50 + CAST((50 * n * nd) // l AS BIGINT))))) AS BIGINT) AS score
+      FROM q JOIN wt USING (w) JOIN tf USING (w) JOIN len USING (r), c GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY qr ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 50
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+# ---------------------------------------------------------------- 13: MinHash near-duplicates
+@_query("op13_minhash_near_dedup", rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x20\x09-\x0D]+') AS w FROM documents),
+e AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g FROM e),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+x AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+p AS (SELECT a, b FROM x JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * m >= {minhash.THRESHOLD} * (na.n + nb.n - m)),
+u AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT DISTINCT a AS id, a AS seen FROM u UNION SELECT r.id, u.b FROM r JOIN u ON r.seen = u.a),
+c AS (SELECT id, min(seen) AS least FROM r GROUP BY id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(c.least, d.doc_id) AS component_id,
+       coalesce(c.least, d.doc_id) = d.doc_id AS kept FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.id = d.doc_id
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.minhash_groups(read_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id",
+                        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
