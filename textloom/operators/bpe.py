@@ -12,19 +12,28 @@ its time starting jobs.  So each job tries many merges and the driver takes
 those that greedy training would have taken:
 
 * the driver holds the exact pair counts (the ``max_pairs`` most frequent, and
-  a bound on all others) and lists the pairs that come next if nothing changed;
-* one job replays them in that order on the distinct words and returns, per
-  merge, how much it changes which pair counts;
+  a bound on all others);
+* a ``Predictor`` plays greedy training on the ``predict_words`` most frequent
+  words (a bounded number) and lists the merges it expects, with those that
+  only earlier ones of the list make possible;
+* one job replays the list on the distinct words and returns, per merge, how
+  much it changes which pair counts, exactly and over all words;
 * the driver walks down the list: as long as the next pair is the true
   maximum of the counts updated so far, its merge is taken and its changes are
   applied; at the first that is not, the rest is thrown away.
 
-The first pair of a list is always right, so every job makes progress; later in
-training, where a merge seldom lifts another pair over the next in line, a job
-takes tens of merges.  The output is that of sequential training, ties by
-(count desc, left asc, right asc).  Merges are left to right, non-overlapping:
-``a a a`` + (a, a) -> ``aa a``.  Counts are recounted in full only if a pair
-below the bound could come next.
+The first pair of a list is always right, so every job makes progress, and a
+prediction only decides how much.  The output is that of sequential training,
+ties by (count desc, left asc, right asc).  Merges are left to right,
+non-overlapping: ``a a a`` + (a, a) -> ``aa a``.  Counts are recounted in full
+only if a pair below the bound could come next.
+
+A job reads only words that hold a pair of its list.  ``Postings`` is a table of
+(pair, word) in buckets of the pair; a pair of symbols that were made since the
+table was written is found by the older pairs they were made of.  The merges
+since then are replayed on what is read, and the table is written anew when they
+have become many, so that its pairs, and with them the words behind one, get
+rarer and rarer.
 """
 
 from __future__ import annotations
@@ -39,7 +48,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.functions.text import SPECIAL_TOKENS, byte_level_tokens, normalize_text_col, word_tokens
-from textloom.session import checkpoint_dir
+from textloom.session import checkpoint_dir, scratch_path
+from textloom.sources.artifacts import delete_path
 
 CONT = "_"  # continuation marker inside symbol strings (displayed as "##")
 
@@ -120,17 +130,80 @@ def apply_merges(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
     return words.mapInPandas(run, "syms string, freq long")
 
 
-def merge_effects(words: DataFrame, done: list[tuple[str, str]], tried: list[tuple[str, str]]) -> DataFrame:
+def older_pairs(pairs: list[tuple[str, str]], merges: list[tuple[str, str]]) -> set[tuple[str, str]]:
+    """Pairs of which a word held at least one before ``merges`` if it holds one
+    of ``pairs`` after them.  A symbol may have been there before, or been made
+    in several ways; all of them count."""
+    made: dict[str, list[tuple[str, str]]] = {}
+    for m in merges:
+        made.setdefault(merged_symbol(*m), []).append(m)
+    found, todo = set(), list(pairs)
+    while todo:
+        p = todo.pop()
+        if p not in found:
+            found.add(p)
+            todo += [m for s in p for m in made.get(s, ())]
+    return found
+
+
+class Postings:
+    """The distinct words and a table of (pair, word) in buckets of the pair,
+    written below the checkpoint folder."""
+
+    def __init__(self, words: DataFrame, n_parts: int, buckets: int = 64):
+        self.spark, self.n_parts, self.buckets, self.path = words.sparkSession, n_parts, buckets, None
+        self._write(words)
+
+    def _write(self, words: DataFrame) -> None:
+        old, self.path = self.path, scratch_path(self.spark, "bpe")
+        # a word of one symbol never forms a pair again
+        words.filter(F.instr("syms", " ") > 0).repartition(self.n_parts).write.parquet(f"{self.path}/words")
+        self.words = self.spark.read.parquet(f"{self.path}/words")
+        rows = self.words.select(F.split("syms", " ").alias("_tl_a"), "syms", "freq")
+        rows = rows.select(F.explode(F.array_distinct(_adjacent(F.col("_tl_a")))).alias("p"), "syms", "freq").select(
+            self._bucket(F.col("p.left"), F.col("p.right")).alias("bucket"), "p.left", "p.right", "syms", "freq")
+        rows = rows.repartitionByRange(self.n_parts, "bucket", "left", "right", F.xxhash64("syms"))
+        rows.sortWithinPartitions("bucket", "left", "right").write.partitionBy("bucket").parquet(f"{self.path}/pairs")
+        self.rows = self.spark.read.schema(
+            "left string, right string, syms string, freq long, bucket long").parquet(f"{self.path}/pairs")
+        if old:
+            delete_path(self.spark, old)
+
+    def _bucket(self, left, right):
+        return F.pmod(F.xxhash64(left, right), F.lit(self.buckets))
+
+    def rebase(self, merges: list[tuple[str, str]]) -> None:
+        self._write(apply_merges(self.words, merges))
+
+    def drop(self) -> None:
+        delete_path(self.spark, self.path)
+
+    def holding(self, pairs: set[tuple[str, str]]) -> DataFrame:
+        """``(left, right, syms, freq)`` of the words that hold one of ``pairs``,
+        once for each that they hold; other buckets are not read."""
+        wanted = self.spark.createDataFrame(sorted(pairs), "left string, right string")
+        wanted = wanted.withColumn("bucket", self._bucket(F.col("left"), F.col("right")))
+        at = [r[0] for r in wanted.select("bucket").distinct().collect()]
+        some = self.rows if len(at) == self.buckets else self.rows.filter(F.col("bucket").isin(at))
+        return some.join(F.broadcast(wanted), ["bucket", "left", "right"]).select("left", "right", "syms", "freq")
+
+
+def merge_effects(postings: Postings, done: list[tuple[str, str]], tried: list[tuple[str, str]]) -> DataFrame:
     """``(step, left, right, delta)``: by how much each of ``tried``, applied in
-    order after ``done``, changes the count of a pair."""
+    order after ``done``, changes the count of a pair; at step -1 the number of
+    words that were replayed."""
     merges, n_done = done + tried, len(done)
-    places = _places(merges)
+    places, roots = _places(merges), older_pairs(tried, merges)
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: Counter = Counter()
         for pdf in it:
-            for w, freq in zip(pdf["syms"], pdf["freq"]):
-                for at, before, after in replay(w.split(" "), places, merges):
+            for left, right, w, freq in zip(pdf["left"], pdf["right"], pdf["syms"], pdf["freq"]):
+                syms = w.split(" ")
+                if min(roots.intersection(zip(syms, syms[1:]))) != (left, right):
+                    continue  # read once more for another of its pairs
+                total[-1, ("", "")] += 1
+                for at, before, after in replay(syms, places, merges):
                     if at >= n_done:
                         for p in zip(before, before[1:]):
                             total[at - n_done, p] -= freq
@@ -139,19 +212,23 @@ def merge_effects(words: DataFrame, done: list[tuple[str, str]], tried: list[tup
         rows = [(i, x, y, d) for (i, (x, y)), d in total.items() if d]
         yield pd.DataFrame(rows, columns=["step", "left", "right", "delta"])
 
-    return (words.mapInPandas(run, "step int, left string, right string, delta long")
+    return (postings.holding(roots).mapInPandas(run, "step int, left string, right string, delta long")
             .groupBy("step", "left", "right").agg(F.sum("delta").alias("delta")).filter("delta <> 0"))
 
 
+def _adjacent(symbols):
+    """Array of the adjacent pairs of a column of symbols (not an expression,
+    which a lambda would evaluate per element)."""
+    return F.arrays_zip(F.slice(symbols, 1, F.size(symbols) - 1).alias("left"),
+                        F.slice(symbols, 2, F.size(symbols) - 1).alias("right"))
+
+
 def pair_counts(words: DataFrame) -> DataFrame:
     """Adjacent symbol pairs weighted by word frequency."""
-    # split once into a column: a lambda would re-evaluate the split per element
     arr = F.col("_tl_a")
-    pairs = F.arrays_zip(F.slice(arr, 1, F.size(arr) - 1).alias("left"),
-                         F.slice(arr, 2, F.size(arr) - 1).alias("right"))
     return (words.select(F.split(F.col("syms"), " ").alias("_tl_a"), "freq")
             .filter(F.size(arr) > 1)
-            .select(F.explode(pairs).alias("p"), "freq")
+            .select(F.explode(_adjacent(arr)).alias("p"), "freq")
             .groupBy(F.col("p.left").alias("left"), F.col("p.right").alias("right"))
             .agg(F.sum("freq").cast("long").alias("count")))
 
@@ -198,32 +275,103 @@ class PairTable:
         return sure
 
 
+class Predictor:
+    """Greedy training on the ``limit`` most frequent words, one list ahead of
+    the exact counts.  With all words among them its lists come true."""
+
+    def __init__(self, words: DataFrame, limit: int):
+        rows = words.orderBy(F.desc("freq"), "syms").limit(limit).collect()
+        self.syms = [r["syms"].split(" ") for r in rows]
+        self.freq = [int(r["freq"]) for r in rows]
+        self.holding: dict[tuple[str, str], set[int]] = {}  # words that hold or held a pair
+        for i, syms in enumerate(self.syms):
+            for p in zip(syms, syms[1:]):
+                self.holding.setdefault(p, set()).add(i)
+        self._undo: list[list[tuple[int, list[str]]]] = []
+
+    def play(self, pairs: PairTable, n: int, least: int) -> list[tuple[str, str]]:
+        """Up to ``n`` merges that should come next; they stay applied."""
+        ahead, at = pairs.next_in_line(4 * n, least), 0
+        now: dict[tuple[str, str], int] = {}  # expected counts that differ from the exact ones
+        heap: list[tuple[int, str, str]] = []
+        out: list[tuple[str, str]] = []
+        self._undo = []
+        while len(out) < n:
+            while at < len(ahead) and ahead[at] in now:
+                at += 1
+            while heap and now[heap[0][1:]] != -heap[0][0]:
+                heapq.heappop(heap)
+            if at == len(ahead):
+                break
+            best = (-pairs.counts[ahead[at]], *ahead[at])
+            if heap and heap[0] < best:
+                best = heap[0]
+            pair = best[1:]
+            out.append(pair)
+            for p, c in self._apply(pair, -best[0]).items():
+                now[p] = now.get(p, pairs.counts.get(p, 0)) + c
+                if now[p] > 0 and p != pair:
+                    heapq.heappush(heap, (-now[p], *p))
+            now[pair] = 0
+        return out
+
+    def _apply(self, pair: tuple[str, str], count: int) -> dict[tuple[str, str], int]:
+        """Merge in all words; the changes, as large as ``count`` lets expect."""
+        new, delta, undo = merged_symbol(*pair), Counter(), []
+        for i in self.holding.pop(pair, ()):
+            before = self.syms[i]
+            after = _merge(before, *pair)
+            if len(after) == len(before):
+                continue
+            undo.append((i, before))
+            self.syms[i] = after
+            for p in zip(before, before[1:]):
+                delta[p] -= self.freq[i]
+            for p in zip(after, after[1:]):
+                delta[p] += self.freq[i]
+                if new in p:
+                    self.holding.setdefault(p, set()).add(i)
+        self._undo.append(undo)
+        here = -delta[pair]
+        if here and here != count:
+            return {p: round(d * count / here) for p, d in delta.items()}
+        return delta
+
+    def keep(self, n: int, merges: list[tuple[str, str]]) -> None:
+        """Take back all but the first ``n`` of the ``merges`` played last."""
+        for undo, pair in reversed(list(zip(self._undo[n:], merges[n:]))):
+            for i, before in undo:
+                self.syms[i] = before
+            self.holding.setdefault(pair, set()).update(i for i, _ in undo)
+        self._undo = []
+
+
 def _merge_loop(spark: SparkSession, words: DataFrame, n_merges: int, min_frequency: int,
-                max_pairs: int, rebase_every: int = 60) -> list[tuple[str, str, int]]:
+                max_pairs: int, predict_words: int = 300_000, n_try: int = 128,
+                rebase_every: int = 256, report: list | None = None) -> list[tuple[str, str, int]]:
     checkpoint_dir(spark)
     least = max(min_frequency, 1)
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    words = words.filter(F.instr("syms", " ") > 0).repartition(n_parts).checkpoint(eager=True)
-    pairs = PairTable(words, max_pairs)
+    table = Postings(words, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    pairs = PairTable(table.words, max_pairs)
+    predictor = Predictor(table.words, predict_words)
     merges: list[tuple[str, str, int]] = []
     made: set[str] = set()
-    pending: list[tuple[str, str]] = []  # taken, not yet in the word table
-    n_try = 8
+    pending: list[tuple[str, str]] = []  # taken, not yet in the postings
     while len(merges) < n_merges:
         best = pairs.best()
         if best is None or best[1] < least:
             if pairs.floor < least:  # nothing frequent enough is left anywhere
                 break
-            words, pending = _rebased(words, pending, n_parts), []
-            pairs = PairTable(words, max_pairs)
+            table.rebase(pending)
+            pending, pairs = [], PairTable(table.words, max_pairs)
             if pairs.best() is None:
                 # all of the held pairs are as frequent as the first left out: hold more
                 max_pairs *= 2
-                pairs = PairTable(words, max_pairs)
+                pairs = PairTable(table.words, max_pairs)
             continue
-        tried = pairs.next_in_line(min(n_try, n_merges - len(merges)), least)
+        tried = predictor.play(pairs, min(n_try, n_merges - len(merges)), least)
         effects: dict[int, list] = {}
-        for r in merge_effects(words, pending, tried).collect():  # the neighbours of `tried`
+        for r in merge_effects(table, pending, tried).collect():  # the neighbours of `tried`
             effects.setdefault(r["step"], []).append((r["left"], r["right"], int(r["delta"])))
         taken, sure = 0, True
         for i, pair in enumerate(tried):
@@ -236,21 +384,19 @@ def _merge_loop(spark: SparkSession, words: DataFrame, n_merges: int, min_freque
             sure = pairs.change(effects.get(i, []), symbol if symbol not in made else None)
             made.add(symbol)
             taken += 1
-        n_try = min(512, max(8, 2 * taken))
-        if len(pending) >= max(rebase_every, len(merges) // 10) or not sure:
-            words, pending = _rebased(words, pending, n_parts), []
+        predictor.keep(taken, tried)
+        if report is not None:
+            report.append({"tried": len(tried), "taken": taken, "words": sum(d for _, _, d in effects.get(-1, []))})
+        n_try = min(1024, max(16, 2 * taken))
+        if not sure or (len(pending) >= max(rebase_every, len(merges) // 3) and len(merges) < n_merges):
+            table.rebase(pending)
+            pending = []
             if not sure:
-                pairs = PairTable(words, max_pairs)
+                pairs = PairTable(table.words, max_pairs)
+    table.drop()
     return merges
 
 
-def _rebased(words: DataFrame, pending: list[tuple[str, str]], n_parts: int) -> DataFrame:
-    """The word table with ``pending`` applied; a word of one symbol never
-    forms a pair again."""
-    out = apply_merges(words, pending).filter(F.instr("syms", " ") > 0)
-    return out.repartition(n_parts).checkpoint(eager=True)
-
-
 MERGES_SCHEMA = T.StructType([T.StructField("rank", T.IntegerType()),
                               T.StructField("left", T.StringType()),
                               T.StructField("right", T.StringType()),
@@ -275,11 +421,14 @@ def _tables(spark, specials, alphabet, merges):
 
 def train_bpe(texts: DataFrame, vocab_size: int = 8000, text_col: str = "text",
               special_tokens=tuple(SPECIAL_TOKENS[1:]), min_frequency: int = 2,
-              max_pairs: int = 200_000) -> tuple[DataFrame, DataFrame]:
+              max_pairs: int = 200_000, predict_words: int = 300_000,
+              report: list | None = None) -> tuple[DataFrame, DataFrame]:
     """T4: byte-level BPE.  Returns ``(vocab, merges)``.
 
-    ``max_pairs`` bounds the pair counts that the driver holds; it changes how
-    often they are recounted, not the result.
+    ``max_pairs`` bounds the pair counts that the driver holds and
+    ``predict_words`` the words it predicts merges from; they change how many
+    jobs it takes, not the result.  ``report`` gets, per job, the merges tried
+    and taken and the words read.
 
     Vocabulary: special tokens, then the 256 byte symbols, then one symbol
     per merge in merge order.  Pre-tokenisation is the byte-level split."""
@@ -289,13 +438,14 @@ def train_bpe(texts: DataFrame, vocab_size: int = 8000, text_col: str = "text",
              .select(byte_symbols(F.col("w")).alias("syms"), "freq"))
     alphabet = [f"{b:02x}" for b in range(256)]
     n_merges = max(0, vocab_size - len(special_tokens) - len(alphabet))
-    merges = _merge_loop(spark, words, n_merges, min_frequency, max_pairs)
+    merges = _merge_loop(spark, words, n_merges, min_frequency, max_pairs, predict_words, report=report)
     return _tables(spark, list(special_tokens), alphabet, merges)
 
 
 def train_wordpiece(texts: DataFrame, vocab_size: int = 8000, text_col: str = "text",
                     lower_case: bool = True, special_tokens=tuple(SPECIAL_TOKENS),
-                    min_frequency: int = 0, max_pairs: int = 200_000) -> tuple[DataFrame, DataFrame]:
+                    min_frequency: int = 0, max_pairs: int = 200_000, predict_words: int = 300_000,
+                    report: list | None = None) -> tuple[DataFrame, DataFrame]:
     """T5: the same merge loop on characters with a ``##`` continuation prefix,
     after NFD / optional lower-case / accent stripping and the whitespace
     pre-tokenizer.  Vocabulary: specials, the sorted alphabet (plain and
@@ -311,5 +461,5 @@ def train_wordpiece(texts: DataFrame, vocab_size: int = 8000, text_col: str = "t
     alphabet = sorted(r["s"] for r in words.select(F.explode(F.split("syms", " ")).alias("s"))
                       .distinct().collect())
     n_merges = max(0, vocab_size - len(special_tokens) - len(alphabet))
-    merges = _merge_loop(spark, words, n_merges, min_frequency, max_pairs)
+    merges = _merge_loop(spark, words, n_merges, min_frequency, max_pairs, predict_words, report=report)
     return _tables(spark, list(special_tokens), alphabet, merges)
