@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from textloom.operators.piece_encoders import build_encoder
 from pyspark.sql import functions as F
 
 from textloom.functions import arrays as ar
@@ -209,15 +210,45 @@ def test_unigram_train_and_roundtrip(spark):
     assert f("▁q") == [f("▁")[0], 0]  # unknown character -> unknown id
 
 
-@pytest.mark.parametrize("max_pairs,rebase", [(200_000, 400), (200_000, 3), (5, 400), (1, 2)])
-def test_bpe_is_sequential_whatever_the_bounds(spark, max_pairs, rebase):
+@pytest.mark.parametrize("max_pairs,rebase,predict", [(200_000, 400, 100), (200_000, 3, 2), (5, 400, 3), (1, 2, 0), (200_000, 2, 0)])
+def test_bpe_is_sequential_whatever_the_bounds(spark, max_pairs, rebase, predict):
     counts = {"abababab": 5, "banana": 7, "aaaaa": 3, "aaaa": 4, "cabcab": 6, "bcabc": 2, "xyxyx": 1, "nanb": 9}
     df = spark.createDataFrame(list(counts.items()), "w string, freq long").select(
         bpe.byte_symbols(F.col("w")).alias("syms"), "freq")
-    got = bpe._merge_loop(spark, df, 60, 1, max_pairs, rebase)
+    got = bpe._merge_loop(spark, df, 60, 1, max_pairs, predict, rebase_every=rebase)
     assert [m[:2] for m in got] == _python_bpe(counts, 60, 1)
 
 
+@pytest.mark.parametrize("predict", [300_000, 40])
+def test_bpe_on_documents_is_sequential_and_reads_fewer_words(spark, predict):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("doc_id < 40").select("text")
+    report = []
+    _, merges = bpe.train_bpe(docs, 4 + 256 + 300, predict_words=predict, report=report)
+    words = docs.select(F.explode(bpe.byte_level_tokens(F.col("text"))).alias("w")).groupBy("w").count().collect()
+    want = _python_bpe(Counter({r["w"]: r["count"] for r in words}), 300, 2)
+    assert [(r.left, r.right) for r in merges.orderBy("rank").collect()] == want
+    assert sum(r["taken"] for r in report) == len(want)
+    if predict == 300_000:  # every word is predicted from: lists come true, and later ones read fewer words
+        assert all(r["taken"] == r["tried"] for r in report) and len(report) < 8
+        assert report[-1]["words"] < report[0]["words"]
+
+
+def test_older_pairs_lead_to_every_word_that_holds_a_pair():
+    import random
+    r = random.Random(8)
+    for _ in range(200):
+        word = [r.choice("abc") for _ in range(r.randrange(2, 9))]
+        merges, syms = [], list(word)
+        for _ in range(5):
+            if len(syms) > 1:
+                merges.append(r.choice(list(zip(syms, syms[1:]))))
+                syms = bpe._merge(syms, *merges[-1])
+            merges.append((r.choice("abc"), r.choice("abc")))
+            syms = bpe._merge(syms, *merges[-1])
+        for p in zip(syms, syms[1:]):
+            assert bpe.older_pairs([p], merges) & set(zip(word, word[1:]))
+
+
 def test_wordpiece_stops_at_its_size(spark):
     texts = ["the cat sat on the mat", "the dog sat on a log"] * 3
     df = spark.createDataFrame([(t,) for t in texts], "text string")
@@ -268,9 +299,9 @@ def test_unigram_expected_uses_by_enumeration():
 
 def test_encoder_takes_the_longest_piece_of_the_vocabulary():
     long = "▁abcdefghijklmnopqrst"
-    f = enc.build_encoder(("unigram", {long: (7, -1.0), "▁": (5, -9.0), "a": (6, -9.0)}, 0))
+    f = build_encoder(("unigram", {long: (7, -1.0), "▁": (5, -9.0), "a": (6, -9.0)}, 0))
     assert f(long) == [7]
-    g = enc.build_encoder(("wordpiece", {"a": 1, "##a": 2}, 0, 5))
+    g = build_encoder(("wordpiece", {"a": 1, "##a": 2}, 0, 5))
     assert g("aaaaa") == [1, 2, 2, 2, 2] and g("aaaaaa") == [0]
 
 

@@ -16,12 +16,11 @@ Encoding is a dictionary job, not a per-row library call:
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 from typing import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +29,7 @@ from textloom.functions.arrays import (added_specials_mask, attention_mask, trun
 from textloom.functions.text import (SPECIAL_TOKENS, WHITESPACE_CLASS, byte_level_tokens,
                                      nfkc, normalize_text_col, word_tokens)
 from textloom.operators.bounded import bounded_broadcast
+from textloom.operators.piece_encoders import build_encoder
 
 UNK, PAD, CLS, EOS, MASK = SPECIAL_TOKENS
 METASPACE = "▁"
@@ -99,94 +99,6 @@ class Tokenizer:
         return build_encoder(self.encoder_spec())
 
 
-# ---------------------------------------------------------------- piece encoders
-def build_encoder(spec: tuple):
-    kind = spec[0]
-    if kind == "bytebpe":
-        return _bpe_encoder(spec[1], spec[2])
-    if kind == "wordpiece":
-        return _wordpiece_encoder(*spec[1:])
-    return _unigram_encoder(spec[1], spec[2])
-
-
-def _bpe_encoder(merges, sym_id):
-    ranks = {pair: i for i, pair in enumerate(merges)}
-
-    def encode(piece: str) -> list[int]:
-        syms = [f"{b:02x}" for b in piece.encode("utf-8")]
-        while len(syms) > 1:
-            best, best_rank = None, None
-            for p in zip(syms, syms[1:]):
-                r = ranks.get(p)
-                if r is not None and (best_rank is None or r < best_rank):
-                    best, best_rank = p, r
-            if best is None:
-                break
-            merged, i = [], 0
-            while i < len(syms):
-                if i + 1 < len(syms) and (syms[i], syms[i + 1]) == best:
-                    merged.append(syms[i] + syms[i + 1])
-                    i += 2
-                else:
-                    merged.append(syms[i])
-                    i += 1
-            syms = merged
-        return [sym_id[s] for s in syms]
-    return encode
-
-
-def _wordpiece_encoder(text_id, unk_id, max_chars: int = 100):
-    def encode(word: str) -> list[int]:
-        if len(word) > max_chars:
-            return [unk_id]
-        out, start = [], 0
-        while start < len(word):
-            end, cur = len(word), None
-            while start < end:
-                sub = word[start:end] if start == 0 else "##" + word[start:end]
-                if sub in text_id:
-                    cur = text_id[sub]
-                    break
-                end -= 1
-            if cur is None:
-                return [unk_id]
-            out.append(cur)
-            start = end
-        return out
-    return encode
-
-
-def _unigram_encoder(scores, unk_id):
-    """Viterbi best segmentation by summed log-probabilities; a character no
-    piece covers becomes the unknown id (runs of unknowns collapse to one)."""
-    unk_score = min((s for _, s in scores.values()), default=0.0) - 10.0
-    max_len = max(map(len, scores), default=1)
-
-    def encode(word: str) -> list[int]:
-        n = len(word)
-        best = [0.0] + [-math.inf] * n
-        back: list[tuple[int, int]] = [(0, -1)] * (n + 1)
-        for end in range(1, n + 1):
-            for start in range(max(0, end - max_len), end):
-                hit = scores.get(word[start:end])
-                if hit is not None and best[start] + hit[1] > best[end]:
-                    best[end], back[end] = best[start] + hit[1], (start, hit[0])
-            if best[end - 1] + unk_score > best[end]:
-                best[end], back[end] = best[end - 1] + unk_score, (end - 1, unk_id)
-        ids, pos = [], n
-        while pos > 0:
-            start, tid = back[pos]
-            ids.append(tid)
-            pos = start
-        ids.reverse()
-        out: list[int] = []
-        for t in ids:
-            if not (t == unk_id and out and out[-1] == unk_id):
-                out.append(t)
-        return out
-    return encode
-
-
 # ---------------------------------------------------------------- the encode job
 ENC_SCHEMA = T.StructType([T.StructField("word", T.StringType()),
                            T.StructField("ids", T.ArrayType(T.IntegerType())),
@@ -215,6 +127,23 @@ def encode_dictionary(words: DataFrame, tok: Tokenizer) -> DataFrame:
     return words.mapInPandas(run, ENC_SCHEMA)
 
 
+ROW = "_tl_row"
+
+
+def _dealt(df: DataFrame, id_cols: list[str]) -> DataFrame:
+    """Rows dealt by id, each with a key of its own: rows of one id never mix.  The
+    key is given after the shuffle, for use in the same stage."""
+    return df.repartition(*id_cols).withColumn(ROW, F.monotonically_increasing_id())
+
+
+def _numbered(df: DataFrame, id_cols: list[str], *content: str) -> DataFrame:
+    """Rows with a key that recomputation cannot change: a hash of the content and
+    a number among the rows that are equal in id and hash."""
+    h = F.xxhash64(*content)
+    n = F.row_number().over(Window.partitionBy(*id_cols, h).orderBy(F.lit(0)))
+    return df.withColumn(ROW, F.concat_ws("-", h.cast("string"), n.cast("string")))
+
+
 def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", id_cols=("doc_id",),
            out_col: str = "input_ids", hot_words: int = 10000,
            broadcast_rows: int = 1_000_000, broadcast_bytes: int = 256 << 20) -> DataFrame:
@@ -225,7 +154,10 @@ def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", id_cols=("doc_
     bytes it is broadcast whole and the join is narrow.  Beyond the bound, the ``hot_words`` most frequent pieces
     (a bounded top-k) join by broadcast and every other piece joins the
     dictionary by shuffle; hot rows carry a salted key that matches nothing,
-    so they spread evenly instead of piling onto one reducer."""
+    so they spread evenly instead of piling onto one reducer.
+
+    Every row gives a row, also rows with the same ids; null and empty texts
+    give no tokens."""
     id_cols = list(id_cols)
     pieces = F.posexplode_outer(tok.pieces(F.col(text_col))).alias("pos", "word")
     if tok.model == "word":
@@ -255,20 +187,20 @@ def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", id_cols=("doc_
         # texts are dealt by row key before they are exploded: the broadcast
         # join and the regrouping below keep that partitioning, so one shuffle
         # of text replaces one of every token
-        occ = df.repartition(*id_cols).select(*id_cols, pieces)
+        occ = _dealt(df.select(*id_cols, text_col), id_cols).select(*id_cols, ROW, pieces)
         whole = F.broadcast(cold.select(F.col("_tl_jk").alias("word"),
                                         F.col("cold_ids").alias("hot_ids")))
         joined = occ.join(whole, "word", "left").withColumn("cold_ids", F.lit(None))
     else:
-        joined = _hot_cold_join(df.select(*id_cols, pieces), bounded_broadcast(hot, hot_words, "hot words"),
-                                cold, id_cols)
+        occ = _numbered(df.select(*id_cols, text_col), id_cols, text_col).select(*id_cols, ROW, pieces)
+        joined = _hot_cold_join(occ, bounded_broadcast(hot, hot_words, "hot words"), cold, [*id_cols, ROW])
     ids = F.coalesce(F.col("hot_ids"), F.col("cold_ids"))
     if unk is not None:
         ids = F.when(F.col("word").isNull(), F.lit(None)).otherwise(
             F.coalesce(ids, F.array(F.lit(unk))))
-    tokens = joined.select(*id_cols, "pos", ids.alias("ids"))
+    tokens = joined.select(*id_cols, ROW, "pos", ids.alias("ids"))
     ordered = F.array_sort(F.collect_list(F.struct("pos", "ids")))
-    out = tokens.groupBy(*id_cols).agg(ordered.alias("_tl_p")).select(
+    out = tokens.groupBy(*id_cols, ROW).agg(ordered.alias("_tl_p")).select(
         *id_cols, F.flatten(F.filter(F.transform("_tl_p", lambda s: s["ids"]),
                                      lambda x: x.isNotNull())).alias(out_col))
     return out.withColumn("num_tokens", F.size(out_col).cast("long"))
@@ -328,12 +260,15 @@ def encode_pair(df: DataFrame, tok: Tokenizer, src_col: str, tgt_col: str, id_co
                 max_length: int = 768, max_target_length: int = 128) -> DataFrame:
     """Source ids padded to ``max_length`` with mask; target ids cut and
     padded to ``max_target_length`` become ``labels``; raw text columns removed."""
-    pad = tok.special_id(PAD)
-    src = encode(df, tok, src_col, id_cols).drop("num_tokens")
-    tgt = encode(df, tok, tgt_col, id_cols, out_col="labels").drop("num_tokens")
+    pad, key = tok.special_id(PAD), [*id_cols, "_tl_pair"]
+    # equal pairs have equal results, so their number among each other is a key too
+    df = _numbered(df.select(*id_cols, src_col, tgt_col), list(id_cols), src_col, tgt_col).withColumnRenamed(ROW, "_tl_pair")
+    src = encode(df, tok, src_col, key).drop("num_tokens")
+    tgt = encode(df, tok, tgt_col, key, out_col="labels").drop("num_tokens")
     src = pad_truncate(src, max_length, pad)
     tgt = tgt.withColumn("labels", truncate_pad("labels", max_target_length, pad))
-    return src.join(tgt, list(id_cols))
+    same = [src[c].eqNullSafe(tgt[c]) for c in key]
+    return src.join(tgt, same).select(*[src[c] for c in src.columns if c != "_tl_pair"], "labels")
 
 
 def decode(df: DataFrame, tok: Tokenizer, ids_col: str = "input_ids", id_cols=("doc_id",),
@@ -342,7 +277,8 @@ def decode(df: DataFrame, tok: Tokenizer, ids_col: str = "input_ids", id_cols=("
     """Ids back to text (special tokens dropped by default).
 
     The vocabulary is broadcast behind a counted bound; a larger word-level
-    one joins its most frequent ids by broadcast and the rest by shuffle."""
+    one joins its most frequent ids by broadcast and the rest by shuffle.
+    Every row gives a row, also rows with the same ids."""
     id_cols = list(id_cols)
     vocab = tok.vocab.select("id", "piece", "text", "special")
     exploded = F.posexplode_outer(ids_col).alias("pos", "id")
@@ -350,18 +286,19 @@ def decode(df: DataFrame, tok: Tokenizer, ids_col: str = "input_ids", id_cols=("
         vocab = bounded_broadcast(vocab, tok.max_vocab, "vocabulary")
     if tok.model != "word" or vocab.limit(broadcast_rows + 1).count() <= broadcast_rows:
         # dealt by row key first, so that regrouping moves no token
-        j = df.repartition(*id_cols).select(*id_cols, exploded).join(F.broadcast(vocab), "id", "left")
+        j = _dealt(df.select(*id_cols, ids_col), id_cols).select(*id_cols, ROW, exploded).join(
+            F.broadcast(vocab), "id", "left")
     else:
         # word ids are frequency ranks: the first hot_words are the hot ones
-        exp = df.select(*id_cols, exploded)
+        exp = _numbered(df.select(*id_cols, ids_col), id_cols, ids_col).select(*id_cols, ROW, exploded)
         hot = F.coalesce(F.col("id") < len(tok.specials) + hot_words, F.lit(True))
         top = bounded_broadcast(vocab.filter(F.col("id") < len(tok.specials) + hot_words),
                                 len(tok.specials) + hot_words, "hot words")
         j = exp.filter(hot).join(top, "id", "left").unionByName(exp.filter(~hot).join(vocab, "id", "left"))
-    if skip_special:
-        j = j.filter(~F.coalesce(F.col("special"), F.lit(False)) | F.col("id").isNull())
     unit = F.col("piece") if tok.model == "bytebpe" else F.col("text")
-    grouped = j.groupBy(*id_cols).agg(
+    if skip_special:  # a text of special tokens alone keeps its row
+        unit = F.when(~F.coalesce(F.col("special"), F.lit(False)), unit)
+    grouped = j.groupBy(*id_cols, ROW).agg(
         F.array_sort(F.collect_list(F.struct("pos", unit.alias("u")))).alias("_tl_p"))
     parts = F.filter(F.transform("_tl_p", lambda s: s["u"]), lambda x: x.isNotNull())
     if tok.model == "bytebpe":
