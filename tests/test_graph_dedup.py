@@ -1,8 +1,10 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from textloom.operators.dedup import _bucket_links, dedup_near
+from textloom.operators import setjoin
+from textloom.operators.dedup import dedup_near
 from textloom.operators.graph import connected_components
 
 
@@ -37,12 +39,16 @@ def test_components_without_edges(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def clusters(spark, sets, **options):
+    """(id, cluster) of every row that is not its own cluster; sets become texts of one-word shingles."""
+    rows = [(i, " ".join(f"w{x}" for x in s)) for i, s in sets.items()]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return {(x.doc_id, x.cluster) for x in dedup_near(df, k=1, keep_all=True, **options).collect() if x.duplicate}
+
+
 def test_members_that_the_first_rejects_are_still_compared(spark):
     sets = {1: [1, 2, 3], 2: [10, 11, 12, 13], 3: [10, 11, 12, 13, 14], 4: [50], 5: [51], 6: [10, 11, 12, 13]}
-    keyed = spark.createDataFrame([(i, 0, 7) for i in sets], "id long, band int, bkey long")
-    sh = spark.createDataFrame(list(sets.items()), "id long, sh array<long>")
-    got = {(x.a, x.b) for x in _bucket_links(keyed, sh, 0.8).collect()}
-    assert got == {(3, 2), (6, 2)}
+    assert clusters(spark, sets) == {(3, 2), (6, 2)}
 
 
 def brute(sets, threshold=0.8):
@@ -53,16 +59,10 @@ def brute(sets, threshold=0.8):
     return {(i, c) for i, c in found.items() if i != c}
 
 
-def in_one_bucket(spark, sets):
-    keyed = spark.createDataFrame([(i, 0, 7) for i in sets], "id long, band int, bkey long")
-    sh = spark.createDataFrame([(i, sorted(x)) for i, x in sets.items()], "id long, sh array<long>")
-    return {(x.a, x.b) for x in _bucket_links(keyed, sh, 0.8, all_pairs=32).collect()}
-
-
 def test_copies_meet_through_an_original_with_the_largest_id(spark):
     base = set(range(100))
     sets = {i: base - set(range(10 * (i % 10), 10 * (i % 10) + 10)) | set(range(1000 * i, 1000 * i + 10)) for i in range(1, 51)}
-    got = in_one_bucket(spark, sets | {999: base})
+    got = clusters(spark, sets | {999: base})
     assert got == brute(sets | {999: base}) and len(got) == 50
 
 
@@ -77,7 +77,7 @@ def test_large_buckets_of_mixed_members_equal_all_pairs(spark):
             s.add(r.randrange(10_000, 10_000_000))
         sets[i] = s
     want = brute(sets)
-    assert in_one_bucket(spark, sets) == want and len({c for _, c in want}) > 1
+    assert clusters(spark, sets) == want and len({c for _, c in want}) > 1
 
 
 def test_near_copies_of_an_original_with_the_largest_id_are_one_cluster(spark):
@@ -106,3 +106,51 @@ def test_near_duplicates_equal_all_pairs(spark):
              if len(shingles[a] & shingles[b]) >= 0.8 * len(shingles[a] | shingles[b])]
     want = components(edges)
     assert got == {i: want.get(i, i) for i in ids}
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.5, 0.8, 1.0])
+def test_random_sets_equal_all_pairs(spark, threshold):
+    r = random.Random(int(threshold * 10))
+    sets = {}
+    for i in r.sample(range(10_000), 120):
+        if sets and r.random() < 0.6:
+            s = set(r.choice(list(sets.values())))
+            for x in r.sample(sorted(s), min(len(s) - 1, r.randrange(6))):
+                s.remove(x)
+            s |= {r.randrange(60) for _ in range(r.randrange(4))}
+        else:
+            s = {r.randrange(60) if r.random() < 0.5 else r.randrange(10 ** 6) for _ in range(r.randrange(1, 40))}
+        sets[i] = s
+    assert clusters(spark, sets, threshold=threshold) == brute(sets, threshold)
+
+
+def test_a_common_element_in_every_prefix(spark):
+    """One group holds all sets, few of which are similar: more hubs than one are needed."""
+    r = random.Random(9)
+    sets = {i: {0, 1, 2, 3} | {100 * i + j for j in range(2)} for i in range(1, 70)}
+    sets |= {i + 500: s | {0, 7} for i, s in r.sample(sorted(sets.items()), 12)}
+    assert clusters(spark, sets, threshold=0.6) == brute(sets, 0.6)
+
+
+def test_null_empty_and_repeated_rows_and_other_ids(spark):
+    rows = [("b", None, 1), ("a", None, 2), ("d", "", 3), ("c", " \n", 4), ("e", "x y z", 5), ("f", "X y  z", 6),
+            (None, "x y z", 7), ("g", "x y z w v u t s", 8), ("g", "other text", 9), ("e", "x y z", 10), (None, "alone", 11),
+            (None, None, 12)]
+    df = spark.createDataFrame(rows, "name string, body string, cluster_ int")
+    got = sorted((tuple(x) for x in dedup_near(df, "name", "body", keep_all=True).collect()), key=lambda x: x[2])
+    assert [(x[3], x[4]) for x in got] == [
+        ("b", False), ("a", False), ("c", True), ("c", False), ("e", False), ("e", True), ("e", True), ("g", False),
+        ("g", False), ("e", False), (None, False), (None, False)]
+    assert dedup_near(df, "name", "body").count() == 9
+    assert dedup_near(df.limit(0), "name", "body").count() == 0
+
+
+def test_prefixes_hold_a_common_element_of_every_similar_pair():
+    r = random.Random(3)
+    for threshold in (0.5, 0.75, 0.8, 0.9):
+        for _ in range(300):
+            a = {r.randrange(40) for _ in range(r.randrange(1, 30))}
+            b = {x for x in a if r.random() < 0.9} | {r.randrange(40) for _ in range(r.randrange(3))}
+            if b and len(a & b) >= threshold * len(a | b):
+                first = [set(sorted(s)[:setjoin.prefix_length(len(s), threshold)]) for s in (a, b)]
+                assert first[0] & first[1]

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.text import col_of
-from textloom.operators.bounded import skew_safe_lookup
-from textloom.operators.graph import connected_components
+from textloom.functions.text import col_of, word_tokens
+from textloom.operators.setjoin import similar_texts
 from textloom.session import checkpoint_dir
 
+#: rows of a duplicate table up to which it is broadcast
+BROADCAST_ROWS = 100_000
+
 
 def content_hash(c):
     """md5 hex of the UTF-8 text."""
@@ -45,157 +46,33 @@ def dedup_report(df: DataFrame, text_col: str = "text", partition_by=("split",))
         (F.sum("_tl_c") - F.count(F.lit(1))).cast("long").alias("n_removed"))
 
 
-# ---------------------------------------------------------------- near duplicates (D3)
-_SIG_SCHEMA = "id long, sh array<long>, sig array<long>"
-
-
-def _minhash_batches(k: int, num_perm: int, seed: int):
-    """Per text, vectorised with numpy: k-gram hashes from the token hashes
-    (rolling polynomial, uint64 wrap), their distinct set, and a MinHash
-    signature under ``num_perm`` multiply-add permutations of the 64-bit
-    space (odd multipliers: each map is a bijection)."""
-    import numpy as np
-
-    rng = np.random.default_rng(seed)
-    a = (rng.integers(0, 2**63, num_perm, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
-    b = rng.integers(0, 2**63, num_perm, dtype=np.uint64)
-    base = np.uint64(1099511628211)
-
-    def run(it):
-        for pdf in it:
-            shs, sigs = [], []
-            for th in pdf["th"]:
-                t = np.asarray(th, dtype=np.int64).view(np.uint64)
-                n = len(t)
-                if n == 0:
-                    t, n = np.zeros(1, dtype=np.uint64), 1
-                m = max(n - k + 1, 1)
-                kk = min(k, n)
-                h = np.zeros(m, dtype=np.uint64)
-                with np.errstate(over="ignore"):
-                    for j in range(kk):
-                        h = h * base + t[j:j + m]
-                    h = np.unique(h)
-                    mins = np.full(num_perm, np.iinfo(np.uint64).max, dtype=np.uint64)
-                    for lo in range(0, len(h), 4096):
-                        blk = h[lo:lo + 4096, None] * a[None, :] + b[None, :]
-                        mins = np.minimum(mins, blk.min(axis=0))
-                shs.append(h.view(np.int64))
-                sigs.append(mins.view(np.int64))
-            yield pd.DataFrame({"id": pdf["id"], "sh": shs, "sig": sigs})
-    return run
-
-
-def minhash_signatures(df: DataFrame, id_col: str, text_col: str, k: int = 5,
-                       num_perm: int = 128, seed: int = 1) -> DataFrame:
-    """``(id, sh, sig)``: distinct shingle hashes and MinHash signature per text.
-    Tokenising and token hashing are Spark expressions; the per-text
-    signature arithmetic is numpy in ``mapInPandas``."""
-    from textloom.functions.text import word_tokens
-
-    toks = df.select(F.col(id_col).alias("id"), word_tokens(F.lower(F.col(text_col))).alias("t"))
-    th = toks.select("id", F.transform("t", lambda w: F.xxhash64(w)).alias("th"))
-    return th.mapInPandas(_minhash_batches(k, num_perm, seed), _SIG_SCHEMA)
-
-
-#: buckets of up to this many members are compared pair by pair
-ALL_PAIRS = 128
-
-
-def _scored(pairs: DataFrame, shingles: DataFrame, threshold: float) -> DataFrame:
-    """``(a, b, sim, ok)``: the exact Jaccard similarity of the shingle sets of
-    each pair and whether it reaches ``threshold``.  ``b`` may be in very many
-    pairs, so its set is a hot lookup."""
-    side = lambda c: shingles.select(F.col("id").alias(c), F.col("sh").alias(f"_s{c}"))
-    hubs = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("w"))
-    j = skew_safe_lookup(pairs.join(side("a"), "a"), side("b"), ["b"], hubs, hot_k=64, how="inner",
-                         salt_by=["a"], broadcast_rows=64)
-    inter, union = F.size(F.array_intersect("_sa", "_sb")), F.size(F.array_union("_sa", "_sb"))
-    return j.select("a", "b", (inter / union).alias("sim"), (inter >= F.lit(threshold) * union).alias("ok"))
-
-
-def _bucket_links(keyed: DataFrame, shingles: DataFrame, threshold: float,
-                  all_pairs: int = ALL_PAIRS) -> DataFrame:
-    """Components of all pairs that share a bucket of ``keyed(id, band, bkey)``
-    and reach ``threshold``, as links ``(a, b)`` from every other member to the
-    component's smallest id.
-
-    Every pair of a bucket is compared, or connected already, or too far apart:
-    * small buckets (up to ``all_pairs``) are compared pair by pair;
-    * in larger ones every member is compared with the smallest id.  Jaccard
-      distance is a metric, so an accepted and a rejected member can only be
-      similar if their distances to it differ by at most ``1 - threshold``;
-      those pairs are compared unless a link joins them already;
-    * the rejected go on among themselves until a link joins them all."""
-    bucket = ["band", "bkey"]
-    slack = 1 - threshold + 1e-9
-
-    def labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
-        labels = connected_components(links).select("id", "component")
-        return rows.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-
-    def good(pairs: DataFrame) -> DataFrame:
-        return _scored(pairs.distinct(), shingles, threshold).filter("ok").select("a", "b").checkpoint(eager=True)
-
-    links, left = None, keyed
-    while True:
-        sizes = left.groupBy(*bucket).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("w")).filter(
-            "w > 1").checkpoint(eager=True)
-        left = skew_safe_lookup(left, sizes.withColumnRenamed("w", "n"), bucket, sizes.select(*bucket, "w"),
-                                how="inner", salt_by=["id"]).checkpoint(eager=True)
-        small = left.filter(F.col("n") <= all_pairs)
-        each = good(small.select(*bucket, F.col("id").alias("a")).join(
-            small.select(*bucket, F.col("id").alias("b")), bucket).filter("a > b").select("a", "b"))
-        links = each if links is None else links.unionByName(each)
-        stars = left.filter((F.col("n") > all_pairs) & (F.col("id") != F.col("rep")))
-        if stars.isEmpty():
-            break
-        scored = _scored(stars.select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct(), shingles,
-                         threshold).checkpoint(eager=True)
-        links = links.unionByName(scored.filter("ok").select("a", "b"))
-        stars = stars.join(scored.withColumnsRenamed({"a": "id", "b": "rep"}), ["id", "rep"])
-        stars = labelled(stars, links).checkpoint(eager=True)
-        near = stars.filter("ok").select(*bucket, F.col("id").alias("x"), F.col("sim").alias("sx"),
-                                         F.col("component").alias("cx"))
-        far = stars.filter(~F.col("ok") & (F.col("sim") >= threshold - slack)).select(
-            *bucket, F.col("id").alias("y"), F.col("sim").alias("sy"), F.col("component").alias("cy"))
-        cross = near.join(far, bucket).filter((F.col("cx") != F.col("cy")) & (F.col("sx") - F.col("sy") <= slack))
-        links = links.unionByName(good(cross.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))))
-        left = labelled(stars.filter("NOT ok").select("id", *bucket), links).checkpoint(eager=True)
-        apart = left.groupBy(*bucket).agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-        left = left.join(apart, bucket, "left_semi").select("id", *bucket)
-    return connected_components(links).filter("id <> component").select(
-        F.col("id").alias("a"), F.col("component").alias("b"))
-
-
-def dedup_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               threshold: float = 0.8, num_perm: int = 150, bands: int = 30, k: int = 5,
-               seed: int = 1, keep_all: bool = False) -> DataFrame:
-    """D3: MinHash-LSH near-duplicate removal.
+def dedup_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,
+               k: int = 5, keep_all: bool = False) -> DataFrame:
+    """D3: near-duplicate removal by an exact join of word ``k``-gram sets.
 
-    1. distinct word k-gram hashes and a ``num_perm`` MinHash signature per text;
-    2. ``bands`` band keys per text; texts sharing a band key form a bucket
-       (30 bands of 5 miss a pair at similarity 0.8 once in 150,000);
-    3. links inside every bucket (see ``_bucket_links``), each checked on the
-       exact Jaccard similarity of the two shingle sets;
-    4. connected components of the links; the smallest id of a component
-       survives.
+    Texts whose distinct ``k``-grams have a Jaccard similarity of ``threshold`` or more
+    are linked (``setjoin``: no pair is missed); of every connected component the row
+    with the smallest id survives.
 
-    Returns the surviving rows, or (``keep_all``) every row with its
-    ``cluster`` id and a ``duplicate`` flag."""
-    if num_perm % bands:
-        raise ValueError("num_perm must be a multiple of bands")
-    r = num_perm // bands
+    Returns the surviving rows, or (``keep_all``) every row with its ``cluster`` id and
+    a ``duplicate`` flag.  Ids may have any type that can be ordered; a null id names a
+    cluster only if no other row of it has one.  Null texts are linked with nothing,
+    texts without a word with each other.  Rows equal in id and text share their fate."""
     checkpoint_dir(df.sparkSession)
-    sig = minhash_signatures(df, id_col, text_col, k, num_perm, seed).checkpoint(eager=True)
-    band_keys = F.array(*[F.xxhash64(F.lit(b), F.slice("sig", b * r + 1, r))
-                          for b in range(bands)])
-    keyed = sig.select("id", F.posexplode(band_keys).alias("band", "bkey")).checkpoint(eager=True)
-    links = _bucket_links(keyed, sig.select("id", "sh"), threshold)
-    # the smallest id of a component and texts without a link are their own cluster
-    labels = links.select(F.col("a").alias(id_col), F.col("b").alias("cluster"))
-    out = df.join(labels, id_col, "left").withColumn("cluster", F.coalesce("cluster", id_col))
-    out = out.withColumn("duplicate", F.col(id_col) != F.col("cluster"))
+    text = F.col(text_col)
+    words = df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"),
+                      F.transform(word_tokens(F.lower(text)), lambda w: F.xxhash64(w)).alias("th"))
+    found = similar_texts(words, threshold, k)
+    # only rows that are not their own cluster need a lookup
+    moved = found.filter(~F.col("id").eqNullSafe(F.col("cluster"))).distinct().checkpoint(eager=True)
+    moved = moved.select(F.col("id").alias("_tl_id"), F.col("text_key").alias("_tl_key"), F.col("cluster").alias("_tl_cluster"))
+    if moved.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        moved = F.broadcast(moved)
+    same = df[id_col].eqNullSafe(F.col("_tl_id")) & (F.xxhash64(df[text_col]) == F.col("_tl_key"))
+    out = df.join(moved, same, "left")
+    is_moved = F.col("_tl_key").isNotNull()
+    out = out.select(*[df[c] for c in df.columns], F.when(is_moved, F.col("_tl_cluster")).otherwise(df[id_col]).alias("cluster"),
+                     is_moved.alias("duplicate"))
     if keep_all:
         return out
     return out.filter(~F.col("duplicate")).drop("duplicate")
