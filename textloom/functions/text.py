@@ -1,8 +1,8 @@
 """String scalar functions: cleaning, byte repair, pre-tokenizer patterns.
 
-All helpers return Spark ``Column`` expressions, so they stay inside
-whole-stage codegen.  Only :func:`nfd` needs Python (Spark has no Unicode
-normalisation); it is an Arrow-batched ``pandas_udf`` over whole columns.
+All helpers return Spark ``Column`` expressions, so they stay in the JVM.  Only
+:func:`nfkc` needs Python, for texts that are not plain ASCII; it is an Arrow-batched
+``pandas_udf`` over whole columns.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textloom.functions.decompose import nfd_expr
+
 __all__ = [
     "EOT", "SPECIAL_TOKENS", "WORD_PATTERN", "BYTE_LEVEL_PATTERN", "WHITESPACE_CLASS",
     "col_of", "reflow_newlines", "collapse_blank_lines", "trim_chars",
@@ -112,10 +114,9 @@ def universal_newlines(c) -> Column:
     return F.regexp_replace(col_of(c), F.lit("\r\n?"), F.lit("\n"))
 
 
-@F.pandas_udf(T.StringType())
-def nfd(s: pd.Series) -> pd.Series:
-    """Unicode canonical decomposition (NFD), vectorised over an Arrow batch."""
-    return s.str.normalize("NFD")
+def nfd(c) -> Column:
+    """Unicode canonical decomposition (NFD)."""
+    return nfd_expr(col_of(c))
 
 
 @F.pandas_udf(T.StringType())

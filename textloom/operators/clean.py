@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.text import col_of, normalize_text_col
+from textloom.operators.order import with_row_index
 
 TALE_BREAK = r"\n{4,}"
 
@@ -72,13 +73,25 @@ def preview_edges(df: DataFrame, text_col: str = "text", max_chars: int = 300) -
 
 
 def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema,
-                batch_size: int | None = None) -> DataFrame:
+                batch_size: int | None = None, order_by=None) -> DataFrame:
     """Apply ``fn`` to pandas batches; it may return any number of rows.
 
-    With ``batch_size`` the Arrow batches of a task are re-cut into exactly
-    ``batch_size`` rows (the last one shorter); the session is not touched.
-    Spark batches end at partition boundaries, so results that depend on the
-    batch limits must use ``with_row_index`` batches instead."""
+    With ``batch_size`` and ``order_by`` (a unique key) batch ``b`` holds exactly the
+    rows ``b * batch_size ... (b + 1) * batch_size - 1`` of that order, whatever the
+    files and partitions are; only the last batch is shorter.  The rows of a batch
+    come in order, and batches are spread over tasks.
+
+    With ``batch_size`` alone the Arrow batches of a task are re-cut into exactly
+    ``batch_size`` rows, but they end at partition boundaries; no row moves."""
+    if order_by is not None:
+        if not batch_size:
+            raise ValueError("order_by needs a batch_size")
+        columns = df.columns
+        numbered = with_row_index(df, order_by, "_tl_row")
+        numbered = numbered.withColumn("_tl_batch", F.floor(F.col("_tl_row") / batch_size))
+        return numbered.groupBy("_tl_batch").applyInPandas(
+            lambda pdf: fn(pdf.sort_values("_tl_row")[columns].reset_index(drop=True)), schema)
+
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if not batch_size:
             for pdf in it:

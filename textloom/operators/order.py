@@ -11,9 +11,11 @@ columns.  It never sorts all rows in one task:
   (one row per bucket), and positions inside a bucket from a window
   partitioned by the bucket.  Every step is a pure function of the data, so a
   lost executor recomputes the same positions.
-* any other key: ``repartitionByRange`` then a reliable ``checkpoint()`` so
-  both passes (sizes, positions) see the same partitioning; the partition id
-  is the bucket.
+* any other key: splitters are whole keys (structs of all order columns) from a
+  sample by hash of the key, so ties on the leading column cannot fill a bucket;
+  rows find their bucket by comparing with some of the splitters, first a coarse
+  set, then the fine ones of one part.  Both are pure functions of the data too,
+  nothing is checkpointed.
 
 The order columns must form a unique key (add a tie-breaker such as an id).
 """
@@ -41,33 +43,64 @@ def _bucket_count(df: DataFrame, num_buckets: int | None) -> int:
 
 
 def _bucketize(df: DataFrame, order_by: list[str], n: int) -> DataFrame:
+    if len(order_by) > 1 or not isinstance(df.schema[order_by[0]].dataType, _NUMERIC):
+        return _splitter_buckets(df, order_by, n)
+    from pyspark.ml.feature import Bucketizer
+
     key = order_by[0]
-    if isinstance(df.schema[key].dataType, _NUMERIC):
-        from pyspark.ml.feature import Bucketizer
-
-        probs = [i / n for i in range(1, n)]
-        bounds = df.approxQuantile(key, probs, 1.0 / (4 * n)) if n > 1 else []
-        distinct = sorted({float(b) for b in bounds})
-        if n > 1 and len(order_by) > 1 and len(distinct) < 0.75 * (n - 1):
-            # the leading key is heavily tied: a tie group would become one
-            # huge bucket, so range-partition on the whole key instead
-            return _range_buckets(df, order_by, n)
-        splits = [float("-inf")] + distinct + [float("inf")]
-        if len(splits) < 3:
-            return df.withColumn("_tl_bucket", F.lit(0))
-        dbl = df.withColumn("_tl_key", F.col(key).cast("double"))
-        out = Bucketizer(splits=splits, inputCol="_tl_key", outputCol="_tl_b",
-                         handleInvalid="keep").transform(dbl)
-        return out.withColumn("_tl_bucket", F.col("_tl_b").cast("int")).drop("_tl_key", "_tl_b")
-    return _range_buckets(df, order_by, n)
-
-
-def _range_buckets(df: DataFrame, order_by: list[str], n: int) -> DataFrame:
-    """Range partitions on the full key, checkpointed so that the size pass
-    and the position pass see the same partitioning."""
-    checkpoint_dir(df.sparkSession)
-    ranged = df.repartitionByRange(n, *order_by).checkpoint(eager=True)
-    return ranged.withColumn("_tl_bucket", F.spark_partition_id())
+    probs = [i / n for i in range(1, n)]
+    bounds = df.approxQuantile(key, probs, 1.0 / (4 * n)) if n > 1 else []
+    splits = [float("-inf"), *sorted({float(b) for b in bounds}), float("inf")]
+    if len(splits) < 3:
+        return df.withColumn("_tl_bucket", F.lit(0))
+    dbl = df.withColumn("_tl_key", F.col(key).cast("double"))
+    out = Bucketizer(splits=splits, inputCol="_tl_key", outputCol="_tl_b",
+                     handleInvalid="keep").transform(dbl)
+    return out.withColumn("_tl_bucket", F.col("_tl_b").cast("int")).drop("_tl_key", "_tl_b")
+
+
+#: sampled keys per bucket
+_PER_BUCKET = 64
+
+
+def splitters(df: DataFrame, order_by: list[str], n: int) -> list:
+    """At most ``n - 1`` keys that cut the rows into buckets of about one size.
+
+    The sample is chosen by a hash of the whole key, so it does not depend on how
+    rows are partitioned; about ``_PER_BUCKET * n`` keys reach the driver."""
+    total = df.count()
+    if n < 2 or not total:
+        return []
+    share = min(1.0, _PER_BUCKET * n / total)
+    some = df if share == 1.0 else df.filter(
+        F.pmod(F.xxhash64(*order_by), F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
+    ranked = some.select(F.struct(*order_by).alias("k"))
+    found = ranked.agg(F.array_sort(F.collect_list("k")).alias("k"))
+    places = F.transform(F.sequence(F.lit(1), F.lit(n - 1)),
+                         lambda i: F.element_at("k", F.greatest(F.lit(1), (i * F.size("k") / n).cast("int"))))
+    row = found.filter(F.size("k") > 0).select(F.array_distinct(places).alias("s")).first()
+    return [tuple(k) for k in row["s"]] if row else []
+
+
+def _splitter_buckets(df: DataFrame, order_by: list[str], n: int) -> DataFrame:
+    keys = splitters(df, order_by, n)
+    if not keys:
+        return df.withColumn("_tl_bucket", F.lit(0))
+    kind = df.select(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order_by)]).alias("k")).dtypes[0][1]
+
+    def literal(rows):
+        columns = [F.array(*[F.lit(r[i]) for r in rows]).alias(f"k{i}") for i in range(len(order_by))]
+        return F.arrays_zip(*columns).cast(f"array<{kind}>")
+
+    step = max(1, int(len(keys) ** 0.5))
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order_by)]).cast(kind)
+    below = lambda some: F.size(F.filter(some, lambda s: s <= F.col("_tl_key")))
+    out = df.withColumn("_tl_key", key).withColumn("_tl_part", below(literal(keys[::step])))
+    # the part's first splitter is passed already; the next step - 1 remain
+    start = (F.col("_tl_part") - 1) * step
+    fine = below(F.slice(literal(keys), F.greatest(start, F.lit(0)) + 2, F.lit(step - 1))) if step > 1 else F.lit(0)
+    out = out.withColumn("_tl_bucket", F.when(F.col("_tl_part") == 0, 0).otherwise(start + 1 + fine).cast("int"))
+    return out.drop("_tl_key", "_tl_part")
 
 
 def with_row_index(df: DataFrame, order_by, index_col: str = "row_index",
