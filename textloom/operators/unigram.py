@@ -1,14 +1,17 @@
 """Unigram-LM vocabulary trained by EM as Spark jobs.
 
 * normalisation: NFKC and runs of white space to one, as the library's default;
-* seeds: every substring of at most ``max_piece_len`` characters of the
-  distinct words, weighted by word frequency (``explode`` + ``groupBy``): every
-  character, and the ``seed_size`` longer ones best by frequency x length (the
-  method's bound on the model that training starts from);
+* seeds: every character, and the ``seed_size`` best by frequency x length of the
+  substrings (at most ``max_piece_len`` characters) that go on in two ways on both
+  sides: the others always stand inside a longer one.  They come from the sorted
+  suffixes of the distinct words, one row per suffix instead of one per substring
+  (``substring_seeds``);
 * E-step: forward-backward over each distinct word's piece lattice in
   ``mapInPandas`` (piece log-probabilities as a broadcast variable, bounded by
   the seed size) emitting expected piece counts;
-* M-step: ``groupBy(piece).sum`` and renormalise;
+* M-step: ``groupBy(piece).sum``, then ``digamma(count) - digamma(total)``, which takes
+  more from rare pieces than from frequent ones; pieces other than characters go below
+  an expected count of 0.5;
 * prune: loss of removing a piece = its Viterbi usage x (its log-prob - the
   log-prob of the best segmentation of the piece without it); keep the
   highest-loss share each round.  Characters are never pruned, so every word
@@ -32,6 +35,8 @@ from textloom.functions.text import SPECIAL_TOKENS, WHITESPACE_CLASS, nfkc
 from textloom.session import checkpoint_dir
 
 METASPACE = "▁"
+#: expected count below which a longer piece goes, and that a character has at least
+LEAST_COUNT = 0.5
 _COUNTS = T.StructType([T.StructField("piece", T.StringType()),
                         T.StructField("ex", T.DoubleType()),
                         T.StructField("vit", T.DoubleType())])
@@ -86,6 +91,90 @@ def best_path(n: int, edges: list[tuple[int, int, str, float]]) -> list[str]:
     return out
 
 
+class _Path:
+    """Counts of all prefixes of the suffix that is being read."""
+
+    def __init__(self, size: int):
+        self.c, self.starts, self.ends = [0] * size, [0] * size, [0] * size
+        self.left, self.right = [set() for _ in range(size)], [set() for _ in range(size)]
+
+    def clear(self, d: int) -> None:
+        self.c[d] = self.starts[d] = self.ends[d] = 0
+        self.left[d], self.right[d] = set(), set()
+
+    def add(self, d: int, freq: int, starts: int, left, right: str) -> None:
+        """``freq`` occurrences that go on with ``right`` (empty: the word ends)."""
+        self.c[d] += freq
+        self.starts[d] += starts
+        self.ends[d] += freq if not right else 0
+        if len(self.left[d]) < 2:
+            self.left[d].update(left)
+        if len(self.right[d]) < 2:
+            self.right[d].add(right)
+
+    def is_seed(self, d: int) -> bool:
+        return (len(self.left[d]) > 1 or self.starts[d] > 1) and (len(self.right[d]) > 1 or self.ends[d] > 1)
+
+
+def substring_seeds(words: DataFrame, max_len: int) -> DataFrame:
+    """``(piece, c)`` of the substrings of 2 to ``max_len`` characters of ``words(word,
+    freq)`` that have two different characters, or twice an end of the word, on each side.
+
+    Suffixes (cut after ``max_len`` characters and the one that follows) with the same
+    three first characters are read in sorted order; the prefixes of a suffix that the
+    next one does not share are complete then.  A task holds one suffix at a time."""
+    at = words.select("word", "freq", F.posexplode(F.sequence(F.lit(1), F.length("word"))).alias("_", "i"))
+    suffix = F.substr(F.col("word"), F.col("i"), F.lit(max_len + 1))
+    left = F.when(F.col("i") > 1, F.substr(F.col("word"), F.col("i") - 1, F.lit(1))).otherwise(F.lit(""))
+    rows = at.select(suffix.alias("s"), left.alias("l"), "freq").filter(F.length("s") > 1).groupBy("s").agg(
+        F.sum("freq").alias("f"), F.sum(F.when(F.col("l") == "", F.col("freq")).otherwise(0)).alias("starts"),
+        F.min("l").alias("l0"), F.max("l").alias("l1"))
+    n = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    # of two characters: their own group, since they begin in many of three
+    two = rows.select(F.substring("s", 1, 2).alias("piece"), F.substring("s", 3, 1).alias("r"), "f", "starts", "l0", "l1")
+    two = two.groupBy("piece").agg(
+        F.sum("f").alias("c"), F.sum("starts").alias("starts"), F.min("l0").alias("l0"), F.max("l1").alias("l1"),
+        F.min("r").alias("r0"), F.max("r").alias("r1"), F.sum(F.when(F.col("r") == "", F.col("f")).otherwise(0)).alias("ends"))
+    two = two.filter(((F.col("l0") != F.col("l1")) | (F.col("starts") > 1)) & ((F.col("r0") != F.col("r1")) | (F.col("ends") > 1)))
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        path, last = _Path(max_len + 1), ""
+        for pdf in it:
+            found = []
+
+            def close(down_to: int):
+                for d in range(min(len(last), max_len), down_to, -1):
+                    if path.is_seed(d):
+                        found.append((last[:d], path.c[d]))
+                    path.clear(d)
+
+            for s, f, starts, l0, l1 in zip(pdf["s"], pdf["f"], pdf["starts"], pdf["l0"], pdf["l1"]):
+                same = 0
+                while same < min(len(s), len(last)) and s[same] == last[same]:
+                    same += 1
+                close(max(2, same))
+                for d in range(3, min(len(s), max_len) + 1):
+                    path.add(d, f, starts, (l0, l1), s[d:d + 1])
+                last = s
+            yield pd.DataFrame(found, columns=["piece", "c"])
+        # the last suffix of the task
+        found = [(last[:d], path.c[d]) for d in range(3, min(len(last), max_len) + 1) if path.is_seed(d)]
+        yield pd.DataFrame(found, columns=["piece", "c"])
+
+    longer = (rows.filter(F.length("s") > 2).repartition(n, F.substring("s", 1, 3)).sortWithinPartitions("s")
+              .mapInPandas(run, "piece string, c long"))
+    return two.select("piece", F.col("c").cast("long").alias("c")).unionByName(longer)
+
+
+def digamma(x: float) -> float:
+    out = 0.0
+    while x < 7:
+        out, x = out - 1 / x, x + 1
+    y = 1 / (x * x)
+    return out + math.log(x) - 0.5 / x - y * (1 / 12 - y * (1 / 120 - y * (1 / 252 - y / 240)))
+
+
 def _estep(model, max_len: int):
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         logp = model.value
@@ -141,16 +230,10 @@ def train_unigram(texts: DataFrame, vocab_size: int = 8000, text_col: str = "tex
     words = words.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).checkpoint(eager=True)
     target = max(0, vocab_size - len(special_tokens))
     L = max_piece_len
-    subs = F.transform(F.sequence(F.lit(1), F.size(F.col("ch"))), lambda i: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(L), F.size(F.col("ch")) - i + 1)),
-        lambda k: F.array_join(F.slice(F.col("ch"), i, k), "")))
-    seeds = (words.select(F.split("word", "(?<=.)(?=.)", -1).alias("ch"), "freq")
-             .select(F.explode(F.flatten(subs)).alias("piece"), "freq")
-             .groupBy("piece").agg(F.sum("freq").cast("double").alias("c"))).checkpoint(eager=True)
-    one = F.length("piece") == 1
-    counts = {r.piece: r.c for r in seeds.filter(one).collect()}  # the characters in use
-    chars = set(counts)
-    counts.update({r.piece: r.c for r in seeds.filter(~one).orderBy(
+    letters = words.select(F.explode(F.split("word", "(?<=.)(?=.)", -1)).alias("piece"), "freq")
+    counts = {r.piece: float(r.c) for r in letters.groupBy("piece").agg(F.sum("freq").alias("c")).collect()}
+    chars = set(counts)  # the characters in use
+    counts.update({r.piece: float(r.c) for r in substring_seeds(words, L).orderBy(
         F.desc(F.col("c") * F.length("piece")), "piece").limit(seed_size).collect()})
     total = sum(counts.values())
     logp = {p: math.log(c / total) for p, c in counts.items()}
@@ -161,10 +244,10 @@ def train_unigram(texts: DataFrame, vocab_size: int = 8000, text_col: str = "tex
             stats = (words.mapInPandas(_estep(model, L), _COUNTS)
                      .groupBy("piece").agg(F.sum("ex").alias("ex"), F.sum("vit").alias("vit"))
                      .collect())
-            ex = {c: 0.0 for c in chars} | {r.piece: r.ex for r in stats if r.ex > 0 or r.piece in chars}
+            ex = {c: 0.0 for c in chars} | {r.piece: r.ex for r in stats if r.ex >= LEAST_COUNT or r.piece in chars}
             vit = {r.piece: r.vit for r in stats}
-            tot = sum(ex.values())
-            logp = {p: math.log(max(c, 1e-12) / tot) for p, c in ex.items()}
+            logsum = digamma(max(sum(ex.values()), LEAST_COUNT))
+            logp = {p: digamma(max(c, LEAST_COUNT)) - logsum for p, c in ex.items()}
             model.destroy()
         longer = [p for p in logp if p not in chars]
         room = max(0, target - len(chars))

@@ -159,6 +159,21 @@ def q_map_batches(spark, sf):
     return clean.map_batches(docs, _lengths, "doc_id long, n_chars long, n_lines long")
 
 
+def _batch_summary(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"first_id": [pdf["doc_id"].iloc[0]], "last_id": [pdf["doc_id"].iloc[-1]], "n_docs": [len(pdf)],
+                         "n_chars": [int(pdf["text"].str.len().sum())]})
+
+
+@query("map_batches_exact", """
+SELECT min(doc_id) AS first_id, max(doc_id) AS last_id, CAST(count(*) AS BIGINT) AS n_docs,
+       CAST(sum(length(text)) AS BIGINT) AS n_chars
+FROM (SELECT *, (row_number() OVER (ORDER BY doc_id) - 1) // 200 AS b FROM documents) GROUP BY b
+""")
+def q_map_batches_exact(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text").repartition(7, "doc_id")
+    return clean.map_batches(docs, _batch_summary, "first_id long, last_id long, n_docs long, n_chars long", 200, "doc_id")
+
+
 @query("select_drop_columns", "SELECT doc_id, lang FROM documents")
 def q_select_drop(spark, sf):
     docs = clean.select_columns(table(spark, sf, "documents"), ["doc_id", "lang", "source"])
@@ -443,6 +458,19 @@ def q_dedup_stream(spark, sf):
     return spark.read.parquet(sink).select("text")
 
 
+@query("dedup_stream_table", f"SELECT DISTINCT {TRIM} AS text FROM documents WHERE length({TRIM}) > 0")
+def q_dedup_stream_table(spark, sf):
+    """Several micro-batches against the table of seen hashes, compacted on the way."""
+    from textloom import streaming
+
+    base = scratch_path(spark, "seen")
+    docs = table(spark, sf, "documents").repartition(9)
+    src.write_delimited(docs.select(F.concat(F.lit(" "), "text", F.lit("\n")).alias("text")), f"{base}/in")
+    stream = streaming.read_delimited_stream(spark, f"{base}/in", repair_bytes=False, max_files_per_trigger=2)
+    streaming.run_dedup(stream.select("text"), f"{base}/out", f"{base}/state", f"{base}/ckpt", buckets=8, compact_every=3)
+    return streaming.read_deduped(spark, f"{base}/out").select("text")
+
+
 @query("dedup_near", f"""
 WITH RECURSIVE d AS (SELECT doc_id, split, regexp_extract_all(lower(text), '{WP}') AS w FROM {DOCS}),
 e AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d),

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textloom.functions.text import SPECIAL_TOKENS, normalize_text_col, word_tokens
-from textloom.operators import bpe, encode as enc
+from textloom.functions.text import SPECIAL_TOKENS, WHITESPACE_CLASS, normalize_text_col, word_tokens
+from textloom.operators import bpe, encode as enc, order
 from textloom.operators.pretokenize import word_counts
 from textloom.plans.q_corpus import BYTE_PIECES
 from textloom.plans.registry import query
 from textloom.plans.sql import DOCS, WORD_IDS, WORD_VOCAB, WP, ids_of, ids_str
 from textloom.plans.tables import documents, table
+from textloom.session import checkpoint_dir
+from textloom.sources import artifacts
 
 
 def arr_str(c):
@@ -198,38 +200,148 @@ def q_encode_bpe_first(spark, sf):
     return ids.select("doc_id", "split", arr_str("input_ids").alias("input_ids"), "num_tokens")
 
 
+# ---------------------------------------------------------------- longest match, stated in SQL
+_WP_VOCAB = f"""w0 AS (SELECT {_CHARS} AS syms, count(*) AS freq FROM
+     (SELECT unnest(regexp_extract_all(strip_accents(lower(text)), '{WP}')) AS p FROM {DOCS} WHERE split = 'train') GROUP BY p),
+{_merges_sql(N_FIRST)},
+al AS (SELECT sym, row_number() OVER (ORDER BY sym) AS i FROM (SELECT DISTINCT unnest(string_split(trim(syms), '  ')) AS sym FROM w0)),
+v AS (SELECT sym, 4 + i AS id FROM al UNION ALL SELECT sym, 5 + (SELECT count(*) FROM al) + rank FROM ({_all_merges(N_FIRST)})),
+vl AS (SELECT t, length(t) AS n, max(id) AS id FROM (SELECT CASE WHEN starts_with(sym, '_') THEN '##' ELSE '' END
+       || decode(unhex(ltrim(sym, '_'))) AS t, id FROM v) GROUP BY t)"""
+
+
+@query("encode_wordpiece_first", f"""
+WITH RECURSIVE {_WP_VOCAB},
+p AS (SELECT doc_id, split, regexp_extract_all(strip_accents(lower(text)), '{WP}') AS w FROM {DOCS}),
+e AS (SELECT doc_id, split, w[i] AS w, i FROM (SELECT doc_id, split, w, unnest(range(1, len(w) + 1)) AS i FROM p)),
+x AS (SELECT w, 1 AS pos, CAST([] AS BIGINT[]) AS ids FROM (SELECT DISTINCT w FROM e WHERE length(w) <= 100)
+      UNION ALL
+      SELECT w, pos + n, list_append(ids, id) FROM (SELECT x.w, x.pos, x.ids, vl.id,
+        CASE WHEN x.pos = 1 THEN vl.n ELSE vl.n - 2 END AS n, row_number() OVER (PARTITION BY x.w ORDER BY vl.n DESC) AS r
+        FROM x JOIN vl ON vl.t = CASE WHEN x.pos = 1 THEN substr(x.w, 1, vl.n) ELSE '##' || substr(x.w, x.pos, vl.n - 2) END
+                      AND x.pos <= length(x.w) AND (x.pos = 1 OR vl.n > 2)) WHERE r = 1),
+d AS (SELECT w, ids FROM x WHERE pos = length(w) + 1),
+t AS (SELECT doc_id, split, i, unnest(coalesce(ids, [0])) AS id, generate_subscripts(coalesce(ids, [0]), 1) AS j FROM e LEFT JOIN d USING (w))
+SELECT p.doc_id, p.split, coalesce(string_agg(CAST(id AS VARCHAR), ' ' ORDER BY i, j), '') AS input_ids,
+       CAST(count(id) AS BIGINT) AS num_tokens FROM p LEFT JOIN t ON t.doc_id = p.doc_id GROUP BY p.doc_id, p.split
+""")
+def q_encode_wordpiece_first(spark, sf):
+    """WordPiece with the alphabet and the first merges, against longest match in SQL."""
+    train = _train_docs(spark, sf)
+    words = train.select(F.explode(word_tokens(normalize_text_col(F.col("text")))).alias("w"))
+    alphabet = words.select(F.explode(F.split(bpe.char_symbols(F.col("w")), " ")).alias("s")).distinct().count()
+    vocab, _ = bpe.train_wordpiece(train, vocab_size=len(SPECIAL_TOKENS) + alphabet + N_FIRST)
+    docs = documents(spark, sf).select("doc_id", "split", "text")
+    ids = enc.encode(docs, enc.Tokenizer("wordpiece", vocab), "text", ["doc_id", "split"])
+    return ids.select("doc_id", "split", arr_str("input_ids").alias("input_ids"), "num_tokens")
+
+
+N_PIECES = 2000
+_CHUNKS = f"list_transform(regexp_extract_all(nfc_normalize(text), '[^{WHITESPACE_CLASS}]+'), lambda c: '▁' || c)"
+
+
+@query("encode_unigram_table", f"""
+WITH RECURSIVE p AS MATERIALIZED (SELECT doc_id, split, {_CHUNKS} AS w FROM {DOCS}),
+e AS MATERIALIZED (SELECT doc_id, split, w[i] AS w, i FROM (SELECT doc_id, split, w, unnest(range(1, len(w) + 1)) AS i FROM p)),
+wc AS (SELECT w, count(*) AS f FROM e WHERE split = 'train' GROUP BY w),
+s AS (SELECT substr(w, CAST(i AS INTEGER), k) AS t, sum(f) AS c FROM (SELECT w, f, k, unnest(range(1, length(w) - k + 2)) AS i
+      FROM wc, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE length(w) >= k) GROUP BY t),
+b AS MATERIALIZED (SELECT t, c FROM s WHERE length(t) = 1 UNION ALL
+      SELECT t, c FROM (SELECT t, c FROM s WHERE length(t) > 1 ORDER BY c * length(t) DESC, t LIMIT {N_PIECES})),
+v AS MATERIALIZED (SELECT t, length(t) AS n, 4 + row_number() OVER (ORDER BY c DESC, t) AS id,
+      floor(1000 * ln(c / (SELECT sum(c) FROM b))) AS sc FROM b),
+u AS MATERIALIZED (SELECT min(sc) - 10 AS sc FROM v),
+x AS (SELECT w, 0 AS e, CAST([0] AS DOUBLE[]) AS best, CAST([] AS BIGINT[]) AS back, CAST([] AS BIGINT[]) AS ids
+      FROM (SELECT DISTINCT w FROM e)
+      UNION ALL
+      SELECT w, e + 1, list_append(best, CASE WHEN g.sc IS NULL OR best[e + 1] + usc > g.sc THEN best[e + 1] + usc ELSE g.sc END),
+             list_append(back, CASE WHEN g.sc IS NULL OR best[e + 1] + usc > g.sc THEN 1 ELSE g.n END),
+             list_append(ids, CASE WHEN g.sc IS NULL OR best[e + 1] + usc > g.sc THEN 0 ELSE g.id END)
+      FROM (SELECT x.*, u.sc AS usc, h.sc + x.best[x.e + 2 - h.n] AS total, h.n, h.id, row_number() OVER (
+              PARTITION BY x.w ORDER BY h.sc + x.best[x.e + 2 - h.n] DESC NULLS LAST, h.n DESC) AS r,
+            {{'sc': h.sc + x.best[x.e + 2 - h.n], 'n': h.n, 'id': h.id}} AS g
+            FROM x JOIN u ON x.e < length(x.w)
+            LEFT JOIN v h ON h.n <= x.e + 1 AND h.t = substr(x.w, CAST(x.e + 2 - h.n AS INTEGER), h.n)) WHERE r = 1),
+y AS (SELECT w, length(w) AS pos, back, ids, CAST([] AS BIGINT[]) AS got FROM x WHERE e = length(w)
+      UNION ALL
+      SELECT w, pos - back[pos], back, ids, CASE WHEN ids[pos] = 0 AND got[1] = 0 THEN got ELSE list_prepend(ids[pos], got) END FROM y WHERE pos > 0),
+d AS MATERIALIZED (SELECT w, got FROM y WHERE pos = 0),
+t AS (SELECT doc_id, i, unnest(got) AS id, generate_subscripts(got, 1) AS j FROM e JOIN d USING (w))
+SELECT p.doc_id, p.split, coalesce(string_agg(CAST(id AS VARCHAR), ' ' ORDER BY i, j), '') AS input_ids,
+       CAST(count(id) AS BIGINT) AS num_tokens FROM p LEFT JOIN t ON t.doc_id = p.doc_id GROUP BY p.doc_id, p.split
+""")
+def q_encode_unigram_table(spark, sf):
+    """Unigram encoding with scores from substring counts, against a Viterbi search in SQL."""
+    docs = documents(spark, sf).select("doc_id", "split", "text")
+    chunks = F.explode(enc.Tokenizer("unigram", None).pieces(F.col("text")))
+    words = docs.filter(F.col("split") == "train").select(chunks.alias("w")).groupBy("w").agg(F.count("*").alias("f"))
+    each = F.explode(F.flatten(F.transform(F.array(*map(F.lit, (1, 2, 3, 4))), lambda k: F.when(
+        F.length("w") >= k, F.transform(F.sequence(F.lit(1), F.length("w") - k + 1), lambda i: F.substr(F.col("w"), i, k))
+    ).otherwise(F.array().cast("array<string>")))))
+    counts = words.select(each.alias("piece"), "f").groupBy("piece").agg(F.sum("f").alias("c")).checkpoint()
+    one = F.length("piece") == 1
+    kept = counts.filter(one).unionByName(counts.filter(~one).orderBy(
+        F.desc(F.col("c") * F.length("piece")), "piece").limit(N_PIECES)).checkpoint()
+    total = kept.agg(F.sum("c")).first()[0]
+    ranked = order.with_row_index(kept.withColumn("_neg", -F.col("c")), ["_neg", "piece"], "_i")
+    vocab = ranked.select((F.col("_i") + 5).cast("int").alias("id"), "piece", F.col("piece").alias("text"),
+                          F.lit(False).alias("special"), F.floor(1000 * F.log(F.col("c") / total)).cast("double").alias("score"))
+    ids = enc.encode(docs, enc.Tokenizer("unigram", vocab.checkpoint()), "text", ["doc_id", "split"])
+    return ids.select("doc_id", "split", arr_str("input_ids").alias("input_ids"), "num_tokens")
+
+
 # ---------------------------------------------------------------- trained at the usual size
 VOCAB = 8000  # fixed value: the usual vocabulary size
 
 
+def _published(spark, sf, kind, train=None):
+    """``(vocab, merges)`` of the usual size, trained once and shared as artifacts."""
+    docs, made = _train_docs(spark, sf), {}
+
+    def build(part):
+        def run():
+            if not made:
+                made["vocab"], made["merges"] = train() if train else {
+                    "bpe": bpe.train_bpe, "wordpiece": bpe.train_wordpiece}[kind](docs, vocab_size=VOCAB)
+            return made[part]
+        return run
+
+    base = f"{checkpoint_dir(spark)}/artifacts"
+    params = {"kind": kind, "size": VOCAB, "files": sorted(docs.inputFiles()), "rows": docs.count()}
+    return tuple(artifacts.materialize(spark, base, f"{kind}-{part}", params, build(part)) for part in ("vocab", "merges"))
+
+
 @query("train_bpe")
 def q_train_bpe(spark, sf):
     vocab, merges = bpe.train_bpe(_train_docs(spark, sf), vocab_size=VOCAB)
+    _published(spark, sf, "bpe", lambda: (vocab, merges))
     return merges
 
 
 @query("train_wordpiece")
 def q_train_wordpiece(spark, sf):
     vocab, merges = bpe.train_wordpiece(_train_docs(spark, sf), vocab_size=VOCAB)
+    _published(spark, sf, "wordpiece", lambda: (vocab, merges))
     return vocab
 
 
-@query("encode_bpe")
+@query("encode_bpe", f"SELECT doc_id, split, TRUE AS roundtrip_ok FROM {DOCS}")
 def q_encode_bpe(spark, sf):
-    vocab, merges = bpe.train_bpe(_train_docs(spark, sf), vocab_size=1000)
+    """Every document encoded with the 8,000-entry vocabulary and decoded again."""
+    vocab, merges = _published(spark, sf, "bpe")
     tok = enc.Tokenizer("bytebpe", vocab, merges, specials=tuple(SPECIAL_TOKENS[1:]))
     docs = documents(spark, sf).select("doc_id", "split", "text")
     # read twice, by the decoder and by the result
     ids = enc.encode(docs, tok, "text", ["doc_id", "split"]).checkpoint(eager=True)
     back = enc.decode(ids, tok, "input_ids", ["doc_id"], out_col="decoded")
+    fewer = F.col("num_tokens") <= F.octet_length("text")
     return (ids.join(back, "doc_id").join(docs.select("doc_id", "text"), "doc_id")
-            .select("doc_id", "split", "num_tokens",
-                    (F.col("decoded") == F.col("text")).alias("roundtrip_ok")))
+            .select("doc_id", "split", ((F.col("decoded") == F.col("text")) & fewer).alias("roundtrip_ok")))
 
 
 @query("encode_wordpiece")
 def q_encode_wordpiece(spark, sf):
-    vocab, merges = bpe.train_wordpiece(_train_docs(spark, sf), vocab_size=1000)
+    vocab, merges = _published(spark, sf, "wordpiece")
     tok = enc.Tokenizer("wordpiece", vocab, merges)
     docs = documents(spark, sf).select("doc_id", "split", "text")
     return enc.encode(docs, tok, "text", ["doc_id", "split"]).select("doc_id", "split",
@@ -272,6 +384,22 @@ def _turn_pairs(conv):
     return u.join(a, ["conv_id", "turn"])
 
 
+@query("unigram_seeds", f"""
+WITH w AS (SELECT w, count(*) AS f FROM (SELECT unnest({_CHUNKS}) AS w FROM {DOCS} WHERE split = 'train') GROUP BY w),
+s AS (SELECT f, substr(w, CAST(i AS INTEGER), k) AS piece, CASE WHEN i > 1 THEN substr(w, CAST(i - 1 AS INTEGER), 1) ELSE '' END AS l,
+        substr(w, CAST(i + k AS INTEGER), 1) AS r
+      FROM (SELECT w, f, k, unnest(range(1, length(w) - k + 2)) AS i FROM w, (SELECT unnest(range(2, 17)) AS k) WHERE length(w) >= k))
+SELECT piece, CAST(sum(f) AS BIGINT) AS c FROM s GROUP BY piece
+HAVING (count(DISTINCT l) > 1 OR sum(CASE WHEN l = '' THEN f ELSE 0 END) > 1)
+   AND (count(DISTINCT r) > 1 OR sum(CASE WHEN r = '' THEN f ELSE 0 END) > 1)
+""")
+def q_unigram_seeds(spark, sf):
+    from textloom.operators.unigram import substring_seeds
+    chunks = F.explode(enc.Tokenizer("unigram", None).pieces(F.col("text")))
+    words = _train_docs(spark, sf).select(chunks.alias("word")).groupBy("word").agg(F.count("*").alias("freq"))
+    return substring_seeds(words, 16)
+
+
 @query("train_unigram")
 def q_train_unigram(spark, sf):
     from textloom.operators.unigram import train_unigram
@@ -304,6 +432,6 @@ def q_story_flow(spark, sf):
     docs = documents(spark, sf)
     write_delimited(docs.filter(F.col("split") == "train"), f"{base}/train")
     write_delimited(docs.filter(F.col("split") == "validation"), f"{base}/valid")
-    totals, _ = packed_story_corpus(spark, [f"{base}/train", f"{base}/valid"], vocab_size=1000,
+    totals, _ = packed_story_corpus(spark, [f"{base}/train", f"{base}/valid"], vocab_size=VOCAB,
                                     sequence_len=None)
     return totals
