@@ -129,6 +129,16 @@ def overlay_runs(dfs: list[DataFrame], labels: list[str], label_col: str = "labe
     return out
 
 
+def overlay_log(df: DataFrame, run_col: str = "run", labels: dict[str, str] | None = None,
+                label_col: str = "label") -> DataFrame:
+    """R5 for runs that share a log: one scan, whatever the number of runs.  With
+    ``labels`` (run -> label) only those runs are kept; else a run is its own label."""
+    if labels is None:
+        return df.withColumnRenamed(run_col, label_col)
+    named = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])
+    return df.filter(F.col(run_col).isin(list(labels))).withColumn(label_col, named[F.col(run_col)]).drop(run_col)
+
+
 def eval_by_epoch(df: DataFrame, run_cols, epoch_col: str = "epoch", value_col: str = "value",
                   step_col: str = "step", out_col: str = "metric") -> DataFrame:
     """The metric's last value (by step) in every epoch of every run."""

@@ -75,9 +75,7 @@ WITH {EV}
 SELECT run AS label, step, value FROM ev
 """)
 def q_overlay(spark, sf):
-    log = run_log(spark, sf).select("run", "step", "value")
-    runs = sorted(r.run for r in log.select("run").distinct().collect())  # a handful of run names
-    return rn.overlay_runs([log.filter(F.col("run") == r).drop("run") for r in runs], runs)
+    return rn.overlay_log(run_log(spark, sf).select("run", "step", "value"))
 
 
 _EPOCHS = f"""{EV},

@@ -136,11 +136,63 @@ def q_rouge_n(spark, sf):
                       "n_rows")
 
 
-@query("rouge_l")
-def q_rouge_l(spark, sf):
-    return sc.rouge_l(scored_pairs(spark, sf), ["conv_id", "turn"], "pred", "ref")
+# one row per (pair, reference sentence, predicted sentence): tokens r and p
+_SENTENCES = "list_filter(list_transform(string_split({x}, chr(10)), lambda s: " + _RT.format(x="s") + "), lambda t: len(t) > 0)"
 
 
-@query("rouge_lsum")
+def _lcs_sql(pairs: str) -> str:
+    """CTEs ``l(k, j, i, v)``: the LCS of the first i tokens of r and the first j of p,
+    a row of the table per step, from ``pairs(k, r, p)``."""
+    return f"""
+lt AS MATERIALIZED (SELECT k, r, p FROM {pairs} WHERE len(r) > 0 AND len(p) > 0),
+a AS MATERIALIZED (SELECT k, CAST(i AS INTEGER) AS i, r[i] AS tok FROM (SELECT k, r, unnest(range(1, len(r) + 1)) AS i FROM lt)),
+l AS (SELECT k, 0 AS j, i, 0 AS v FROM a
+      UNION ALL
+      SELECT k, j + 1, i, max(c) OVER (PARTITION BY k ORDER BY i) FROM (
+        SELECT l.k, l.j, l.i, greatest(l.v, CASE WHEN a.tok = lt.p[l.j + 1]
+               THEN coalesce(lag(l.v) OVER (PARTITION BY l.k ORDER BY l.i), 0) + 1 ELSE 0 END) AS c
+        FROM l JOIN lt ON l.k = lt.k AND l.j < len(lt.p) JOIN a ON a.k = l.k AND a.i = l.i))"""
+
+
+_PRF_SQL = """
+SELECT round(avg(pr), 9) AS precision, round(avg(re), 9) AS recall,
+       round(avg(CASE WHEN pr + re > 0 THEN 2 * pr * re / (pr + re) ELSE 0.0 END), 9) AS fmeasure, CAST(count(*) AS BIGINT) AS n_rows
+FROM (SELECT CASE WHEN np > 0 THEN m / np ELSE 0.0 END AS pr, CASE WHEN nr > 0 THEN m / nr ELSE 0.0 END AS re FROM s)"""
+
+
+@query("rouge_l", f"""
+WITH RECURSIVE {_PAIRS},
+q AS MATERIALIZED (SELECT row_number() OVER () AS k, {_RT.format(x='ref_text')} AS r, {_RT.format(x='pred_text')} AS p FROM pr),
+{_lcs_sql('q')},
+m AS (SELECT l.k, max(v) AS m FROM l JOIN lt ON l.k = lt.k AND l.j = len(lt.p) GROUP BY l.k),
+s AS (SELECT coalesce(m, 0) AS m, len(p) AS np, len(r) AS nr FROM q LEFT JOIN m USING (k)){_PRF_SQL}
+""")
+def q_rouge_l(spark, sf):
+    out = sc.rouge_l(scored_pairs(spark, sf), ["conv_id", "turn"], "pred", "ref")
+    return out.select(*[F.round(c, 9).alias(c) for c in ("precision", "recall", "fmeasure")], "n_rows")
+
+
+@query("rouge_lsum", f"""
+WITH RECURSIVE {_PAIRS},
+x AS MATERIALIZED (SELECT row_number() OVER () AS id, {_SENTENCES.format(x='ref_text')} AS rs, {_SENTENCES.format(x='pred_text')} AS ps FROM pr),
+q AS MATERIALIZED (SELECT row_number() OVER () AS k, id, ri, r, p FROM (
+      SELECT id, ri, rs[ri] AS r, unnest(ps) AS p FROM (SELECT id, rs, ps, unnest(range(1, len(rs) + 1)) AS ri FROM x))),
+{_lcs_sql('q')},
+g AS MATERIALIZED (SELECT lt.k, lt.r, lt.p, vs FROM lt JOIN (SELECT k, list(vr ORDER BY j) AS vs FROM
+      (SELECT k, j, list_prepend(0, list(v ORDER BY i)) AS vr FROM l GROUP BY k, j) GROUP BY k) USING (k)),
+-- back from the end: a match is a hit; else one token less of the reference if that costs nothing or losing the other's costs more
+w AS (SELECT k, CAST(len(r) AS INTEGER) AS i, CAST(len(p) AS INTEGER) AS j, NULL::INTEGER AS hit FROM g
+      UNION ALL
+      SELECT k, CASE WHEN same OR back THEN i - 1 ELSE i END, CASE WHEN same OR NOT back THEN j - 1 ELSE j END, CASE WHEN same THEN i END
+      FROM (SELECT w.k, w.i, w.j, g.r[w.i] = g.p[w.j] AS same,
+              vs[w.j + 1][w.i + 1] = vs[w.j + 1][w.i] OR vs[w.j + 1][w.i + 1] > vs[w.j][w.i + 1] AS back
+            FROM w JOIN g ON g.k = w.k AND w.i > 0 AND w.j > 0)),
+h AS (SELECT DISTINCT q.id, q.ri, w.hit, q.r[w.hit] AS tok FROM w JOIN q USING (k) WHERE w.hit IS NOT NULL),
+hc AS (SELECT id, tok, count(*) AS n FROM h GROUP BY ALL),
+pc AS (SELECT id, tok, count(*) AS n FROM (SELECT id, unnest(flatten(ps)) AS tok FROM x) GROUP BY ALL),
+m AS (SELECT id, sum(least(hc.n, pc.n)) AS m FROM hc JOIN pc USING (id, tok) GROUP BY id),
+s AS (SELECT coalesce(m, 0) AS m, len(flatten(ps)) AS np, len(flatten(rs)) AS nr FROM x LEFT JOIN m USING (id)){_PRF_SQL}
+""")
 def q_rouge_lsum(spark, sf):
-    return sc.rouge_lsum(scored_pairs(spark, sf), ["conv_id", "turn"], "pred", "ref")
+    out = sc.rouge_lsum(scored_pairs(spark, sf), ["conv_id", "turn"], "pred", "ref")
+    return out.select(*[F.round(c, 9).alias(c) for c in ("precision", "recall", "fmeasure")], "n_rows")
