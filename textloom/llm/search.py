@@ -10,9 +10,12 @@
    maximal impact over a query's coordinates is an upper bound of its score: a
    coordinate holds at least the term's own frequency.
 4. Descending bounds: the ``k`` documents of highest bound are scored on their whole
-   texts, which gives every query a threshold, its k-th best exact score so far.  Then
-   all documents whose bound reaches the threshold are scored the same way.  A document
+   texts, which gives every query a threshold, its k-th best exact score so far.  Where
+   terms share coordinates these may be the wrong ones, so the ``WIDER * k`` highest
+   bounds that reach the threshold raise it once more.  Then all documents whose bound
+   reaches the threshold are scored the same way.  A document
    that is left out has a bound below ``k`` exact scores, so the result is exact.
+   Copies of one text score the same; only the ``k`` smallest ids of each are scored.
 
 Texts are never shuffled as long as the documents to score are within the broadcast
 bound; each task and each merge keeps only ``k`` rows a query.
@@ -46,6 +49,7 @@ from textloom.session import scratch_path
 from textloom.sources.artifacts import delete_path
 
 K = 50
+WIDER = 8
 COORDINATES = 1 << 20
 #: queries and query terms that are looked up at once
 BLOCK_QUERIES = 1024
@@ -193,17 +197,18 @@ def _bounded(block, coordinates: int):
     return bounds
 
 
-def _highest(index: DataFrame, shared, coordinates: int, k: int) -> DataFrame:
-    """``(q, id, text_key, bound)``: per task and query the ``k`` highest bounds."""
+def _highest(index: DataFrame, shared, least: list[int], coordinates: int, k: int) -> DataFrame:
+    """``(q, id, text_key, bound)``: per task and query the ``k`` highest bounds of
+    at least ``least``."""
     kind = dict(index.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
-        bounds, best = _bounded(block, coordinates), {}
+        bounds, best, above = _bounded(block, coordinates), {}, np.array(least, np.float64) - 1
         for batch in batches:
             for b in row_slices(batch, _ROWS):
                 x = bounds(b.column("n").to_numpy(), b.column("sketch"))
-                floor = np.array([best[q][0][-1] if q in best and len(best[q][0]) == k else 0 for q in range(x.shape[1])])
+                floor = np.array([best[q][0][-1] if q in best and len(best[q][0]) == k else f for q, f in enumerate(above)])
                 for q in np.flatnonzero((x > floor).any(0)):
                     at = np.flatnonzero(x[:, q] > floor[q])
                     some = b.take(pa.array(at)).select(["id", "text_key"])
@@ -272,6 +277,17 @@ def _rescored(docs: DataFrame, wanted: DataFrame, shared, id_col: str, text_col:
     return d.mapInArrow(run, f"q int, id {kind}, score long").filter("score > 0")
 
 
+def _by_row(asked: DataFrame) -> DataFrame:
+    return asked.groupBy("id", "text_key").agg(F.collect_set("q").alias("qs"))
+
+
+def _first_copies(asked: DataFrame, k: int) -> DataFrame:
+    """Of equal texts, which score the same, only the ``k`` first can be in a result;
+    however many copies there are, a task passes on ``k`` of a text for each query."""
+    order = Window.partitionBy("q", "text_key").orderBy(F.asc_nulls_last("id"))
+    return asked.distinct().withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= k).drop("_r")
+
+
 def _top(scored: DataFrame, k: int) -> DataFrame:
     """Only ``k`` rows a query leave a task, as Spark limits ranks before the shuffle."""
     order = Window.partitionBy("q").orderBy(F.desc("score"), F.asc_nulls_last("id"))
@@ -311,14 +327,16 @@ def _search_block(docs, index, rows, n, total, k, id_col, text_col, coordinates)
     shared = spark.sparkContext.broadcast(block)
 
     order = Window.partitionBy("q").orderBy(F.desc("bound"), F.asc_nulls_last("id"))
-    first = (_highest(index, shared, coordinates, k).withColumn("r", F.row_number().over(order))
-             .filter(F.col("r") <= k).groupBy("id", "text_key").agg(F.collect_set("q").alias("qs")))
-    scored = _top(_rescored(docs, checkpointed(first), shared, id_col, text_col), k)
-    kth = {r["q"]: r["t"] for r in scored.filter(F.col("rank") == k).select("q", F.col("score").alias("t")).collect()}
+    least = [1] * len(rows)
+    for width in (k, WIDER * k):
+        high = _highest(index, shared, least, coordinates, width).withColumn("r", F.row_number().over(order))
+        scored = _top(_rescored(docs, checkpointed(_by_row(high.filter(F.col("r") <= width))), shared, id_col, text_col), k)
+        for r in scored.filter(F.col("rank") == k).select("q", "score").collect():
+            least[r["q"]] = max(least[r["q"]], r["score"])
     # a query with fewer than k documents so far takes every document with a bound above 0
-    reach = _reaching(index, shared, [kth.get(i, 1) for i in range(len(rows))], coordinates)
-    wanted = checkpointed(reach.groupBy("id", "text_key").agg(F.first("qs").alias("qs")))
-    least = F.broadcast(spark.createDataFrame([(i, r, kth.get(i, 1)) for i, (r, _) in enumerate(rows)],
-                                              "q int, _row long, _least long"))
-    scored = _rescored(docs, wanted, shared, id_col, text_col).join(least, "q").filter("score >= _least")
+    reach = _reaching(index, shared, least, coordinates)
+    wanted = checkpointed(_by_row(_first_copies(reach.select("id", "text_key", F.explode("qs").alias("q")), k)))
+    low = F.broadcast(spark.createDataFrame([(i, r, t) for i, ((r, _), t) in enumerate(zip(rows, least))],
+                                            "q int, _row long, _least long"))
+    scored = _rescored(docs, wanted, shared, id_col, text_col).join(low, "q").filter("score >= _least")
     return checkpointed(_top(scored, k).select("_row", "rank", "id", "score"))
