@@ -219,16 +219,17 @@ def test_bpe_is_sequential_whatever_the_bounds(spark, max_pairs, rebase, predict
     assert [m[:2] for m in got] == _python_bpe(counts, 60, 1)
 
 
-@pytest.mark.parametrize("predict", [300_000, 40])
+@pytest.mark.parametrize("predict", [500_000, 40])
 def test_bpe_on_documents_is_sequential_and_reads_fewer_words(spark, predict):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("doc_id < 40").select("text")
+    words = docs.select(F.explode(bpe.byte_level_tokens(F.col("text"))).alias("w")).groupBy("w").agg(
+        F.count(F.lit(1)).cast("long").alias("freq")).checkpoint()
     report = []
-    _, merges = bpe.train_bpe(docs, 4 + 256 + 300, predict_words=predict, report=report)
-    words = docs.select(F.explode(bpe.byte_level_tokens(F.col("text"))).alias("w")).groupBy("w").count().collect()
-    want = _python_bpe(Counter({r["w"]: r["count"] for r in words}), 300, 2)
-    assert [(r.left, r.right) for r in merges.orderBy("rank").collect()] == want
-    assert sum(r["taken"] for r in report) == len(want)
-    if predict == 300_000:  # every word is predicted from: lists come true, and later ones read fewer words
+    got = bpe._merge_loop(spark, words.select(bpe.byte_symbols(F.col("w")).alias("syms"), "freq"), 300, 2, 200_000, predict,
+                          rebase_every=100, report=report)
+    want = _python_bpe(Counter({r["w"]: r["freq"] for r in words.collect()}), 300, 2)
+    assert [m[:2] for m in got] == want and sum(r["taken"] for r in report) == len(want)
+    if predict == 500_000:  # every word is predicted from: lists come true, and later ones read fewer words
         assert all(r["taken"] == r["tried"] for r in report) and len(report) < 8
         assert report[-1]["words"] < report[0]["words"]
 

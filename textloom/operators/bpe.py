@@ -39,6 +39,8 @@ rarer and rarer.
 from __future__ import annotations
 
 import heapq
+import zlib
+from array import array
 from collections import Counter
 from typing import Iterator
 
@@ -151,7 +153,8 @@ class Postings:
     written below the checkpoint folder."""
 
     def __init__(self, words: DataFrame, n_parts: int, buckets: int = 64):
-        self.spark, self.n_parts, self.buckets, self.path = words.sparkSession, n_parts, buckets, None
+        self.spark, self.n_parts, self.buckets = words.sparkSession, n_parts, buckets
+        self.path = self.rows = None
         self._write(words)
 
     def _write(self, words: DataFrame) -> None:
@@ -159,6 +162,8 @@ class Postings:
         # a word of one symbol never forms a pair again
         words.filter(F.instr("syms", " ") > 0).repartition(self.n_parts).write.parquet(f"{self.path}/words")
         self.words = self.spark.read.parquet(f"{self.path}/words")
+        if old is None:  # the first merges are in nearly every word: no table of pairs yet
+            return
         rows = self.words.select(F.split("syms", " ").alias("_tl_a"), "syms", "freq")
         rows = rows.select(F.explode(F.array_distinct(_adjacent(F.col("_tl_a")))).alias("p"), "syms", "freq").select(
             self._bucket(F.col("p.left"), F.col("p.right")).alias("bucket"), "p.left", "p.right", "syms", "freq")
@@ -166,11 +171,10 @@ class Postings:
         rows.sortWithinPartitions("bucket", "left", "right").write.partitionBy("bucket").parquet(f"{self.path}/pairs")
         self.rows = self.spark.read.schema(
             "left string, right string, syms string, freq long, bucket long").parquet(f"{self.path}/pairs")
-        if old:
-            delete_path(self.spark, old)
+        delete_path(self.spark, old)
 
     def _bucket(self, left, right):
-        return F.pmod(F.xxhash64(left, right), F.lit(self.buckets))
+        return F.crc32(F.concat_ws(" ", left, right).cast("binary")) % F.lit(self.buckets)
 
     def rebase(self, merges: list[tuple[str, str]]) -> None:
         self._write(apply_merges(self.words, merges))
@@ -180,11 +184,13 @@ class Postings:
 
     def holding(self, pairs: set[tuple[str, str]]) -> DataFrame:
         """``(left, right, syms, freq)`` of the words that hold one of ``pairs``,
-        once for each that they hold; other buckets are not read."""
-        wanted = self.spark.createDataFrame(sorted(pairs), "left string, right string")
-        wanted = wanted.withColumn("bucket", self._bucket(F.col("left"), F.col("right")))
-        at = [r[0] for r in wanted.select("bucket").distinct().collect()]
-        some = self.rows if len(at) == self.buckets else self.rows.filter(F.col("bucket").isin(at))
+        once for each that they hold; other buckets are not read.  Before the first
+        ``rebase`` all words, with null pairs."""
+        if self.rows is None:
+            return self.words.select(F.lit(None).cast("string").alias("left"), F.lit(None).cast("string").alias("right"), "syms", "freq")
+        rows = [(zlib.crc32(f"{x} {y}".encode()) % self.buckets, x, y) for x, y in sorted(pairs)]
+        wanted, at = self.spark.createDataFrame(rows, "bucket long, left string, right string"), {b for b, _, _ in rows}
+        some = self.rows if len(at) == self.buckets else self.rows.filter(F.col("bucket").isin(sorted(at)))
         return some.join(F.broadcast(wanted), ["bucket", "left", "right"]).select("left", "right", "syms", "freq")
 
 
@@ -200,7 +206,8 @@ def merge_effects(postings: Postings, done: list[tuple[str, str]], tried: list[t
         for pdf in it:
             for left, right, w, freq in zip(pdf["left"], pdf["right"], pdf["syms"], pdf["freq"]):
                 syms = w.split(" ")
-                if min(roots.intersection(zip(syms, syms[1:]))) != (left, right):
+                held = roots.intersection(zip(syms, syms[1:]))
+                if not held or left is not None and min(held) != (left, right):
                     continue  # read once more for another of its pairs
                 total[-1, ("", "")] += 1
                 for at, before, after in replay(syms, places, merges):
@@ -254,8 +261,7 @@ class PairTable:
 
     def next_in_line(self, n: int, least: int) -> list[tuple[str, str]]:
         least = max(least, self.floor + 1)
-        return [p for p, _ in heapq.nsmallest(n, ((p, c) for p, c in self.counts.items() if c >= least),
-                                              key=lambda x: (-x[1], x[0]))]
+        return [p[1:] for p in heapq.nsmallest(n, ((-c, *p) for p, c in self.counts.items() if c >= least))]
 
     def change(self, effects: list[tuple[str, str, int]], new_symbol: str | None) -> bool:
         """Apply a merge's effects; false if a pair's count is no longer known.
@@ -281,13 +287,23 @@ class Predictor:
 
     def __init__(self, words: DataFrame, limit: int):
         rows = words.orderBy(F.desc("freq"), "syms").limit(limit).collect()
-        self.syms = [r["syms"].split(" ") for r in rows]
-        self.freq = [int(r["freq"]) for r in rows]
-        self.holding: dict[tuple[str, str], set[int]] = {}  # words that hold or held a pair
-        for i, syms in enumerate(self.syms):
+        # strings and arrays of numbers: millions of lists would keep the garbage collector busy.  With a blank
+        # on each side of every symbol, replacing a pair works left to right without overlaps
+        self.syms = [" " + r["syms"].replace(" ", "  ") + " " for r in rows]
+        self.freq = array("q", (int(r["freq"]) for r in rows))
+        self.holding: dict[tuple[str, str], array] = {}  # words that hold or held a pair
+        for i, w in enumerate(self.syms):
+            syms = w.split()
             for p in zip(syms, syms[1:]):
-                self.holding.setdefault(p, set()).add(i)
-        self._undo: list[list[tuple[int, list[str]]]] = []
+                self._note(p, i)
+        self._undo: list[list[tuple[int, str]]] = []
+
+    def _note(self, pair: tuple[str, str], i: int) -> None:
+        found = self.holding.get(pair)
+        if found is None:
+            self.holding[pair] = array("I", (i,))
+        elif found[-1] != i:
+            found.append(i)
 
     def play(self, pairs: PairTable, n: int, least: int) -> list[tuple[str, str]]:
         """Up to ``n`` merges that should come next; they stay applied."""
@@ -318,19 +334,22 @@ class Predictor:
     def _apply(self, pair: tuple[str, str], count: int) -> dict[tuple[str, str], int]:
         """Merge in all words; the changes, as large as ``count`` lets expect."""
         new, delta, undo = merged_symbol(*pair), Counter(), []
+        found, put = f" {pair[0]}  {pair[1]} ", f" {new} "
         for i in self.holding.pop(pair, ()):
             before = self.syms[i]
-            after = _merge(before, *pair)
-            if len(after) == len(before):
+            after = before.replace(found, put)
+            if after == before:
                 continue
             undo.append((i, before))
-            self.syms[i] = after
-            for p in zip(before, before[1:]):
-                delta[p] -= self.freq[i]
-            for p in zip(after, after[1:]):
-                delta[p] += self.freq[i]
+            self.syms[i], freq = after, self.freq[i]
+            syms = before.split()
+            for p in zip(syms, syms[1:]):
+                delta[p] -= freq
+            syms = after.split()
+            for p in zip(syms, syms[1:]):
+                delta[p] += freq
                 if new in p:
-                    self.holding.setdefault(p, set()).add(i)
+                    self._note(p, i)
         self._undo.append(undo)
         here = -delta[pair]
         if here and here != count:
@@ -342,13 +361,13 @@ class Predictor:
         for undo, pair in reversed(list(zip(self._undo[n:], merges[n:]))):
             for i, before in undo:
                 self.syms[i] = before
-            self.holding.setdefault(pair, set()).update(i for i, _ in undo)
+                self._note(pair, i)
         self._undo = []
 
 
 def _merge_loop(spark: SparkSession, words: DataFrame, n_merges: int, min_frequency: int,
-                max_pairs: int, predict_words: int = 300_000, n_try: int = 128,
-                rebase_every: int = 256, report: list | None = None) -> list[tuple[str, str, int]]:
+                max_pairs: int, predict_words: int = 500_000, n_try: int = 128,
+                rebase_every: int = 512, report: list | None = None) -> list[tuple[str, str, int]]:
     checkpoint_dir(spark)
     least = max(min_frequency, 1)
     table = Postings(words, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -388,7 +407,7 @@ def _merge_loop(spark: SparkSession, words: DataFrame, n_merges: int, min_freque
         if report is not None:
             report.append({"tried": len(tried), "taken": taken, "words": sum(d for _, _, d in effects.get(-1, []))})
         n_try = min(1024, max(16, 2 * taken))
-        if not sure or (len(pending) >= max(rebase_every, len(merges) // 3) and len(merges) < n_merges):
+        if not sure or (len(pending) >= max(rebase_every, len(merges) // 2) and len(merges) < n_merges):
             table.rebase(pending)
             pending = []
             if not sure:
@@ -421,7 +440,7 @@ def _tables(spark, specials, alphabet, merges):
 
 def train_bpe(texts: DataFrame, vocab_size: int = 8000, text_col: str = "text",
               special_tokens=tuple(SPECIAL_TOKENS[1:]), min_frequency: int = 2,
-              max_pairs: int = 200_000, predict_words: int = 300_000,
+              max_pairs: int = 200_000, predict_words: int = 500_000,
               report: list | None = None) -> tuple[DataFrame, DataFrame]:
     """T4: byte-level BPE.  Returns ``(vocab, merges)``.
 
@@ -444,7 +463,7 @@ def train_bpe(texts: DataFrame, vocab_size: int = 8000, text_col: str = "text",
 
 def train_wordpiece(texts: DataFrame, vocab_size: int = 8000, text_col: str = "text",
                     lower_case: bool = True, special_tokens=tuple(SPECIAL_TOKENS),
-                    min_frequency: int = 0, max_pairs: int = 200_000, predict_words: int = 300_000,
+                    min_frequency: int = 0, max_pairs: int = 200_000, predict_words: int = 500_000,
                     report: list | None = None) -> tuple[DataFrame, DataFrame]:
     """T5: the same merge loop on characters with a ``##`` continuation prefix,
     after NFD / optional lower-case / accent stripping and the whitespace
