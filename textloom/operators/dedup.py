@@ -60,9 +60,8 @@ def dedup_near(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     texts without a word with each other.  Rows equal in id and text share their fate."""
     checkpoint_dir(df.sparkSession)
     text = F.col(text_col)
-    words = df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"),
-                      F.transform(word_tokens(F.lower(text)), lambda w: F.xxhash64(w)).alias("th"))
-    found = similar_texts(words, threshold, k)
+    texts = df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    found = similar_texts(texts, lambda t: F.transform(word_tokens(F.lower(t)), lambda w: F.xxhash64(w)), threshold, k)
     # only rows that are not their own cluster need a lookup
     moved = found.filter(~F.col("id").eqNullSafe(F.col("cluster"))).distinct().checkpoint(eager=True)
     moved = moved.select(F.col("id").alias("_tl_id"), F.col("text_key").alias("_tl_key"), F.col("cluster").alias("_tl_cluster"))

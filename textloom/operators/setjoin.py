@@ -62,45 +62,42 @@ def _sets(b: pa.RecordBatch, k: int) -> Iterator[np.ndarray | None]:
         yield shingle_set(flat[ends[i]:ends[i + 1]].astype(np.int64), k) if words[i].is_valid else None
 
 
-def set_keys(words: DataFrame, k: int) -> DataFrame:
-    """``words(id, text_key, th)`` -> ``id, text_key, node`` (key of the set), ``n``."""
+def keys_and_counts(words: DataFrame, k: int, buckets: int = BUCKETS) -> tuple[DataFrame, np.ndarray]:
+    """In one pass over ``words(id, text_key, th)``: ``id, text_key, node`` (key of the
+    set) of every row, and how many rows hold an element of each hash bucket (a table
+    of fixed size)."""
     kind = dict(words.dtypes)["id"]
+    schema = ["id", "text_key", "node", "at", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, id_type = np.zeros(buckets, np.int64), None
         for b in batches:
-            sets = list(_sets(b, k))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("text_key"),
-                 pa.array([None if s is None else set_key(s) for s in sets], pa.binary()),
-                 pa.array([None if s is None else len(s) for s in sets], pa.int32())], ["id", "text_key", "node", "n"])
-
-    return words.select("id", "text_key", "th").mapInArrow(run, f"id {kind}, text_key long, node binary, n int")
-
-
-def element_counts(words: DataFrame, k: int, buckets: int = BUCKETS) -> np.ndarray:
-    """How many sets hold an element of each hash bucket (a table of fixed size)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(buckets, np.int64)
-        for b in batches:
+            id_type, keys = b.schema.field("id").type, []
             for s in _sets(b, k):
+                keys.append(None if s is None else set_key(s))
                 if s is not None:
                     np.add.at(n, (s % np.uint64(buckets)).astype(np.int64), 1)
-        for at in range(0, buckets, _CHUNK):
+            none = pa.nulls(len(keys), pa.int32()), pa.nulls(len(keys), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("text_key"), pa.array(keys, pa.binary()), *none], schema)
+        for at in range(0, buckets if id_type else 0, _CHUNK):
             if n[at:at + _CHUNK].any():
-                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([n[at:at + _CHUNK]])], ["at", "n"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([at], pa.int32()),
+                     pa.array([n[at:at + _CHUNK]], pa.list_(pa.int64()))], schema)
 
-    parts = words.select("th").mapInArrow(run, "at int, n array<long>")
+    both = words.select("id", "text_key", "th").mapInArrow(
+        run, f"id {kind}, text_key long, node binary, at int, counts array<long>").checkpoint(eager=True)
 
     def add(pdf):
         import pandas as pd
-        return pd.DataFrame({"at": [pdf["at"].iloc[0]], "n": [np.sum(np.stack(pdf["n"].to_list()), axis=0)]})
+        return pd.DataFrame({"at": [pdf["at"].iloc[0]], "counts": [np.sum(np.stack(pdf["counts"].to_list()), axis=0)]})
 
     total = np.zeros(buckets, np.int64)
-    halves = parts.withColumn("_d", F.spark_partition_id() % 64)  # partial sums of a chunk before the last one
-    partial = halves.groupBy("at", "_d").applyInPandas(add, "at int, n array<long>")
-    for r in partial.groupBy("at").applyInPandas(add, "at int, n array<long>").collect():  # `buckets` numbers
-        total[r["at"]:r["at"] + len(r["n"])] = r["n"]
-    return total
+    parts = both.filter("at IS NOT NULL").select("at", "counts", (F.spark_partition_id() % 64).alias("_d"))
+    partial = parts.groupBy("at", "_d").applyInPandas(add, "at int, counts array<long>")  # sums of some of the tasks first
+    for r in partial.groupBy("at").applyInPandas(add, "at int, counts array<long>").collect():  # `buckets` numbers
+        total[r["at"]:r["at"] + len(r["counts"])] = r["counts"]
+    return both.filter("at IS NULL").select("id", "text_key", "node"), total
 
 
 def prefix_length(n: int, threshold: float) -> int:
@@ -225,18 +222,25 @@ def similar_components(groups: DataFrame, sets: DataFrame, threshold: float) ->
         hubs = hubs * 8 or 1
 
 
-def similar_texts(words: DataFrame, threshold: float, k: int) -> DataFrame:
-    """``words(id, text_key, th)`` -> ``id, text_key, cluster`` (the smallest id of
-    the component; null only if no row of it has one) of every row."""
-    keyed = set_keys(words, k).checkpoint(eager=True)
-    rows = prefixes(words, k, element_counts(words, k), threshold)
+def similar_texts(texts: DataFrame, tokens, threshold: float, k: int, broadcast_rows: int = 100_000) -> DataFrame:
+    """``texts(id, text_key, text)`` -> ``id, text_key, cluster`` (the smallest id of
+    the component; null only if no row of it has one) of every row; ``tokens`` makes
+    the array of word hashes of a text column."""
+    def with_words(df: DataFrame) -> DataFrame:
+        return df.withColumn("th", tokens(F.col("text"))).drop("text")
+
+    words = with_words(texts)
+    keyed, counts = keys_and_counts(words, k)
+    rows = prefixes(words, k, counts, threshold)
     several = rows.groupBy("element").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("element")
     groups = rows.join(several, "element", "left_semi").checkpoint(eager=True)
     met = groups.select("node").distinct()
     first = keyed.filter("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("id", "text_key")).alias("_f")).join(
-        met, "node", "left_semi").select("node", "_f.id", "_f.text_key")
-    same = words["id"].eqNullSafe(first["id"]) & (words["text_key"] == first["text_key"])
-    sets = sets_of(words.join(first, same).select(first["node"], words["th"]), k).checkpoint(eager=True)
+        met, "node", "left_semi").select("node", F.col("_f.id").alias("_id"), F.col("_f.text_key").alias("_key")).checkpoint(eager=True)
+    if first.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        first = F.broadcast(first)  # else texts are shuffled, not the arrays made of them
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
+    sets = sets_of(with_words(texts.join(first, same).select("node", "text")), k).checkpoint(eager=True)
     comps = similar_components(groups, sets, threshold)
     named = keyed.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("w"))
     named = (named.withColumn("comp", F.col("node")) if comps is None else
