@@ -11,7 +11,7 @@ from textloom.operators import clean, dedup, order, pretokenize
 from textloom.plans.corpus import unique_tokens_by_lang
 from textloom.plans.registry import query
 from textloom.plans.sql import DOCS, TRIM, WP
-from textloom.plans.tables import documents, table
+from textloom.plans.tables import documents, settled, table
 from textloom.session import scratch_path
 from textloom.sources import artifacts, files, splits
 from textloom.sources import text as src
@@ -124,7 +124,7 @@ def q_save_load(spark, sf):
     path = scratch_path(spark, "splits")
     splits.save_splits(documents(spark, sf).select("doc_id", "lang", "split"), path)
     parts = [splits.load_splits(spark, path, x).select("doc_id", "lang", "split") for x in ("validation", "train")]
-    return parts[0].unionByName(parts[1])
+    return settled(parts[0].unionByName(parts[1]), path)
 
 
 @query("materialize", """
@@ -139,8 +139,8 @@ def q_materialize(spark, sf):
             F.count(F.lit(1)).cast("long").alias("n_docs"))
 
     artifacts.materialize(spark, base, "lang_counts", params, build)
-    # second call finds _SUCCESS and loads instead of rebuilding
-    return artifacts.materialize(spark, base, "lang_counts", params, None)
+    # the second call finds the pointer and loads instead of rebuilding
+    return settled(artifacts.materialize(spark, base, "lang_counts", params, None), base)
 
 
 # ---------------------------------------------------------------- map surface
@@ -455,6 +455,8 @@ def q_dedup_stream(spark, sf):
     out = streaming.dedup_stream(stream, "text")
     sink, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
     streaming.run_available_now(out.select("text", "text_md5"), sink, ckpt)
+    for path in (src_dir, ckpt):  # only the sink is read again
+        artifacts.delete_path(spark, path)
     return spark.read.parquet(sink).select("text")
 
 
@@ -468,6 +470,8 @@ def q_dedup_stream_table(spark, sf):
     src.write_delimited(docs.select(F.concat(F.lit(" "), "text", F.lit("\n")).alias("text")), f"{base}/in")
     stream = streaming.read_delimited_stream(spark, f"{base}/in", repair_bytes=False, max_files_per_trigger=2)
     streaming.run_dedup(stream.select("text"), f"{base}/out", f"{base}/state", f"{base}/ckpt", buckets=8, compact_every=3)
+    for name in ("in", "state", "ckpt"):  # only the sink is read again
+        artifacts.delete_path(spark, f"{base}/{name}")
     return streaming.read_deduped(spark, f"{base}/out").select("text")
 
 

@@ -10,7 +10,7 @@ from textloom.operators.pretokenize import word_counts
 from textloom.plans.q_corpus import BYTE_PIECES
 from textloom.plans.registry import query
 from textloom.plans.sql import DOCS, WORD_IDS, WORD_VOCAB, WP, ids_of, ids_str
-from textloom.plans.tables import documents, table
+from textloom.plans.tables import documents, settled, table
 from textloom.session import checkpoint_dir
 from textloom.sources import artifacts
 
@@ -434,4 +434,4 @@ def q_story_flow(spark, sf):
     write_delimited(docs.filter(F.col("split") == "validation"), f"{base}/valid")
     totals, _ = packed_story_corpus(spark, [f"{base}/train", f"{base}/valid"], vocab_size=VOCAB,
                                     sequence_len=None)
-    return totals
+    return settled(totals, base)

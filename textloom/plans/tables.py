@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from textloom.session import checkpoint_dir
+from textloom.sources.artifacts import delete_path
 from textloom.sources.splits import with_split
 
-
 TEXT_TABLES = ("documents", "conversations", "pages", "benchmark")
 
 
@@ -30,3 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` with ``split``: ``doc_id % 10 == 0`` -> validation."""
     return with_split(table(spark, sf_dir, "documents"), "doc_id")
+
+
+def settled(df: DataFrame, *scratch: str) -> DataFrame:
+    """A small result, checkpointed, so that the scratch folders it was read from can go."""
+    checkpoint_dir(df.sparkSession)
+    out = df.checkpoint(eager=True)
+    for path in scratch:
+        delete_path(df.sparkSession, path)
+    return out
