@@ -34,6 +34,7 @@ MAX_REPEAT_PERCENT = 50
 # fixed values: white space and symbols of the rules
 SPACES = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
+_SPACE = re.compile(r"[ \t\n\r\x0b\x0c]")
 _TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff \t\n\r\x0b\x0c]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -75,13 +76,16 @@ def base_failed(n_words: int, n_repeat_words: int) -> bool:
 
 
 def ngram_buckets(text: str | None, buckets: int = BUCKETS, block: int = 1 << 20) -> Iterator[np.ndarray]:
-    """Bucket numbers of all n-grams of a text, in blocks of bounded size."""
+    """Bucket numbers of all n-grams of a text, in blocks that end at white space:
+    where they end changes nothing."""
     if not text:
         return
-    before = np.empty(0, np.uint64)
-    for at in range(0, len(text), block):
-        # a cut inside a long token of a text over a block makes two tokens of it
-        found = _TOKEN.findall(text[at:at + block].encode("utf-8", "surrogatepass"))
+    before, at = np.empty(0, np.uint64), 0
+    while at < len(text):
+        space = _SPACE.search(text, at + block)
+        end = space.start() if space else len(text)
+        found = _TOKEN.findall(text[at:end].encode("utf-8", "surrogatepass"))
+        at = end
         h = np.fromiter(map(zlib.crc32, found), np.uint64, len(found))
         yield (h * _MIX >> np.uint64(32)) % np.uint64(buckets)
         chain = np.concatenate([before, h])
