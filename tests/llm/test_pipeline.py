@@ -6,7 +6,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline as P
 from textloom.llm import quality
 from textloom.llm.queries import language_model
-from textloom.llm.langid import MIN_SCORE, identify
+from textloom.llm.langid import identify, keep_identified, least_score
 
 from test_decontam import brute as brute_hits
 from test_simhash import expected as brute_groups
@@ -34,8 +34,16 @@ def test_stages(spark):
 
     state = after
     after = go(1)
-    found = identify(state, language_model(state)).collect()
-    assert set(rows(after)) == {r.doc_id for r in found if r.score >= MIN_SCORE and r.lang_pred != "und"}
+    model = language_model(state)
+    least = least_score(len(model.langs))
+    found = identify(state, model).collect()
+    assert set(rows(after)) == {r.doc_id for r in found if r.score >= least and r.lang_pred != "und"}
+    assert len(rows(after)) > 0.99 * len(found)
+    unsure = [r for r in found if r.score < least]
+    other = {1: "123 456 " * 30, 2: None, 3: "", 4: "日本 " * 3}
+    df = spark.createDataFrame(list(other.items()), "doc_id long, text string")
+    assert {r.doc_id for r in keep_identified(df, model).collect()} <= {4}
+    assert 1 / len(model.langs) < least < 1 and all(r.doc_id not in rows(after) for r in unsure)
 
     state = after
     after = go(2)

@@ -37,7 +37,8 @@ SAMPLE_TOTAL = 20_000
 #: training windows of one sampled document, spread over its whole text
 WINDOWS_PER_DOC = 4
 EPOCHS = 16
-MIN_SCORE = 0.3
+#: how far from a guess among the learned languages (0) to certainty (1) a score has to be
+MIN_CONFIDENCE = 1 / 3
 UNKNOWN = "und"
 
 
@@ -244,11 +245,19 @@ def _predict(model: Model, texts: pa.Array) -> list[tuple[str, float]]:
     return [next(scored) if k else (UNKNOWN, 0.0) for k in known]
 
 
+def least_score(langs: int, confidence: float = MIN_CONFIDENCE) -> float:
+    """The score of ``confidence``: of L languages none can score below 1 / L."""
+    return 1 / langs + (1 - 1 / langs) * confidence if langs else 0.0
+
+
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text",
-                    min_score: float = MIN_SCORE) -> DataFrame:
-    """Rows whose language is known with ``min_score`` at least, with all their
-    columns; nothing moves.  A model without languages keeps every row that has
-    a letter."""
+                    min_score: float | None = None) -> DataFrame:
+    """Rows whose language is known with ``min_score`` at least (by default that of
+    ``MIN_CONFIDENCE``), with all their columns; nothing moves.  Texts that look like
+    no learned language more than like the others go; one in an unlearned language
+    that the network takes for a learned one stays.  A model without languages keeps
+    every row that has a letter."""
+    min_score = least_score(len(model.langs)) if min_score is None else min_score
     name, = free_names(docs, "_letters")
     d = docs.withColumn(name, F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))).filter(name)
 
