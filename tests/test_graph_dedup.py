@@ -154,3 +154,11 @@ def test_prefixes_hold_a_common_element_of_every_similar_pair():
             if b and len(a & b) >= threshold * len(a | b):
                 first = [set(sorted(s)[:setjoin.prefix_length(len(s), threshold)]) for s in (a, b)]
                 assert first[0] & first[1]
+
+
+def test_hot_elements_are_dealt_over_partitions(spark, monkeypatch):
+    part = setjoin.shared_prefixes
+    monkeypatch.setattr(setjoin, "shared_prefixes", lambda *a: part(*a, max_rows=3))
+    r = random.Random(6)
+    sets = {i: {0, 1} | {r.randrange(30) for _ in range(6)} for i in range(60)}
+    assert clusters(spark, sets, threshold=0.6) == brute(sets, 0.6)

@@ -104,11 +104,14 @@ def prefix_length(n: int, threshold: float) -> int:
     return n - int(np.ceil(threshold * n - 1e-9)) + 1
 
 
-def prefixes(words: DataFrame, k: int, counts: np.ndarray, threshold: float) -> DataFrame:
-    """``element, node, n, at``: the prefix elements of every distinct set with their
-    places in rare-first order."""
+def shared_prefixes(words: DataFrame, k: int, counts: np.ndarray, threshold: float, max_rows: int = 1 << 20) -> DataFrame:
+    """``element, node, n, at``: the prefix elements that several distinct sets have,
+    with their places in rare-first order.
+
+    One shuffle by element.  An element whose bucket counts more than ``max_rows`` is
+    dealt over several partitions and taken for shared without a count."""
     shared = words.sparkSession.sparkContext.broadcast(counts)
-    schema = ["element", "node", "n", "at"]
+    schema = ["element", "part", "node", "n", "at"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency = shared.value
@@ -126,14 +129,19 @@ def prefixes(words: DataFrame, k: int, counts: np.ndarray, threshold: float) ->
                     sizes.append(len(s))
                 if keys:
                     lengths = [len(f) for f in firsts]
+                    elements = np.concatenate(firsts)
+                    hot = frequency[(elements % np.uint64(len(frequency))).astype(np.int64)] // max_rows
+                    dealt = np.repeat([int.from_bytes(key[:4], "little") for key in keys], lengths) % (hot + 1)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(firsts).view(np.int64)),
+                        [pa.array(elements.view(np.int64)), pa.array(np.where(hot > 0, dealt + 1, 0).astype(np.int32)),
                          pa.array(np.repeat(np.array(keys, object), lengths), pa.binary()),
                          pa.array(np.repeat(sizes, lengths).astype(np.int32)),
                          pa.array(np.concatenate([np.arange(n, dtype=np.int32) for n in lengths]))], schema)
 
-    rows = words.select("th").mapInArrow(run, "element long, node binary, n int, at int")
-    return rows.groupBy("element", "node").agg(F.first("n").alias("n"), F.first("at").alias("at"))
+    rows = words.select("th").mapInArrow(run, "element long, part int, node binary, n int, at int").repartition("element", "part")
+    rows = rows.groupBy("element", "part", "node").agg(F.first("n").alias("n"), F.first("at").alias("at"))
+    several = F.count(F.lit(1)).over(Window.partitionBy("element", "part")) > 1
+    return rows.withColumn("_s", several).filter("_s OR part > 0").select("element", "node", "n", "at")
 
 
 def sets_of(words: DataFrame, k: int) -> DataFrame:
@@ -231,9 +239,7 @@ def similar_texts(texts: DataFrame, tokens, threshold: float, k: int, broadcast_
 
     words = with_words(texts)
     keyed, counts = keys_and_counts(words, k)
-    rows = prefixes(words, k, counts, threshold)
-    several = rows.groupBy("element").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("element")
-    groups = rows.join(several, "element", "left_semi").checkpoint(eager=True)
+    groups = shared_prefixes(words, k, counts, threshold).checkpoint(eager=True)
     met = groups.select("node").distinct()
     first = keyed.filter("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("id", "text_key")).alias("_f")).join(
         met, "node", "left_semi").select("node", F.col("_f.id").alias("_id"), F.col("_f.text_key").alias("_key")).checkpoint(eager=True)
