@@ -59,3 +59,12 @@ def test_own_sentences_that_look_like_attributions_stay(spark):
             ("On x, y wrote:\r\n\n \n>> q\nyes", "\n \nyes"), ("end\nOn it he wrote:", "end\nOn it he wrote:")]
     got = spark.createDataFrame(rows, "t string, want string").withColumn("got", Q.without_quotes(F.col("t"))).collect()
     assert [r.got for r in got] == [r.want for r in got]
+
+
+def test_own_text_keeps_what_only_looks_quoted(spark):
+    rows = [(1, 0, ">>> print(1)\nis what I ran"), (1, 1, "On x, y wrote:\n> is what I ran\n> nobody said this\nI see\n> \nbye"),
+            (1, 2, "On x, y wrote:\n> made up\nno"), (1, 3, None)]
+    got = Q.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, text string")).collect()
+    assert {r.turn: r.own_text for r in got} == {0: ">>> print(1)\nis what I ran", 1: "> nobody said this\nI see\nbye",
+                                                 2: "On x, y wrote:\n> made up\nno", 3: ""}
+    assert {r.turn: (r.n_quoted, r.n_linked, r.reply_to) for r in got}[1] == (2, 1, 0)

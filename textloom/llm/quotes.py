@@ -56,6 +56,18 @@ def without_quotes(text: Column) -> Column:
     return F.array_join(own, "\n")
 
 
+def without_linked(text: Column, linked: Column) -> Column:
+    """The text without its quoted lines that are ``linked`` (array of level and hash,
+    null: none) and without lines that announce quoted ones.  A line that only looks
+    quoted stays; a text without a linked line stays as it is."""
+    def goes(line: Column) -> Column:
+        key = F.struct(level_of(line).alias("level"), F.xxhash64(normalised(bare(line))).alias("hash"))
+        return line.rlike(_MARKS) & ((normalised(bare(line)) == "") | F.array_contains(linked, key))
+
+    own = F.array_join(F.filter(lines_of(unannounced(text)), lambda x: ~goes(x)), "\n")
+    return F.when(linked.isNull(), F.coalesce(text, F.lit(""))).otherwise(own)
+
+
 def parsed_lines(messages: DataFrame, conv: str, turn: str, text: str) -> DataFrame:
     """``conv, turn, level, hash, n``: each distinct non-empty line of a message
     at each level, and how often it stands there."""
@@ -117,23 +129,28 @@ def threads(replies: DataFrame) -> DataFrame:
 def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text",
                 block_turns: int = BLOCK_TURNS) -> DataFrame:
     """One row per row of ``messages``: its conversation and turn, ``reply_to``,
-    ``thread``, ``depth``, ``n_quoted`` (quoted lines), ``n_linked`` (those found)
-    and ``clean_text``.  Sorting by ``(conversation, thread, depth, turn)`` is reply
-    order.
+    ``thread``, ``depth``, ``n_quoted`` (quoted lines), ``n_linked`` (those found),
+    ``clean_text`` (no line with a quote mark) and ``own_text`` (only linked quotes
+    are gone: lines that look quoted but link to nothing stay).  Sorting by
+    ``(conversation, thread, depth, turn)`` is reply order.
 
     Null texts are empty; rows without a conversation or turn are threads of
     their own (null); messages that repeat a turn share its links."""
     lines = checkpointed(parsed_lines(messages, conv_col, turn_col, text_col))
     links = checkpointed(linked_lines(lines, block_turns))
     counts = links.groupBy("conv", "turn").agg(
-        F.sum("n").alias("n_quoted"), F.sum(F.when(F.col("source").isNotNull(), F.col("n"))).alias("n_linked"))
+        F.sum("n").alias("n_quoted"), F.sum(F.when(F.col("source").isNotNull(), F.col("n"))).alias("n_linked"),
+        # null without a linked line; no longer than the message
+        F.collect_set(F.when(F.col("source").isNotNull(), F.struct("level", "hash"))).alias("_linked"))
+    counts = counts.withColumn("_linked", F.when(F.size("_linked") > 0, F.col("_linked")))
     quoted = quoted_messages(links).groupBy("conv", "turn").agg(F.min_by("source", "level").alias("reply_to"))
     turns = messages.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn")).distinct()
     turns = turns.filter("conv IS NOT NULL AND turn IS NOT NULL")
     found = threads(turns.join(quoted, ["conv", "turn"], "left")).join(counts, ["conv", "turn"], "left")
     d = messages.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"),
-                        without_quotes(F.col(text_col)).alias("clean_text"))
+                        without_quotes(F.col(text_col)).alias("clean_text"), F.col(text_col).alias("_text"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     return d.join(found, ["conv", "turn"], "left").select(
         F.col("conv").alias(conv_col), F.col("turn").alias(turn_col), "reply_to", "thread", "depth",
-        zero("n_quoted"), zero("n_linked"), "clean_text")
+        zero("n_quoted"), zero("n_linked"), "clean_text",
+        without_linked(F.col("_text"), F.col("_linked")).alias("own_text"))
