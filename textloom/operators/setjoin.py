@@ -31,6 +31,8 @@ from textloom.operators.bounded import skew_safe_lookup
 from textloom.operators.graph import connected_components
 
 BUCKETS = 1 << 20
+#: rows of a table up to which it is broadcast
+BROADCAST_ROWS = 100_000
 _CHUNK = 1 << 14
 #: members of a set verified against one group of another at once
 _PART = 256
@@ -77,20 +79,20 @@ def keys_and_counts(words: DataFrame, k: int, buckets: int = BUCKETS) -> tuple[D
                 keys.append(None if s is None else set_key(s))
                 if s is not None:
                     np.add.at(n, (s % np.uint64(buckets)).astype(np.int64), 1)
-            none = pa.nulls(len(keys), pa.int32()), pa.nulls(len(keys), pa.list_(pa.int64()))
+            none = pa.nulls(len(keys), pa.int32()), pa.nulls(len(keys), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("text_key"), pa.array(keys, pa.binary()), *none], schema)
         for at in range(0, buckets if id_type else 0, _CHUNK):
             if n[at:at + _CHUNK].any():
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([at], pa.int32()),
-                     pa.array([n[at:at + _CHUNK]], pa.list_(pa.int64()))], schema)
+                     pa.array([n[at:at + _CHUNK].astype(np.int32)], pa.list_(pa.int32()))], schema)
 
     both = words.select("id", "text_key", "th").mapInArrow(
-        run, f"id {kind}, text_key long, node binary, at int, counts array<long>").checkpoint(eager=True)
+        run, f"id {kind}, text_key long, node binary, at int, counts array<int>").checkpoint(eager=True)
 
     def add(pdf):
         import pandas as pd
-        return pd.DataFrame({"at": [pdf["at"].iloc[0]], "counts": [np.sum(np.stack(pdf["counts"].to_list()), axis=0)]})
+        return pd.DataFrame({"at": [pdf["at"].iloc[0]], "counts": [np.sum(np.stack(pdf["counts"].to_list()), axis=0, dtype=np.int64)]})
 
     total = np.zeros(buckets, np.int64)
     parts = both.filter("at IS NOT NULL").select("at", "counts", (F.spark_partition_id() % 64).alias("_d"))
@@ -145,14 +147,17 @@ def shared_prefixes(words: DataFrame, k: int, counts: np.ndarray, threshold: flo
 
 
 def sets_of(words: DataFrame, k: int) -> DataFrame:
-    """``words(node, th)`` -> one ``node, sh`` for every node."""
+    """``words(node, th)`` -> ``node, sh`` of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sh = pa.array([s.view(np.int64) for s in _sets(b, k)], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([b.column("node"), sh], ["node", "sh"])
 
-    return words.select("node", "th").mapInArrow(run, "node binary, sh array<long>").groupBy("node").agg(
-        F.first("sh").alias("sh"))
+    return words.select("node", "th").mapInArrow(run, "node binary, sh array<long>")
+
+
+def _broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -162,7 +167,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     degree = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
     part = F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / _PART).cast("long"))
     dealt = pairs.join(degree, "b").select("a", "b", part.alias("part")).checkpoint(eager=True)
-    set_of = lambda c: sets.select(F.col("node").alias(c), "sh")
+    # sets that no pair asks for stay where they are
+    asked = _broadcast_if_small(dealt.select(F.explode(F.array("a", "b")).alias("node")).distinct(), BROADCAST_ROWS)
+    wanted = sets.join(asked, "node", "left_semi")
+    set_of = lambda c: wanted.select(F.col("node").alias(c), "sh")
     member = dealt.join(set_of("a"), "a").select("b", "part", "a", "sh")
     hub = dealt.select("b", "part").distinct().join(set_of("b"), "b").select(
         "b", "part", F.lit(None).cast("binary").alias("a"), "sh")
@@ -230,7 +238,7 @@ def similar_components(groups: DataFrame, sets: DataFrame, threshold: float) ->
         hubs = hubs * 8 or 1
 
 
-def similar_texts(texts: DataFrame, tokens, threshold: float, k: int, broadcast_rows: int = 100_000) -> DataFrame:
+def similar_texts(texts: DataFrame, tokens, threshold: float, k: int) -> DataFrame:
     """``texts(id, text_key, text)`` -> ``id, text_key, cluster`` (the smallest id of
     the component; null only if no row of it has one) of every row; ``tokens`` makes
     the array of word hashes of a text column."""
@@ -243,10 +251,13 @@ def similar_texts(texts: DataFrame, tokens, threshold: float, k: int, broadcast_
     met = groups.select("node").distinct()
     first = keyed.filter("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("id", "text_key")).alias("_f")).join(
         met, "node", "left_semi").select("node", F.col("_f.id").alias("_id"), F.col("_f.text_key").alias("_key")).checkpoint(eager=True)
-    if first.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        first = F.broadcast(first)  # else texts are shuffled, not the arrays made of them
+    first = _broadcast_if_small(first, BROADCAST_ROWS)  # else texts are shuffled, not the arrays made of them
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
-    sets = sets_of(with_words(texts.join(first, same).select("node", "text")), k).checkpoint(eager=True)
+    sets = sets_of(with_words(texts.join(first, same).select("node", "text")), k)
+    if not keyed.groupBy("id", "text_key").count().filter("count > 1").isEmpty():
+        # rows that are equal in id and text name one set: one of them is enough
+        sets = sets.groupBy("node").agg(F.first("sh").alias("sh"))
+    sets = sets.checkpoint(eager=True)
     comps = similar_components(groups, sets, threshold)
     named = keyed.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("w"))
     named = (named.withColumn("comp", F.col("node")) if comps is None else
