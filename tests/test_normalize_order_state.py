@@ -39,6 +39,16 @@ def test_nfd_orders_marks(spark):
     assert nfd_of(spark, texts) == [None if t is None else unicodedata.normalize("NFD", t) for t in texts]
 
 
+@pytest.mark.parametrize("lower", [True, False])
+def test_accents_go_from_every_code_point(spark, lower):
+    points = [chr(p) for p in range(1, 0x3000) if not 0xD800 <= p < 0xE000]
+    texts = points + ["".join(points[i:i + 90]) for i in range(0, len(points), 90)] + [None, "", "Crème Brûlée – İstanbul"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, t string").repartition(4)
+    by_hand = F.regexp_replace(F.lower(nfd(F.col("t"))) if lower else nfd(F.col("t")), r"\p{M}+", "")
+    got = df.select(normalize_text_col(F.col("t"), lower).alias("a"), by_hand.alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got]
+
+
 def test_normalize_needs_no_python(spark):
     df = spark.createDataFrame([("É\u0327 Ünï",)], "t string").select(normalize_text_col(F.col("t")).alias("n"))
     assert df.first().n == "e uni"

@@ -7,8 +7,10 @@ Spark has no normalisation function, but NFD is a table lookup and a stable sort
   same tables: leading, vowel, trailing);
 * runs of combining marks are sorted by their combining class.
 
-Both steps are skipped for texts without such characters, so plain ASCII costs one
-regular-expression test.  The tables are generated from Python's Unicode database.
+Texts of ASCII and Latin-1 symbols cost one test of a small character class.  Texts
+that have accented Latin letters besides take a short way: no marks of their own, so
+nothing to sort, and without accents a single ``translate``.  The tables are generated
+from Python's Unicode database.
 """
 
 from __future__ import annotations
@@ -65,8 +67,22 @@ def _let(value: Column, f) -> Column:
     return F.transform(F.array(value), f)[0]
 
 
-def _decomposed(c: Column) -> Column:
-    inside, places, *_ = _tables()
+# accented Latin letters; beside them only characters that never decompose
+_LATIN = r"\x{C0}-\x{24F}\x{1E00}-\x{1EFF}"
+_PLAIN = r"\x{00}-\x{BF}"
+
+
+def _is_plain(c: Column) -> Column:
+    return ~c.rlike(f"[^{_PLAIN}]")
+
+
+def _is_latin(c: Column) -> Column:
+    return ~c.rlike(rf"[^{_PLAIN}{_LATIN}\x{{2010}}-\x{{206F}}]")
+
+
+def _expanded(c: Column, inside: str) -> Column:
+    """Every character of the ranges that decomposes, as its parts."""
+    _, places, *_ = _tables()
 
     def one(token: Column) -> Column:
         first = F.translate(token, *places[0])
@@ -74,8 +90,19 @@ def _decomposed(c: Column) -> Column:
 
     # only single characters of the ranges are looked up
     tokens = F.regexp_extract_all(c, F.lit(f"[{inside}]|[^{inside}]+"), F.lit(0))
-    whole = F.array_join(F.transform(tokens, lambda t: F.when(F.length(t) == 1, one(t)).otherwise(t)), "")
-    return F.when(c.rlike(f"[{inside}]"), whole).otherwise(c)
+    return F.array_join(F.transform(tokens, lambda t: F.when(F.length(t) == 1, one(t)).otherwise(t)), "")
+
+
+def _decomposed(c: Column) -> Column:
+    inside = _tables()[0]
+    return F.when(c.rlike(f"[{inside}]"), _expanded(c, inside)).otherwise(c)
+
+
+@lru_cache(maxsize=1)
+def _latin_bases() -> tuple[str, str]:
+    points = [chr(p) for a, b in ((0xC0, 0x24F), (0x1E00, 0x1EFF)) for p in range(a, b + 1)]
+    changed = [c for c in points if unicodedata.normalize("NFD", c) != c]
+    return "".join(changed), "".join(unicodedata.normalize("NFD", c)[0] for c in changed)
 
 
 def _reordered(c: Column) -> Column:
@@ -93,4 +120,10 @@ def _reordered(c: Column) -> Column:
 
 def nfd_expr(c: Column) -> Column:
     """Unicode canonical decomposition of a text column, without Python."""
-    return _let(_let(c, _decomposed), _reordered)
+    return _let(c, lambda t: F.when(_is_plain(t), t).when(_is_latin(t), _expanded(t, _LATIN)).otherwise(
+        _let(_decomposed(t), _reordered)))
+
+
+def without_accents(c: Column, otherwise) -> Column:
+    """The base letters of texts of Latin letters; ``otherwise(text)`` for the rest."""
+    return _let(c, lambda t: F.when(_is_latin(t), F.translate(t, *_latin_bases())).otherwise(otherwise(t)))

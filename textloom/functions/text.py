@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.functions.decompose import nfd_expr
+from textloom.functions.decompose import nfd_expr, without_accents
 
 __all__ = [
     "EOT", "SPECIAL_TOKENS", "WORD_PATTERN", "BYTE_LEVEL_PATTERN", "WHITESPACE_CLASS",
@@ -138,12 +138,10 @@ def strip_marks(c) -> Column:
 
 def normalize_text_col(c, lower: bool = True, strip_accents: bool = True) -> Column:
     """NFD, then optional lower-case, then optional removal of combining marks."""
-    out = nfd(col_of(c))
-    if lower:
-        out = F.lower(out)
-    if strip_accents:
-        out = strip_marks(out)
-    return out
+    low = F.lower if lower else (lambda x: x)
+    if not strip_accents:
+        return low(nfd(col_of(c)))
+    return low(without_accents(col_of(c), lambda t: strip_marks(low(nfd(t)))))
 
 
 def word_tokens(c) -> Column:
