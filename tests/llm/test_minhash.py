@@ -89,6 +89,14 @@ def test_large_bucket_of_unlike_texts(spark):
     assert groups(spark, rows, max_bucket=10, rows=2, bands=16) == brute(rows)
 
 
+def test_parts_of_a_bucket_are_one_family(spark):
+    """40 nodes share one band and no other; only two each are alike beyond it, whatever their parts."""
+    sig = lambda i: np.array([7] * 5 + ([10_000 + i] + [1000 + i // 2] * 4) * 31, np.uint32).tobytes()
+    nodes = spark.createDataFrame([(bytearray([i]), bytearray(sig(i))) for i in range(40)], "node binary, sig binary")
+    found = {r.node[0]: r.family for r in minhash.families(nodes, 85, 5, 32, 1e-6, 4).collect()}
+    assert all(i in found and found[i] == found[i + 1] for i in range(0, 40, 2))
+
+
 def test_exact_threshold():
     base = [f"s{i}" for i in range(102)]  # 100 shingles
     assert len(shingles(" ".join(base))) == 100

@@ -242,8 +242,9 @@ def families(nodes: DataFrame, percent: int, rows: int, bands: int, miss: float,
     search = Search(rows * bands, percent, miss)
 
     def likely(members: list) -> list[tuple[bytes, bytes]]:
-        first, rep = members[0][0], members[0][3]  # of a bucket in parts, which are one family
-        return _joined(members, search) + ([(first, rep)] if rep is not None and rep != first else [])
+        # the parts of a bucket do not meet here, so that all of it is one family
+        rep = members[0][3]
+        return _joined(members, search) if rep is None else [(r[0], rep) for r in members if r[0] != rep]
 
     keys = F.array(*[F.xxhash64(F.lit(k), F.substring("sig", 4 * rows * k + 1, 4 * rows)) for k in range(bands)])
     keyed = nodes.select("node", F.explode(keys).alias("group"))
