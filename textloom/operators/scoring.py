@@ -78,16 +78,21 @@ def ngram_overlap(df: DataFrame, key, pred_tokens: str, ref_tokens: str, orders=
     ns = F.array(*[F.lit(int(n)) for n in orders])
     base = df.select(*key, pred_tokens, ref_tokens, F.explode(ns).alias("n"))
 
-    def counts(tok):
-        return (base.select(*key, "n", F.explode(_ngrams(F.col(tok), F.col("n"))).alias("g"))
-                .groupBy(*key, "n", "g").agg(F.count(F.lit(1)).alias("c")))
-
-    matches = (counts(pred_tokens).alias("p").join(counts(ref_tokens).alias("r"), [*key, "n", "g"])
-               .groupBy(*key, "n").agg(F.sum(F.least("p.c", "r.c")).cast("long").alias("m")))
+    def grams(tok, side):
+        return base.select(*key, "n", F.explode(_ngrams(F.col(tok), F.col("n"))).alias("g"), F.lit(side).alias("p"))
+
+    # both sides in one grouping, not joined: the size of a table says little about that of its
+    # n-grams, and a side that is taken for small would go through the driver
+    known = F.lit(True)
+    for k in key:  # null keys meet nothing
+        known = known & F.col(k).isNotNull()
+    both = grams(pred_tokens, 1).unionByName(grams(ref_tokens, 0)).filter(known)
+    matches = (both.groupBy(*key, "n", "g").agg(F.sum("p").alias("c_p"), F.count(F.lit(1)).alias("c"))
+               .groupBy(*key, "n").agg(F.sum(F.least(F.col("c_p"), F.col("c") - F.col("c_p"))).cast("long").alias("m")))
     totals = base.select(*key, "n",
                          F.greatest(F.size(pred_tokens) - F.col("n") + 1, F.lit(0)).alias("tp"),
                          F.greatest(F.size(ref_tokens) - F.col("n") + 1, F.lit(0)).alias("tr"))
-    return (totals.join(matches, [*key, "n"], "left")
+    return (totals.join(matches.hint("merge"), [*key, "n"], "left")
             .withColumn("m", F.coalesce("m", F.lit(0)).cast("long")))
 
 
