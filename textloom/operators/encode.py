@@ -2,16 +2,15 @@
 
 Encoding is a dictionary job, not a per-row library call:
 
-1. explode every text into pre-tokenizer pieces with their positions;
+1. explode every text into pre-tokenizer pieces;
 2. ``groupBy(piece)`` -> the distinct pieces (partial aggregation);
 3. encode each distinct piece once (``mapInPandas``; the vocabulary and
    merges are bounded by the vocabulary size and shipped as a broadcast
    variable);
-4. join the piece ids back: the whole dictionary by broadcast when it passes
-   a checked row bound, otherwise the most frequent pieces (a bounded top-k)
-   by broadcast and the rest by a salted shuffle join -- so a word that holds
-   a third of all tokens never lands on one reducer;
-5. rebuild each row's ids in position order (per-row groups).
+4. look the pieces of each row up in place (``lookup``): the whole dictionary
+   by broadcast when it passes a checked row bound, otherwise the most frequent
+   pieces; only the rest of the pieces become rows, join the dictionary by
+   shuffle and go back into their gaps.
 """
 
 from __future__ import annotations
@@ -28,8 +27,10 @@ from textloom.functions.arrays import (added_specials_mask, attention_mask, trun
                                        with_specials)
 from textloom.functions.text import (SPECIAL_TOKENS, WHITESPACE_CLASS, byte_level_tokens,
                                      nfkc, normalize_text_col, word_tokens)
-from textloom.operators.bounded import bounded_broadcast
+from textloom.operators.bounded import TooLargeToBroadcast
+from textloom.operators.lookup import ROW, replace_keys
 from textloom.operators.piece_encoders import build_encoder
+from textloom.session import checkpoint_dir
 
 UNK, PAD, CLS, EOS, MASK = SPECIAL_TOKENS
 METASPACE = "▁"
@@ -127,15 +128,6 @@ def encode_dictionary(words: DataFrame, tok: Tokenizer) -> DataFrame:
     return words.mapInPandas(run, ENC_SCHEMA)
 
 
-ROW = "_tl_row"
-
-
-def _dealt(df: DataFrame, id_cols: list[str]) -> DataFrame:
-    """Rows dealt by id, each with a key of its own: rows of one id never mix.  The
-    key is given after the shuffle, for use in the same stage."""
-    return df.repartition(*id_cols).withColumn(ROW, F.monotonically_increasing_id())
-
-
 def _numbered(df: DataFrame, id_cols: list[str], *content: str) -> DataFrame:
     """Rows with a key that recomputation cannot change: a hash of the content and
     a number among the rows that are equal in id and hash."""
@@ -144,76 +136,58 @@ def _numbered(df: DataFrame, id_cols: list[str], *content: str) -> DataFrame:
     return df.withColumn(ROW, F.concat_ws("-", h.cast("string"), n.cast("string")))
 
 
+def _most_frequent(dictionary: DataFrame, n: int) -> DataFrame:
+    """At most ``n`` of the pieces of bounded length, the most frequent: counts in
+    steps of a 16th of a doubling, so that no task sorts them."""
+    some = dictionary.filter(F.length("word") <= 256).withColumn("_tl_f", F.floor(16 * F.log2("n")))
+    room, least = n, None
+    for f, rows in sorted(((r["_tl_f"], r["count"]) for r in some.groupBy("_tl_f").count().collect()), reverse=True):
+        room -= rows
+        if room < 0:
+            break
+        least = f
+    return some.filter(F.lit(False) if least is None else F.col("_tl_f") >= least)
+
+
 def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", id_cols=("doc_id",),
-           out_col: str = "input_ids", hot_words: int = 10000,
-           broadcast_rows: int = 1_000_000, broadcast_bytes: int = 256 << 20) -> DataFrame:
+           out_col: str = "input_ids", hot_words: int = 200_000,
+           broadcast_rows: int = 500_000, broadcast_bytes: int = 64 << 20) -> DataFrame:
     """T7 + T8: ``input_ids`` and ``num_tokens`` for every row of ``df``.
 
-    One pass over the token stream.  When the dictionary (distinct pieces)
-    passes a checked bound of ``broadcast_rows`` rows and ``broadcast_bytes``
-    bytes it is broadcast whole and the join is narrow.  Beyond the bound, the ``hot_words`` most frequent pieces
-    (a bounded top-k) join by broadcast and every other piece joins the
-    dictionary by shuffle; hot rows carry a salted key that matches nothing,
-    so they spread evenly instead of piling onto one reducer.
+    One pass over the token stream, which stays in its rows (``lookup``).  A
+    dictionary (distinct pieces) within a checked bound of ``broadcast_rows``
+    rows and ``broadcast_bytes`` bytes is broadcast whole.  Beyond the bound,
+    about the ``hot_words`` most frequent pieces are, and only the other
+    pieces of a text meet the dictionary by shuffle.
 
     Every row gives a row, also rows with the same ids; null and empty texts
     give no tokens."""
     id_cols = list(id_cols)
-    pieces = F.posexplode_outer(tok.pieces(F.col(text_col))).alias("pos", "word")
     if tok.model == "word":
         # the vocabulary is the dictionary; ids are frequency ranks
-        k = len(tok.specials)
         body = tok.vocab.filter(~F.col("special"))
-        hot = body.filter((F.col("id") < k + hot_words) & (F.length("piece") <= 256)).select(
-            F.col("piece").alias("word"), F.array("id").alias("hot_ids"))
-        cold = body.select(F.col("piece").alias("_tl_jk"), F.array("id").alias("cold_ids"))
-        unk = tok.special_id(UNK)
+        cold = body.select(F.col("piece").alias("key"), F.array("id").alias("values"))
+        hot = body.filter((F.col("id") < len(tok.specials) + hot_words) & (F.length("piece") <= 256)).select(
+            F.col("piece").alias("key"), F.array("id").alias("values"))
+        missing = [tok.special_id(UNK)]
     else:
         words = df.select(F.explode(tok.pieces(F.col(text_col))).alias("word")).groupBy("word").agg(
             F.count(F.lit(1)).cast("long").alias("n"))
-        from textloom.session import checkpoint_dir
         checkpoint_dir(df.sparkSession)
         # distinct pieces encoded once; checkpointed so the Python encoder never reruns
         enc = encode_dictionary(words, tok).checkpoint(eager=True)
-        # top-k by frequency among pieces of bounded length: bounded bytes
-        hot = enc.filter(F.length("word") <= 256).orderBy(F.desc("n"), "word").limit(
-            hot_words).select("word", F.col("ids").alias("hot_ids"))
-        cold = enc.select(F.col("word").alias("_tl_jk"), F.col("ids").alias("cold_ids"))
-        unk = None
+        cold = enc.select(F.col("word").alias("key"), F.col("ids").alias("values"))
+        hot, missing = None, []
     probe = cold.limit(broadcast_rows + 1).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.octet_length("_tl_jk") + 4 * F.size("cold_ids") + 32).alias("b")).first()
+        F.sum(F.octet_length("key") + 4 * F.size("values") + 32).alias("b")).first()
+    rows, pieces = df.select(*id_cols, text_col), tok.pieces(F.col(text_col))
     if probe["n"] <= broadcast_rows and (probe["b"] or 0) <= broadcast_bytes:
-        # texts are dealt by row key before they are exploded: the broadcast
-        # join and the regrouping below keep that partitioning, so one shuffle
-        # of text replaces one of every token
-        occ = _dealt(df.select(*id_cols, text_col), id_cols).select(*id_cols, ROW, pieces)
-        whole = F.broadcast(cold.select(F.col("_tl_jk").alias("word"),
-                                        F.col("cold_ids").alias("hot_ids")))
-        joined = occ.join(whole, "word", "left").withColumn("cold_ids", F.lit(None))
-    else:
-        occ = _numbered(df.select(*id_cols, text_col), id_cols, text_col).select(*id_cols, ROW, pieces)
-        joined = _hot_cold_join(occ, bounded_broadcast(hot, hot_words, "hot words"), cold, [*id_cols, ROW])
-    ids = F.coalesce(F.col("hot_ids"), F.col("cold_ids"))
-    if unk is not None:
-        ids = F.when(F.col("word").isNull(), F.lit(None)).otherwise(
-            F.coalesce(ids, F.array(F.lit(unk))))
-    tokens = joined.select(*id_cols, ROW, "pos", ids.alias("ids"))
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "ids")))
-    out = tokens.groupBy(*id_cols, ROW).agg(ordered.alias("_tl_p")).select(
-        *id_cols, F.flatten(F.filter(F.transform("_tl_p", lambda s: s["ids"]),
-                                     lambda x: x.isNotNull())).alias(out_col))
-    return out.withColumn("num_tokens", F.size(out_col).cast("long"))
-
-
-def _hot_cold_join(occ: DataFrame, hot: DataFrame, cold: DataFrame, id_cols) -> DataFrame:
-    tagged = occ.join(hot, "word", "left")
-    # rows that need no lookup, and texts without a piece, spread over salts
-    is_hot = F.col("hot_ids").isNotNull() | F.col("word").isNull()
-    salt = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*id_cols, "pos"), F.lit(4096)).cast("string"))
-    keyed = (tagged.withColumn("_tl_jk", F.when(is_hot, salt).otherwise(F.col("word")))
-             .withColumn("_tl_hot", is_hot))
-    return keyed.join(cold.withColumn("_tl_hot", F.lit(False)), ["_tl_jk", "_tl_hot"], "left")
+        hot, cold = cold, None
+    elif hot is None:
+        hot = _most_frequent(enc, hot_words).select(F.col("word").alias("key"), F.col("ids").alias("values"))
+    out = replace_keys(rows.select(*id_cols, pieces.alias("_tl_w")), F.col("_tl_w"), out_col, hot, cold, missing)
+    return out.select(*id_cols, out_col).withColumn("num_tokens", F.size(out_col).cast("long"))
 
 
 def token_totals(df: DataFrame, group_cols=("split",), n_col: str = "num_tokens") -> DataFrame:
@@ -272,35 +246,27 @@ def encode_pair(df: DataFrame, tok: Tokenizer, src_col: str, tgt_col: str, id_co
 
 
 def decode(df: DataFrame, tok: Tokenizer, ids_col: str = "input_ids", id_cols=("doc_id",),
-           out_col: str = "text", skip_special: bool = True, hot_words: int = 10000,
-           broadcast_rows: int = 1_000_000, clean_up: bool = True) -> DataFrame:
+           out_col: str = "text", skip_special: bool = True, hot_words: int = 200_000,
+           broadcast_rows: int = 500_000, clean_up: bool = True) -> DataFrame:
     """Ids back to text (special tokens dropped by default).
 
-    The vocabulary is broadcast behind a counted bound; a larger word-level
-    one joins its most frequent ids by broadcast and the rest by shuffle.
+    The vocabulary is broadcast behind a counted bound; of a larger word-level
+    one the most frequent ids are, and only the others meet it by shuffle.
     Every row gives a row, also rows with the same ids."""
     id_cols = list(id_cols)
-    vocab = tok.vocab.select("id", "piece", "text", "special")
-    exploded = F.posexplode_outer(ids_col).alias("pos", "id")
-    if tok.model != "word":  # trained vocabularies are bounded by their size
-        vocab = bounded_broadcast(vocab, tok.max_vocab, "vocabulary")
-    if tok.model != "word" or vocab.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        # dealt by row key first, so that regrouping moves no token
-        j = _dealt(df.select(*id_cols, ids_col), id_cols).select(*id_cols, ROW, exploded).join(
-            F.broadcast(vocab), "id", "left")
-    else:
-        # word ids are frequency ranks: the first hot_words are the hot ones
-        exp = _numbered(df.select(*id_cols, ids_col), id_cols, ids_col).select(*id_cols, ROW, exploded)
-        hot = F.coalesce(F.col("id") < len(tok.specials) + hot_words, F.lit(True))
-        top = bounded_broadcast(vocab.filter(F.col("id") < len(tok.specials) + hot_words),
-                                len(tok.specials) + hot_words, "hot words")
-        j = exp.filter(hot).join(top, "id", "left").unionByName(exp.filter(~hot).join(vocab, "id", "left"))
     unit = F.col("piece") if tok.model == "bytebpe" else F.col("text")
     if skip_special:  # a text of special tokens alone keeps its row
         unit = F.when(~F.coalesce(F.col("special"), F.lit(False)), unit)
-    grouped = j.groupBy(*id_cols, ROW).agg(
-        F.array_sort(F.collect_list(F.struct("pos", unit.alias("u")))).alias("_tl_p"))
-    parts = F.filter(F.transform("_tl_p", lambda s: s["u"]), lambda x: x.isNotNull())
+    units = tok.vocab.select(F.col("id").alias("key"), F.array_compact(F.array(unit)).alias("values"))
+    hot, cold = units, None
+    # trained vocabularies are bounded by their size, word ids are frequency ranks
+    bound = broadcast_rows if tok.model == "word" else tok.max_vocab
+    if units.limit(bound + 1).count() > bound:
+        if tok.model != "word":
+            raise TooLargeToBroadcast(f"vocabulary: more than {bound} rows; use a shuffle join")
+        hot, cold = units.filter(F.col("key") < len(tok.specials) + hot_words), units
+    found = replace_keys(df.select(*id_cols, ids_col), F.col(ids_col), "_tl_units", hot, cold)
+    grouped, parts = found, F.col("_tl_units")
     if tok.model == "bytebpe":
         text = F.decode(F.unhex(F.array_join(parts, "")), "UTF-8")
     elif tok.model == "wordpiece":
@@ -327,7 +293,7 @@ def word_level_vocab(counts: DataFrame, word_col: str = "word", count_col: str =
     spark = counts.sparkSession
     words = counts.filter(F.col(count_col) >= min_count).select(
         F.col(word_col).alias("piece"), (-F.col(count_col)).alias("_neg"))
-    ranked = with_row_index(words, ["_neg", "piece"], "_ri")
+    ranked = with_row_index(words, ["_neg", "piece"], "_ri", checkpoint_input=True)  # the texts are read once
     k = len(special_tokens)
     body = ranked.select((F.col("_ri") + k).cast("int").alias("id"), "piece",
                          F.col("piece").alias("text"), F.lit(False).alias("special"))
