@@ -310,3 +310,32 @@ def test_unigram_reads_compatibility_forms(spark):
     from textloom.functions.text import nfkc
     df = spark.createDataFrame([("ﬁne ½",), ("plain  x",), (None,)], "s string")
     assert [r[0] for r in df.select(nfkc("s")).collect()] == ["fine 1⁄2", "plain  x", None]
+
+
+def test_unigram_counts_of_many_words_equal_those_of_each():
+    import math
+    import random
+
+    import numpy as np
+    from textloom.operators import unigram as ug
+    r = random.Random(6)
+    seeds = {"".join(r.choice("abß😀") for _ in range(r.randrange(1, 5))) for _ in range(40)} | set("abß😀")
+    trie = ug.Pieces(seeds, 4)
+    for _ in range(5):
+        logp = {p: math.log(r.random()) for p in seeds if len(p) == 1 or r.random() < 0.7}
+        words = ["".join(r.choice("abß😀") for _ in range(r.randrange(1, 14))) for _ in range(50)] + ["ab" * 30, "a"]
+        freq = np.array([float(r.randrange(1, 9)) for _ in words])
+        got = np.zeros((2, len(trie.names)))
+        trie.scored(trie.scores(logp)).uses(words, freq, *got)
+        ex, vit = Counter(), Counter()
+        for w, f in zip(words, freq):
+            edges = ug.lattice(w, logp, 4)
+            for (_, _, p, _), u in zip(edges, ug.expected_uses(len(w), edges)):
+                ex[p] += f * u
+            vit.update({p: f * n for p, n in Counter(ug.best_path(len(w), edges)).items()})
+        assert all(math.isclose(got[0][i], ex[p], abs_tol=1e-9) and got[1][i] == vit[p] for i, p in enumerate(trie.names))
+    tiny = trie.scored(trie.scores({p: -20.0 if len(p) > 1 else -30.0 for p in seeds}))
+    got, alone = np.zeros((2, len(trie.names))), np.zeros((2, len(trie.names)))
+    tiny.uses(["ab" * 30], np.array([2.0]), *got)  # below the range of doubles: word by word
+    tiny.use("ab" * 30, 2.0, *alone)
+    assert np.allclose(got, alone) and alone.sum() > 0

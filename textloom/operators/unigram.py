@@ -8,7 +8,8 @@
   (``substring_seeds``);
 * E-step: forward-backward over each distinct word's piece lattice in
   ``mapInPandas`` (piece log-probabilities as a broadcast variable, bounded by
-  the seed size) emitting expected piece counts;
+  the seed size) emitting expected piece counts; thousands of words at once, by
+  numpy (``Pieces``), long words one by one;
 * M-step: ``groupBy(piece).sum``, then ``digamma(count) - digamma(total)``, which takes
   more from rare pieces than from frequent ones; pieces other than characters go below
   an expected count of 0.5;
@@ -23,9 +24,11 @@ Words are whitespace-separated chunks with a leading ``▁`` (metaspace).
 
 from __future__ import annotations
 
+import copy
 import math
 from typing import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +40,7 @@ from textloom.session import checkpoint_dir
 METASPACE = "▁"
 #: expected count below which a longer piece goes, and that a character has at least
 LEAST_COUNT = 0.5
-_COUNTS = T.StructType([T.StructField("piece", T.StringType()),
+_COUNTS = T.StructType([T.StructField("i", T.LongType()),  # number of the piece
                         T.StructField("ex", T.DoubleType()),
                         T.StructField("vit", T.DoubleType())])
 
@@ -175,22 +178,135 @@ def digamma(x: float) -> float:
     return out + math.log(x) - 0.5 / x - y * (1 / 12 - y * (1 / 120 - y * (1 / 252 - y / 240)))
 
 
-def _estep(model, max_len: int):
+#: words at once, and the longest of them; longer ones leave the range of doubles
+_BATCH, _LONGEST = 8192, 64
+
+
+class Pieces:
+    """A trie in arrays, which all places of many words walk in step.  Built once for many
+    models: ``scored`` leaves out pieces that a model no longer has."""
+
+    def __init__(self, names, max_len: int):
+        self.names, self.max_len = sorted(names), max_len
+        nodes: dict[int, int] = {}
+        piece = [-1]
+        for i, name in enumerate(self.names):
+            at = 0
+            for c in name:
+                key = at << 21 | ord(c)
+                at = nodes.get(key, 0)
+                if not at:
+                    at = nodes[key] = len(piece)
+                    piece.append(-1)
+            piece[at] = i
+        keys = np.fromiter(nodes, np.int64, len(nodes))
+        order = np.argsort(keys)
+        self.keys, self.to = keys[order], np.fromiter(nodes.values(), np.int64, len(nodes))[order]
+        self.piece, self.score, self._plain = np.array(piece), np.full(len(self.names), -np.inf), None
+
+    def scores(self, logp: dict[str, float]) -> np.ndarray:
+        return np.array([logp.get(p, -math.inf) for p in self.names])
+
+    def scored(self, score: np.ndarray) -> "Pieces":
+        out = copy.copy(self)
+        out.score, out._plain = score, None
+        return out
+
+    def edges(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``word, from, to, piece`` of all edges in the order of ``lattice`` inside each
+        ``to``, and the lengths of the words."""
+        sizes = np.array([len(w) for w in words])
+        chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        word = np.repeat(np.arange(len(words)), sizes)
+        start = np.arange(len(chars)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        room, at = sizes[word] - start, np.arange(len(chars))  # `at`: places that still walk
+        node, found = np.zeros(len(chars), np.int64), []
+        for d in range(min(self.max_len, int(sizes.max(initial=0)))):
+            live = room[at] > d
+            at, node = at[live], node[live]
+            if not len(at) or not len(self.keys):
+                break
+            key = node << 21 | chars[at + d]
+            i = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            hit = self.keys[i] == key
+            at, node = at[hit], self.to[i[hit]]
+            p = self.piece[node]
+            ends = (p >= 0) & (self.score[p] > -np.inf)
+            found.append((at[ends], np.full(ends.sum(), d + 1), p[ends]))
+        place, length, piece = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(3))
+        order = np.lexsort((place, start[place] + length))
+        place, length, piece = place[order], length[order], piece[order]
+        return word[place], start[place], start[place] + length, piece, sizes
+
+    def uses(self, words: list[str], freq: np.ndarray, ex: np.ndarray, vit: np.ndarray) -> None:
+        """Add the expected uses and those of the best path of every word."""
+        word, s, e, piece, sizes = self.edges(words)
+        n, width = len(words), int(sizes.max(initial=0)) + 1
+        lp = self.score[piece]
+        prob = np.exp(lp)
+        alpha, beta = np.zeros((n, width)), np.zeros((n, width))
+        best, back = np.full((n, width), -np.inf), np.full((n, width), -1)
+        alpha[:, 0], best[:, 0] = 1.0, 0.0
+        cuts = np.searchsorted(e, np.arange(width + 1))
+        for t in range(1, width):
+            g = slice(cuts[t], cuts[t + 1])
+            alpha[:, t] = np.bincount(word[g], alpha[word[g], s[g]] * prob[g], n)
+            total = best[word[g], s[g]] + lp[g]
+            np.maximum.at(best[:, t], word[g], total)
+            # of equal ones the first found: written last
+            first = np.flatnonzero((total == best[word[g], t]) & (total > -np.inf))[::-1]
+            back[word[g][first], t] = cuts[t] + first
+        beta[np.arange(n), sizes] = 1.0
+        by_start = np.argsort(s, kind="stable")
+        cuts = np.searchsorted(s[by_start], np.arange(width + 1))
+        for t in range(width - 2, -1, -1):
+            g = by_start[cuts[t]:cuts[t + 1]]
+            beta[:, t] += np.bincount(word[g], prob[g] * beta[word[g], e[g]], n)
+        whole = alpha[np.arange(n), sizes]
+        sure = (whole > 1e-280) & (whole < np.inf)
+        ok = sure[word]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            posterior = alpha[word, s] * prob * beta[word, e] / whole[word]
+        np.add.at(ex, piece[ok], (freq[word] * posterior)[ok])
+        at, rows = sizes.copy(), np.flatnonzero(sure)
+        while len(rows):
+            edge = back[rows, at[rows]]
+            np.add.at(vit, piece[edge], freq[rows])
+            at[rows] = s[edge]
+            rows = rows[at[rows] > 0]
+        for i in np.flatnonzero(~sure):
+            self.use(words[i], freq[i], ex, vit)
+
+    def use(self, word: str, f: float, ex: np.ndarray, vit: np.ndarray) -> None:
+        """The same for a word alone, of any length."""
+        if self._plain is None:
+            held = np.flatnonzero(self.score > -np.inf).tolist()
+            self._plain = {self.names[i]: float(self.score[i]) for i in held}, {self.names[i]: i for i in held}
+        logp, number = self._plain
+        edges = lattice(word, logp, self.max_len)
+        uses = expected_uses(len(word), edges)
+        if uses is None:
+            raise ValueError(f"no pieces cover {word!r}")  # characters are always kept
+        for (_, _, p, _), u in zip(edges, uses):
+            ex[number[p]] += f * u
+        for p in best_path(len(word), edges):
+            vit[number[p]] += f
+
+
+def _estep(trie, score):
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        logp = model.value
-        ex: dict[str, float] = {}
-        vit: dict[str, float] = {}
+        pieces = trie.value.scored(score.value)
+        ex, vit = np.zeros(len(pieces.names)), np.zeros(len(pieces.names))
         for pdf in it:
-            for w, f in zip(pdf["word"], pdf["freq"]):
-                edges = lattice(w, logp, max_len)
-                uses = expected_uses(len(w), edges)
-                if uses is None:
-                    raise ValueError(f"no pieces cover {w!r}")  # characters are always kept
-                for (_, _, p, _), u in zip(edges, uses):
-                    ex[p] = ex.get(p, 0.0) + f * u
-                for p in best_path(len(w), edges):
-                    vit[p] = vit.get(p, 0.0) + f
-        yield pd.DataFrame({"piece": list(ex), "ex": list(ex.values()), "vit": [vit.get(k, 0.0) for k in ex]})
+            size = pdf["word"].str.len()
+            for w, f in zip(pdf["word"][size > _LONGEST], pdf["freq"][size > _LONGEST]):
+                pieces.use(w, float(f), ex, vit)
+            short = pdf[size <= _LONGEST]
+            for at in range(0, len(short), _BATCH):
+                some = short.iloc[at:at + _BATCH]
+                pieces.uses(some["word"].tolist(), some["freq"].to_numpy(float), ex, vit)
+        seen = np.flatnonzero((ex > 0) | (vit > 0))
+        yield pd.DataFrame({"i": seen, "ex": ex[seen], "vit": vit[seen]})
     return run
 
 
@@ -237,15 +353,22 @@ def train_unigram(texts: DataFrame, vocab_size: int = 8000, text_col: str = "tex
         F.desc(F.col("c") * F.length("piece")), "piece").limit(seed_size).collect()})
     total = sum(counts.values())
     logp = {p: math.log(c / total) for p, c in counts.items()}
+    pieces = trie = None
     while counts:
         vit: dict[str, float] = {}
+        if pieces is None or 2 * len(logp) < len(pieces.names):  # a smaller one for what is left
+            if trie is not None:
+                trie.destroy()
+            pieces = Pieces(logp, L)
+            trie = spark.sparkContext.broadcast(pieces)
         for _ in range(em_iters):
-            model = spark.sparkContext.broadcast(logp)
-            stats = (words.mapInPandas(_estep(model, L), _COUNTS)
-                     .groupBy("piece").agg(F.sum("ex").alias("ex"), F.sum("vit").alias("vit"))
-                     .collect())
-            ex = {c: 0.0 for c in chars} | {r.piece: r.ex for r in stats if r.ex >= LEAST_COUNT or r.piece in chars}
-            vit = {r.piece: r.vit for r in stats}
+            model = spark.sparkContext.broadcast(pieces.scores(logp))
+            stats = (words.mapInPandas(_estep(trie, model), _COUNTS)
+                     .groupBy("i").agg(F.sum("ex").alias("ex"), F.sum("vit").alias("vit"))
+                     .toArrow().to_pydict())
+            named = [pieces.names[i] for i in stats["i"]]
+            ex = {c: 0.0 for c in chars} | {p: x for p, x in zip(named, stats["ex"]) if x >= LEAST_COUNT or p in chars}
+            vit = dict(zip(named, stats["vit"]))
             logsum = digamma(max(sum(ex.values()), LEAST_COUNT))
             logp = {p: digamma(max(c, LEAST_COUNT)) - logsum for p, c in ex.items()}
             model.destroy()
