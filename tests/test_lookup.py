@@ -61,3 +61,13 @@ def test_columns_in_step_are_plain_lists(spark):
     out = packing.group_texts(df, 2, 10, ["a", "b"])
     assert {r.chunk_id: (r.a, r.b) for r in out.collect()} == {0: ([1, 2], [9, 8]), 1: ([3, 4], [7, 6])}
     assert "array<struct<a" not in out._jdf.queryExecution().analyzed().treeString() and "_tl_z" not in _plan(out)
+
+
+def test_texts_and_pieces_are_not_checkpointed(spark):
+    counts = spark.createDataFrame([(f"w{i}", 50 - i) for i in range(30)], "word string, freq long")
+    tok = enc.Tokenizer("word", enc.word_level_vocab(counts))
+    df = spark.createDataFrame([(0, "w0 w29 zz w1"), (0, "w28"), (1, None)], "doc_id long, text string")
+    ids = enc.encode(df, tok, hot_words=2, broadcast_rows=1)
+    scans = [x for x in _plan(ids).splitlines() if "Scan ExistingRDD" in x and "_tl_u" in x]
+    assert scans and not any("_tl_w" in x or "text" in x for x in scans)
+    assert sorted(r.input_ids for r in ids.collect()) == [[], [5, 34, 0, 6], [33]]

@@ -186,7 +186,7 @@ def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", id_cols=("doc_
         hot, cold = cold, None
     elif hot is None:
         hot = _most_frequent(enc, hot_words).select(F.col("word").alias("key"), F.col("ids").alias("values"))
-    out = replace_keys(rows.select(*id_cols, pieces.alias("_tl_w")), F.col("_tl_w"), out_col, hot, cold, missing)
+    out = replace_keys(rows, pieces, out_col, hot, cold, missing, id_cols)
     return out.select(*id_cols, out_col).withColumn("num_tokens", F.size(out_col).cast("long"))
 
 
@@ -265,7 +265,7 @@ def decode(df: DataFrame, tok: Tokenizer, ids_col: str = "input_ids", id_cols=("
         if tok.model != "word":
             raise TooLargeToBroadcast(f"vocabulary: more than {bound} rows; use a shuffle join")
         hot, cold = units.filter(F.col("key") < len(tok.specials) + hot_words), units
-    found = replace_keys(df.select(*id_cols, ids_col), F.col(ids_col), "_tl_units", hot, cold)
+    found = replace_keys(df.select(*id_cols, ids_col), F.col(ids_col), "_tl_units", hot, cold, keep=id_cols)
     grouped, parts = found, F.col("_tl_units")
     if tok.model == "bytebpe":
         text = F.decode(F.unhex(F.array_join(parts, "")), "UTF-8")

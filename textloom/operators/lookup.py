@@ -78,12 +78,15 @@ def _with_gaps(table):
 
 
 def replace_keys(df: DataFrame, keys: Column, out_col: str, hot: DataFrame, cold: DataFrame | None = None,
-                 missing=()) -> DataFrame:
-    """``df`` with ``out_col``: the values of every key of the list ``keys``, in order.
+                 missing=(), keep=None) -> DataFrame:
+    """``df`` (its columns ``keep``, default all) with ``out_col``: the values of every
+    key of the list ``keys``, in order.
 
     ``hot(key, values)`` is collected and must be bounded; ``cold(key, values)`` has all
     keys (None: ``hot`` has).  Keys of neither give ``missing``, null keys and lists
-    nothing."""
+    nothing.  Columns that are kept are checkpointed when there is ``cold``: texts and
+    lists of keys take several times the room of their values."""
+    keep = df.columns if keep is None else list(keep)
     spark = df.sparkSession
     kinds = dict(hot.dtypes)
     key, value = kinds["key"], kinds["values"]
@@ -91,11 +94,11 @@ def replace_keys(df: DataFrame, keys: Column, out_col: str, hot: DataFrame, cold
     table = spark.sparkContext.broadcast(HotTable(hot.select("key", "values").toArrow(), [] if gaps else list(missing)))
     keys = F.coalesce(keys, F.array().cast(f"array<{key}>"))
     if not gaps:
-        return df.withColumn(out_col, F.arrow_udf(_whole(table), value)(keys))
+        return df.select(*keep, F.arrow_udf(_whole(table), value)(keys).alias(out_col))
     checkpoint_dir(spark)
     # read twice, so the numbers of the rows must stay
-    coded = df.withColumn(ROW, F.monotonically_increasing_id()).withColumn(
-        "_tl_u", F.arrow_udf(_with_gaps(table), f"struct<parts:array<{value}>,cold:array<{key}>>")(keys)).checkpoint(eager=True)
+    units = F.arrow_udf(_with_gaps(table), f"struct<parts:array<{value}>,cold:array<{key}>>")(keys)
+    coded = df.select(*keep, F.monotonically_increasing_id().alias(ROW), units.alias("_tl_u")).checkpoint(eager=True)
     other = F.array(*map(F.lit, missing)).cast(value)
     asked = coded.select(ROW, F.posexplode("_tl_u.cold").alias("pos", "key"))
     found = asked.join(cold.select("key", "values"), "key", "left").groupBy(ROW).agg(
