@@ -339,3 +339,31 @@ def test_unigram_counts_of_many_words_equal_those_of_each():
     tiny.uses(["ab" * 30], np.array([2.0]), *got)  # below the range of doubles: word by word
     tiny.use("ab" * 30, 2.0, *alone)
     assert np.allclose(got, alone) and alone.sum() > 0
+
+
+def test_only_chunks_at_the_ends_are_parts(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    rows = [("a", 0, 0, [1, 2, 3]), ("a", 0, 3, [4]), ("a", 0, 4, [5, 6, 7, 8, 9]), ("b", 0, 5, [10, 11]), ("b", 0, 9, [12] * 5)]
+    names = ["seq_len", "_tl_j", "g", "_tl_stream", "_tl_s", "_tl_c0"]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows]),
+         pa.array([len(r[3]) for r in rows]), pa.array([np.array(r[3], np.int32) for r in rows], pa.list_(pa.int32()))],
+        ["g", "_tl_stream", "_tl_s", "_tl_n", "_tl_c0"])
+
+    def cut(whole):
+        return sorted((r["seq_len"], r["g"], r["_tl_j"], r["_tl_s"], r["_tl_c0"]) for out in pk._cutter(
+            [2, 4], names, ["_tl_c0"], ["g"], whole)([batch]) for r in out.to_pylist())
+
+    assert cut(True) == [(2, "a", 0, 0, [1, 2]), (2, "a", 1, 2, [3, 4]), (2, "a", 2, 4, [5, 6]), (2, "a", 3, 6, [7, 8]),
+                         (2, "b", 5, 10, [12, 12]), (2, "b", 6, 12, [12, 12]), (4, "a", 0, 0, [1, 2, 3, 4]), (4, "a", 1, 4, [5, 6, 7, 8])]
+    assert cut(False) == [(2, "a", 4, 8, [9]), (2, "b", 2, 5, [10]), (2, "b", 3, 6, [11]), (2, "b", 4, 9, [12]),
+                          (4, "a", 2, 8, [9]), (4, "b", 1, 5, [10, 11]), (4, "b", 2, 9, [12, 12, 12]), (4, "b", 3, 12, [12, 12])]
+
+
+def test_arr_str_leaves_null_ids_out(spark):
+    from textloom.plans.q_tokens import arr_str
+    df = spark.createDataFrame([(0, [5, None, 7]), (1, []), (2, None), (3, [None]), (4, [-100, 3])], "k int, a array<int>")
+    got = {r.k: r.s for r in df.coalesce(1).select("k", arr_str("a").alias("s")).collect()}
+    assert got == {0: "5 7", 1: "", 2: None, 3: "", 4: "-100 3"}

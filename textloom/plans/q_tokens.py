@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from textloom.functions.text import SPECIAL_TOKENS, WHITESPACE_CLASS, normalize_text_col, word_tokens
@@ -15,8 +18,21 @@ from textloom.session import checkpoint_dir
 from textloom.sources import artifacts
 
 
+def _joined(lists: pa.Array) -> pa.Array:
+    values = lists.flatten()
+    if values.null_count:  # null ids are left out
+        at = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        ends = np.append(0, np.cumsum(values.is_valid().to_numpy(zero_copy_only=False)))[at]
+        values, valid = values.drop_null(), lists.is_valid().to_numpy(zero_copy_only=False)
+    else:
+        ends, valid = lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.is_valid().to_numpy(zero_copy_only=False)
+    words = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pc.cast(values, pa.string()))
+    return pc.if_else(pa.array(valid), pc.binary_join(words, " "), pa.scalar(None, pa.string()))
+
+
 def arr_str(c):
-    return F.array_join(F.col(c).cast("array<string>"), " ")
+    """The ids of a list, space-joined, whole batches at once."""
+    return F.arrow_udf(_joined, "string")(F.col(c))
 
 
 def word_tokenizer(spark, sf):
