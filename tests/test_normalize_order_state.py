@@ -184,3 +184,16 @@ def test_a_build_that_fails_leaves_nothing_to_read(spark):
     with pytest.raises(FileNotFoundError):
         artifacts.materialize(spark, base, "x", {}, None)
     assert artifacts.materialize(spark, base, "x", {}, lambda: spark.range(2)).count() == 2
+
+
+def test_places_follow_spark_order(spark):
+    import pyarrow as pa
+    from textloom.operators.order import _places
+
+    values = [None, "", "a", "\x00", "ü", "￿", "\U0001f600", "b", "aa"]
+    rows = [(n, w) for n in (None, -3, 0, 2) for w in values]
+    df = spark.createDataFrame(rows, "n int, w string")
+    ranked = [(r.n, r.w) for r in df.orderBy("n", "w").collect()]
+    got = _places(ranked[::3])(pa.array([n for n, _ in ranked], pa.int32()),
+                               pa.array([None if w is None else w.encode() for _, w in ranked], pa.binary()))
+    assert got.to_pylist() == [i // 3 + 1 for i in range(len(ranked))]

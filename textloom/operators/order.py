@@ -13,15 +13,18 @@ columns.  It never sorts all rows in one task:
   lost executor recomputes the same positions.
 * any other key: splitters are whole keys (structs of all order columns) from a
   sample by hash of the key, so ties on the leading column cannot fill a bucket;
-  rows find their bucket by comparing with some of the splitters, first a coarse
-  set, then the fine ones of one part.  Both are pure functions of the data too,
-  nothing is checkpointed.
+  rows find their bucket by a binary search among the splitters (keys of types whose
+  order Python does not share compare with a coarse set, then with the fine ones of
+  one part).  Both are pure functions of the data too, nothing is checkpointed.
 
 The order columns must form a unique key (add a tie-breaker such as an id).
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,10 +85,28 @@ def splitters(df: DataFrame, order_by: list[str], n: int) -> list:
     return [tuple(k) for k in row["s"]] if row else []
 
 
+#: types whose order Python shares (strings go as bytes)
+_PLAIN = {"string", "binary", "bigint", "int", "smallint", "tinyint", "boolean", "date"}
+
+
+def _places(keys: list):
+    """How many of the sorted ``keys`` are not above the key of a row; nulls first."""
+    coded = [tuple(y for v in k for y in (v is not None, v.encode() if isinstance(v, str) else v)) for k in keys]
+
+    def run(*columns: pa.Array) -> pa.Array:
+        values = [x for c in columns for x in (c.is_valid().to_pylist(), c.to_pylist())]
+        return pa.array([bisect_right(coded, k) for k in zip(*values)], pa.int32())
+    return run
+
+
 def _splitter_buckets(df: DataFrame, order_by: list[str], n: int) -> DataFrame:
     keys = splitters(df, order_by, n)
     if not keys:
         return df.withColumn("_tl_bucket", F.lit(0))
+    kinds = dict(df.dtypes)
+    if all(kinds[c] in _PLAIN for c in order_by):
+        columns = [F.col(c).cast("binary") if kinds[c] == "string" else F.col(c) for c in order_by]
+        return df.withColumn("_tl_bucket", F.arrow_udf(_places(keys), "int")(*columns))
     kind = df.select(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order_by)]).alias("k")).dtypes[0][1]
 
     def literal(rows):
