@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from textloom.operators import setjoin
 from textloom.operators.dedup import dedup_near
 from textloom.operators.graph import connected_components
+from textloom.session import checkpoint_dir
 
 
 def components(edges):
@@ -162,3 +163,18 @@ def test_hot_elements_are_dealt_over_partitions(spark, monkeypatch):
     r = random.Random(6)
     sets = {i: {0, 1} | {r.randrange(30) for _ in range(6)} for i in range(60)}
     assert clusters(spark, sets, threshold=0.6) == brute(sets, 0.6)
+
+
+def test_sets_move_once_to_a_cell_not_once_per_pair(spark, monkeypatch):
+    checkpoint_dir(spark)
+    monkeypatch.setattr(setjoin, "_BLOCK_SETS", 8)
+    r = random.Random(8)
+    family = {f"{i:02}".encode(): sorted({x for x in range(60) if r.random() < 0.85}) for i in range(40)}
+    sets = spark.createDataFrame([(bytearray(n), s) for n, s in family.items()], "node binary, sh array<long>")
+    pairs = [(a, b) for a in family for b in family if a > b]
+    df = spark.createDataFrame([(bytearray(a), bytearray(b)) for a, b in pairs], "a binary, b binary")
+    assert setjoin._cells(df, sets).count() <= 40 * 6 < len(pairs)  # five blocks; twice in its own
+    similar = lambda a, b: len({*family[a]} & {*family[b]}) >= 0.75 * len({*family[a]} | {*family[b]})
+    got = [(bytes(x.a), bytes(x.b), x.ok) for x in setjoin._verified(df, sets, 0.75).collect()]
+    assert sorted(got) == sorted((a, b, similar(a, b)) for a, b in pairs)
+    assert {ok for *_, ok in got} == {True, False}

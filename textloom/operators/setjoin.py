@@ -34,8 +34,11 @@ BUCKETS = 1 << 20
 #: rows of a table up to which it is broadcast
 BROADCAST_ROWS = 100_000
 _CHUNK = 1 << 14
-#: members of a set verified against one group of another at once
-_PART = 256
+#: rows of hashes up to which they are broadcast
+BROADCAST_HASHES = 1_000_000
+#: sets, and elements of them, in a block of nodes that are verified together
+_BLOCK_SETS = 1024
+_BLOCK_ELEMENTS = 1 << 20
 _BASE = np.uint64(1099511628211)
 
 
@@ -160,39 +163,62 @@ def _broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def _blocks(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(node, block)``: nodes with the same smallest partner lie together, in blocks of
+    bounded size.  Which block a node is in changes what is moved, not the result."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node"), F.col("b").alias("by"))
+    homes = ends.groupBy("node").agg(F.min("by").alias("by")).join(sets.select("node", F.size("sh").alias("n")), "node")
+    room = homes.groupBy("by").agg(F.greatest(F.ceil(F.sum("n") / _BLOCK_ELEMENTS), F.ceil(F.count(F.lit(1)) / _BLOCK_SETS)).alias("p"))
+    part = F.pmod(F.xxhash64("node"), F.col("p").cast("long"))
+    return homes.join(room, "by").select("node", F.xxhash64("by", part).alias("block")).checkpoint(eager=True)
+
+
+def _cells(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``lo, hi, node, us, sh``: the pairs of two blocks of nodes are a cell.  A set moves
+    once to every cell that asks for it, however many of its pairs lie there: without
+    ``us`` for a set of the first block, with its partners there for one of the second."""
+    blocks = _blocks(pairs, sets)
+    near = _broadcast_if_small(blocks, BROADCAST_ROWS)
+    of = lambda c: near.select(F.col("node").alias(c), F.col("block").alias(f"{c}_block"))
+    swap = F.col("a_block") > F.col("b_block")
+    dealt = pairs.join(of("a"), "a").join(of("b"), "b").select(
+        F.least("a_block", "b_block").alias("lo"), F.greatest("a_block", "b_block").alias("hi"),
+        F.when(swap, F.col("b")).otherwise(F.col("a")).alias("u"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("v")).checkpoint(eager=True)
+    held = dealt.select("lo", "hi", F.col("u").alias("node"), F.lit(None).cast("array<binary>").alias("us")).distinct()
+    read = dealt.groupBy("lo", "hi", F.col("v").alias("node")).agg(F.collect_list("u").alias("us"))
+    # sets that no pair asks for stay where they are
+    asked = _broadcast_if_small(blocks.select(F.xxhash64("node").alias("_h")).distinct(), BROADCAST_HASHES)
+    wanted = sets.join(asked, F.xxhash64(sets["node"]) == F.col("_h"), "left_semi")
+    rows = wanted.join(_broadcast_if_small(held.unionByName(read), BROADCAST_ROWS), "node")
+    return rows.select("lo", "hi", "node", "us", "sh")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """``(a, b, ok)``: the exact similarity of each pair against the threshold.
 
-    The members of one ``b`` come in parts; a part reads its set once, then theirs."""
-    degree = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
-    part = F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / _PART).cast("long"))
-    dealt = pairs.join(degree, "b").select("a", "b", part.alias("part")).checkpoint(eager=True)
-    # sets that no pair asks for stay where they are
-    asked = _broadcast_if_small(dealt.select(F.explode(F.array("a", "b")).alias("node")).distinct(), BROADCAST_ROWS)
-    wanted = sets.join(asked, "node", "left_semi")
-    set_of = lambda c: wanted.select(F.col("node").alias(c), "sh")
-    member = dealt.join(set_of("a"), "a").select("b", "part", "a", "sh")
-    hub = dealt.select("b", "part").distinct().join(set_of("b"), "b").select(
-        "b", "part", F.lit(None).cast("binary").alias("a"), "sh")
-    rows = hub.unionByName(member).repartition("b", "part").sortWithinPartitions("b", "part", F.asc_nulls_first("a"))
+    A task holds the sets of one block of a cell and reads those of the other."""
+    rows = _cells(pairs, sets).repartition("lo", "hi").sortWithinPartitions("lo", "hi", F.col("us").isNotNull())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = None
+        cell, block = None, {}
         for batch in batches:
             a, b, ok = [], [], []
-            for hub_node, node, sh in zip(batch.column("b"), batch.column("a"), batch.column("sh")):
-                mine = sh.values.to_numpy().view(np.uint64)
-                if not node.is_valid:  # the part's own set comes first
-                    of = mine
+            for lo, hi, node, us, sh in zip(*(batch.column(c) for c in ("lo", "hi", "node", "us", "sh"))):
+                if cell != (at := (lo.as_py(), hi.as_py())):
+                    cell, block = at, {}
+                name, mine = node.as_py(), sh.values.to_numpy().view(np.uint64)
+                if not us.is_valid:  # the sets of the first block come first
+                    block[name] = mine.copy()
                     continue
-                both = len(np.intersect1d(of, mine, assume_unique=True))
-                a.append(node.as_py())
-                b.append(hub_node.as_py())
-                ok.append(both >= threshold * (len(of) + len(mine) - both))
+                for u in us.as_py():
+                    both = len(np.intersect1d(block[u], mine, assume_unique=True))
+                    a.append(max(u, name))
+                    b.append(min(u, name))
+                    ok.append(both >= threshold * (len(block[u]) + len(mine) - both))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(ok, pa.bool_())],
                                              ["a", "b", "ok"])
 
-    return rows.select("a", "b", "sh").mapInArrow(run, "a binary, b binary, ok boolean")
+    return rows.mapInArrow(run, "a binary, b binary, ok boolean")
 
 
 def similar_components(groups: DataFrame, sets: DataFrame, threshold: float) -> DataFrame | None:
@@ -204,25 +230,31 @@ def similar_components(groups: DataFrame, sets: DataFrame, threshold: float) ->
     def with_comps(df: DataFrame) -> DataFrame:
         if comps is None:
             return df.withColumn("comp", F.col("node"))
-        return df.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        near = _broadcast_if_small(comps, BROADCAST_ROWS)
+        return df.join(near, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
     def candidates(g: DataFrame, hubs: int) -> DataFrame:
-        first = g.withColumn("_r", F.row_number().over(Window.partitionBy("element").orderBy("node"))).filter(
-            F.col("_r") <= hubs).select("element", *[F.col(c).alias(f"h_{c}") for c in ("node", "n", "at", "comp")])
+        first = g.filter(F.col("_r") <= hubs).select("element", *[F.col(c).alias(f"h_{c}") for c in ("node", "n", "at", "comp")])
         j = g.join(first, "element").filter((F.col("comp") != F.col("h_comp")) & (F.col("node") != F.col("h_node")))
         left = F.least(F.col("n") - F.col("at"), F.col("h_n") - F.col("h_at")) + F.least("at", "h_at")
         room = left * (1 + threshold) >= threshold * (F.col("n") + F.col("h_n")) - eps
         size = F.least("n", "h_n") >= threshold * F.greatest("n", "h_n") - eps
         return j.filter(room & size)
 
+    group = Window.partitionBy("element")
     active, hubs = groups, 0  # at 0 hubs every node tries one partner only
     while True:
-        g = with_comps(active)
-        spread = g.groupBy("element").agg(F.count(F.lit(1)).alias("_n"), F.min("comp").alias("_lo"), F.max("comp").alias("_hi"))
-        still = spread.filter((F.col("_lo") < F.col("_hi")) & (F.col("_n") > hubs // 8)).select("element")
-        g = g.join(still, "element", "left_semi").checkpoint(eager=True)
-        if g.isEmpty():
-            return comps
+        # one shuffle by element finds the open groups, their first members and the pairs
+        g = with_comps(active).withColumns({
+            "_n": F.count(F.lit(1)).over(group), "_lo": F.min("comp").over(group), "_hi": F.max("comp").over(group),
+            "_r": F.row_number().over(group.orderBy("node"))})
+        # with n hubs tried, a group of n + 1 is done
+        g = g.filter((F.col("_lo") < F.col("_hi")) & (F.col("_n") > hubs // 8 + 1)).drop("_n", "_lo", "_hi")
+        if hubs > 1:  # most groups are pairs, which are done by then
+            g = g.checkpoint(eager=True)
+            if g.isEmpty():
+                return comps
+            active = g.drop("comp", "_r")
         found = candidates(g, max(hubs, 1))
         if not hubs:
             found = found.groupBy("node").agg(F.min("h_node").alias("h_node"))
@@ -234,7 +266,6 @@ def similar_components(groups: DataFrame, sets: DataFrame, threshold: float) ->
             links = judged.filter("ok").select("a", "b")
             good = links if good is None else good.unionByName(links)
             comps = connected_components(good).select(F.col("id").alias("node"), F.col("component").alias("comp"))
-        active = g.drop("comp")
         hubs = hubs * 8 or 1
 
 
