@@ -2,15 +2,21 @@
 
 All helpers return Spark ``Column`` expressions, so they stay in the JVM.  Only
 :func:`nfkc` needs Python, for texts that are not plain ASCII; it is an Arrow-batched
-``pandas_udf`` over whole columns.
+``pandas_udf`` over whole columns.  The chunks of NFKC texts are cut there too.
 """
 
 from __future__ import annotations
 
 import codecs
+import re
+import unicodedata
+from typing import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,6 +137,44 @@ def nfkc(c) -> Column:
     return F.coalesce(_nfkc(other), col_of(c))
 
 
+_CHUNK = re.compile(r"[^\t\n\x0B\f\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+")  # WHITESPACE_CLASS
+_SEPARATOR = re.compile(r"[\x1C-\x1F]")  # str.split cuts here too
+
+
+def _chunk_lists(texts: pa.Array, prefix: str = "") -> pa.ListArray:
+    """The runs of other than white space of each text after NFKC; null texts have none."""
+    rows = []
+    for t in texts.to_pylist():
+        t = "" if t is None else t if t.isascii() else unicodedata.normalize("NFKC", t)
+        rows.append(_CHUNK.findall(t) if _SEPARATOR.search(t) else t.split())
+    chunks = pa.array([w for row in rows for w in row], pa.string())
+    if prefix:
+        chunks = pc.binary_join_element_wise(prefix, chunks, "")
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(row) for row in rows])), pa.int32()), chunks)
+
+
+def nfkc_chunks(c, prefix: str = "") -> Column:
+    """Array of the runs of other than white space after NFKC, each behind ``prefix``."""
+    def run(texts: pa.Array) -> pa.Array:
+        return _chunk_lists(texts, prefix)
+    return F.arrow_udf(run, "array<string>")(col_of(c))
+
+
+def nfkc_chunk_counts(texts: DataFrame, prefix: str = "") -> DataFrame:
+    """``(word, n)`` of each distinct chunk (``nfkc_chunks``) of the only column of
+    ``texts``; counted where the texts are, so that no token becomes a row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [_chunk_lists(b.column(0).slice(at, 1000)).values.value_counts() for at in range(0, b.num_rows, 1000)]
+            if found:
+                t = pa.concat_tables([pa.table({"word": v.field("values"), "n": v.field("counts")}) for v in found])
+                t = t.group_by("word").aggregate([("n", "sum")])
+                words = pc.binary_join_element_wise(prefix, t.column("word"), "") if prefix else t.column("word")
+                yield from pa.table({"word": words, "n": t.column("n_sum")}).to_batches()
+
+    return texts.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
 def strip_marks(c) -> Column:
     """Drop combining marks (general category M)."""
     return F.regexp_replace(col_of(c), F.lit(r"\p{M}+"), F.lit(""))

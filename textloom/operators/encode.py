@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 
 from textloom.functions.arrays import (added_specials_mask, attention_mask, truncate_pad, truncate_pad_special,
                                        with_specials)
-from textloom.functions.text import (SPECIAL_TOKENS, WHITESPACE_CLASS, byte_level_tokens,
-                                     nfkc, normalize_text_col, word_tokens)
+from textloom.functions.text import (SPECIAL_TOKENS, byte_level_tokens, nfkc_chunk_counts, nfkc_chunks,
+                                     normalize_text_col, word_tokens)
 from textloom.operators.bounded import TooLargeToBroadcast
 from textloom.operators.lookup import ROW, replace_keys
 from textloom.operators.piece_encoders import build_encoder
@@ -59,10 +59,17 @@ class Tokenizer:
         if self.model == "wordpiece":
             return word_tokens(normalize_text_col(text, self.lower_case, True))
         if self.model == "unigram":
-            chunks = F.regexp_extract_all(nfkc(text), F.lit(f"[^{WHITESPACE_CLASS}]+"), F.lit(0))
-            return F.transform(chunks, lambda w: F.concat(F.lit(METASPACE), w))
+            return nfkc_chunks(text, METASPACE)
         return word_tokens(text)
 
+    def piece_counts(self, df: DataFrame, text_col: str = "text") -> DataFrame:
+        """``(word, n)``: the distinct pieces of all texts and how often each stands there."""
+        texts = df.select(F.col(text_col).alias("text"))
+        if self.model == "unigram":
+            return nfkc_chunk_counts(texts, METASPACE)
+        return texts.select(F.explode(self.pieces(F.col("text"))).alias("word")).groupBy("word").agg(
+            F.count(F.lit(1)).cast("long").alias("n"))
+
     # -- bounded driver-side copies (vocabulary-sized) ----------------------
     def _tables(self):
         if not self._local:
@@ -171,8 +178,7 @@ def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", id_cols=("doc_
             F.col("piece").alias("key"), F.array("id").alias("values"))
         missing = [tok.special_id(UNK)]
     else:
-        words = df.select(F.explode(tok.pieces(F.col(text_col))).alias("word")).groupBy("word").agg(
-            F.count(F.lit(1)).cast("long").alias("n"))
+        words = tok.piece_counts(df, text_col)
         checkpoint_dir(df.sparkSession)
         # distinct pieces encoded once; checkpointed so the Python encoder never reruns
         enc = encode_dictionary(words, tok).checkpoint(eager=True)

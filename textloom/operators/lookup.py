@@ -51,9 +51,14 @@ def _lists(bounds: np.ndarray, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values)
 
 
+def _bounds(lists: pa.Array) -> np.ndarray:
+    """Where the lists end (from 0) among all their entries; null lists have none."""
+    return np.append(0, np.cumsum(pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)))
+
+
 def _whole(table):
     def run(lists: pa.Array) -> pa.Array:
-        at = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        at = _bounds(lists)
         values, ends = table.value.of(table.value.places(lists.flatten()))
         return _lists(ends[at], values)
     return run
@@ -61,7 +66,7 @@ def _whole(table):
 
 def _with_gaps(table):
     def run(lists: pa.Array) -> pa.Array:
-        at, keys = lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten()
+        at, keys = _bounds(lists), lists.flatten()
         places = table.value.places(keys)
         values, ends = table.value.of(places)
         cold = np.flatnonzero(places == -1)
@@ -92,7 +97,6 @@ def replace_keys(df: DataFrame, keys: Column, out_col: str, hot: DataFrame, cold
     key, value = kinds["key"], kinds["values"]
     gaps = cold is not None
     table = spark.sparkContext.broadcast(HotTable(hot.select("key", "values").toArrow(), [] if gaps else list(missing)))
-    keys = F.coalesce(keys, F.array().cast(f"array<{key}>"))
     if not gaps:
         return df.select(*keep, F.arrow_udf(_whole(table), value)(keys).alias(out_col))
     checkpoint_dir(spark)

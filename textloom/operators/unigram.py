@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.functions.text import SPECIAL_TOKENS, WHITESPACE_CLASS, nfkc
+from textloom.functions.text import SPECIAL_TOKENS, nfkc_chunk_counts
 from textloom.session import checkpoint_dir
 
 METASPACE = "▁"
@@ -338,10 +338,7 @@ def train_unigram(texts: DataFrame, vocab_size: int = 8000, text_col: str = "tex
     first, then pieces by log-probability (desc) and piece (asc)."""
     spark = texts.sparkSession
     checkpoint_dir(spark)
-    chunks = F.regexp_extract_all(nfkc(F.col(text_col)), F.lit(f"[^{WHITESPACE_CLASS}]+"), F.lit(0))
-    words = (texts.select(F.explode(chunks).alias("c"))
-             .groupBy(F.concat(F.lit(METASPACE), "c").alias("word"))
-             .agg(F.count(F.lit(1)).cast("long").alias("freq")))
+    words = nfkc_chunk_counts(texts.select(text_col), METASPACE).withColumnRenamed("n", "freq")
     # the distinct words in as many slices as shuffles have, for the Python E-steps
     words = words.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).checkpoint(eager=True)
     target = max(0, vocab_size - len(special_tokens))

@@ -289,8 +289,8 @@ SELECT p.doc_id, p.split, coalesce(string_agg(CAST(id AS VARCHAR), ' ' ORDER BY
 def q_encode_unigram_table(spark, sf):
     """Unigram encoding with scores from substring counts, against a Viterbi search in SQL."""
     docs = documents(spark, sf).select("doc_id", "split", "text")
-    chunks = F.explode(enc.Tokenizer("unigram", None).pieces(F.col("text")))
-    words = docs.filter(F.col("split") == "train").select(chunks.alias("w")).groupBy("w").agg(F.count("*").alias("f"))
+    counted = enc.Tokenizer("unigram", None).piece_counts(docs.filter(F.col("split") == "train"), "text")
+    words = counted.select(F.col("word").alias("w"), F.col("n").alias("f"))
     each = F.explode(F.flatten(F.transform(F.array(*map(F.lit, (1, 2, 3, 4))), lambda k: F.when(
         F.length("w") >= k, F.transform(F.sequence(F.lit(1), F.length("w") - k + 1), lambda i: F.substr(F.col("w"), i, k))
     ).otherwise(F.array().cast("array<string>")))))
@@ -411,8 +411,7 @@ HAVING (count(DISTINCT l) > 1 OR sum(CASE WHEN l = '' THEN f ELSE 0 END) > 1)
 """)
 def q_unigram_seeds(spark, sf):
     from textloom.operators.unigram import substring_seeds
-    chunks = F.explode(enc.Tokenizer("unigram", None).pieces(F.col("text")))
-    words = _train_docs(spark, sf).select(chunks.alias("word")).groupBy("word").agg(F.count("*").alias("freq"))
+    words = enc.Tokenizer("unigram", None).piece_counts(_train_docs(spark, sf), "text").withColumnRenamed("n", "freq")
     return substring_seeds(words, 16)
 
 
