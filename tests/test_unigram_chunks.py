@@ -4,7 +4,8 @@ import unicodedata
 from pyspark.sql import functions as F
 
 from textloom.functions.text import WHITESPACE_CLASS, _CHUNK, _SEPARATOR
-from textloom.operators.encode import Tokenizer
+from textloom.operators.encode import Tokenizer, encode
+from textloom.operators.unigram import substring_counts
 
 TEXTS = [None, "", " \t", "a b  a", "ﬁne ｆｉｎｅ fine", "x\x1cy\x1fz x\u0085y", "é é a", "᠎a​b"]
 
@@ -33,3 +34,26 @@ def test_pieces_and_their_counts_without_a_row_per_token(spark):
     counts = tok.piece_counts(df)
     assert {r.word: r.n for r in counts.collect()} == {w: words.count(w) for w in words}
     assert "Generate" not in counts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_substring_counts_agree_with_plain_slices(spark):
+    words = {"▁": 2, "▁aaa": 3, "▁a😀b": 5, "▁xé": 1, "": 4}
+    df = spark.createDataFrame(list(words.items()), "word string, n long")
+    plain = {}
+    for w, n in words.items():
+        for k in (1, 2, 3, 4):
+            for i in range(len(w) - k + 1):
+                plain[w[i:i + k]] = plain.get(w[i:i + k], 0) + n
+    assert {r.piece: r.c for r in substring_counts(df, 4).collect()} == plain
+    assert substring_counts(df.limit(0), 4).count() == 0
+
+
+def test_pieces_counted_before_encode_alike(spark):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    vocab = spark.createDataFrame([(5, "▁", "▁", False, -1.0), (6, "a", "a", False, -2.0), (7, "▁a", "▁a", False, -2.5)],
+                                  "id int, piece string, text string, special boolean, score double")
+    tok = Tokenizer("unigram", vocab)
+    ids = lambda **o: {r.doc_id: r.input_ids for r in encode(df, tok, **o).collect()}
+    got = ids()
+    assert got[0] == got[1] == got[2] == [] and got[3] == [7, 5, 0, 7]
+    assert got == ids(counted=tok.piece_counts(df)) == ids(broadcast_rows=1, hot_words=1)

@@ -158,7 +158,8 @@ def _most_frequent(dictionary: DataFrame, n: int) -> DataFrame:
 
 def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", id_cols=("doc_id",),
            out_col: str = "input_ids", hot_words: int = 200_000,
-           broadcast_rows: int = 500_000, broadcast_bytes: int = 64 << 20) -> DataFrame:
+           broadcast_rows: int = 500_000, broadcast_bytes: int = 64 << 20,
+           counted: DataFrame | None = None) -> DataFrame:
     """T7 + T8: ``input_ids`` and ``num_tokens`` for every row of ``df``.
 
     One pass over the token stream, which stays in its rows (``lookup``).  A
@@ -167,6 +168,7 @@ def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", id_cols=("doc_
     about the ``hot_words`` most frequent pieces are, and only the other
     pieces of a text meet the dictionary by shuffle.
 
+    ``counted``: ``(word, n)`` of all pieces (``piece_counts``) where the caller has it.
     Every row gives a row, also rows with the same ids; null and empty texts
     give no tokens."""
     id_cols = list(id_cols)
@@ -178,7 +180,7 @@ def encode(df: DataFrame, tok: Tokenizer, text_col: str = "text", id_cols=("doc_
             F.col("piece").alias("key"), F.array("id").alias("values"))
         missing = [tok.special_id(UNK)]
     else:
-        words = tok.piece_counts(df, text_col)
+        words = tok.piece_counts(df, text_col) if counted is None else counted
         checkpoint_dir(df.sparkSession)
         # distinct pieces encoded once; checkpointed so the Python encoder never reruns
         enc = encode_dictionary(words, tok).checkpoint(eager=True)

@@ -30,6 +30,7 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,6 +95,31 @@ def best_path(n: int, edges: list[tuple[int, int, str, float]]) -> list[str]:
     return out
 
 
+def substring_counts(words: DataFrame, max_len: int) -> DataFrame:
+    """``(piece, c)``: how often each substring of 1 to ``max_len`` characters stands in
+    the words of ``words(word, n)``.  Words are counted by batches: the substrings of a
+    length are numbered by those one shorter and the character that follows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names = b.column("word").to_pylist()
+            text, lengths = "".join(names), np.array([len(w) for w in names], np.int64)
+            code = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+            freq, left = np.repeat(b.column("n").to_numpy(), lengths), np.repeat(np.cumsum(lengths), lengths) - np.arange(len(code))
+            at, ids = np.arange(len(code)), np.zeros(len(code), np.int64)
+            for k in range(1, max_len + 1):
+                here = left[at] >= k
+                at, ids = at[here], ids[here]
+                if not len(at):
+                    break
+                _, first, ids = np.unique(ids << 21 | code[at + k - 1], return_index=True, return_inverse=True)
+                total = np.zeros(len(first), np.int64)
+                np.add.at(total, ids, freq[at])
+                yield pa.RecordBatch.from_arrays([pa.array([text[i:i + k] for i in at[first].tolist()], pa.string()), pa.array(total)],
+                                                 ["piece", "c"])
+
+    return words.select("word", "n").mapInArrow(run, "piece string, c long").groupBy("piece").agg(F.sum("c").alias("c"))
+
+
 class _Path:
     """Counts of all prefixes of the suffix that is being read."""
 

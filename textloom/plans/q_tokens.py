@@ -288,13 +288,12 @@ SELECT p.doc_id, p.split, coalesce(string_agg(CAST(id AS VARCHAR), ' ' ORDER BY
 """)
 def q_encode_unigram_table(spark, sf):
     """Unigram encoding with scores from substring counts, against a Viterbi search in SQL."""
+    from textloom.operators.unigram import substring_counts
     docs = documents(spark, sf).select("doc_id", "split", "text")
-    counted = enc.Tokenizer("unigram", None).piece_counts(docs.filter(F.col("split") == "train"), "text")
-    words = counted.select(F.col("word").alias("w"), F.col("n").alias("f"))
-    each = F.explode(F.flatten(F.transform(F.array(*map(F.lit, (1, 2, 3, 4))), lambda k: F.when(
-        F.length("w") >= k, F.transform(F.sequence(F.lit(1), F.length("w") - k + 1), lambda i: F.substr(F.col("w"), i, k))
-    ).otherwise(F.array().cast("array<string>")))))
-    counts = words.select(each.alias("piece"), "f").groupBy("piece").agg(F.sum("f").alias("c")).checkpoint()
+    is_train, plain = F.coalesce(F.col("split") == "train", F.lit(False)), enc.Tokenizer("unigram", None)
+    words = plain.piece_counts(docs.filter(is_train), "text").checkpoint()
+    others = plain.piece_counts(docs.filter(~is_train), "text")
+    counts = substring_counts(words, 4).checkpoint()
     one = F.length("piece") == 1
     kept = counts.filter(one).unionByName(counts.filter(~one).orderBy(
         F.desc(F.col("c") * F.length("piece")), "piece").limit(N_PIECES)).checkpoint()
@@ -302,7 +301,8 @@ def q_encode_unigram_table(spark, sf):
     ranked = order.with_row_index(kept.withColumn("_neg", -F.col("c")), ["_neg", "piece"], "_i")
     vocab = ranked.select((F.col("_i") + 5).cast("int").alias("id"), "piece", F.col("piece").alias("text"),
                           F.lit(False).alias("special"), F.floor(1000 * F.log(F.col("c") / total)).cast("double").alias("score"))
-    ids = enc.encode(docs, enc.Tokenizer("unigram", vocab.checkpoint()), "text", ["doc_id", "split"])
+    counted = words.unionByName(others).groupBy("word").agg(F.sum("n").alias("n"))
+    ids = enc.encode(docs, enc.Tokenizer("unigram", vocab.checkpoint()), "text", ["doc_id", "split"], counted=counted)
     return ids.select("doc_id", "split", arr_str("input_ids").alias("input_ids"), "num_tokens")
 
 
