@@ -178,3 +178,46 @@ def test_sets_move_once_to_a_cell_not_once_per_pair(spark, monkeypatch):
     got = [(bytes(x.a), bytes(x.b), x.ok) for x in setjoin._verified(df, sets, 0.75).collect()]
     assert sorted(got) == sorted((a, b, similar(a, b)) for a, b in pairs)
     assert {ok for *_, ok in got} == {True, False}
+
+
+def test_only_sets_whose_sketches_are_close_are_built_again(spark, monkeypatch):
+    built = []
+    of = setjoin.sets_of
+    monkeypatch.setattr(setjoin, "sets_of", lambda words, k: built.append(words.count()) or of(words, k))
+    sets = {i: {0, 1, 2, 3} | set(range(100 * i, 100 * i + 12)) for i in range(1, 41)}
+    sets |= {i + 500: sets[i] | {7} for i in (3, 9)}
+    assert clusters(spark, sets, threshold=0.6) == brute(sets, 0.6) == {(503, 3), (509, 9)}
+    assert sum(built) < 10
+
+
+@pytest.mark.parametrize("options", [{"whole_sets": 2}, {"whole_elements": 100}, {"node_bits": 7}])
+def test_large_components_and_numbers_that_two_sets_share(spark, monkeypatch, options):
+    from textloom.operators import dedup
+
+    monkeypatch.setattr(dedup, "similar_texts", lambda *a: setjoin.similar_texts(*a, **options))
+    r = random.Random(11)
+    sets = {}
+    for i in range(24):
+        s = set(range(1000 * (i % 3), 1000 * (i % 3) + 30))
+        sets[i] = s - set(r.sample(sorted(s), r.randrange(5))) | {r.randrange(10 ** 6) for _ in range(r.randrange(5))}
+    assert clusters(spark, sets) == brute(sets) != set()
+
+
+def test_sketches_pass_every_similar_pair_and_few_sets_equal_all_pairs():
+    import numpy as np
+
+    r = random.Random(12)
+    for threshold in (0.5, 0.8, 1.0):
+        plain = {}
+        for i in range(150):
+            s = set(r.choice(list(plain.values()))) if plain and r.random() < 0.5 else {r.randrange(2 ** 63) for _ in range(r.choice([3, 50, 64, 65, 200]))}
+            for x in r.sample(sorted(s), r.randrange(min(len(s), 9))):
+                s.remove(x)
+            plain[i] = s | {r.randrange(2 ** 63) for _ in range(r.randrange(9))} if r.random() < 0.9 else s
+        sets = {i: np.array(sorted(s), np.uint64) for i, s in plain.items()}
+        sketches = {i: np.append(np.uint64(len(s)), setjoin.sketch(s)) for i, s in sets.items()}
+        passed = {(a, b) for a in sets for b in sets if a < b and setjoin.may_be_similar(sketches[a], sketches[b], threshold)}
+        right = {(a, b) for a in sets for b in sets if a < b and setjoin.similar(sets[a], sets[b], threshold)}
+        assert right <= passed and len(passed) < 150 * 149 // 2
+        order = r.sample(sorted(sets), len(sets))
+        assert dict(setjoin.components_of(order, [sets[i] for i in order], threshold)) == components(right)
