@@ -196,6 +196,36 @@ def substring_seeds(words: DataFrame, max_len: int) -> DataFrame:
     return two.select("piece", F.col("c").cast("long").alias("c")).unionByName(longer)
 
 
+def best_seeds(seeds: DataFrame, n: int, room: int = 2) -> pa.Table:
+    """The ``n`` best of ``seeds(piece, c)``, by frequency x length and then by piece;
+    pieces must differ.
+
+    A sort with a limit sends the best of every task to the driver.  Here a histogram of
+    the scores, 64 steps a doubling, tells where the ``n`` best end, and the driver takes the
+    rows up to there.  Where they are more than ``room`` times ``n`` (equal scores), they
+    are sorted by ranges first, and it takes the first ranges."""
+    if n <= 0:
+        return pa.table({"piece": pa.array([], pa.string()), "c": pa.array([], pa.int64())})
+    scored = seeds.select("piece", "c", (F.col("c") * F.length("piece")).alias("v")).withColumn(
+        "f", F.floor(64 * F.log2("v"))).checkpoint(eager=True)
+    rows, least = 0, None
+    for r in sorted(scored.groupBy("f").count().collect(), reverse=True):
+        rows, least = rows + r["count"], r["f"]
+        if rows >= n:
+            break
+    some = scored.filter(F.lit(least is not None) & (F.col("f") >= F.lit(least))).drop("f")
+    if rows > room * n:
+        parts = max(int(seeds.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // n))
+        some = some.repartitionByRange(parts, F.desc("v"), "piece").withColumn("p", F.spark_partition_id()).checkpoint(eager=True)
+        held, last = 0, 0
+        for r in sorted(some.groupBy("p").count().collect()):
+            held, last = held + r["count"], r["p"]
+            if held >= n:
+                break
+        some = some.filter(F.col("p") <= last).drop("p")
+    return some.toArrow().sort_by([("v", "descending"), ("piece", "ascending")]).slice(0, n).select(["piece", "c"])
+
+
 def digamma(x: float) -> float:
     out = 0.0
     while x < 7:
@@ -214,21 +244,23 @@ class Pieces:
 
     def __init__(self, names, max_len: int):
         self.names, self.max_len = sorted(names), max_len
-        nodes: dict[int, int] = {}
-        piece = [-1]
-        for i, name in enumerate(self.names):
-            at = 0
-            for c in name:
-                key = at << 21 | ord(c)
-                at = nodes.get(key, 0)
-                if not at:
-                    at = nodes[key] = len(piece)
-                    piece.append(-1)
-            piece[at] = i
-        keys = np.fromiter(nodes, np.int64, len(nodes))
+        sizes = np.array([len(p) for p in self.names], np.int64)
+        chars = np.frombuffer("".join(self.names).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        start, node = np.cumsum(sizes) - sizes, np.zeros(len(sizes), np.int64)
+        keys, piece = [], [np.array([-1])]
+        for d in range(int(sizes.max(initial=0))):  # the nodes of a depth, from those above and a character
+            live = np.flatnonzero(sizes > d)
+            new, at = np.unique(node[live] << 21 | chars[start[live] + d], return_inverse=True)
+            node[live] = 1 + sum(map(len, keys)) + at
+            ends = sizes[live] == d + 1
+            named = np.full(len(new), -1)
+            named[at[ends]] = live[ends]
+            keys.append(new)
+            piece.append(named)
+        keys = np.concatenate(keys) if keys else np.zeros(0, np.int64)
         order = np.argsort(keys)
-        self.keys, self.to = keys[order], np.fromiter(nodes.values(), np.int64, len(nodes))[order]
-        self.piece, self.score, self._plain = np.array(piece), np.full(len(self.names), -np.inf), None
+        self.keys, self.to = keys[order], 1 + order
+        self.piece, self.score, self._plain = np.concatenate(piece), np.full(len(self.names), -np.inf), None
 
     def scores(self, logp: dict[str, float]) -> np.ndarray:
         return np.array([logp.get(p, -math.inf) for p in self.names])
@@ -365,15 +397,16 @@ def train_unigram(texts: DataFrame, vocab_size: int = 8000, text_col: str = "tex
     spark = texts.sparkSession
     checkpoint_dir(spark)
     words = nfkc_chunk_counts(texts.select(text_col), METASPACE).withColumnRenamed("n", "freq")
-    # the distinct words in as many slices as shuffles have, for the Python E-steps
-    words = words.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).checkpoint(eager=True)
+    # the distinct words in slices for the Python E-steps, each of which gives a row for every piece
+    slices = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    words = words.repartition(slices).checkpoint(eager=True)
     target = max(0, vocab_size - len(special_tokens))
     L = max_piece_len
     letters = words.select(F.explode(F.split("word", "(?<=.)(?=.)", -1)).alias("piece"), "freq")
     counts = {r.piece: float(r.c) for r in letters.groupBy("piece").agg(F.sum("freq").alias("c")).collect()}
     chars = set(counts)  # the characters in use
-    counts.update({r.piece: float(r.c) for r in substring_seeds(words, L).orderBy(
-        F.desc(F.col("c") * F.length("piece")), "piece").limit(seed_size).collect()})
+    seeds = best_seeds(substring_seeds(words, L), seed_size)
+    counts.update(zip(seeds["piece"].to_pylist(), map(float, seeds["c"].to_pylist())))
     total = sum(counts.values())
     logp = {p: math.log(c / total) for p, c in counts.items()}
     pieces = trie = None
@@ -401,9 +434,9 @@ def train_unigram(texts: DataFrame, vocab_size: int = 8000, text_col: str = "tex
             break
         model = spark.sparkContext.broadcast(logp)
         alts = spark.createDataFrame([(p,) for p in longer], "piece string").mapInPandas(
-            _alt_score(model, L), "piece string, alt double").collect()
+            _alt_score(model, L), "piece string, alt double").toArrow().to_pydict()
         model.destroy()
-        loss = {r.piece: vit.get(r.piece, 0.0) * (logp[r.piece] - r.alt) for r in alts}
+        loss = {p: vit.get(p, 0.0) * (logp[p] - alt) for p, alt in zip(alts["piece"], alts["alt"])}
         n_keep = min(max(room, int(len(longer) * shrink)), len(longer) - 1)  # one at least goes
         kept = set(sorted(loss, key=lambda p: (-loss[p], p))[:n_keep])
         logp = {p: lp for p, lp in logp.items() if p in chars or p in kept}
