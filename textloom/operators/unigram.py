@@ -191,7 +191,8 @@ def substring_seeds(words: DataFrame, max_len: int) -> DataFrame:
         found = [(last[:d], path.c[d]) for d in range(3, min(len(last), max_len) + 1) if path.is_seed(d)]
         yield pd.DataFrame(found, columns=["piece", "c"])
 
-    longer = (rows.filter(F.length("s") > 2).repartition(n, F.substring("s", 1, 3)).sortWithinPartitions("s")
+    # suffixes of two characters have no longer prefix; without a filter here both read one shuffle
+    longer = (rows.repartition(n, F.substring("s", 1, 3)).sortWithinPartitions("s")
               .mapInPandas(run, "piece string, c long"))
     return two.select("piece", F.col("c").cast("long").alias("c")).unionByName(longer)
 
